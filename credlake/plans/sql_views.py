@@ -57,8 +57,8 @@ select o_orderkey as id, o_custkey as user_id, concat('NATION_', cast(o_orderkey
 _DEPENDS = {"risk_input": ["applications"]}
 
 
-def with_views(names: list[str], body: str) -> str:
-    """``WITH view AS (...), ... body`` including dependencies, in order."""
+def with_views(names: list[str], body: str, extra: str = "") -> str:
+    """``WITH view AS (...), ...[, extra ctes] body`` including dependencies, in order."""
     order: list[str] = []
 
     def add(n: str) -> None:
@@ -70,6 +70,8 @@ def with_views(names: list[str], body: str) -> str:
     for n in names:
         add(n)
     ctes = ",\n".join(f"{n} as ({VIEW_SQL[n]}\n)" for n in order)
+    if extra.strip():
+        ctes += ",\n" + extra.strip().lstrip(",")
     return f"with {ctes}\n{body}"
 
 
