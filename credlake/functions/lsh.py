@@ -42,14 +42,13 @@ def signature_from_columns(z_cols: list[Column], R: list[list[float]]) -> Column
 
 
 def signature_from_array(vec: Column, R: list[list[float]]) -> Column:
-    """F2 over an ``array<float|double>`` column (dims = len(R[0]))."""
+    """F2 over an ``array<float|double>`` column (dims = len(R[0])).
 
-    def dot(row: list[float]) -> Column:
-        w = F.array(*[F.lit(float(v)) for v in row])
-        prods = F.zip_with(vec, w, lambda a, b: a.cast("double") * b)
-        return F.aggregate(prods, F.lit(0.0), lambda acc, x: acc + x)
-
-    return F.concat(*[F.when(dot(row) >= 0, F.lit("1")).otherwise(F.lit("0")) for row in R])
+    The dot products are unrolled into element reads (``get`` gives NULL
+    past the end, like a short vector), which stay in generated code;
+    higher-order ``zip_with``/``aggregate`` would be interpreted per row."""
+    elems = [F.get(vec, j).cast("double") for j in range(len(R[0]))]
+    return signature_from_columns(elems, R)
 
 
 @dataclass(frozen=True)

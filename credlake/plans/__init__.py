@@ -1,6 +1,6 @@
 """Named queries over the driver's tables, each with its DuckDB oracle SQL."""
 
-from credlake.plans import flow_queries, generic_queries, lsh_queries, p0_queries  # noqa: F401  (registers queries)
+from credlake.plans import flow_queries, generic_queries, lsh_queries, ml_queries, p0_queries  # noqa: F401  (registers queries)
 from credlake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

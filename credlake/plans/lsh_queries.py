@@ -124,3 +124,37 @@ def lsh_score_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "id", "firma_lsh", "total_balde", "fraudes_balde",
         F.when(F.col("encontrado"), F.col("pct_fraude")).alias("pct_fraude"), "decision")
+
+
+# ---------------------------------------------------------------- embeddings variant
+EMB_BITS = 8
+EMB_DIMS = 64
+EMB_TARGET = 0
+
+
+def _emb_signature_sql() -> str:
+    from credlake.plans.sql_views import dbl
+    from credlake.functions.lsh import projection_matrix
+    bits = []
+    for row in projection_matrix(EMB_BITS, EMB_DIMS):
+        dot = " + ".join(f"embedding[{j + 1}]*{dbl(w)}" for j, w in enumerate(row))
+        bits.append(f"case when {dot} >= 0 then '1' else '0' end")
+    return "concat(" + ", ".join(bits) + ")"
+
+
+@query("lsh_embedding_buckets", f"""
+with signed as (
+  select vec_id, {_emb_signature_sql()} as firma_lsh, case when label = {EMB_TARGET} then 1 else 0 end as target
+  from embeddings
+)
+select firma_lsh, count(target) as total_solicitudes, cast(sum(target) as bigint) as fraudes_detectados,
+  cast(sum(target) as double)/count(target)*100e0 as probabilidad_fraude_pct
+from signed group by firma_lsh""")
+def lsh_embedding_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + A1 over 64-dim float embeddings: 8 planes, target class share per bucket."""
+    from credlake.functions.lsh import projection_matrix, signature_from_array
+    e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    signed = e.select(
+        signature_from_array(F.col("embedding"), projection_matrix(EMB_BITS, EMB_DIMS)).alias("firma_lsh"),
+        F.when(F.col("label") == EMB_TARGET, 1).otherwise(0).alias("target"))
+    return lsh.bucket_stats(signed, label="target")
