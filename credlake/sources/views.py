@@ -3,7 +3,7 @@
 The driver's data holds no credit records, so every query reads these
 views.  They are plain projections and joins over the base tables, so their
 size grows with the data.  The formulas are fixed values shared with the
-DuckDB oracle text in ``credlake.plans.oracle`` (FIXTURES.md, part 3).
+DuckDB oracle text in ``credlake.plans.sql_views`` (FIXTURES.md, part 3).
 """
 
 from __future__ import annotations
@@ -33,7 +33,13 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice")
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_acctbal")
-    j = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    return applications_from(orders, customer)
+
+
+def applications_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """The applications projection over given orders (batch or stream) and customers."""
+    j = orders.select("o_orderkey", "o_custkey", "o_totalprice").join(
+        customer.select("c_custkey", "c_acctbal"), F.col("o_custkey") == F.col("c_custkey"))
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     frac = (ok * 104729) % 1000
     return j.select(
