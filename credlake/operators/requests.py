@@ -156,9 +156,9 @@ def unwrap(df: DataFrame) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def to_document(df: DataFrame) -> DataFrame:
+def to_document(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One JSON text per request, NULL fields omitted."""
-    return df.select("id", F.to_json(F.struct(*[F.col(f.name) for f in REQUEST.fields])).alias("document"))
+    return df.select("id", *keep, F.to_json(F.struct(*[F.col(f.name) for f in REQUEST.fields])).alias("document"))
 
 
 # ------------------------------------------------------------------ W1

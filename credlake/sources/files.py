@@ -38,7 +38,8 @@ def read_requests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 
     A bad file does not stop the batch: it lands in the second frame with
     its file name."""
-    raw = (spark.read.schema(REQUEST_FILE.add("_corrupt", T.StringType()))
+    schema = T.StructType(list(REQUEST_FILE.fields) + [T.StructField("_corrupt", T.StringType())])
+    raw = (spark.read.schema(schema)
            .option("multiLine", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt")
            .option("pathGlobFilter", "*.json").json(path)
