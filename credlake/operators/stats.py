@@ -5,9 +5,10 @@ Exact quantiles without one-task aggregation
 ``percentile`` keeps every distinct value of a group in one buffer and the
 final merge happens in a single task, which does not survive 100 TB.  Here
 the value at rank k is found by histogram refinement instead: each pass is
-one distributed aggregate over the current value bracket that returns at
-most ``BUCKETS`` rows (count, min, max per equal-width bucket); the bucket
-holding rank k becomes the next bracket.  When a bracket holds at most
+one distributed aggregate over the current value brackets that returns at
+most ``BUCKETS`` rows per bracket (count, min, max per equal-width bucket);
+the bucket holding rank k becomes the next bracket.  All wanted ranks are
+refined in the same passes.  When a bracket holds at most
 ``COLLECT_LIMIT`` values they are fetched sorted and indexed.  A bracket
 whose min equals its max (a hot value) ends the search at once, so a
 value repeated in a third of all rows costs one pass.
@@ -23,48 +24,84 @@ BUCKETS = 4096
 COLLECT_LIMIT = 50_000
 
 
+def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
+    """Exact values of the 0-based ranks ``ks`` among the non-null values of
+    ``col``; all ranks are refined together, one job per pass."""
+    v = F.col(col).cast("double")
+    base = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).first()
+    n = st["n"]
+    want = sorted({k for k in ks if 0 <= k < n})
+    # bracket per rank: (lo, hi, rows below lo, rows inside)
+    br = {k: (st["mn"], st["mx"], 0, n) for k in want}
+    out: dict[int, float] = {}
+    for _ in range(64):
+        todo = {k: b for k, b in br.items() if k not in out}
+        for k, (lo, hi, _, _) in list(todo.items()):
+            if lo == hi:  # a single (possibly hot) value
+                out[k] = float(lo)
+                del todo[k]
+        if not todo:
+            break
+        uniq = sorted({(lo, hi, below, cnt) for lo, hi, below, cnt in todo.values()})
+        if sum(c for *_, c in uniq) <= COLLECT_LIMIT:
+            cond = None
+            for lo, hi, _, _ in uniq:
+                c = F.col("v").between(lo, hi)
+                cond = c if cond is None else (cond | c)
+            vals = sorted(r[0] for r in base.where(cond).collect())
+            for k, (lo, hi, below, _) in todo.items():
+                inside = [x for x in vals if lo <= x <= hi]
+                out[k] = float(inside[k - below])
+            break
+        los = F.array(*[F.lit(float(u[0])) for u in uniq])
+        his = F.array(*[F.lit(float(u[1])) for u in uniq])
+        widths = F.array(*[F.lit((float(u[1]) - float(u[0])) / BUCKETS) for u in uniq])
+        ids = F.filter(F.array(*[F.lit(i) for i in range(len(uniq))]),
+                       lambda i: (F.col("v") >= F.get(los, i)) & (F.col("v") <= F.get(his, i)))
+        x = base.select("v", F.explode(ids).alias("bid"))
+        bucket = F.least(F.floor((F.col("v") - F.get(los, F.col("bid"))) / F.get(widths, F.col("bid"))),
+                         F.lit(BUCKETS - 1)).cast("int")
+        hist = (x.groupBy("bid", bucket.alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect())
+        by_bid: dict[int, list] = {}
+        for r in sorted(hist, key=lambda r: (r["bid"], r["b"])):
+            by_bid.setdefault(r["bid"], []).append(r)
+        for k, b in todo.items():
+            below = b[2]
+            for r in by_bid[uniq.index(b)]:
+                if k - below < r["n"]:
+                    br[k] = (r["mn"], r["mx"], below, r["n"])
+                    break
+                below += r["n"]
+    return out
+
+
 def value_at_rank(df: DataFrame, col: str, k: int) -> float | None:
     """Exact value of 0-based rank ``k`` among the non-null values of ``col``."""
-    c = F.col(col).cast("double")
-    base = df.select(c.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    lo, hi, below = None, None, 0
-    for _ in range(64):
-        part = base if lo is None else base.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        st = part.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).first()
-        if st["n"] == 0 or k - below >= st["n"] or k < below:
-            return None
-        if st["mn"] == st["mx"]:
-            return float(st["mn"])
-        if st["n"] <= COLLECT_LIMIT:
-            vals = [r[0] for r in part.orderBy("v").collect()]
-            return float(vals[k - below])
-        lo_v, hi_v = float(st["mn"]), float(st["mx"])
-        width = (hi_v - lo_v) / BUCKETS
-        b = F.least(F.floor((F.col("v") - F.lit(lo_v)) / F.lit(width)), F.lit(BUCKETS - 1)).cast("int")
-        hist = part.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
-                                               F.max("v").alias("mx")).orderBy("b").collect()
-        for row in hist:
-            if k - below < row["n"]:
-                lo, hi = float(row["mn"]), float(row["mx"])
-                break
-            below += row["n"]
-    raise RuntimeError("quantile search did not converge")
+    return values_at_ranks(df, col, [k]).get(k)
 
 
-def exact_quantile(df: DataFrame, col: str, p: float, n: int | None = None) -> float | None:
-    """Linear interpolation between the two closest ranks (pandas / DuckDB ``quantile_cont``)."""
+def exact_quantiles(df: DataFrame, col: str, ps: list[float], n: int | None = None) -> list[float | None]:
+    """Linear interpolation between the two closest ranks (pandas / DuckDB
+    ``quantile_cont``), every probability in the same refinement passes."""
     if n is None:
         n = df.where(F.col(col).isNotNull()).count()
     if n == 0:
-        return None
-    pos = p * (n - 1)
-    k = int(pos)
-    frac = pos - k
-    lo = value_at_rank(df, col, k)
-    if frac == 0 or k + 1 >= n:
-        return lo
-    hi = value_at_rank(df, col, k + 1)
-    return lo + (hi - lo) * frac
+        return [None for _ in ps]
+    pos = [p * (n - 1) for p in ps]
+    ranks = sorted({int(x) for x in pos} | {min(int(x) + 1, n - 1) for x in pos})
+    vals = values_at_ranks(df, col, ranks)
+    res = []
+    for x in pos:
+        k, frac = int(x), x - int(x)
+        lo = vals[k]
+        res.append(lo if frac == 0 or k + 1 >= n else lo + (vals[k + 1] - lo) * frac)
+    return res
+
+
+def exact_quantile(df: DataFrame, col: str, p: float, n: int | None = None) -> float | None:
+    return exact_quantiles(df, col, [p], n)[0]
 
 
 def _r2(x):
@@ -82,7 +119,7 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
         v = F.col(c).cast("double")
         st = df.agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
                     F.min(v).alias("mn"), F.max(v).alias("mx")).first()
-        q = [exact_quantile(df, c, p, st["n"]) for p in (0.25, 0.5, 0.75)]
+        q = exact_quantiles(df, c, [0.25, 0.5, 0.75], st["n"])
         rows.append((c, int(st["n"]), _r2(st["mean"]), _r2(st["std"]), _r2(st["mn"]),
                      _r2(q[0]), _r2(q[1]), _r2(q[2]), _r2(st["mx"])))
     schema = ("column string, count bigint, mean double, std double, min double, "
