@@ -60,28 +60,32 @@ _TYPE_NAMES: dict[str, DataType] = {
 
 
 def validate_input(df: DataFrame, rules: dict[str, dict]) -> DataFrame:
-    """Per-field ``required`` / ``type`` rules over string columns.
+    """Per-field ``required`` / ``type`` rules.
 
-    ``"<f> is required"`` when the value is NULL; the type is only checked
-    for truthy values (not NULL, not ``''``, not ``'0'``), as
-    ``try_cast(value AS type) IS NULL``.  Adds ``is_valid`` and ``errors``.
-    """
+    ``"<f> is required"`` when a required value is NULL (or the column is
+    absent); otherwise the type is checked only for truthy values (not NULL,
+    not ``''``, not a numeric 0): a string must parse as the type
+    (``try_cast``), a typed column is checked by its own type.  Adds
+    ``errors`` (array) and ``is_valid``."""
     checks = []
+    types = dict(df.dtypes)
     for field_name, rule in rules.items():
-        c = F.col(field_name) if field_name in df.columns else F.lit(None).cast("string")
+        present = field_name in df.columns
+        c = F.col(field_name) if present else F.lit(None).cast("string")
+        dtype = types.get(field_name, "string")
         if rule.get("required"):
             checks.append((c.isNull(), f"{field_name} is required"))
-            truthy = c.isNotNull() & (c.cast("string") != "") & (c.cast("string") != "0")
-        else:
-            truthy = c.isNotNull() & (c.cast("string") != "") & (c.cast("string") != "0")
         t = rule.get("type")
-        if t:
-            target = _TYPE_NAMES[t]
-            bad_type = truthy & (c.cast("string")).try_cast(target).isNull()
-            # The type message is only produced when the required message was not.
-            if rule.get("required"):
-                bad_type = bad_type & c.isNotNull()
-            checks.append((bad_type, f"{field_name} must be {t}"))
+        if not t:
+            continue
+        if dtype == "string":
+            truthy = c.isNotNull() & (c != "")
+            bad = c.try_cast(_TYPE_NAMES[t]).isNull()
+        else:
+            truthy = c.isNotNull() & (c.cast("double") != 0) if dtype != "boolean" else c.isNotNull() & c
+            bad = F.lit(_TYPE_NAMES[t].simpleString() != dtype and not (
+                t == "int" and dtype in ("int", "bigint", "smallint", "tinyint")))
+        checks.append((F.coalesce(truthy & bad, F.lit(False)), f"{field_name} must be {t}"))
     errors = _reasons(checks)
     return df.withColumn("errors", errors).withColumn("is_valid", F.size("errors") == 0)
 

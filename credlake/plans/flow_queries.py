@@ -163,3 +163,33 @@ def flow_income_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = req.select(F.explode(apps).alias("a"))
     return x.select(F.col("a.id").alias("applicant_id"),
                     (F.rint(F.col("a.calculated_metrics.income.avg_6m") * 100.0) / 100.0).alias("avg_6m"))
+
+
+# ------------------------------------------------------------------ R9 per row
+def _coded_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    req = nested_requests(spark, sf_dir)
+    code = F.when(F.col("id").cast("long") % 5 == 0, F.lit("FLOW_LEGACY")).otherwise(F.lit("FLOW_P0"))
+    return req.withColumn("flow_code", code)
+
+
+@query("flow_by_code", _flow_sql("""
+select cast(id as varchar) as id,
+  case when id % 5 = 0 then 'PENDING' when branch and nhard = 0 and not low then 'APPROVED' else 'REJECTED' end
+    as final_decision_code,
+  case when id % 5 = 0 then ''
+       when branch then concat_ws(',', nullif(rtrim(repeat('RL_DICOM_HARD,', cast(nhard as int)), ','), ''),
+                                  case when low then 'RL_RENTA_INSUFICIENTE' end)
+       when tpos is null then 'RL_NO_TITULAR' else 'RL_SIN_INGRESOS' end as blocking_rule_codes,
+  case when tpos is null then null when id % 5 = 0 then 'PENDING'
+       when branch and not low then 'APPROVED' else 'PENDING' end as titular_income_code,
+  case when tpos is null then null when id % 5 = 0 then 0e0 else round_even(tavg, 2) end as titular_avg_6m,
+  case when id % 5 = 0 then 0
+       else cast(nobs + case when branch then nhard + case when low then 1 else 0 end else 1 end as int) end
+    as n_observations,
+  case when id % 5 = 0 then 0 when branch then 3 else 2 end as n_trail
+from k"""))
+def flow_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each request names its flow by code; known codes run their flow
+    on their slice, unknown codes pass through undecided."""
+    decided = flows.apply_flow_by_code(_coded_requests(spark, sf_dir), "flow_code", flows.load_flows())
+    return flows.decision_summary(decided)

@@ -238,3 +238,45 @@ def query_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parameterised SQL over the registered tables."""
     register_tables(spark, sf_dir)
     return generic.query_database(spark, P13_SQL, P13_PARAMS)
+
+
+# ------------------------------------------------------------------ P8 / P9
+INPUT_RULES = {"txt": {"required": True, "type": "float"}, "id": {"required": True, "type": "int"},
+               "extra": {"required": True}}
+
+
+@query("template_validate_input", """with texts as (
+  select o_orderkey as id, case o_orderkey % 8
+    when 0 then concat(cast(o_orderkey % 100 as varchar), '%')
+    when 1 then concat(' ', cast(o_custkey % 100 as varchar), ' %')
+    when 2 then concat(cast(o_orderkey % 1000 as varchar), ',', cast(o_custkey % 10 as varchar))
+    when 3 then 'abc' when 4 then ''
+    when 5 then concat(cast(o_orderkey % 10 as varchar), ',', cast(o_custkey % 10 as varchar), ',2')
+    when 6 then concat('-', cast(o_custkey % 50 as varchar)) end as txt
+  from orders
+)
+select id, errors = '' as is_valid, errors from (
+  select id, concat_ws('; ',
+    case when txt is null then 'txt is required' end,
+    case when txt is not null and txt <> '' and try_cast(txt as double) is null then 'txt must be float' end,
+    'extra is required') as errors
+  from texts) t""")
+def template_validate_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """required/type rules over form-like texts derived from orders."""
+    from credlake.operators.validate import validate_input
+    from credlake.plans.p0_queries import _texts
+    v = validate_input(_texts(spark, sf_dir), INPUT_RULES)
+    return v.select("id", "is_valid", F.array_join("errors", "; ").alias("errors"))
+
+
+@query("template_transform_data", """
+select c_custkey as id, c_name as cliente, c_acctbal as saldo, lower(c_mktsegment) as segmento,
+  cast(null as varchar) as telefono
+from customer""")
+def template_transform_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Field mapping by name, by expression, and a missing source (NULL)."""
+    from credlake.operators.validate import transform_data
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    out = transform_data(c, {"id": "c_custkey", "cliente": "c_name", "saldo": "c_acctbal",
+                             "segmento": lambda d: F.lower(F.col("c_mktsegment")), "telefono": "c_phone"})
+    return out.withColumn("telefono", F.col("telefono").cast("string"))

@@ -158,3 +158,15 @@ def lsh_embedding_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
         signature_from_array(F.col("embedding"), projection_matrix(EMB_BITS, EMB_DIMS)).alias("firma_lsh"),
         F.when(F.col("label") == EMB_TARGET, 1).otherwise(0).alias("target"))
     return lsh.bucket_stats(signed, label="target")
+
+
+@query("lsh_evaluation_reports")
+def lsh_evaluation_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F12 + F21 (+ K4 shape): one evaluation report per held-out application,
+    with request id, time, reason text and the history struct (NULL on a
+    miss).  Ids and times are random, so the check is on rows only."""
+    apps = views.applications(spark, sf_dir)
+    model = lsh.fit_lsh(apps, FEATURES)
+    new, history = extract_sample(apps, HOLDOUT_FRACTION)
+    scored = lsh.score_against_history(new, model, lsh.bucket_history(model.transform(history)))
+    return lsh.evaluation_documents(scored, FEATURES)
