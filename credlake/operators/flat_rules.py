@@ -15,11 +15,17 @@ from pyspark.sql import functions as F
 from credlake.operators import rules as R
 
 
-def applicant_income(applicants: DataFrame, payslips: DataFrame) -> DataFrame:
-    """A10 per applicant: ``avg_6m`` and whether an observation is emitted."""
+def payslip_totals(applicants: DataFrame, payslips: DataFrame) -> DataFrame:
+    """Applicants with ``n_pay``/``s_pay`` from a separate payslip table."""
     pay = payslips.groupBy("request_id", "pos").agg(
         F.count(F.lit(1)).alias("n_pay"), F.sum(F.col("net_income").cast("double")).alias("s_pay"))
-    a = applicants.join(pay, ["request_id", "pos"], "left")
+    return applicants.join(pay, ["request_id", "pos"], "left")
+
+
+def applicant_income(with_pay: DataFrame) -> DataFrame:
+    """A10 per applicant: ``avg_6m`` and whether an observation is emitted.
+    Input: applicants with ``n_pay`` and ``s_pay`` (NULL/0 when none)."""
+    a = with_pay
     dep = F.col("income_type") == "DEPENDENT"
     has = dep & (F.coalesce(F.col("n_pay"), F.lit(0)) > 0)
     return a.select(
@@ -29,18 +35,20 @@ def applicant_income(applicants: DataFrame, payslips: DataFrame) -> DataFrame:
     )
 
 
-def _per_request(requests: DataFrame, applicants: DataFrame, payslips: DataFrame) -> DataFrame:
-    inc = applicant_income(applicants, payslips)
-    tit = F.when(F.col("role") == "TITULAR", F.struct(F.col("pos"), F.col("avg_6m")))
+def _per_request(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
+    inc = applicant_income(with_pay)
+    tpos = F.when(F.col("role") == "TITULAR", F.col("pos"))
+    # min / min_by keep fixed-width buffers: a hash aggregate, not a sort.
     per = inc.groupBy("request_id").agg(
-        F.min(tit).alias("t"),
+        F.min(tpos).alias("tpos"),
+        F.min_by(F.col("avg_6m"), tpos).alias("tavg"),
         F.count_if(F.coalesce(F.col("is_hard_debt"), F.lit(False))).alias("n_hard"),
         F.count_if("has_obs").alias("n_obs"),
     )
     r = requests.join(per, requests.id == per.request_id, "left")
     return r.select(
         F.col("id"), F.col("monthly_rent"),
-        F.col("t.pos").alias("tpos"), F.col("t.avg_6m").alias("tavg"),
+        F.col("tpos"), F.col("tavg"),
         F.coalesce(F.col("n_hard"), F.lit(0)).alias("n_hard"),
         F.coalesce(F.col("n_obs"), F.lit(0)).alias("n_obs"),
     )
@@ -50,9 +58,10 @@ def _codes(*parts):
     return F.array_join(F.filter(F.flatten(F.array(*parts)), lambda x: x.isNotNull()), ",")
 
 
-def p0_flat(requests: DataFrame, applicants: DataFrame, payslips: DataFrame) -> DataFrame:
-    """R7 on flat tables: same columns as ``flows.decision_summary``."""
-    k = _per_request(requests, applicants, payslips)
+def p0_flat(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
+    """R7 on flat tables: same columns as ``flows.decision_summary``.
+    ``with_pay``: applicants with ``n_pay``/``s_pay`` (``payslip_totals``)."""
+    k = _per_request(requests, with_pay)
     has_t = F.col("tpos").isNotNull()
     branch = has_t & (F.col("tavg") > 0)
     low = branch & (F.col("tavg") < F.col("monthly_rent") * R.RENT_FACTOR)
@@ -75,9 +84,9 @@ def p0_flat(requests: DataFrame, applicants: DataFrame, payslips: DataFrame) ->
     )
 
 
-def flow6_flat(requests: DataFrame, applicants: DataFrame, payslips: DataFrame) -> DataFrame:
+def flow6_flat(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
     """R8 on flat tables: A10, rent rule, finalize."""
-    k = _per_request(requests, applicants, payslips)
+    k = _per_request(requests, with_pay)
     has_t = F.col("tpos").isNotNull()
     low = has_t & (F.col("tavg") < F.col("monthly_rent") * R.RENT_FACTOR)
     code = F.when(~has_t, F.lit(R.CODE_NO_TITULAR)).when(low, F.lit(R.CODE_LOW_INCOME))

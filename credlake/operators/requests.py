@@ -173,20 +173,24 @@ def titular(applicants: Column) -> Column:
 
 
 # ------------------------------------------------------------------ build from flat tables
-def build_requests(requests: DataFrame, applicants: DataFrame, payslips: DataFrame) -> DataFrame:
+def build_requests(requests: DataFrame, applicants: DataFrame, payslips: DataFrame | None = None) -> DataFrame:
     """Nest flat request / applicant / payslip rows into request documents.
 
-    Payslips are grouped per (request, position) and applicants per request;
-    both groups are small by nature (a request has a handful of applicants,
-    an applicant a handful of payslips).  Payslips are ordered by income so
-    sums are deterministic; applicants by position.
+    ``applicants`` either comes with an ``incomes`` array (payslip incomes
+    already collected in the same aggregate, one scan) or ``payslips`` rows
+    are grouped per (request, position) and joined.  Both groups are small
+    by nature (a request has a handful of applicants, an applicant a handful
+    of payslips).  Payslips are ordered by income so sums are deterministic;
+    applicants by position.
     """
-    pays = (payslips.groupBy("request_id", "pos")
-            .agg(F.sort_array(F.collect_list(F.col("net_income").cast("double"))).alias("_inc")))
-    pays = pays.select("request_id", "pos", F.transform("_inc", lambda x, i: F.struct(
+    if payslips is not None:
+        inc = (payslips.groupBy("request_id", "pos")
+               .agg(F.collect_list(F.col("net_income").cast("double")).alias("incomes")))
+        applicants = applicants.join(inc, ["request_id", "pos"], "left")
+    pays = F.transform(F.sort_array(F.col("incomes").cast("array<double>")), lambda x, i: F.struct(
         (i + 1).cast("int").alias("month_index"), x.alias("net_income"),
-        F.lit("").alias("period"), F.lit(0.0).alias("gross_income"))).alias("payslips"))
-    a = applicants.join(pays, ["request_id", "pos"], "left")
+        F.lit("").alias("period"), F.lit(0.0).alias("gross_income")))
+    a = applicants.withColumn("payslips", pays)
     dep = F.when(F.col("income_type") == "DEPENDENT",
                  F.struct(F.coalesce(F.col("payslips"), _empty(PAYSLIP)).alias("payslips")))
     app = F.struct(

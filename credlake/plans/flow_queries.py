@@ -13,8 +13,7 @@ from credlake.sources import views
 
 
 def nested_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_requests(views.requests(spark, sf_dir), views.applicants(spark, sf_dir),
-                          views.payslips(spark, sf_dir))
+    return build_requests(views.requests(spark, sf_dir), views.applicant_payslips(spark, sf_dir))
 
 
 def run_flow(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,8 +77,7 @@ def flow_p0_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("flow_p0_flat", _P0_SQL)
 def flow_p0_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R7 on flat tables (aggregates only; the scale path)."""
-    return flat_rules.p0_flat(views.requests(spark, sf_dir), views.applicants(spark, sf_dir),
-                              views.payslips(spark, sf_dir))
+    return flat_rules.p0_flat(views.requests(spark, sf_dir), views.applicant_income(spark, sf_dir))
 
 
 _FLOW6_SQL = _flow_sql("""
@@ -102,8 +100,7 @@ def flow6_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("flow6_flat", _FLOW6_SQL)
 def flow6_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R8 on flat tables."""
-    return flat_rules.flow6_flat(views.requests(spark, sf_dir), views.applicants(spark, sf_dir),
-                                 views.payslips(spark, sf_dir))
+    return flat_rules.flow6_flat(views.requests(spark, sf_dir), views.applicant_income(spark, sf_dir))
 
 
 @query("flow_p0_outcomes", _flow_sql("""

@@ -80,13 +80,49 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applicants of a request: one per (order, line number)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_discount")
-    ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    hard = F.when((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09), 1).otherwise(0)
-    return li.groupBy(ok.alias("request_id"), ln.alias("pos")).agg(
-        F.first(F.when((ln <= 3) & (ok % 13 != 0), "TITULAR").otherwise("AVAL")).alias("role"),
-        F.first(F.when((ln % 4 == 3) | (ok % 17 == 0), "INDEPENDENT").otherwise("DEPENDENT")).alias("income_type"),
-        (F.max(hard) == 1).alias("is_hard_debt"),
-    )
+    agg = li.groupBy(F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").alias("pos")).agg(
+        (F.max(_hard_debt()) == 1).alias("is_hard_debt"))
+    # Role and income type depend on the keys only: derived after the
+    # aggregate, so the aggregate stays a hash aggregate on fixed-width buffers.
+    return agg.select("request_id", "pos", *_role_and_type(F.col("request_id"), F.col("pos")), "is_hard_debt")
+
+
+def _hard_debt() -> Column:
+    return F.when((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09), 1).otherwise(0)
+
+
+def _role_and_type(ok: Column, ln: Column) -> list[Column]:
+    return [F.when((ln <= 3) & (ok % 13 != 0), "TITULAR").otherwise("AVAL").alias("role"),
+            F.when((ln % 4 == 3) | (ok % 17 == 0), "INDEPENDENT").otherwise("DEPENDENT").alias("income_type")]
+
+
+def applicant_payslips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applicants with their payslip incomes as an array, from one scan and
+    one aggregate of ``lineitem``: ``request_id, pos, role, income_type,
+    is_hard_debt, incomes`` (what ``build_requests`` nests)."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_discount",
+                    "l_partkey", "l_extendedprice")
+    is_pay = F.col("l_partkey") % 11 != 0
+    agg = li.groupBy(F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").alias("pos")).agg(
+        (F.max(_hard_debt()) == 1).alias("is_hard_debt"),
+        F.collect_list(F.when(is_pay, F.col("l_extendedprice"))).alias("incomes"))
+    return agg.select("request_id", "pos", *_role_and_type(F.col("request_id"), F.col("pos")), "is_hard_debt",
+                      "incomes")
+
+
+def applicant_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applicants with their payslip count and sum, from ONE scan and ONE
+    aggregate of ``lineitem`` (the ``applicants`` and ``payslips`` views
+    fused): ``request_id, pos, role, income_type, is_hard_debt, n_pay, s_pay``."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_discount",
+                    "l_partkey", "l_extendedprice")
+    is_pay = F.col("l_partkey") % 11 != 0
+    agg = li.groupBy(F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").alias("pos")).agg(
+        (F.max(_hard_debt()) == 1).alias("is_hard_debt"),
+        F.count_if(is_pay).alias("n_pay"),
+        F.sum(F.when(is_pay, F.col("l_extendedprice"))).alias("s_pay"))
+    return agg.select("request_id", "pos", *_role_and_type(F.col("request_id"), F.col("pos")), "is_hard_debt",
+                      "n_pay", "s_pay")
 
 
 def payslips(spark: SparkSession, sf_dir: str) -> DataFrame:
