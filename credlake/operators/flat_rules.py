@@ -18,7 +18,7 @@ from credlake.operators import rules as R
 def payslip_totals(applicants: DataFrame, payslips: DataFrame) -> DataFrame:
     """Applicants with ``n_pay``/``s_pay`` from a separate payslip table."""
     pay = payslips.groupBy("request_id", "pos").agg(
-        F.count(F.lit(1)).alias("n_pay"), F.sum(F.col("net_income").cast("double")).alias("s_pay"))
+        F.count(F.lit(1)).alias("n_pay"), F.sum(F.col("net_income").cast("decimal(38,2)")).alias("s_pay"))
     return applicants.join(pay, ["request_id", "pos"], "left")
 
 
@@ -28,10 +28,14 @@ def applicant_income(with_pay: DataFrame) -> DataFrame:
     a = with_pay
     dep = F.col("income_type") == "DEPENDENT"
     has = dep & (F.coalesce(F.col("n_pay"), F.lit(0)) > 0)
+    total = F.when(dep, F.coalesce(F.col("s_pay"), F.lit(0).cast("decimal(38,2)"))).otherwise(
+        F.lit(0).cast("decimal(38,2)"))
     return a.select(
         "request_id", "pos", "role", "income_type", "is_hard_debt",
-        F.when(has, F.col("s_pay") / F.col("n_pay")).otherwise(F.lit(0.0)).alias("avg_6m"),
+        F.when(has, (F.col("s_pay") / F.col("n_pay")).cast("double")).otherwise(F.lit(0.0)).alias("avg_6m"),
         has.alias("has_obs"),
+        total.alias("income_total"),
+        F.when(dep, F.coalesce(F.col("n_pay"), F.lit(0))).otherwise(F.lit(0)).cast("int").alias("n_payslips"),
     )
 
 
@@ -42,13 +46,15 @@ def _per_request(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
     per = inc.groupBy("request_id").agg(
         F.min(tpos).alias("tpos"),
         F.min_by(F.col("avg_6m"), tpos).alias("tavg"),
+        F.min_by(F.col("income_total"), tpos).alias("ttotal"),
+        F.min_by(F.col("n_payslips"), tpos).alias("tpays"),
         F.count_if(F.coalesce(F.col("is_hard_debt"), F.lit(False))).alias("n_hard"),
         F.count_if("has_obs").alias("n_obs"),
     )
     r = requests.join(per, requests.id == per.request_id, "left")
     return r.select(
         F.col("id"), F.col("monthly_rent"),
-        F.col("tpos"), F.col("tavg"),
+        F.col("tpos"), F.col("tavg"), F.col("ttotal"), F.col("tpays"),
         F.coalesce(F.col("n_hard"), F.lit(0)).alias("n_hard"),
         F.coalesce(F.col("n_obs"), F.lit(0)).alias("n_obs"),
     )
@@ -78,7 +84,8 @@ def p0_flat(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
         _codes(dicom, F.array(other)).alias("blocking_rule_codes"),
         F.when(~has_t, F.lit(None)).when(branch & ~low, F.lit(R.APPROVED)).otherwise(F.lit("PENDING"))
         .alias("titular_income_code"),
-        F.when(has_t, F.rint(F.col("tavg") * 100.0) / 100.0).alias("titular_avg_6m"),
+        F.col("ttotal").alias("titular_income_total"),
+        F.col("tpays").alias("titular_payslips"),
         (F.col("n_obs").cast("int") + extra_obs).alias("n_observations"),
         F.when(branch, F.lit(3)).otherwise(F.lit(2)).alias("n_trail"),
     )
@@ -96,7 +103,8 @@ def flow6_flat(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
         F.coalesce(code, F.lit("")).alias("blocking_rule_codes"),
         F.when(~has_t, F.lit(None)).when(~low, F.lit(R.APPROVED)).otherwise(F.lit("PENDING"))
         .alias("titular_income_code"),
-        F.when(has_t, F.rint(F.col("tavg") * 100.0) / 100.0).alias("titular_avg_6m"),
+        F.col("ttotal").alias("titular_income_total"),
+        F.col("tpays").alias("titular_payslips"),
         (F.col("n_obs").cast("int") + F.when(code.isNotNull(), 1).otherwise(0)).alias("n_observations"),
         F.lit(2).alias("n_trail"),
     )

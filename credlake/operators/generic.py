@@ -140,7 +140,7 @@ def aggregate_data(df: DataFrame, operations: dict[str, str]) -> DataFrame:
     for field, op in operations.items():
         v = F.coalesce(F.col(field).cast("double"), F.lit(0.0)) if field in df.columns else F.lit(0.0)
         if op == "sum":
-            aggs.append(F.sum(v.cast("decimal(38,6)")).cast("double").alias(field))
+            aggs.append(F.sum(v.cast("decimal(38,6)")).alias(field))
         elif op == "avg":
             aggs.append(F.avg(v).alias(field))
         elif op == "count":

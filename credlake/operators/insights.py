@@ -47,8 +47,9 @@ MONEY = "decimal(38,6)"
 
 
 def exact_sum(c: Column) -> Column:
-    """Order-independent sum of a double column (DECIMAL accumulation)."""
-    return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0).cast(MONEY)).cast("double")
+    """Order-independent sum of a double column: DECIMAL(38,6) accumulation
+    and result, so no engine-specific double rounding enters the total."""
+    return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0).cast(MONEY))
 
 
 def _count_if(cond: Column) -> Column:

@@ -22,12 +22,16 @@ def run_flow(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ------------------------------------------------------------------ oracle text
 _BASE = """
-pay as (select request_id, pos, count(*) as n, avg(net_income) as avg_inc from payslips group by request_id, pos),
+pay as (select request_id, pos, count(*) as n, avg(net_income) as avg_inc,
+              sum(cast(net_income as decimal(38,2))) as total from payslips group by request_id, pos),
 app as (
   select a.request_id, a.pos, a.role, a.income_type, a.is_hard_debt,
     row_number() over (partition by a.request_id order by a.pos) - 1 as idx,
     case when a.income_type = 'DEPENDENT' then coalesce(p.avg_inc, 0e0) else 0e0 end as avg6,
-    a.income_type = 'DEPENDENT' and coalesce(p.n, 0) > 0 as has_obs
+    a.income_type = 'DEPENDENT' and coalesce(p.n, 0) > 0 as has_obs,
+    case when a.income_type = 'DEPENDENT' then coalesce(p.total, cast(0 as decimal(38,2)))
+         else cast(0 as decimal(38,2)) end as total,
+    case when a.income_type = 'DEPENDENT' then cast(coalesce(p.n, 0) as int) else 0 end as npay
   from applicants a left join pay p on a.request_id = p.request_id and a.pos = p.pos
 ),
 per_req as (
@@ -38,7 +42,7 @@ per_req as (
 ),
 j as (
   select r.id, r.monthly_rent, pr.tpos, coalesce(pr.nhard, 0) as nhard, coalesce(pr.nobs, 0) as nobs,
-    t.avg6 as tavg, t.idx as tidx
+    t.avg6 as tavg, t.idx as tidx, t.total as ttotal, t.npay as tpays
   from requests r left join per_req pr on r.id = pr.request_id
   left join app t on t.request_id = r.id and t.pos = pr.tpos
 ),
@@ -62,7 +66,7 @@ select cast(id as varchar) as id,
                                   case when low then 'RL_RENTA_INSUFICIENTE' end)
        when tpos is null then 'RL_NO_TITULAR' else 'RL_SIN_INGRESOS' end as blocking_rule_codes,
   case when tpos is null then null when branch and not low then 'APPROVED' else 'PENDING' end as titular_income_code,
-  case when tpos is not null then round_even(tavg, 2) end as titular_avg_6m,
+  ttotal as titular_income_total, tpays as titular_payslips,
   cast(nobs + case when branch then nhard + case when low then 1 else 0 end else 1 end as int) as n_observations,
   case when branch then 3 else 2 end as n_trail
 from k""")
@@ -85,7 +89,7 @@ select cast(id as varchar) as id,
   case when tpos is null or low6 then 'REJECTED' else 'APPROVED' end as final_decision_code,
   case when tpos is null then 'RL_NO_TITULAR' when low6 then 'RL_RENTA_INSUFICIENTE' else '' end as blocking_rule_codes,
   case when tpos is null then null when not low6 then 'APPROVED' else 'PENDING' end as titular_income_code,
-  case when tpos is not null then round_even(tavg, 2) end as titular_avg_6m,
+  ttotal as titular_income_total, tpays as titular_payslips,
   cast(nobs + case when tpos is null or low6 then 1 else 0 end as int) as n_observations,
   2 as n_trail
 from k""")
@@ -149,17 +153,23 @@ def flow_titular(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("flow_income_avg", with_views(["applicants", "payslips"], """
 select concat(cast(a.request_id as varchar), '-', cast(a.pos as varchar)) as applicant_id,
-  round_even(case when a.income_type = 'DEPENDENT' then coalesce(p.avg_inc, 0e0) else 0e0 end, 2) as avg_6m
+  case when a.income_type = 'DEPENDENT' then coalesce(p.total, cast(0 as decimal(38,2))) end as income_total,
+  case when a.income_type = 'DEPENDENT' then cast(coalesce(p.n, 0) as int) end as n_payslips,
+  case when a.income_type = 'DEPENDENT' and coalesce(p.n, 0) > 0 then true else false end as has_observation
 from applicants a left join pay p on a.request_id = p.request_id and a.pos = p.pos""",
-    "pay as (select request_id, pos, count(*) as n, avg(net_income) as avg_inc from payslips group by request_id, pos)"))
+    "pay as (select request_id, pos, count(*) as n, sum(cast(net_income as decimal(38,2))) as total "
+    "from payslips group by request_id, pos)"))
 def flow_income_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A10 applied alone, one row per applicant."""
+    """A10 applied alone, one row per applicant: the payslip total and count
+    behind ``avg_6m`` (exact), and whether an observation is emitted."""
     req = nested_requests(spark, sf_dir)
     state = {c: F.col(c) for c in ("id", "context", "applicants", "decision", "observations")}
     apps = rules.fn_calcular_promedio_renta(state)["applicants"]
     x = req.select(F.explode(apps).alias("a"))
-    return x.select(F.col("a.id").alias("applicant_id"),
-                    (F.rint(F.col("a.calculated_metrics.income.avg_6m") * 100.0) / 100.0).alias("avg_6m"))
+    pays = F.col("a.income_source.dependent.payslips")
+    return x.select(F.col("a.id").alias("applicant_id"), flows.income_total(F.col("a")).alias("income_total"),
+                    F.size(pays).alias("n_payslips"),
+                    (rules.is_dependent(F.col("a")) & (F.coalesce(F.size(pays), F.lit(0)) > 0)).alias("has_observation"))
 
 
 # ------------------------------------------------------------------ R9 per row
@@ -179,7 +189,7 @@ select cast(id as varchar) as id,
        when tpos is null then 'RL_NO_TITULAR' else 'RL_SIN_INGRESOS' end as blocking_rule_codes,
   case when tpos is null then null when id % 5 = 0 then 'PENDING'
        when branch and not low then 'APPROVED' else 'PENDING' end as titular_income_code,
-  case when tpos is null then null when id % 5 = 0 then 0e0 else round_even(tavg, 2) end as titular_avg_6m,
+  ttotal as titular_income_total, tpays as titular_payslips,
   case when id % 5 = 0 then 0
        else cast(nobs + case when branch then nhard + case when low then 1 else 0 end else 1 end as int) end
     as n_observations,

@@ -119,12 +119,13 @@ AGG_OPS = {"monto_solicitado": "sum", "ingreso_mensual": "avg", "id": "count"}
 
 
 @query("aggregate_data", with_views(["applications"], """
-select cast(sum(cast(coalesce(monto_solicitado, 0e0) as decimal(38,6))) as double) as monto_solicitado,
-  avg(coalesce(ingreso_mensual, 0e0)) as ingreso_mensual, count(*) as id
+select sum(cast(coalesce(monto_solicitado, 0e0) as decimal(38,6))) as monto_solicitado,
+  round_even(avg(coalesce(ingreso_mensual, 0e0)), 6) as ingreso_mensual, count(*) as id
 from applications"""))
 def aggregate_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum / avg / count by field name."""
-    return generic.aggregate_data(views.applications(spark, sf_dir), AGG_OPS)
+    """Sum / avg / count by field name (the average reported to 6 decimals)."""
+    out = generic.aggregate_data(views.applications(spark, sf_dir), AGG_OPS)
+    return out.withColumn("ingreso_mensual", F.rint(F.col("ingreso_mensual") * 1e6) / 1e6)
 
 
 @query("value_counts", with_views(["predictions"], """
@@ -226,14 +227,14 @@ def encrypt_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (decrypt_column(F.col("token"), key) == F.col("c_name")).alias("ok"))
 
 
-P13_SQL = ("select o_orderpriority, count(*) as n, sum(o_totalprice) as total from orders "
-           "where o_totalprice > ? group by o_orderpriority")
+P13_SQL = ("select o_orderpriority, count(*) as n, min(o_totalprice) as min_price, max(o_totalprice) as max_price "
+           "from orders where o_totalprice > ? group by o_orderpriority")
 P13_PARAMS = [100000.0]
 
 
 @query("query_database", """
-select o_orderpriority, count(*) as n, sum(o_totalprice) as total from orders
-where o_totalprice > 100000e0 group by o_orderpriority""")
+select o_orderpriority, count(*) as n, min(o_totalprice) as min_price, max(o_totalprice) as max_price
+from orders where o_totalprice > 100000e0 group by o_orderpriority""")
 def query_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parameterised SQL over the registered tables."""
     register_tables(spark, sf_dir)

@@ -75,8 +75,11 @@ def lsh_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.totals(signed)
 
 
+# Mean and std depend on summation order in their last bits; both sides
+# report them rounded half-even to 6 decimals.
 _SCALER_SQL = with_views(["applications"], " union all ".join(
-    f"select '{c}' as feature, {i} as pos, avg({c}) as mean, stddev_samp({c}) as scale from applications"
+    f"select '{c}' as feature, {i} as pos, round_even(avg({c}), 6) as mean, "
+    f"round_even(stddev_samp({c}), 6) as scale from applications"
     for i, c in enumerate(FEATURES)))
 
 
@@ -89,7 +92,9 @@ def lsh_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
         aggs.append(F.struct(F.lit(c).alias("feature"), F.lit(i).alias("pos"),
                              F.avg(F.col(c).cast("double")).alias("mean"),
                              F.stddev_samp(F.col(c).cast("double")).alias("scale")))
-    return apps.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
+    r6 = lambda c: F.rint(F.col(c) * 1e6) / 1e6
+    return apps.agg(F.array(*aggs).alias("a")).select(F.inline("a")).select(
+        "feature", "pos", r6("mean").alias("mean"), r6("scale").alias("scale"))
 
 
 _CUT = sample_cut(HOLDOUT_FRACTION)

@@ -59,7 +59,7 @@ def _p0_sql(body: str, extra: str = "") -> str:
 
 
 def _money(expr: str) -> str:
-    return f"cast(coalesce(sum(cast({expr} as decimal(38,6))), 0) as double)"
+    return f"coalesce(sum(cast({expr} as decimal(38,6))), cast(0 as decimal(38,6)))"
 
 
 def _cnt(cond: str) -> str:

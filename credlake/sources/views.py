@@ -120,7 +120,7 @@ def applicant_income(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = li.groupBy(F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").alias("pos")).agg(
         (F.max(_hard_debt()) == 1).alias("is_hard_debt"),
         F.count_if(is_pay).alias("n_pay"),
-        F.sum(F.when(is_pay, F.col("l_extendedprice"))).alias("s_pay"))
+        F.sum(F.when(is_pay, F.col("l_extendedprice").cast("decimal(38,2)"))).alias("s_pay"))
     return agg.select("request_id", "pos", *_role_and_type(F.col("request_id"), F.col("pos")), "is_hard_debt",
                       "n_pay", "s_pay")
 

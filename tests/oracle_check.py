@@ -24,11 +24,14 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
@@ -88,7 +91,7 @@ def main(argv):
     failed = 0
     for n in names:
         try:
-            r = compare(spark, con, sf_dir, n, QUERIES[n], ORACLES.get(n))
+            r = compare(spark, con, sf_dir, n, QUERIES[n], ORACLES.get(n), tol=0.0 if EXACT else 1e-6)
         except Exception as e:  # report and continue
             r = {"name": n, "ok": False, "why": f"{type(e).__name__}: {str(e)[:400]}"}
         failed += r.get("ok") is False
