@@ -187,30 +187,36 @@ def build_requests(requests: DataFrame, applicants: DataFrame, payslips: DataFra
         inc = (payslips.groupBy("request_id", "pos")
                .agg(F.collect_list(F.col("net_income").cast("double")).alias("incomes")))
         applicants = applicants.join(inc, ["request_id", "pos"], "left")
-    pays = F.transform(F.sort_array(F.col("incomes").cast("array<double>")), lambda x, i: F.struct(
-        (i + 1).cast("int").alias("month_index"), x.alias("net_income"),
-        F.lit("").alias("period"), F.lit(0.0).alias("gross_income")))
-    a = applicants.withColumn("payslips", pays)
-    dep = F.when(F.col("income_type") == "DEPENDENT",
-                 F.struct(F.coalesce(F.col("payslips"), _empty(PAYSLIP)).alias("payslips")))
-    app = F.struct(
-        F.concat(F.col("request_id").cast("string"), F.lit("-"), F.col("pos").cast("string")).alias("id"),
-        F.col("role"),
-        F.struct(F.col("income_type").alias("type"), dep.alias("dependent")).alias("income_source"),
-        F.struct(F.lit("").alias("full_name"), F.lit("").alias("document_type")).alias("identity"),
-        F.struct(F.struct(F.col("is_hard_debt"), F.lit(DEFAULT_DICOM_SCORE).alias("score")).alias("dicom"),
-                 F.lit(0.0).alias("estimated_monthly_debt_payment")).alias("commercial_data"),
-        F.struct(F.lit("").alias("presentation"), F.lit("").alias("previous_landlord_comments"),
-                 F.lit(0).alias("family_size"), F.lit(0).alias("has_pets"),
-                 F.lit(0).alias("references_count")).alias("qualitative_data"),
-        F.struct(F.struct(F.lit(0.0).alias("avg_6m")).alias("income"),
-                 F.struct(F.lit(0.0).alias("debt_to_income_ratio")).alias("financial_load")).alias("calculated_metrics"),
-        F.struct(F.struct(F.lit(PENDING).alias("evaluation_code"),
-                          _empty(T.StringType()).alias("triggered_rule_codes")).alias("income")).alias("evaluation_results"),
-    )
-    grouped = (a.groupBy("request_id")
-               .agg(F.sort_array(F.collect_list(F.struct(F.col("pos"), app.alias("a")))).alias("_apps")))
-    nested = grouped.select("request_id", F.transform("_apps", lambda x: x.a).alias("applicants"))
+    # Only the varying fields cross the per-request shuffle; the full applicant
+    # struct with its constant defaults is built after it, inside ``transform``.
+    slim = F.struct(F.col("pos"), F.col("role"), F.col("income_type"), F.col("is_hard_debt"),
+                    F.col("incomes").cast("array<double>").alias("incomes"))
+    grouped = applicants.groupBy("request_id").agg(F.sort_array(F.collect_list(slim)).alias("_apps"))
+
+    def full(x: Column) -> Column:
+        pays = F.transform(F.sort_array(x.incomes), lambda v, i: F.struct(
+            (i + 1).cast("int").alias("month_index"), v.alias("net_income"),
+            F.lit("").alias("period"), F.lit(0.0).alias("gross_income")))
+        dep = F.when(x.income_type == "DEPENDENT", F.struct(F.coalesce(pays, _empty(PAYSLIP)).alias("payslips")))
+        return F.struct(
+            F.concat(F.col("request_id").cast("string"), F.lit("-"), x.pos.cast("string")).alias("id"),
+            x.role.alias("role"),
+            F.struct(x.income_type.alias("type"), dep.alias("dependent")).alias("income_source"),
+            F.struct(F.lit("").alias("full_name"), F.lit("").alias("document_type")).alias("identity"),
+            F.struct(F.struct(x.is_hard_debt.alias("is_hard_debt"), F.lit(DEFAULT_DICOM_SCORE).alias("score"))
+                     .alias("dicom"), F.lit(0.0).alias("estimated_monthly_debt_payment")).alias("commercial_data"),
+            F.struct(F.lit("").alias("presentation"), F.lit("").alias("previous_landlord_comments"),
+                     F.lit(0).alias("family_size"), F.lit(0).alias("has_pets"),
+                     F.lit(0).alias("references_count")).alias("qualitative_data"),
+            F.struct(F.struct(F.lit(0.0).alias("avg_6m")).alias("income"),
+                     F.struct(F.lit(0.0).alias("debt_to_income_ratio")).alias("financial_load"))
+            .alias("calculated_metrics"),
+            F.struct(F.struct(F.lit(PENDING).alias("evaluation_code"),
+                              _empty(T.StringType()).alias("triggered_rule_codes")).alias("income"))
+            .alias("evaluation_results"),
+        )
+
+    nested = grouped.select("request_id", F.transform("_apps", full).alias("applicants"))
     r = requests.join(nested, requests.id == nested.request_id, "left")
     return r.select(
         F.col("id").cast("string").alias("id"),
