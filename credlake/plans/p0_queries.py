@@ -258,7 +258,7 @@ def insights_score_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("insights_risk_histogram", _p0_sql(f"""
-select b.lo, concat(cast(b.lo as varchar), '-', cast(b.lo + 10 as varchar), '%') as rango,
+select cast(b.lo as int) as lo, concat(cast(b.lo as varchar), '-', cast(b.lo + 10 as varchar), '%') as rango,
   {_cnt('s.id is not null')} as cantidad
 from (select unnest(range(0, 100, 10)) as lo) b
 left join scored s on s.pct_riesgo >= b.lo and s.pct_riesgo < b.lo + 10

@@ -37,6 +37,19 @@ def _norm(v):
     return v
 
 
+def _duck_type(t) -> str:
+    from pyspark.sql import types as T
+    simple = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR",
+              T.BooleanType: "BOOLEAN", T.FloatType: "FLOAT", T.ShortType: "SMALLINT", T.ByteType: "TINYINT",
+              T.DateType: "DATE", T.TimestampType: "TIMESTAMP WITH TIME ZONE", T.TimestampNTZType: "TIMESTAMP"}
+    for k, v in simple.items():
+        if isinstance(t, k):
+            return v
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    return t.simpleString()
+
+
 def _key(row):
     return tuple((x is None, str(type(x).__name__) if x is not None else "", x if x is not None else 0) for x in row)
 
@@ -51,11 +64,16 @@ def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None, tol: float
         return {"name": name, "rows": len(srows), "oracle": None, "ok": None, "sec": round(t1 - t0, 2)}
     rel = con.sql(sql)
     dcols = rel.columns
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
     drows = rel.fetchall()
     res = {"name": name, "rows": len(srows), "oracle_rows": len(drows), "sec": round(t1 - t0, 2)}
     if sorted(scols) != sorted(dcols):
         res.update(ok=False, why=f"columns {sorted(scols)} vs {sorted(dcols)}")
         return res
+    stypes = {f.name: _duck_type(f.dataType) for f in sdf.schema.fields}
+    type_diff = {c: (stypes[c], dtypes[c]) for c in scols if stypes[c] != dtypes[c]}
+    if type_diff:
+        res["type_diff"] = type_diff
     order = sorted(scols)
     si = [scols.index(c) for c in order]
     di = [dcols.index(c) for c in order]

@@ -16,8 +16,9 @@ def con():
 
 @pytest.mark.parametrize("name", CHECKED)
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, con, SF_SMALL, name, QUERIES[name], ORACLES[name])
+    r = compare(spark, con, SF_SMALL, name, QUERIES[name], ORACLES[name], tol=0.0)
     assert r.get("ok"), r
+    assert "type_diff" not in r, r
 
 
 def test_every_query_has_an_oracle_or_is_a_model():
