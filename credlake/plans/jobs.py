@@ -46,7 +46,7 @@ def score_to_documents(spark: SparkSession, apps: DataFrame, scored_path: str,
                        invalid_path: str | None = None) -> int:
     """L2 + K2: score a table of applications and append the documents."""
     scored, invalid = p0.bulk_score(apps)
-    n = writers.append_scored(p0.to_documents(scored), scored_path)
+    n = writers.append_scored(p0.to_documents(scored), scored_path, key="_id")
     if invalid_path:
         writers.append_scored(invalid.withColumn("motivos", F.array_join("motivos", "; ")), invalid_path)
     return n

@@ -28,8 +28,18 @@ def write_gold(df: DataFrame, path: str, drop: tuple[str, ...] = ("features_vec"
     return _count_while_writing(out, lambda d: d.write.mode("overwrite").parquet(path))
 
 
-def append_scored(df: DataFrame, path: str) -> int:
-    """K2: append scored documents; returns the rows inserted."""
+def append_scored(df: DataFrame, path: str, key: str | None = None) -> int:
+    """K2: append scored documents; returns the rows inserted.
+
+    With ``key``, rows whose key is already stored are skipped (anti join
+    against the stored keys), so a replayed batch inserts nothing twice."""
+    spark = df.sparkSession
+    if key is not None:
+        try:
+            stored = spark.read.parquet(path).select(key)
+            df = df.join(stored, key, "left_anti")
+        except Exception:  # nothing stored yet
+            pass
     return _count_while_writing(df, lambda d: d.write.mode("append").parquet(path))
 
 

@@ -95,3 +95,18 @@ def test_catalog_and_templates(spark):
     assert found.count() == 0   # '%' is literal, not a wildcard
     agg = generic.aggregate_data(spark.createDataFrame([(1.0,), (None,)], "x double"), {"x": "avg", "y": "sum"}).first()
     assert agg.x == 0.5 and agg.y == 0.0
+
+
+def test_keyed_append_is_idempotent(spark, tmp_path):
+    df = spark.range(10).withColumnRenamed("id", "_id")
+    path = str(tmp_path / "docs")
+    assert writers.append_scored(df, path, key="_id") == 10
+    assert writers.append_scored(df, path, key="_id") == 0
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_cluster_conf_sizes_partitions():
+    from credlake.session import cluster_conf
+    conf = cluster_conf(100 << 40, executors=1000, cores_per_executor=4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert cluster_conf(1 << 30, 10, 4)["spark.sql.shuffle.partitions"] == "80"
