@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from credlake.operators.stats import value_at_rank
+
 # Fixed values of the split hash (shared with the oracle SQL).
 HASH_MOD = 1_000_003
 HASH_MULT = 2_654_435_761
@@ -46,7 +48,9 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
     The per-class cut ``(h*, key*)`` is found with two small histogram
     passes over the hash (coarse blocks of 1 024 values, then single values
     inside the chosen block; each returns at most ~1 000 rows per class) and
-    one look at the keys sharing ``h*`` (about ``n_class / 1 000 003`` rows).
+    an exact rank selection among the keys sharing ``h*`` (about
+    ``n_class / 1 000 003`` rows; ``stats.value_at_rank``, never a collect of
+    an unbounded group).
     The split itself is then one narrow filter: no window, no shuffle of the
     data, nothing per class in a single task.
     """
@@ -85,8 +89,7 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
     for c, (hstar, below) in lvl2.items():
         take = rank[c] - lvl1[c][1] - below  # 0-based rank among keys sharing h*
         tie = keyed.where((F.col(label) == F.lit(c)) & (F.col("_h") == F.lit(hstar))).select(key)
-        keys = sorted(r[0] for r in tie.collect())
-        cuts[c] = (hstar, keys[take])
+        cuts[c] = (hstar, value_at_rank(tie, key, take))
     test = F.lit(False)
     for c, (hstar, kstar) in cuts.items():
         test = test | ((F.col(label) == F.lit(c)) & ((F.col("_h") < F.lit(hstar)) |

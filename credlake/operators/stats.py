@@ -26,9 +26,13 @@ COLLECT_LIMIT = 50_000
 
 def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
     """Exact values of the 0-based ranks ``ks`` among the non-null values of
-    ``col``; all ranks are refined together, one job per pass."""
-    v = F.col(col).cast("double")
-    base = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    ``col``; all ranks are refined together, one job per pass.  Values keep
+    their type (64-bit keys stay exact); only the bucket index is computed in
+    floating point, which is monotone and so never reorders values."""
+    dtype = dict(df.dtypes)[col]
+    base = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
+    if dtype in ("double", "float"):
+        base = base.where(~F.isnan("v"))
     st = base.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).first()
     n = st["n"]
     want = sorted({k for k in ks if 0 <= k < n})
@@ -39,7 +43,7 @@ def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
         todo = {k: b for k, b in br.items() if k not in out}
         for k, (lo, hi, _, _) in list(todo.items()):
             if lo == hi:  # a single (possibly hot) value
-                out[k] = float(lo)
+                out[k] = lo
                 del todo[k]
         if not todo:
             break
@@ -52,16 +56,16 @@ def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
             vals = sorted(r[0] for r in base.where(cond).collect())
             for k, (lo, hi, below, _) in todo.items():
                 inside = [x for x in vals if lo <= x <= hi]
-                out[k] = float(inside[k - below])
+                out[k] = inside[k - below]
             break
-        los = F.array(*[F.lit(float(u[0])) for u in uniq])
-        his = F.array(*[F.lit(float(u[1])) for u in uniq])
+        los = F.array(*[F.lit(u[0]) for u in uniq])
+        his = F.array(*[F.lit(u[1]) for u in uniq])
         widths = F.array(*[F.lit((float(u[1]) - float(u[0])) / BUCKETS) for u in uniq])
         ids = F.filter(F.array(*[F.lit(i) for i in range(len(uniq))]),
                        lambda i: (F.col("v") >= F.get(los, i)) & (F.col("v") <= F.get(his, i)))
         x = base.select("v", F.explode(ids).alias("bid"))
-        bucket = F.least(F.floor((F.col("v") - F.get(los, F.col("bid"))) / F.get(widths, F.col("bid"))),
-                         F.lit(BUCKETS - 1)).cast("int")
+        offset = F.col("v").cast("double") - F.get(los, F.col("bid")).cast("double")
+        bucket = F.least(F.floor(offset / F.get(widths, F.col("bid"))), F.lit(BUCKETS - 1)).cast("int")
         hist = (x.groupBy("bid", bucket.alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect())
         by_bid: dict[int, list] = {}
@@ -77,7 +81,7 @@ def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
     return out
 
 
-def value_at_rank(df: DataFrame, col: str, k: int) -> float | None:
+def value_at_rank(df: DataFrame, col: str, k: int):
     """Exact value of 0-based rank ``k`` among the non-null values of ``col``."""
     return values_at_ranks(df, col, [k]).get(k)
 
@@ -95,8 +99,8 @@ def exact_quantiles(df: DataFrame, col: str, ps: list[float], n: int | None = No
     res = []
     for x in pos:
         k, frac = int(x), x - int(x)
-        lo = vals[k]
-        res.append(lo if frac == 0 or k + 1 >= n else lo + (vals[k + 1] - lo) * frac)
+        lo = float(vals[k])
+        res.append(lo if frac == 0 or k + 1 >= n else lo + (float(vals[k + 1]) - lo) * frac)
     return res
 
 

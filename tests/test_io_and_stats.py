@@ -110,3 +110,11 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 << 40, executors=1000, cores_per_executor=4)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert cluster_conf(1 << 30, 10, 4)["spark.sql.shuffle.partitions"] == "80"
+
+
+def test_rank_selection_is_exact_for_64bit_keys(spark, monkeypatch):
+    big = 2 ** 62
+    df = spark.range(5000).select((F.lit(big) + F.col("id") * 3).alias("k"))
+    monkeypatch.setattr(stats, "COLLECT_LIMIT", 100)
+    got = stats.values_at_ranks(df, "k", [0, 1234, 4999])
+    assert got == {0: big, 1234: big + 1234 * 3, 4999: big + 4999 * 3}
