@@ -60,11 +60,16 @@ def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
             break
         los = F.array(*[F.lit(u[0]) for u in uniq])
         his = F.array(*[F.lit(u[1]) for u in uniq])
-        widths = F.array(*[F.lit((float(u[1]) - float(u[0])) / BUCKETS) for u in uniq])
+        # Widths and offsets from exact differences: adjacent 64-bit keys can
+        # share one double, their difference cannot.
+        widths = F.array(*[F.lit(float(u[1] - u[0]) / BUCKETS) for u in uniq])
         ids = F.filter(F.array(*[F.lit(i) for i in range(len(uniq))]),
                        lambda i: (F.col("v") >= F.get(los, i)) & (F.col("v") <= F.get(his, i)))
         x = base.select("v", F.explode(ids).alias("bid"))
-        offset = F.col("v").cast("double") - F.get(los, F.col("bid")).cast("double")
+        if dtype in ("double", "float"):
+            offset = F.col("v") - F.get(los, F.col("bid"))
+        else:
+            offset = (F.col("v").cast("decimal(38,0)") - F.get(los, F.col("bid")).cast("decimal(38,0)")).cast("double")
         bucket = F.least(F.floor(offset / F.get(widths, F.col("bid"))), F.lit(BUCKETS - 1)).cast("int")
         hist = (x.groupBy("bid", bucket.alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect())
