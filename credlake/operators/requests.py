@@ -173,25 +173,31 @@ def titular(applicants: Column) -> Column:
 
 
 # ------------------------------------------------------------------ build from flat tables
-def build_requests(requests: DataFrame, applicants: DataFrame, payslips: DataFrame | None = None) -> DataFrame:
-    """Nest flat request / applicant / payslip rows into request documents.
-
-    ``applicants`` either comes with an ``incomes`` array (payslip incomes
-    already collected in the same aggregate, one scan) or ``payslips`` rows
-    are grouped per (request, position) and joined.  Both groups are small
-    by nature (a request has a handful of applicants, an applicant a handful
-    of payslips).  Payslips are ordered by income so sums are deterministic;
-    applicants by position.
-    """
+def group_applicants(applicants: DataFrame, payslips: DataFrame | None = None) -> DataFrame:
+    """Flat applicant rows -> ``request_id, _apps`` (slim structs sorted by
+    position).  ``applicants`` either carries an ``incomes`` array already or
+    ``payslips`` rows are grouped per (request, position) and joined.  Only
+    the varying fields cross the shuffle."""
     if payslips is not None:
         inc = (payslips.groupBy("request_id", "pos")
                .agg(F.collect_list(F.col("net_income").cast("double")).alias("incomes")))
         applicants = applicants.join(inc, ["request_id", "pos"], "left")
-    # Only the varying fields cross the per-request shuffle; the full applicant
-    # struct with its constant defaults is built after it, inside ``transform``.
     slim = F.struct(F.col("pos"), F.col("role"), F.col("income_type"), F.col("is_hard_debt"),
                     F.col("incomes").cast("array<double>").alias("incomes"))
-    grouped = applicants.groupBy("request_id").agg(F.sort_array(F.collect_list(slim)).alias("_apps"))
+    return applicants.groupBy("request_id").agg(F.sort_array(F.collect_list(slim)).alias("_apps"))
+
+
+def build_requests(requests: DataFrame, applicants: DataFrame, payslips: DataFrame | None = None) -> DataFrame:
+    """Nest requests and their applicants into request documents.
+
+    ``applicants`` is either flat rows (see ``group_applicants``) or already
+    grouped per request (``request_id, _apps``).  A request's group is small
+    by nature (a handful of applicants, each with a handful of payslips);
+    payslips are ordered by income so sums are deterministic, applicants by
+    position.  The full applicant struct with its constant defaults is built
+    after the shuffle, inside ``transform``.
+    """
+    grouped = applicants if "_apps" in applicants.columns else group_applicants(applicants, payslips)
 
     def full(x: Column) -> Column:
         pays = F.transform(F.sort_array(x.incomes), lambda v, i: F.struct(

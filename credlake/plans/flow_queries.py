@@ -13,7 +13,7 @@ from credlake.sources import views
 
 
 def nested_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_requests(views.requests(spark, sf_dir), views.applicant_payslips(spark, sf_dir))
+    return build_requests(views.requests(spark, sf_dir), views.request_applicants(spark, sf_dir))
 
 
 def run_flow(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
