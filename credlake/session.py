@@ -66,10 +66,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created and registered.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="credlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # some sessions refuse runtime changes of core settings
+            pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
