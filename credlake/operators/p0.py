@@ -92,6 +92,19 @@ def flatten_scored(docs: DataFrame) -> DataFrame:
     return docs.select(*out)
 
 
-def latest(df: DataFrame, n: int = 10000, key: str = "id") -> DataFrame:
-    """Newest documents first (key descending), at most ``n``."""
-    return df.orderBy(F.desc(key)).limit(n)
+def latest(df: DataFrame, n: int = 10000, key: str = "id", small_n: int = 1000) -> DataFrame:
+    """Newest documents first (key descending), at most ``n``.
+
+    A plain ``orderBy().limit(n)`` is a TakeOrderedAndProject whose final
+    merge receives ``n`` rows from every partition in one task (``n`` x
+    partitions).  For a large ``n`` the n-th largest key is found first by
+    exact rank selection (distributed histogram passes), the rows at or
+    above it are kept by a filter, and only those are sorted."""
+    if n <= small_n:
+        return df.orderBy(F.desc(key)).limit(n)
+    from credlake.operators.stats import value_at_rank
+    total = df.where(F.col(key).isNotNull()).count()
+    if total <= n:
+        return df.orderBy(F.desc(key))
+    cut = value_at_rank(df, key, total - n)
+    return df.where(F.col(key) >= F.lit(cut)).orderBy(F.desc(key)).limit(n)

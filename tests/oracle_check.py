@@ -104,7 +104,14 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(QUERIES)
-    spark = local_session()
+    if os.environ.get("PLAIN_SESSION") == "1":  # as a driver would create it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+        import __spark_entry__
+        print({"entry_rows": __spark_entry__.entry(spark).count()})
+    else:
+        spark = local_session()
     con = duck(sf_dir)
     failed = 0
     for n in names:
