@@ -200,3 +200,22 @@ def flow_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     on their slice, unknown codes pass through undecided."""
     decided = flows.apply_flow_by_code(_coded_requests(spark, sf_dir), "flow_code", flows.load_flows())
     return flows.decision_summary(decided)
+
+
+@query("flow_p0_audit_paths", _flow_sql("""
+select cast(id as varchar) as id, step, execution_id, fn_name, path, 'object' as value_type from paths""", """
+paths as (
+  select a.request_id as id, 0 as step, 'exec-1' as execution_id, 'fn_calcular_promedio_renta' as fn_name,
+    'applicants[' || cast(a.idx as varchar) || '].calculated_metrics' as path
+  from app a where a.has_obs and a.avg6 <> 0
+  union all
+  select id, 1, 'exec-2', case when branch then 'rl_check_dicom' else 'rl_sin_ingresos' end, 'decision'
+  from k where not branch or nhard > 0
+  union all
+  select id, 2, 'exec-3', 'rl_renta_minima',
+    case when low then 'decision' else 'applicants[' || cast(tidx as varchar) || '].evaluation_results' end
+  from k where branch
+)"""))
+def flow_p0_audit_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R12 exploded: one audit row per changed part (value JSON kept, not compared)."""
+    return flows.audit_paths(run_flow(spark, sf_dir, "p0")).drop("value")
