@@ -100,6 +100,25 @@ def test_cycle_is_rejected():
         flows.plan_flow(spec)
 
 
+def test_cyclic_flow_runs_with_the_step_cap(spark, tmp_path):
+    # a -> b -> a ...: 2 nodes, so at most 4 steps: a, b, a, b.
+    spec = {"flow_name": "loop", "entryNodeId": "a",
+            "nodes": [{"id": "a", "type": "function", "data": {"functionName": "fn_calcular_promedio_renta"}},
+                      {"id": "b", "type": "function", "data": {"functionName": "rl_check_dicom"}}],
+            "edges": [{"source": "a", "target": "b"}, {"source": "b", "target": "a"}]}
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "r.json").write_text(json.dumps(REJECT), encoding="utf-8")
+    req, _ = files.read_requests(spark, str(d))
+    r = flows.apply_flow(req, spec).first()
+    assert [h.fn_name for h in r.fn_history] == ["fn_calcular_promedio_renta", "rl_check_dicom"] * 2
+    assert [h.execution_id for h in r.fn_history] == ["exec-1", "exec-2", "exec-3", "exec-4"]
+    assert r.decision.blocking_rule_codes == ["RL_DICOM_HARD", "RL_DICOM_HARD"]
+    assert len(r.observations) == 4
+    # The second average leaves the metrics unchanged, so its trail entry has no output.
+    assert [len(h.outputs) for h in r.fn_history] == [1, 1, 0, 1]
+
+
 def test_walk_rules():
     # Root = first node without incoming edge; function nodes follow only the first edge;
     # a decision without matching handle takes its first edge; unknown types stop.
