@@ -148,3 +148,32 @@ def test_request_batch_job(spark, tmp_path):
     assert sorted(r.result_name for r in docs.collect()) == ["result_a.json", "result_b.json"]
     doc = json.loads(docs.where(F.col("id") == "SOL-B").first().document)
     assert doc["decision"]["final_decision_code"] == "REJECTED"
+
+
+def test_python_and_sql_conditions_agree(decided, spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.json").write_text(json.dumps(APPROVE), encoding="utf-8")
+    (d / "b.json").write_text(json.dumps(REJECT), encoding="utf-8")
+    req, _ = files.read_requests(spark, str(d))
+    sql_spec = flows.load_flows()["p0"]
+    py_spec = json.loads(json.dumps(sql_spec))
+    for n in py_spec["nodes"]:
+        if n["type"] == "decision":
+            n["data"]["condition"] = "titular and titular.calculated_metrics.income.avg_6m > 0"
+    a = {r.id: (r.decision.final_decision_code, r.decision.blocking_rule_codes, len(r.fn_history))
+         for r in flows.apply_flow(req, sql_spec).collect()}
+    b = {r.id: (r.decision.final_decision_code, r.decision.blocking_rule_codes, len(r.fn_history))
+         for r in flows.apply_flow(req, py_spec).collect()}
+    assert a == b == {"SOL-A": ("APPROVED", [], 3), "SOL-B": ("REJECTED", ["RL_DICOM_HARD"], 3)}
+
+
+def test_condition_subset(spark):
+    from pyspark.sql import types as T
+    from credlake.functions.conditions import condition_column
+    df = spark.createDataFrame([(1, "A", [1]), (0, "", []), (None, None, None)],
+                               "n int, s string, xs array<int>").withColumnRenamed("n", "decision")
+    schema = {f.name: f.dataType for f in df.schema.fields}
+    # Truthiness of a number (NULL is falsy) and a comparison with NULL (false).
+    got = df.select(condition_column("decision and not decision < 0", schema).alias("c")).collect()
+    assert [r.c for r in got] == [True, False, False]
