@@ -177,3 +177,13 @@ def test_condition_subset(spark):
     # Truthiness of a number (NULL is falsy) and a comparison with NULL (false).
     got = df.select(condition_column("decision and not decision < 0", schema).alias("c")).collect()
     assert [r.c for r in got] == [True, False, False]
+
+
+def test_invoke_single_step(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "b.json").write_text(json.dumps(REJECT), encoding="utf-8")
+    req, _ = files.read_requests(spark, str(d))
+    assert "rl_check_dicom" in flows.list_steps()
+    r = flows.invoke(req, "rl_check_dicom").first()
+    assert r.decision.blocking_rule_codes == ["RL_DICOM_HARD"] and r.fn_history[0].execution_id == "exec-1"
