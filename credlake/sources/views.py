@@ -96,20 +96,6 @@ def _role_and_type(ok: Column, ln: Column) -> list[Column]:
             F.when((ln % 4 == 3) | (ok % 17 == 0), "INDEPENDENT").otherwise("DEPENDENT").alias("income_type")]
 
 
-def applicant_payslips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applicants with their payslip incomes as an array, from one scan and
-    one aggregate of ``lineitem``: ``request_id, pos, role, income_type,
-    is_hard_debt, incomes`` (what ``build_requests`` nests)."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_discount",
-                    "l_partkey", "l_extendedprice")
-    is_pay = F.col("l_partkey") % 11 != 0
-    agg = li.groupBy(F.col("l_orderkey").alias("request_id"), F.col("l_linenumber").alias("pos")).agg(
-        (F.max(_hard_debt()) == 1).alias("is_hard_debt"),
-        F.collect_list(F.when(is_pay, F.col("l_extendedprice"))).alias("incomes"))
-    return agg.select("request_id", "pos", *_role_and_type(F.col("request_id"), F.col("pos")), "is_hard_debt",
-                      "incomes")
-
-
 def request_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applicants grouped per request straight from ``lineitem`` in ONE
     aggregate: ``request_id, _apps`` with the slim applicant structs

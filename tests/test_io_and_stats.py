@@ -118,3 +118,15 @@ def test_rank_selection_is_exact_for_64bit_keys(spark, monkeypatch):
     monkeypatch.setattr(stats, "COLLECT_LIMIT", 100)
     got = stats.values_at_ranks(df, "k", [0, 1234, 4999])
     assert got == {0: big, 1234: big + 1234 * 3, 4999: big + 4999 * 3}
+
+
+def test_keyed_lookup_and_projection_reach_the_scan(spark):
+    from credlake.operators.validate import project_features
+    from credlake.sources.tables import read_table
+    orders = read_table(spark, SF_SMALL, "orders")
+    one = generic.keyed_lookup(orders, "o_orderkey", 7)                                   # P12
+    cols = project_features(one, ["o_totalprice"], keep=["o_orderkey"])                  # P1
+    plan = cols._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderkey,7)" in plan                         # filter pushed into the Parquet scan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan          # columns pruned
+    assert cols.count() == 1
