@@ -58,9 +58,7 @@ def request_batch_job(spark: SparkSession, in_dir: str, out_dir: str, flow_name:
 
     A flow code, when given, overrides the flow name (R9)."""
     name = flows.flow_name_for(flow_code) if flow_code else flow_name
-    spec = flows.load_flows().get(name)
-    if spec is None:
-        raise ValueError(f"Flujo desconocido: {name}")
+    spec = flows.load_flow(name)
     requests, bad = files.read_requests(spark, in_dir)
     decided = flows.apply_flow(requests, spec).persist(StorageLevel.MEMORY_AND_DISK)
     docs = to_document(decided, keep=("_file",)).select(

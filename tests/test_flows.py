@@ -187,3 +187,18 @@ def test_invoke_single_step(spark, tmp_path):
     assert "rl_check_dicom" in flows.list_steps()
     r = flows.invoke(req, "rl_check_dicom").first()
     assert r.decision.blocking_rule_codes == ["RL_DICOM_HARD"] and r.fn_history[0].execution_id == "exec-1"
+
+
+def test_registry_and_spec_files(tmp_path):
+    names = [f["name"] for f in flows.list_functions()]
+    assert names == sorted(["fn_calcular_promedio_renta", "motor.finalize_decision", "rl_check_dicom",
+                            "rl_renta_minima", "rl_sin_ingresos"])
+    assert {f["category"] for f in flows.list_functions()} == {"calculations", "rulesets", "engine"}
+    store = tmp_path / "flows.json"
+    store.write_text(json.dumps({"flows": {"flow-x": {"nodes": [], "edges": []}}}), encoding="utf-8")
+    assert set(flows.load_flows(store)) == {"flow-x", "p0"}      # p0 is always available
+    with pytest.raises(ValueError):
+        flows.load_flow("nope", store)
+    codes = tmp_path / "codes.json"
+    codes.write_text(json.dumps({"code_to_flow": {"FLOW_X": "flow-x"}}), encoding="utf-8")
+    assert flows.flow_name_for("FLOW_X", flows.load_flow_codes(codes)) == "flow-x"
