@@ -48,7 +48,12 @@ def read_requests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     raw = raw.cache()
     bad = raw.where(F.col("_corrupt").isNotNull()).select("_file", "_corrupt")
     good = unwrap(raw.where(F.col("_corrupt").isNull()).drop("_corrupt"))
-    missing = F.col("id").isNull() | F.col("context").isNull() | F.col("applicants").isNull()
+    # Required fields of the request model (a missing one makes the document fail).
+    ctx = F.col("context")
+    bad_applicant = F.exists(F.col("applicants"), lambda a: a.id.isNull() | a.role.isNull()
+                             | a.income_source.isNull() | a.income_source.type.isNull())
+    missing = (F.col("id").isNull() | ctx.isNull() | ctx.property_id.isNull() | ctx.monthly_rent.isNull()
+               | ctx.currency.isNull() | F.col("applicants").isNull() | F.coalesce(bad_applicant, F.lit(False)))
     invalid = good.where(missing).select("_file", F.lit("missing required field").alias("_corrupt"))
     return project_request(good.where(~missing)), bad.unionByName(invalid)
 

@@ -202,3 +202,15 @@ def test_registry_and_spec_files(tmp_path):
     codes = tmp_path / "codes.json"
     codes.write_text(json.dumps({"code_to_flow": {"FLOW_X": "flow-x"}}), encoding="utf-8")
     assert flows.flow_name_for("FLOW_X", flows.load_flow_codes(codes)) == "flow-x"
+
+
+def test_missing_required_fields_are_reported(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    doc = json.loads(json.dumps(REJECT))
+    del doc["solicitud"]["applicants"][0]["role"]
+    (d / "norole.json").write_text(json.dumps(doc), encoding="utf-8")
+    (d / "ok.json").write_text(json.dumps(APPROVE), encoding="utf-8")
+    req, bad = files.read_requests(spark, str(d))
+    assert [r.id for r in req.collect()] == ["SOL-A"]
+    assert [(b._file, b._corrupt) for b in bad.collect()] == [("norole.json", "missing required field")]
