@@ -47,17 +47,17 @@ def query_database(spark: SparkSession, sql: str, params: list | None = None) ->
 def catalog_rollup(flows: DataFrame, names: DataFrame) -> DataFrame:
     """Keep a product's flows whose id OR name is in ``names``.
 
-    An OR join condition would make Spark fall back to a nested-loop join,
-    so the OR is split into two equi semi-joins over disjoint parts: flows
-    matched by id, plus flows matched by name whose id did not match.
-    """
-    def keys(alias: str) -> DataFrame:
-        return names.select(F.col("name").alias(alias)).where(F.col(alias).isNotNull())
-
-    by_id = flows.join(keys("_n1"), F.col("flow_id") == F.col("_n1"), "left_semi")
-    rest = flows.join(keys("_n2"), F.col("flow_id") == F.col("_n2"), "left_anti")
-    by_name = rest.join(keys("_n3"), F.col("flow_name") == F.col("_n3"), "left_semi")
-    return by_id.unionByName(by_name)
+    An OR join condition would make Spark fall back to a nested-loop join.
+    Instead the names are made distinct and joined twice with equi left
+    joins (by id, by name), which cannot duplicate a flow; one scan of the
+    flows, and a flow is kept when either join matched."""
+    n = names.select("name").where(F.col("name").isNotNull()).distinct()
+    by_id = n.select(F.col("name").alias("_k1"), F.lit(True).alias("_m1"))
+    by_name = n.select(F.col("name").alias("_k2"), F.lit(True).alias("_m2"))
+    j = (flows.join(by_id, F.col("flow_id") == F.col("_k1"), "left")
+         .join(by_name, F.col("flow_name") == F.col("_k2"), "left"))
+    keep = F.coalesce(F.col("_m1"), F.lit(False)) | F.coalesce(F.col("_m2"), F.lit(False))
+    return j.where(keep).drop("_k1", "_m1", "_k2", "_m2")
 
 
 def catalog_counts(visible_flows: DataFrame) -> DataFrame:
@@ -109,14 +109,17 @@ def recommend_products(df: DataFrame, code_col: str = "resultado_final") -> Data
 def check_permissions(requests: DataFrame, user_roles: DataFrame, role_permissions: DataFrame) -> DataFrame:
     """Adds ``allowed`` = some role of the user holds ``resource:action``.
 
-    Joins are equi-joins; a user with several matching roles still yields
-    one row (semi join on the request id)."""
-    needed = requests.select("id", "user_id", F.concat(F.col("resource"), F.lit(":"), F.col("action")).alias("_perm"))
-    with_roles = needed.join(user_roles, "user_id")
-    ok = with_roles.join(role_permissions, (with_roles.role == role_permissions.role)
-                         & (with_roles._perm == role_permissions.permission), "left_semi").select("id")
-    flagged = requests.join(ok.withColumn("_ok", F.lit(True)), "id", "left")
-    return flagged.withColumn("allowed", F.coalesce(F.col("_ok"), F.lit(False))).drop("_ok")
+    Equi-joins only: request x user roles (left, so users without a role
+    stay), then role permissions (distinct, so no duplicates), then one
+    aggregate per request folds several roles into one flag.  The requests
+    are read once."""
+    perms = (role_permissions.select(F.col("role").alias("_r"), F.col("permission").alias("_p"))
+             .distinct().withColumn("_hit", F.lit(True)))
+    needed = requests.withColumn("_perm", F.concat(F.col("resource"), F.lit(":"), F.col("action")))
+    with_roles = needed.join(user_roles.select("user_id", F.col("role").alias("_role")), "user_id", "left")
+    hit = with_roles.join(perms, (F.col("_role") == F.col("_r")) & (F.col("_perm") == F.col("_p")), "left")
+    keys = [c for c in requests.columns]
+    return hit.groupBy(*keys).agg(F.coalesce(F.max("_hit"), F.lit(False)).alias("allowed"))
 
 
 # ------------------------------------------------------------------ K7

@@ -31,6 +31,18 @@ def sample_cut(fraction: float) -> int:
     return int(round(fraction * HASH_MOD))
 
 
+def in_sample(key: Column, fraction: float, seed: int = 42) -> Column:
+    """J4 membership as a column: one pass labels sample and remainder."""
+    return split_hash(key, seed) < F.lit(sample_cut(fraction))
+
+
+def write_split(df: DataFrame, fraction: float, path: str, seed: int = 42, key: str = "id") -> None:
+    """J4 as one write: ``part=sample`` and ``part=rest`` folders from a
+    single pass over ``df`` (the remainder replaces the original)."""
+    part = F.when(in_sample(F.col(key), fraction, seed), F.lit("sample")).otherwise(F.lit("rest"))
+    df.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(path)
+
+
 def extract_sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "id") -> tuple[DataFrame, DataFrame]:
     """(sample, remainder).  The remainder is the complement predicate,
     which equals ``df.join(sample, key, "left_anti")`` without a shuffle."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from credlake.functions.scoring import decrypt_column, encrypt_column
 from credlake.operators import generic, p0, stats
-from credlake.operators.sampling import extract_sample, sample_cut, stratified_split
+from credlake.operators.sampling import in_sample, sample_cut, stratified_split
 from credlake.plans.registry import query
 from credlake.plans.sql_views import with_views
 from credlake.sources import views
@@ -100,17 +100,19 @@ _H = "((id % 1000003) * 2654435761 + 42) % 1000003"
 select id, case when {_H} < {sample_cut(SAMPLE_FRACTION)} then 'sample' else 'rest' end as part from applications"""))
 def sample_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1 % sample and the remainder, disjoint and complete."""
-    sample, rest = extract_sample(views.applications(spark, sf_dir), SAMPLE_FRACTION)
-    return (sample.select("id", F.lit("sample").alias("part"))
-            .unionByName(rest.select("id", F.lit("rest").alias("part"))))
+    apps = views.applications(spark, sf_dir)
+    part = F.when(in_sample(F.col("id"), SAMPLE_FRACTION), F.lit("sample")).otherwise(F.lit("rest"))
+    return apps.select("id", part.alias("part"))
 
 
 @query("delete_records", with_views(["applications"], """
-select id from applications a where not exists (select 1 from applications f where f.es_fraude = 1 and f.id = a.id)"""))
+select id from applications a
+where not exists (select 1 from orders o where o.o_orderstatus = 'P' and o.o_orderkey = a.id)"""))
 def delete_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K7: delete the applications flagged as fraud (anti join on the key)."""
+    """K7: delete by key list: the applications whose order is still pending."""
     apps = views.applications(spark, sf_dir)
-    keys = apps.where(F.col("es_fraude") == 1).select("id")
+    keys = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus") \
+        .where(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("id"))
     return generic.delete_records(apps.select("id"), keys)
 
 
