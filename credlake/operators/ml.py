@@ -103,8 +103,8 @@ def label_clients(pred: DataFrame) -> DataFrame:
     lab = L.client_label(F.col("p_0"), F.col("p_2"))
     return pred.withColumns({
         "etiqueta": lab,
-        "p_confiable": F.round(F.col("p_0"), 4),
-        "p_variable": F.round(F.col("p_1"), 4),
-        "p_moroso": F.round(F.col("p_2"), 4),
+        "p_confiable": L.round_half_even(F.col("p_0"), 4),
+        "p_variable": L.round_half_even(F.col("p_1"), 4),
+        "p_moroso": L.round_half_even(F.col("p_2"), 4),
         "recomendacion": L.recommendation(lab),
     })

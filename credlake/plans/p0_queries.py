@@ -346,3 +346,28 @@ from scored"""))
 def insights_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 over drifted documents (wrapper, missing result, non-percent output)."""
     return p0.flatten_scored(_drifted_docs(spark, sf_dir))
+
+
+# F13 on closed-form class probabilities (binomial split of the stand-in
+# risk): p0 = (1-p)^2, p1 = 2p(1-p), p2 = p^2, so they sum to 1 and the
+# threshold labels are checkable by SQL.
+@query("p0_client_labels", with_views(["risk_input"], """
+select id, round_even(p0, 4) as p_confiable, round_even(p1, 4) as p_variable, round_even(p2, 4) as p_moroso,
+  case when p0 >= 0.7e0 then 'Confiable' when p2 >= 0.7e0 then 'Moroso'
+       else 'Comportamiento crediticio variable' end as etiqueta,
+  case when p0 >= 0.7e0 then 'Aprobar solicitud. Cliente de bajo riesgo.'
+       when p2 >= 0.7e0 then 'Rechazar solicitud. Alto riesgo de no pago.'
+       else 'Revisar manualmente. Considerar garantías adicionales.' end as recomendacion
+from (select id, (1e0 - p_riesgo) * (1e0 - p_riesgo) as p0, 2e0 * p_riesgo * (1e0 - p_riesgo) as p1,
+             p_riesgo * p_riesgo as p2 from risk_input) t"""))
+def p0_client_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F13 + F14 texts: threshold label and recommendation per client."""
+    r = views.risk_input(spark, sf_dir)
+    p = F.col("p_riesgo")
+    probs = r.select("id", ((F.lit(1.0) - p) * (F.lit(1.0) - p)).alias("p0"),
+                     (F.lit(2.0) * p * (F.lit(1.0) - p)).alias("p1"), (p * p).alias("p2"))
+    lab = L.client_label(F.col("p0"), F.col("p2"))
+    return probs.select("id", L.round_half_even(F.col("p0"), 4).alias("p_confiable"),
+                        L.round_half_even(F.col("p1"), 4).alias("p_variable"),
+                        L.round_half_even(F.col("p2"), 4).alias("p_moroso"),
+                        lab.alias("etiqueta"), L.recommendation(lab).alias("recomendacion"))
