@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credlake.functions.lsh import DEFAULT_BITS, DEFAULT_SEED, LshModel, projection_matrix
+from credlake.functions.text import fill
 
 # Broadcast the bucket table only below this many rows (proven bound).
 MAX_BROADCAST_BUCKETS = 2_000_000
@@ -128,16 +129,11 @@ def pct_text(pct: Column) -> Column:
 def lsh_reason(pct: Column, found: Column) -> Column:
     """the reason text that goes with ``lsh_decision``."""
     p = F.format_string("%.2f", pct)
-
-    def fill(template: str) -> Column:
-        head, tail = template.split("{pct}")
-        return F.concat(F.lit(head), p, F.lit(tail))
-
     return (
         F.when(~found, F.lit(REASON_MISS))
-        .when(pct >= RATE_REJECT, fill(REASON_REJECT))
-        .when(pct >= RATE_REVIEW, fill(REASON_REVIEW))
-        .otherwise(fill(REASON_APPROVE))
+        .when(pct >= RATE_REJECT, fill(REASON_REJECT, pct=p))
+        .when(pct >= RATE_REVIEW, fill(REASON_REVIEW, pct=p))
+        .otherwise(fill(REASON_APPROVE, pct=p))
     )
 
 
@@ -154,7 +150,7 @@ def score_against_history(apps: DataFrame, model: LshModel, history_stats: DataF
 
 
 def evaluation_documents(scored: DataFrame, features: list[str]) -> DataFrame:
-    """Evaluation report rows (section 1.4 of the reference documents).
+    """Evaluation report rows (schema in FIXTURES.md 1.4).
 
     ``historial`` is NULL on a bucket miss; ``probabilidad_fraude`` is only
     set on a miss.  Id and time come from ``uuid()``/``current_timestamp()``.

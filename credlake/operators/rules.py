@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from credlake.functions.text import fill
 from credlake.operators.requests import OBSERVATION, titular_index
 
 State = dict[str, Column]
@@ -27,12 +28,12 @@ CODE_NO_INCOME = "RL_SIN_INGRESOS"
 REJECTED, APPROVED, REQUIRE_ACTION = "REJECTED", "APPROVED", "REQUIRE_ACTION"
 RENT_FACTOR = 3.0
 SYSTEM = "SYSTEM"
-REJECT_MESSAGE = "Rechazo Automático: "
+REJECT_MESSAGE = "Rechazo Automático: {code}"
 AVG_OBS_NAME = "fn_calc_renta"
-AVG_OBS_MESSAGE = "Promedio calculado App "
+AVG_OBS_MESSAGE = "Promedio calculado App {id}"
 REASON_NO_TITULAR = "No existe titular"
-REASON_DICOM = ("Aplicante ", " tiene antecedentes comerciales bloqueantes.")
-REASON_LOW_INCOME = ("Renta (", ") inferior a ", "x el arriendo (", ")")
+REASON_DICOM = "Aplicante {id} tiene antecedentes comerciales bloqueantes."
+REASON_LOW_INCOME = "Renta ({renta}) inferior a {factor}x el arriendo ({arriendo})"
 REASON_NO_INCOME = "No se detectaron ingresos válidos."
 
 
@@ -62,7 +63,7 @@ def reject_if(state: State, cond: Column, code: Column | str, reason: Column) ->
     d = state["decision"]
     new_d = d.withField("final_decision_code", F.lit(REJECTED)).withField(
         "blocking_rule_codes", F.concat(d.blocking_rule_codes, F.array(code_c)))
-    obs = observation(SYSTEM, F.concat(F.lit(REJECT_MESSAGE), code_c), json_text(reason))
+    obs = observation(SYSTEM, fill(REJECT_MESSAGE, code=code_c), json_text(reason))
     return {
         **state,
         "decision": F.when(cond, new_d).otherwise(d),
@@ -85,7 +86,7 @@ def fn_calcular_promedio_renta(state: State) -> State:
         is_dependent(a), a.withField("calculated_metrics.income.avg_6m", _payslip_avg(a))).otherwise(a))
     with_pay = F.filter(apps, lambda a: is_dependent(a) & (F.size(a.income_source.dependent.payslips) > 0))
     obs = F.transform(with_pay, lambda a: observation(
-        AVG_OBS_NAME, F.concat(F.lit(AVG_OBS_MESSAGE), a.id), json_number(_payslip_avg(a))))
+        AVG_OBS_NAME, fill(AVG_OBS_MESSAGE, id=a.id), json_number(_payslip_avg(a))))
     return {**state, "applicants": new_apps,
             "observations": F.concat(state["observations"], obs.cast(f"array<{OBSERVATION.simpleString()}>"))}
 
@@ -98,8 +99,7 @@ def rl_check_dicom(state: State) -> State:
     n = F.size(hard)
     codes = F.transform(hard, lambda a: F.lit(CODE_DICOM))
     obs = F.transform(hard, lambda a: observation(
-        SYSTEM, F.lit(REJECT_MESSAGE + CODE_DICOM),
-        json_text(F.concat(F.lit(REASON_DICOM[0]), a.id, F.lit(REASON_DICOM[1])))))
+        SYSTEM, fill(REJECT_MESSAGE, code=F.lit(CODE_DICOM)), json_text(fill(REASON_DICOM, id=a.id))))
     new_d = d.withField("final_decision_code", F.lit(REJECTED)).withField(
         "blocking_rule_codes", F.concat(d.blocking_rule_codes, codes))
     return {**state,
@@ -121,9 +121,7 @@ def rl_renta_minima(state: State) -> State:
     rent = state["context"].monthly_rent
     none = idx < 0
     low = ~none & (renta < rent * F.lit(RENT_FACTOR))
-    reason = F.concat(F.lit(REASON_LOW_INCOME[0]), renta.cast("string"), F.lit(REASON_LOW_INCOME[1]),
-                      F.lit(str(RENT_FACTOR)), F.lit(REASON_LOW_INCOME[2]), rent.cast("string"),
-                      F.lit(REASON_LOW_INCOME[3]))
+    reason = fill(REASON_LOW_INCOME, renta=renta, factor=F.lit(str(RENT_FACTOR)), arriendo=rent)
     s = reject_if(state, none, CODE_NO_TITULAR, F.lit(REASON_NO_TITULAR))
     s = reject_if(s, F.coalesce(low, F.lit(False)), CODE_LOW_INCOME, reason)
     ok = ~none & F.coalesce(~low, F.lit(False))
