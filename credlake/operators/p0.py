@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from credlake.functions import labels as L
 from credlake.functions.parsing import parse_pct
@@ -66,13 +67,20 @@ def flatten_scored(docs: DataFrame) -> DataFrame:
     names = set(docs.columns)
     wrapped = "documento" in names
 
+    def has(schema: T.StructType, path: str) -> bool:
+        t: T.DataType = schema
+        for part in path.split("."):
+            if not isinstance(t, T.StructType) or part not in t.fieldNames():
+                return False
+            t = t[part].dataType
+        return True
+
     def field(path: str) -> Column:
-        top = path.split(".")[0]
-        bare = F.col(path) if top in names else F.lit(None)
+        # Stored documents drift: any field may be missing at any depth.
+        bare = F.col(path) if has(docs.schema, path) else F.lit(None)
         if not wrapped:
             return bare
-        inner_names = {f.name for f in docs.schema["documento"].dataType.fields}
-        inner = F.col(f"documento.{path}") if top in inner_names else F.lit(None)
+        inner = F.col(f"documento.{path}") if has(docs.schema, f"documento.{path}") else F.lit(None)
         return F.when(F.col("documento").isNotNull(), inner).otherwise(bare)
 
     def num(path: str) -> Column:
