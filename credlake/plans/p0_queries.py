@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credlake.functions import labels as L
@@ -11,7 +11,7 @@ from credlake.functions.scoring import affordability_pct, weighted_score
 from credlake.operators import insights, p0
 from credlake.operators.validate import validate_applications
 from credlake.plans.registry import query
-from credlake.plans.sql_views import VIEW_SQL, dbl, with_views
+from credlake.plans.sql_views import dbl, with_views
 from credlake.sources import views
 from credlake.sources.tables import read_table
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from credlake.operators import lsh
 from credlake.operators.sampling import extract_sample
-from credlake.plans import lsh_queries, p0_queries
+from credlake.plans import lsh_queries, p0_queries  # noqa: F401  (their oracles are reused below)
 from credlake.plans.registry import ORACLES, query
 from credlake.sources import views
 from credlake.streaming import scoring

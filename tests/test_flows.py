@@ -1,7 +1,6 @@
 """Rule flow: the two golden documents, spec walking rules, trail."""
 
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,7 +168,6 @@ def test_python_and_sql_conditions_agree(decided, spark, tmp_path):
 
 
 def test_condition_subset(spark):
-    from pyspark.sql import types as T
     from credlake.functions.conditions import condition_column
     df = spark.createDataFrame([(1, "A", [1]), (0, "", []), (None, None, None)],
                                "n int, s string, xs array<int>").withColumnRenamed("n", "decision")

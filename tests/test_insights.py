@@ -2,8 +2,6 @@
 
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from credlake.operators import insights, p0
 
 ROWS = [
