@@ -36,6 +36,16 @@ def silver_job(spark: SparkSession, csv_path: str, gold_dir: str, model_path: st
     return {"top": top, "rows": totals["total_filas"], "buckets": totals["total_baldes"], "written": written}
 
 
+def lsh_evaluation_job(spark: SparkSession, apps: DataFrame, model_path: str, gold_dir: str, out_dir: str) -> int:
+    """Part B as a job: S4 model -> F1/F2 signatures -> A2 history from the
+    gold table -> J1 lookup -> F11/F12 decision and reason -> K4 reports.
+    ``apps`` needs an ``id`` column and the five features."""
+    model = files.load_lsh_model(spark, model_path, FEATURES)
+    history = spark.read.parquet(gold_dir)
+    scored = lsh.score_against_history(apps, model, lsh.bucket_history(history))
+    return writers.write_evaluations(lsh.evaluation_documents(scored, FEATURES), out_dir)
+
+
 def insights_report(spark: SparkSession, scored_path: str) -> dict[str, DataFrame]:
     """L3: read the scored documents, flatten once, every panel from the cached flat table."""
     flat = p0.flatten_scored(files.read_scored(spark, scored_path)).persist(StorageLevel.MEMORY_AND_DISK)

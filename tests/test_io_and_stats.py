@@ -130,3 +130,17 @@ def test_keyed_lookup_and_projection_reach_the_scan(spark):
     assert "EqualTo(o_orderkey,7)" in plan                         # filter pushed into the Parquet scan
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan          # columns pruned
     assert cols.count() == 1
+
+
+def test_lsh_evaluation_job_round_trip(spark, tmp_path):
+    apps = views.applications(spark, SF_SMALL)
+    csv = str(tmp_path / "bronze")
+    writers.write_csv(apps.drop("id"), csv)
+    jobs.silver_job(spark, csv, str(tmp_path / "gold"), str(tmp_path / "model"))
+    new = apps.limit(20).drop("es_fraude")
+    n = jobs.lsh_evaluation_job(spark, new, str(tmp_path / "model"), str(tmp_path / "gold"), str(tmp_path / "eval"))
+    assert n == 20
+    reports = spark.read.json(str(tmp_path / "eval"))
+    # Every application came from the history, so every bucket is found.
+    assert reports.where(F.col("historial").isNull()).count() == 0
+    assert set(r.decision for r in reports.collect()) <= {"APROBADA", "REVISION_EXHAUSTIVA", "RECHAZADA"}
