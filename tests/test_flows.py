@@ -212,3 +212,21 @@ def test_missing_required_fields_are_reported(spark, tmp_path):
     req, bad = files.read_requests(spark, str(d))
     assert [r.id for r in req.collect()] == ["SOL-A"]
     assert [(b._file, b._corrupt) for b in bad.collect()] == [("norole.json", "missing required field")]
+
+
+def test_input_state_survives(spark, tmp_path):
+    doc = json.loads(json.dumps(APPROVE))
+    sol = doc["solicitud"]
+    sol["decision"]["blocking_rule_codes"] = ["RL_PREVIA"]
+    sol["fn_history"] = [{"execution_id": "exec-1", "fn_name": "fn_previa", "executed_at": "2024-01-01T00:00:00",
+                          "inputs": [], "outputs": []}]
+    sol["observations"] = [{"fn_name": "manual", "message": "nota", "value": "\"x\""}]
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.json").write_text(json.dumps(doc), encoding="utf-8")
+    req, _ = files.read_requests(spark, str(d))
+    r = flows.apply_flow(req, flows.load_flows()["p0"]).first()
+    assert r.decision.final_decision_code == "REJECTED"              # the code already present counts
+    assert r.decision.blocking_rule_codes == ["RL_PREVIA"]
+    assert [h.execution_id for h in r.fn_history] == ["exec-1", "exec-2", "exec-3", "exec-4"]
+    assert r.observations[0].message == "nota" and len(r.observations) == 2

@@ -76,3 +76,12 @@ def test_text_parsers(spark):
     r = df.select(parse_pct(F.col("t")).alias("p"), parse_decimal(F.col("t")).alias("d")).collect()
     assert [x.p for x in r] == [35.0, 40.0, None, 0.0, 1.0, 1.0, None, -3.0]
     assert [x.d for x in r] == [None, None, None, None, 1.5, None, 0.0, -3.0]
+
+
+def test_null_flag_counts_differ_between_a1_and_a2(spark):
+    df = spark.createDataFrame([("b", 1), ("b", 0), ("b", None)], "firma_lsh string, es_fraude int")
+    a1 = lsh.bucket_stats(df).first()
+    a2 = lsh.bucket_history(df).first()
+    assert (a1.total_solicitudes, a1.fraudes_detectados) == (2, 1)    # count(flag): non-null only
+    assert (a2.total_balde, a2.fraudes_balde) == (3, 1)               # rows
+    assert a2.pct_fraude == (1 / 3) * 100                            # (frauds / total) * 100
