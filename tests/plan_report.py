@@ -52,6 +52,12 @@ def main(argv):
     for name, s, _ in rows:
         out.append(f"| `{name}` | {s['scans']} | {s['exchanges']} | {s['reused']} | {s['broadcasts']} | {s['smj']} | {s['hash_agg']} | "
                    f"{s['sort_agg']} | {s['windows']} | {s['generate']} | {s['nested_loop']} |")
+    for name in ("lsh_top_risk_buckets", "flow_p0_flat"):
+        df = QUERIES[name](spark, sf_dir)
+        text = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        text = re.sub(r"file:[^\]\s,]*/", "", text)  # no local paths
+        out += ["", f"## `{name}` (explain formatted, auto-broadcast off)", "", "```", text.strip(), "```"]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(path, "w", encoding="utf-8") as f:
         f.write("\n".join(out) + "\n")
