@@ -9,7 +9,7 @@ decisions; the nested one also keeps the execution trail.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from credlake.operators import rules as R
@@ -108,3 +108,59 @@ def flow6_flat(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
         (F.col("n_obs").cast("int") + F.when(code.isNotNull(), 1).otherwise(0)).alias("n_observations"),
         F.lit(2).alias("n_trail"),
     )
+
+
+# Positions per block when ranking applicants inside a request.
+POS_BLOCK = 4096
+
+
+def with_applicant_index(applicants: DataFrame) -> DataFrame:
+    """Adds ``idx``: the 0-based position of an applicant inside its request
+    (rank of ``pos``), as the nested document's array index.
+
+    A window over a whole request would put a hot request into one task, so
+    positions are split into blocks: rows are ranked inside (request, block)
+    groups of at most ``POS_BLOCK`` positions, and each block is offset by
+    the counts of the blocks before it (a window over one row per block)."""
+    blk = F.floor(F.col("pos") / F.lit(POS_BLOCK)).cast("long")
+    keyed = applicants.withColumn("_blk", blk)
+    counts = keyed.groupBy("request_id", "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("request_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("request_id", "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    ranked = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy("request_id", "_blk").orderBy("pos")))
+    return (ranked.join(offsets, ["request_id", "_blk"])
+            .withColumn("idx", (F.col("_off") + F.col("_rn") - 1).cast("int"))
+            .drop("_blk", "_rn", "_off"))
+
+
+def p0_audit_paths(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
+    """R12 exploded for the p0 flow on flat tables: one row per changed part
+    of each step (request, step, execution id, function, path, value type)."""
+    inc = with_applicant_index(applicant_income(with_pay))
+    tpos = F.when(F.col("role") == "TITULAR", F.col("pos"))
+    per = inc.groupBy("request_id").agg(
+        F.min(tpos).alias("tpos"), F.min_by(F.col("avg_6m"), tpos).alias("tavg"),
+        F.min_by(F.col("idx"), tpos).alias("tidx"),
+        F.count_if(F.coalesce(F.col("is_hard_debt"), F.lit(False))).alias("n_hard"))
+    k = requests.join(per, requests.id == per.request_id, "left").select(
+        F.col("id").cast("string").alias("id"), "monthly_rent", "tpos", "tavg", "tidx",
+        F.coalesce(F.col("n_hard"), F.lit(0)).alias("n_hard"))
+    branch = F.col("tpos").isNotNull() & (F.col("tavg") > 0)
+    low = branch & (F.col("tavg") < F.col("monthly_rent") * R.RENT_FACTOR)
+
+    def row(step: int, fn: object, path) -> list:
+        return [F.lit(step).alias("step"), F.lit(f"exec-{step + 1}").alias("execution_id"),
+                (F.lit(fn) if isinstance(fn, str) else fn).alias("fn_name"), path.alias("path"),
+                F.lit("object").alias("value_type")]
+
+    step1 = inc.where(F.col("has_obs") & (F.col("avg_6m") != 0)).select(
+        F.col("request_id").cast("string").alias("id"),
+        *row(0, "fn_calcular_promedio_renta",
+             F.concat(F.lit("applicants["), F.col("idx").cast("string"), F.lit("].calculated_metrics"))))
+    step2 = k.where(~branch | (F.col("n_hard") > 0)).select(
+        "id", *row(1, F.when(branch, F.lit("rl_check_dicom")).otherwise(F.lit("rl_sin_ingresos")),
+                   F.lit("decision")))
+    step3 = k.where(branch).select(
+        "id", *row(2, "rl_renta_minima", F.when(low, F.lit("decision")).otherwise(
+            F.concat(F.lit("applicants["), F.col("tidx").cast("string"), F.lit("].evaluation_results")))))
+    return step1.unionByName(step2).unionByName(step3)

@@ -202,7 +202,7 @@ def flow_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.decision_summary(decided)
 
 
-@query("flow_p0_audit_paths", _flow_sql("""
+_AUDIT_PATHS_SQL = _flow_sql("""
 select cast(id as varchar) as id, step, execution_id, fn_name, path, 'object' as value_type from paths""", """
 paths as (
   select a.request_id as id, 0 as step, 'exec-1' as execution_id, 'fn_calcular_promedio_renta' as fn_name,
@@ -215,7 +215,16 @@ paths as (
   select id, 2, 'exec-3', 'rl_renta_minima',
     case when low then 'decision' else 'applicants[' || cast(tidx as varchar) || '].evaluation_results' end
   from k where branch
-)"""))
+)""")
+
+
+@query("flow_p0_audit_paths", _AUDIT_PATHS_SQL)
 def flow_p0_audit_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R12 exploded: one audit row per changed part (value JSON kept, not compared)."""
     return flows.audit_paths(run_flow(spark, sf_dir, "p0")).drop("value")
+
+
+@query("flow_p0_audit_paths_flat", _AUDIT_PATHS_SQL)
+def flow_p0_audit_paths_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R12 exploded on flat tables: the same audit rows without building documents."""
+    return flat_rules.p0_audit_paths(views.requests(spark, sf_dir), views.applicant_income(spark, sf_dir))

@@ -76,3 +76,16 @@ def test_nested_flat_and_model_agree(spark):
     assert set(nested) == set(flat) == set(model)
     bad = [(k, nested[k], flat[k], model[k]) for k in model if not (nested[k] == flat[k] == model[k])]
     assert not bad, bad[:5]
+
+
+def test_audit_paths_nested_equals_flat(spark, monkeypatch):
+    monkeypatch.setattr(flat_rules, "POS_BLOCK", 2)   # force ranks across blocks
+    reqs, apps, pays = _random_requests(9, 300)
+    r = spark.createDataFrame(reqs, "id long, property_id string, monthly_rent double, currency string")
+    a = spark.createDataFrame(apps, "request_id long, pos int, role string, income_type string, is_hard_debt boolean")
+    p = spark.createDataFrame(pays, "request_id long, pos int, net_income double")
+    cols = ["id", "step", "execution_id", "fn_name", "path", "value_type"]
+    nested = flows.audit_paths(flows.apply_flow(build_requests(r, a, p), flows.load_flows()["p0"])).select(cols)
+    flat = flat_rules.p0_audit_paths(r, flat_rules.payslip_totals(a, p)).select(cols)
+    assert nested.count() == flat.count() > 0
+    assert nested.exceptAll(flat).count() == 0 and flat.exceptAll(nested).count() == 0

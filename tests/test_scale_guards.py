@@ -56,3 +56,13 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_applicant_index_across_blocks(spark, monkeypatch):
+    # One request with 10 000 applicants spans several rank blocks; indexes stay exact.
+    monkeypatch.setattr(flat_rules, "POS_BLOCK", 512)
+    rows = [(1, p) for p in range(3, 30003, 3)] + [(2, 7), (2, 1)]
+    df = spark.createDataFrame(rows, "request_id long, pos int")
+    got = {(r.request_id, r.pos): r.idx for r in flat_rules.with_applicant_index(df).collect()}
+    assert all(got[(1, p)] == i for i, p in enumerate(range(3, 30003, 3)))
+    assert got[(2, 1)] == 0 and got[(2, 7)] == 1
