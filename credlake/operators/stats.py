@@ -144,13 +144,31 @@ def classes_of(df: DataFrame, *cols: str) -> list:
     return sorted(vals)
 
 
+# Up to this many classes the matrix is one aggregate of conditional counts.
+FEW_CLASSES = 32
+
+
 def confusion_matrix(df: DataFrame, y: str = "y", yhat: str = "yhat", classes: list | None = None) -> DataFrame:
-    """One row per (true, predicted) class pair, zero-filled, one scan."""
+    """One row per (true, predicted) class pair, zero-filled.
+
+    Few classes: one scan with a conditional count per cell.  Many classes:
+    a ``groupBy(y, yhat)`` count, and the zero-filled grid is generated
+    from ``range(K * K)`` and joined to the class list by index (equi-joins
+    on a table with one row per class; no cross join)."""
     classes = classes if classes is not None else classes_of(df, y, yhat)
-    cells = [F.struct(F.lit(a).alias("y"), F.lit(b).alias("yhat"),
-                      F.count_if((F.col(y) == a) & (F.col(yhat) == b)).alias("n"))
-             for a in classes for b in classes]
-    return df.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
+    if len(classes) <= FEW_CLASSES:
+        cells = [F.struct(F.lit(a).alias("y"), F.lit(b).alias("yhat"),
+                          F.count_if((F.col(y) == a) & (F.col(yhat) == b)).alias("n"))
+                 for a in classes for b in classes]
+        return df.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
+    spark = df.sparkSession
+    k = len(classes)
+    names = spark.createDataFrame([(i, c) for i, c in enumerate(classes)], ["_i", "_c"])
+    grid = spark.range(k * k).select((F.col("id") / k).cast("long").alias("_iy"), (F.col("id") % k).alias("_ix"))
+    grid = (grid.join(F.broadcast(names.toDF("_iy", "y")), "_iy")
+            .join(F.broadcast(names.toDF("_ix", "yhat")), "_ix").select("y", "yhat"))
+    counts = df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(F.count(F.lit(1)).alias("n"))
+    return grid.join(counts, ["y", "yhat"], "left").select("y", "yhat", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def classification_report(df: DataFrame, y: str = "y", yhat: str = "yhat", classes: list | None = None) -> DataFrame:

@@ -144,3 +144,11 @@ def test_lsh_evaluation_job_round_trip(spark, tmp_path):
     # Every application came from the history, so every bucket is found.
     assert reports.where(F.col("historial").isNull()).count() == 0
     assert set(r.decision for r in reports.collect()) <= {"APROBADA", "REVISION_EXHAUSTIVA", "RECHAZADA"}
+
+
+def test_confusion_matrix_paths_agree(spark, monkeypatch):
+    df = spark.range(3000).select((F.col("id") % 7).alias("y"), ((F.col("id") * 3) % 5).alias("yhat"))
+    few = {(r.y, r.yhat): r.n for r in stats.confusion_matrix(df).collect()}
+    monkeypatch.setattr(stats, "FEW_CLASSES", 2)
+    many = {(r.y, r.yhat): r.n for r in stats.confusion_matrix(df).collect()}
+    assert few == many and len(few) == 49 and sum(few.values()) == 3000
