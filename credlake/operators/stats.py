@@ -175,6 +175,8 @@ def classification_report(df: DataFrame, y: str = "y", yhat: str = "yhat", class
     """Precision, recall, f1, support per class; accuracy; macro and
     weighted averages.  A zero denominator gives 0 (scikit-learn's default)."""
     classes = classes if classes is not None else classes_of(df, y, yhat)
+    if len(classes) > FEW_CLASSES:
+        return _report_grouped(df, y, yhat, classes)
     aggs = [F.count(F.lit(1)).alias("total"), F.count_if(F.col(y) == F.col(yhat)).alias("correct")]
     for i, c in enumerate(classes):
         aggs += [F.count_if((F.col(y) == c) & (F.col(yhat) == c)).alias(f"tp{i}"),
@@ -211,3 +213,41 @@ def classification_report(df: DataFrame, y: str = "y", yhat: str = "yhat", class
                  weighted("recall").alias("recall"), weighted("f1").alias("f1"), F.col("total").alias("support")),
     )
     return x.select(F.inline(F.concat(F.col("per"), extra)))
+
+
+def _report_grouped(df: DataFrame, y: str, yhat: str, classes: list) -> DataFrame:
+    """A14 for many classes: per-class counts from grouped counts (no
+    per-class aggregate expressions), then the same formulas."""
+    spark = df.sparkSession
+    names = spark.createDataFrame([(c,) for c in classes], ["label_value"])
+    tp = df.where(F.col(y) == F.col(yhat)).groupBy(F.col(y).alias("label_value")).agg(F.count(F.lit(1)).alias("tp"))
+    pp = df.groupBy(F.col(yhat).alias("label_value")).agg(F.count(F.lit(1)).alias("pp"))
+    sp = df.groupBy(F.col(y).alias("label_value")).agg(F.count(F.lit(1)).alias("sp"))
+    per = (names.join(tp, "label_value", "left").join(pp, "label_value", "left").join(sp, "label_value", "left")
+           .fillna(0, ["tp", "pp", "sp"]))
+
+    def div(a, b):
+        return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+
+    p_ = div(F.col("tp"), F.col("pp"))
+    r_ = div(F.col("tp"), F.col("sp"))
+    per = per.select(F.col("label_value").cast("string").alias("label"), p_.alias("precision"), r_.alias("recall"),
+                     div(2 * p_ * r_, p_ + r_).alias("f1"), F.col("sp").alias("support"))
+    tot = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(y) == F.col(yhat)).alias("correct"))
+    avg = per.agg(F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
+                  F.sum(F.col("precision") * F.col("support")).alias("wp"),
+                  F.sum(F.col("recall") * F.col("support")).alias("wr"),
+                  F.sum(F.col("f1") * F.col("support")).alias("wf"))
+    # Two one-row aggregates side by side (equi-join on a constant key).
+    rows = tot.select(F.lit(1).alias("_k"), "total", "correct").join(
+        avg.select(F.lit(1).alias("_k"), "*"), "_k")
+    extra = rows.select(F.inline(F.array(
+        F.struct(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
+                 F.lit(None).cast("double").alias("recall"), div(F.col("correct"), F.col("total")).alias("f1"),
+                 F.col("total").alias("support")),
+        F.struct(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
+                 F.col("mf").alias("f1"), F.col("total").alias("support")),
+        F.struct(F.lit("weighted avg").alias("label"), div(F.col("wp"), F.col("total")).alias("precision"),
+                 div(F.col("wr"), F.col("total")).alias("recall"), div(F.col("wf"), F.col("total")).alias("f1"),
+                 F.col("total").alias("support")))))
+    return per.unionByName(extra)

@@ -152,3 +152,14 @@ def test_confusion_matrix_paths_agree(spark, monkeypatch):
     monkeypatch.setattr(stats, "FEW_CLASSES", 2)
     many = {(r.y, r.yhat): r.n for r in stats.confusion_matrix(df).collect()}
     assert few == many and len(few) == 49 and sum(few.values()) == 3000
+
+
+def test_classification_report_paths_agree(spark, monkeypatch):
+    df = spark.range(3000).select((F.col("id") % 4).alias("y"), ((F.col("id") * 3 + F.col("id") % 7) % 4).alias("yhat"))
+    few = {r.label: tuple(r) for r in stats.classification_report(df).collect()}
+    monkeypatch.setattr(stats, "FEW_CLASSES", 2)
+    many = {r.label: tuple(r) for r in stats.classification_report(df).collect()}
+    assert few.keys() == many.keys()
+    for k in few:
+        for a, b in zip(few[k], many[k]):
+            assert a == b or (isinstance(a, float) and abs(a - b) < 1e-12), (k, few[k], many[k])
