@@ -138,11 +138,14 @@ def flow_p0_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.audit_table(run_flow(spark, sf_dir, "p0"))
 
 
-@query("flow_titular", with_views(["requests", "applicants"], """
+_TITULAR_SQL = with_views(["requests", "applicants"], """
 select cast(r.id as varchar) as id, t.tpos as titular_pos,
   case when t.tpos is not null then concat(cast(r.id as varchar), '-', cast(t.tpos as varchar)) end as titular_id
 from requests r left join (select request_id, min(pos) as tpos from applicants where role = 'TITULAR' group by 1) t
-  on r.id = t.request_id"""))
+  on r.id = t.request_id""")
+
+
+@query("flow_titular", _TITULAR_SQL)
 def flow_titular(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first TITULAR of each request, in applicant order."""
     req = nested_requests(spark, sf_dir)
@@ -151,14 +154,17 @@ def flow_titular(spark: SparkSession, sf_dir: str) -> DataFrame:
     return req.select("id", pos.alias("titular_pos"), t.id.alias("titular_id"))
 
 
-@query("flow_income_avg", with_views(["applicants", "payslips"], """
+_INCOME_SQL = with_views(["applicants", "payslips"], """
 select concat(cast(a.request_id as varchar), '-', cast(a.pos as varchar)) as applicant_id,
   case when a.income_type = 'DEPENDENT' then coalesce(p.total, cast(0 as decimal(38,2))) end as income_total,
   case when a.income_type = 'DEPENDENT' then cast(coalesce(p.n, 0) as int) end as n_payslips,
   case when a.income_type = 'DEPENDENT' and coalesce(p.n, 0) > 0 then true else false end as has_observation
 from applicants a left join pay p on a.request_id = p.request_id and a.pos = p.pos""",
     "pay as (select request_id, pos, count(*) as n, sum(cast(net_income as decimal(38,2))) as total "
-    "from payslips group by request_id, pos)"))
+    "from payslips group by request_id, pos)")
+
+
+@query("flow_income_avg", _INCOME_SQL)
 def flow_income_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10 applied alone, one row per applicant: the payslip total and count
     behind ``avg_6m`` (exact), and whether an observation is emitted."""
@@ -228,3 +234,27 @@ def flow_p0_audit_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flow_p0_audit_paths_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R12 exploded on flat tables: the same audit rows without building documents."""
     return flat_rules.p0_audit_paths(views.requests(spark, sf_dir), views.applicant_income(spark, sf_dir))
+
+
+@query("flow_titular_flat", _TITULAR_SQL)
+def flow_titular_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on flat rows: the lowest TITULAR position per request (partial aggregate)."""
+    req = views.requests(spark, sf_dir).select("id")
+    apps = views.applicants(spark, sf_dir)
+    t = apps.groupBy("request_id").agg(F.min(F.when(F.col("role") == "TITULAR", F.col("pos"))).alias("titular_pos"))
+    j = req.join(t, req.id == t.request_id, "left")
+    tid = F.when(F.col("titular_pos").isNotNull(),
+                 F.concat(F.col("id").cast("string"), F.lit("-"), F.col("titular_pos").cast("string")))
+    return j.select(F.col("id").cast("string").alias("id"), "titular_pos", tid.alias("titular_id"))
+
+
+@query("flow_income_avg_flat", _INCOME_SQL)
+def flow_income_avg_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 on flat rows: payslip total and count per dependent applicant."""
+    inc = flat_rules.applicant_income(views.applicant_income(spark, sf_dir))
+    dep = F.col("income_type") == "DEPENDENT"
+    return inc.select(
+        F.concat(F.col("request_id").cast("string"), F.lit("-"), F.col("pos").cast("string")).alias("applicant_id"),
+        F.when(dep, F.col("income_total")).alias("income_total"),
+        F.when(dep, F.col("n_payslips")).alias("n_payslips"),
+        F.col("has_obs").alias("has_observation"))
