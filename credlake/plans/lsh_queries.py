@@ -99,12 +99,17 @@ def lsh_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CUT = sample_cut(HOLDOUT_FRACTION)
 _H = "((id % 1000003) * 2654435761 + 42) % 1000003"
-_HOLDOUT_SQL = _signed_sql(f"""
+# The model is fitted on the history only (the held-out applications are new).
+_SIGNED_HISTORY_FIT = f"""signed as (
+  select a.*, {signature_sql(_Z, default_R())} as firma_lsh
+  from applications a, (select {_STATS} from applications where {_H} >= {_CUT}) st
+)"""
+_HOLDOUT_SQL = with_views(["applications"], """
 select id, firma_lsh, total_balde, fraudes_balde,
   case when encontrado then pct_fraude end as pct_fraude,
   case when not encontrado then 'REVISION' when pct_fraude >= 50 then 'RECHAZADA'
        when pct_fraude >= 2 then 'REVISION_EXHAUSTIVA' else 'APROBADA' end as decision
-from scored""", f"""
+from scored""", f"""{_SIGNED_HISTORY_FIT},
 hist as (
   select firma_lsh, count(*) as total_balde, cast(coalesce(sum(es_fraude), 0) as bigint) as fraudes_balde
   from signed where {_H} >= {_CUT} group by firma_lsh
@@ -122,8 +127,8 @@ def lsh_score_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 + A2 + J1 + F11: hold out 20 % of applications, score them against
     the bucket history of the other 80 % (misses become REVISION)."""
     apps = views.applications(spark, sf_dir)
-    model = lsh.fit_lsh(apps, FEATURES)
     new, history = extract_sample(apps, HOLDOUT_FRACTION)
+    model = lsh.fit_lsh(history, FEATURES)        # fitted on the history, as the saved model is
     stats = lsh.bucket_history(model.transform(history))
     scored = lsh.score_against_history(new, model, stats)
     return scored.select(
@@ -171,7 +176,7 @@ def lsh_evaluation_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     with request id, time, reason text and the history struct (NULL on a
     miss).  Ids and times are random, so the check is on rows only."""
     apps = views.applications(spark, sf_dir)
-    model = lsh.fit_lsh(apps, FEATURES)
     new, history = extract_sample(apps, HOLDOUT_FRACTION)
+    model = lsh.fit_lsh(history, FEATURES)
     scored = lsh.score_against_history(new, model, lsh.bucket_history(model.transform(history)))
     return lsh.evaluation_documents(scored, FEATURES)

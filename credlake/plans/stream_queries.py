@@ -18,8 +18,8 @@ from credlake.streaming import scoring
 def stream_lsh_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out applications scored as a stream against the batch history."""
     apps = views.applications(spark, sf_dir)
-    model = lsh.fit_lsh(apps, views.FEATURES)
     _, history = extract_sample(apps, lsh_queries.HOLDOUT_FRACTION)
+    model = lsh.fit_lsh(history, views.FEATURES)
     stats = lsh.bucket_history(model.transform(history))
     new = scoring.holdout_filter(scoring.application_stream(spark, sf_dir), lsh_queries.HOLDOUT_FRACTION)
     return scoring.stream_lsh_scores(spark, new, model, stats, scoring.stream_dir(spark, "lsh"))
