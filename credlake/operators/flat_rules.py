@@ -133,9 +133,10 @@ def with_applicant_index(applicants: DataFrame) -> DataFrame:
             .drop("_blk", "_rn", "_off"))
 
 
-def p0_audit_paths(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
-    """R12 exploded for the p0 flow on flat tables: one row per changed part
-    of each step (request, step, execution id, function, path, value type)."""
+def p0_audit_paths(requests: DataFrame, with_pay: DataFrame, flow: str = "p0") -> DataFrame:
+    """R12 exploded on flat tables for the ``p0`` or ``flow-6`` flow: one row
+    per changed part of each step (request, step, execution id, function,
+    path, value type)."""
     inc = with_applicant_index(applicant_income(with_pay))
     tpos = F.when(F.col("role") == "TITULAR", F.col("pos"))
     per = inc.groupBy("request_id").agg(
@@ -145,7 +146,8 @@ def p0_audit_paths(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
     k = requests.join(per, requests.id == per.request_id, "left").select(
         F.col("id").cast("string").alias("id"), "monthly_rent", "tpos", "tavg", "tidx",
         F.coalesce(F.col("n_hard"), F.lit(0)).alias("n_hard"))
-    branch = F.col("tpos").isNotNull() & (F.col("tavg") > 0)
+    has_t = F.col("tpos").isNotNull()
+    branch = has_t & (F.col("tavg") > 0)
     low = branch & (F.col("tavg") < F.col("monthly_rent") * R.RENT_FACTOR)
 
     def row(step: int, fn: object, path) -> list:
@@ -157,6 +159,13 @@ def p0_audit_paths(requests: DataFrame, with_pay: DataFrame) -> DataFrame:
         F.col("request_id").cast("string").alias("id"),
         *row(0, "fn_calcular_promedio_renta",
              F.concat(F.lit("applicants["), F.col("idx").cast("string"), F.lit("].calculated_metrics"))))
+    evaluation = F.concat(F.lit("applicants["), F.col("tidx").cast("string"), F.lit("].evaluation_results"))
+    if flow == "flow-6":
+        # Rent rule right after the average: no titular or too little income rejects.
+        low6 = has_t & (F.col("tavg") < F.col("monthly_rent") * R.RENT_FACTOR)
+        step2 = k.select("id", *row(1, "rl_renta_minima",
+                                    F.when(~has_t | low6, F.lit("decision")).otherwise(evaluation)))
+        return step1.unionByName(step2)
     step2 = k.where(~branch | (F.col("n_hard") > 0)).select(
         "id", *row(1, F.when(branch, F.lit("rl_check_dicom")).otherwise(F.lit("rl_sin_ingresos")),
                    F.lit("decision")))

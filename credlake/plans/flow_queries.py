@@ -258,3 +258,38 @@ def flow_income_avg_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(dep, F.col("income_total")).alias("income_total"),
         F.when(dep, F.col("n_payslips")).alias("n_payslips"),
         F.col("has_obs").alias("has_observation"))
+
+
+_FLOW6_AUDIT_SQL = _flow_sql("""
+select cast(id as varchar) as id, step, execution_id, fn_name, path, 'object' as value_type from paths""", """
+paths as (
+  select a.request_id as id, 0 as step, 'exec-1' as execution_id, 'fn_calcular_promedio_renta' as fn_name,
+    'applicants[' || cast(a.idx as varchar) || '].calculated_metrics' as path
+  from app a where a.has_obs and a.avg6 <> 0
+  union all
+  select id, 1, 'exec-2', 'rl_renta_minima',
+    case when tpos is null or low6 then 'decision'
+         else 'applicants[' || cast(tidx as varchar) || '].evaluation_results' end
+  from k
+)""")
+
+
+@query("flow6_audit_paths", _FLOW6_AUDIT_SQL)
+def flow6_audit_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R8 + R12: the flow-6 trail exploded, through the nested runner."""
+    return flows.audit_paths(run_flow(spark, sf_dir, "flow-6")).drop("value")
+
+
+@query("flow6_audit_paths_flat", _FLOW6_AUDIT_SQL)
+def flow6_audit_paths_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R8 + R12 on flat tables."""
+    return flat_rules.p0_audit_paths(views.requests(spark, sf_dir), views.applicant_income(spark, sf_dir), "flow-6")
+
+
+@query("flow_p0_outcomes_flat", _flow_sql("""
+select case when branch and nhard = 0 and not low then 'APPROVED' else 'REJECTED' end as decision, count(*) as n
+from k group by 1"""))
+def flow_p0_outcomes_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R13 on flat tables: requests per final decision."""
+    d = flat_rules.p0_flat(views.requests(spark, sf_dir), views.applicant_income(spark, sf_dir))
+    return d.groupBy(F.col("final_decision_code").alias("decision")).agg(F.count(F.lit(1)).alias("n"))
