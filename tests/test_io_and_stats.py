@@ -163,3 +163,12 @@ def test_classification_report_paths_agree(spark, monkeypatch):
     for k in few:
         for a, b in zip(few[k], many[k]):
             assert a == b or (isinstance(a, float) and abs(a - b) < 1e-12), (k, few[k], many[k])
+
+
+def test_command_line_runs_a_query(spark, tmp_path, capsys):
+    from credlake.__main__ import main
+    assert main(["list"]) == 0
+    assert "lsh_top_risk_buckets\tsql" in capsys.readouterr().out
+    out = str(tmp_path / "q")
+    assert main(["run", "p0_validate", "--sf", SF_SMALL, "--out", out]) == 0
+    assert spark.read.parquet(out).count() == views.applications(spark, SF_SMALL).count()
