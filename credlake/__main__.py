@@ -9,7 +9,7 @@
                                           L4: decide every request file with a flow
 
 The session comes from ``SparkSession.builder`` (master and settings from
-``spark-submit``/environment); without one, a local session is started.
+``spark-submit``); run with plain ``python`` it is a local session.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    from credlake.session import local_session
-    return local_session()
+    """The submitted session (``spark-submit`` master and settings), else a
+    local one; the checkpoint folder is only set when the cluster gave none."""
+    from credlake.session import ensure_checkpoint_dir
+    spark = SparkSession.getActiveSession() or SparkSession.builder.appName("credlake").getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
 
 
 def main(argv: list[str] | None = None) -> int:
