@@ -25,7 +25,8 @@ def _session() -> SparkSession:
     """The submitted session (``spark-submit`` master and settings), else a
     local one; the checkpoint folder is only set when the cluster gave none."""
     from credlake.session import ensure_checkpoint_dir
-    spark = SparkSession.getActiveSession() or SparkSession.builder.appName("credlake").getOrCreate()
+    spark = SparkSession.getActiveSession() or (
+        SparkSession.builder.appName("credlake").config("spark.ui.enabled", "false").getOrCreate())
     ensure_checkpoint_dir(spark)
     return spark
 
