@@ -172,3 +172,15 @@ def test_command_line_runs_a_query(spark, tmp_path, capsys):
     out = str(tmp_path / "q")
     assert main(["run", "p0_validate", "--sf", SF_SMALL, "--out", out]) == 0
     assert spark.read.parquet(out).count() == views.applications(spark, SF_SMALL).count()
+
+
+def test_write_split_one_pass(spark, tmp_path):
+    from credlake.operators.sampling import write_split
+    apps = views.applications(spark, SF_SMALL)
+    path = str(tmp_path / "split")
+    write_split(apps, 0.1, path)
+    back = spark.read.parquet(path)
+    parts = {r.part: r.n for r in back.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    s, r = extract_sample(apps, 0.1)
+    assert parts == {"sample": s.count(), "rest": r.count()}
+    assert back.select("id").distinct().count() == apps.count()
