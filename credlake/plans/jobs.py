@@ -63,7 +63,7 @@ def score_to_documents(spark: SparkSession, apps: DataFrame, scored_path: str,
 
 
 def request_batch_job(spark: SparkSession, in_dir: str, out_dir: str, flow_name: str = "p0",
-                      flow_code: str | None = None) -> DataFrame:
+                      flow_code: str | None = None, errors_dir: str | None = None) -> DataFrame:
     """L4: S2 -> P4, P5 -> flow (R7..R12) -> K4 and the R13 summary.
 
     A flow code, when given, overrides the flow name (R9)."""
@@ -74,4 +74,8 @@ def request_batch_job(spark: SparkSession, in_dir: str, out_dir: str, flow_name:
     docs = to_document(decided, keep=("_file",)).select(
         F.concat(F.lit("result_"), F.col("_file")).alias("result_name"), "id", "document")
     writers.write_evaluations(docs, out_dir)
+    if errors_dir:
+        # Unreadable or incomplete files, with their name and the reason.
+        writers.write_evaluations(bad.select(F.col("_file").alias("file"), F.col("_corrupt").alias("error")),
+                                  errors_dir)
     return flows.batch_summary(decided, bad)

@@ -141,8 +141,11 @@ def test_request_batch_job(spark, tmp_path):
     src.mkdir()
     (src / "a.json").write_text(json.dumps(APPROVE), encoding="utf-8")
     (src / "b.json").write_text(json.dumps(REJECT["solicitud"]), encoding="utf-8")  # bare document (P4)
-    summary = jobs.request_batch_job(spark, str(src), str(tmp_path / "out"), flow_code="FLOW_P0")
-    assert {r.decision: r.n for r in summary.collect()} == {"APPROVED": 1, "REJECTED": 1}
+    (src / "c.json").write_text("{broken", encoding="utf-8")
+    summary = jobs.request_batch_job(spark, str(src), str(tmp_path / "out"), flow_code="FLOW_P0",
+                                     errors_dir=str(tmp_path / "errors"))
+    assert {r.decision: r.n for r in summary.collect()} == {"APPROVED": 1, "REJECTED": 1, "ERROR": 1}
+    assert [r.file for r in spark.read.json(str(tmp_path / "errors")).collect()] == ["c.json"]
     docs = spark.read.json(str(tmp_path / "out"))
     assert sorted(r.result_name for r in docs.collect()) == ["result_a.json", "result_b.json"]
     doc = json.loads(docs.where(F.col("id") == "SOL-B").first().document)
