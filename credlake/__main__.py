@@ -5,7 +5,7 @@
                                           run a registered query; write Parquet or print rows
     silver CSV GOLD_DIR MODEL_PATH        L1: fit, sign, bucket report, gold table, model file
     evaluate APPS_PARQUET MODEL GOLD OUT  part B: score applications against the gold history
-    requests IN_DIR OUT_DIR [--flow NAME | --code CODE]
+    requests IN_DIR OUT_DIR [--flow NAME | --code CODE] [--errors DIR]
                                           L4: decide every request file with a flow
 
 The session comes from ``SparkSession.builder`` (master and settings from
@@ -54,6 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("outdir")
     q.add_argument("--flow", default="p0")
     q.add_argument("--code")
+    q.add_argument("--errors", help="folder for unreadable request files")
     a = p.parse_args(argv)
 
     from credlake.plans import ORACLES, QUERIES
@@ -74,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "evaluate":
         print(jobs.lsh_evaluation_job(spark, spark.read.parquet(a.apps), a.model, a.gold, a.out))
     elif a.cmd == "requests":
-        jobs.request_batch_job(spark, a.indir, a.outdir, a.flow, a.code).show(truncate=False)
+        jobs.request_batch_job(spark, a.indir, a.outdir, a.flow, a.code, a.errors).show(truncate=False)
     return 0
 
 
