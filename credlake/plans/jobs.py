@@ -69,7 +69,7 @@ def request_batch_job(spark: SparkSession, in_dir: str, out_dir: str, flow_name:
     A flow code, when given, overrides the flow name (R9)."""
     name = flows.flow_name_for(flow_code) if flow_code else flow_name
     spec = flows.load_flow(name)
-    requests, bad = files.read_requests(spark, in_dir)
+    requests, bad, raw = files.read_requests(spark, in_dir, return_raw=True)
     decided = flows.apply_flow(requests, spec).persist(StorageLevel.MEMORY_AND_DISK)
     docs = to_document(decided, keep=("_file",)).select(
         F.concat(F.lit("result_"), F.col("_file")).alias("result_name"), "id", "document")
@@ -78,4 +78,8 @@ def request_batch_job(spark: SparkSession, in_dir: str, out_dir: str, flow_name:
         # Unreadable or incomplete files, with their name and the reason.
         writers.write_evaluations(bad.select(F.col("_file").alias("file"), F.col("_corrupt").alias("error")),
                                   errors_dir)
-    return flows.batch_summary(decided, bad)
+    summary = flows.batch_summary(decided, bad)
+    rows = summary.collect()          # one row per decision code: bounded
+    decided.unpersist()
+    raw.unpersist()
+    return spark.createDataFrame(rows, summary.schema)

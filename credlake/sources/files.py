@@ -32,12 +32,14 @@ def read_applications(spark: SparkSession, path: str, schema: T.StructType = APP
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def read_requests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_requests(spark: SparkSession, path: str, return_raw: bool = False):
     """Every ``*.json`` file under ``path`` (one multi-line object per
     file) -> (requests with defaults filled, unreadable files).
 
     A bad file does not stop the batch: it lands in the second frame with
-    its file name."""
+    its file name.  Spark only lets the corrupt-record column be queried
+    from a cached read, so the raw read is cached; with ``return_raw`` it is
+    returned third, for the caller to ``unpersist`` when done."""
     schema = T.StructType(list(REQUEST_FILE.fields) + [T.StructField("_corrupt", T.StringType())])
     raw = (spark.read.schema(schema)
            .option("multiLine", True).option("mode", "PERMISSIVE")
@@ -55,6 +57,8 @@ def read_requests(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     missing = (F.col("id").isNull() | ctx.isNull() | ctx.property_id.isNull() | ctx.monthly_rent.isNull()
                | ctx.currency.isNull() | F.col("applicants").isNull() | F.coalesce(bad_applicant, F.lit(False)))
     invalid = good.where(missing).select("_file", F.lit("missing required field").alias("_corrupt"))
+    if return_raw:
+        return project_request(good.where(~missing)), bad.unionByName(invalid), raw
     return project_request(good.where(~missing)), bad.unionByName(invalid)
 
 
