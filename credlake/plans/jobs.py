@@ -47,9 +47,11 @@ def lsh_evaluation_job(spark: SparkSession, apps: DataFrame, model_path: str, go
 
 
 def insights_report(spark: SparkSession, scored_path: str) -> dict[str, DataFrame]:
-    """L3: read the scored documents, flatten once, every panel from the cached flat table."""
+    """L3: read the scored documents, flatten once, every panel from the
+    persisted flat table (returned as ``"flat"``; ``unpersist`` it when the
+    panels have been read)."""
     flat = p0.flatten_scored(files.read_scored(spark, scored_path)).persist(StorageLevel.MEMORY_AND_DISK)
-    return insights.report(flat)
+    return {**insights.report(flat), "flat": flat}
 
 
 def score_to_documents(spark: SparkSession, apps: DataFrame, scored_path: str,
