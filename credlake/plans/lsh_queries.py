@@ -180,3 +180,17 @@ def lsh_evaluation_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = lsh.fit_lsh(history, FEATURES)
     scored = lsh.score_against_history(new, model, lsh.bucket_history(model.transform(history)))
     return lsh.evaluation_documents(scored, FEATURES)
+
+
+@query("lsh_embedding_top_buckets", f"""
+with signed as (
+  select vec_id, {_emb_signature_sql()} as firma_lsh, case when label = {EMB_TARGET} then 1 else 0 end as target
+  from embeddings
+)
+select firma_lsh, count(target) as total_solicitudes, cast(sum(target) as bigint) as fraudes_detectados,
+  cast(sum(target) as double)/count(target)*100e0 as probabilidad_fraude_pct
+from signed group by firma_lsh having sum(target) > 0
+order by probabilidad_fraude_pct desc, total_solicitudes desc, firma_lsh limit 5""")
+def lsh_embedding_top_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 on the embeddings variant: the five buckets richest in the target class."""
+    return lsh.top_risk_buckets(lsh_embedding_buckets(spark, sf_dir), k=5)
