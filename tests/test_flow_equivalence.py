@@ -3,7 +3,6 @@ a plain-Python model of the rules must agree request by request."""
 
 import random
 
-from pyspark.sql import functions as F
 
 from credlake.operators import flat_rules, flows
 from credlake.operators.requests import build_requests
