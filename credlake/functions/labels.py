@@ -2,9 +2,9 @@
 
 All labels are ``CASE WHEN`` column expressions: no Python runs per row.
 Thresholds compare the *unrounded* ratio; only the reported ratio is rounded
-to 2 decimals, halves to even on the binary product ``x * 100`` (``rint``),
-which is what DuckDB's ``round_even`` does.  ``bround`` would round the
-shortest decimal text instead (0.575 -> 0.58 where Python gives 0.57).
+to 2 decimals exactly as Python's ``round`` does (``rounding.python_round``).
+``bround`` would round the shortest decimal text instead (0.575 -> 0.58 where
+Python gives 0.57).
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from credlake.functions.rounding import python_round
+
 # Label texts and thresholds of the reference rules.
 OVERINDEBTED, TIGHT, HEALTHY = "Sobreendeudado", "Ajustada", "Saludable"
 HIGH, MEDIUM, UNSTABLE = "Alta", "Media", "Inestable"
@@ -75,7 +77,7 @@ def label_columns(income: str = "ingreso_mensual", debt: str = "deuda_actual",
     stab = job_stability(F.col(months))
     fin = financial_stability(stab, cap)
     return {
-        "ratio_endeudamiento_actual": round_half_even(ratio, 2),
+        "ratio_endeudamiento_actual": python_round(ratio, 2),
         "capacidad_pago": cap,
         "estabilidad_laboral": stab,
         "score_estabilidad_financiera": fin,

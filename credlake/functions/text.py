@@ -20,3 +20,9 @@ def fill(template: str, **values: Column) -> Column:
     if pos < len(template):
         parts.append(F.lit(template[pos:]))
     return F.concat(*parts) if parts else F.lit("")
+
+
+def fixed2(x: Column) -> Column:
+    """Text of ``x`` with two decimals exactly as Python's ``f"{x:.2f}"``."""
+    from credlake.functions.rounding import python_fixed
+    return python_fixed(x, 2)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credlake.functions.lsh import DEFAULT_BITS, DEFAULT_SEED, LshModel, projection_matrix
-from credlake.functions.text import fill
+from credlake.functions.text import fill, fixed2
 
 # Broadcast the bucket table only below this many rows (proven bound).
 MAX_BROADCAST_BUCKETS = 2_000_000
@@ -121,14 +121,19 @@ def lsh_decision(pct: Column, found: Column) -> Column:
     )
 
 
+def _two_decimals(pct: Column) -> Column:
+    """``%.2f`` text as Python writes it (exact half-even rounding)."""
+    return fixed2(pct)
+
+
 def pct_text(pct: Column) -> Column:
-    """``"xx.xx%"`` (Java formatting: halves round up, unlike Python)."""
-    return F.concat(F.format_string("%.2f", pct), F.lit("%"))
+    """``"xx.xx%"``."""
+    return F.concat(_two_decimals(pct), F.lit("%"))
 
 
 def lsh_reason(pct: Column, found: Column) -> Column:
     """the reason text that goes with ``lsh_decision``."""
-    p = F.format_string("%.2f", pct)
+    p = _two_decimals(pct)
     return (
         F.when(~found, F.lit(REASON_MISS))
         .when(pct >= RATE_REJECT, fill(REASON_REJECT, pct=p))

@@ -11,6 +11,7 @@ from credlake.functions.scoring import affordability_pct, weighted_score
 from credlake.operators import insights, p0
 from credlake.operators.validate import validate_applications
 from credlake.plans.registry import query
+from credlake.functions.rounding import python_round_sql
 from credlake.plans.sql_views import dbl, with_views
 from credlake.sources import views
 from credlake.sources.tables import read_table
@@ -44,7 +45,7 @@ s1 as (
 ), scored as (
   select *, case score_estabilidad_financiera when 'Critico' then 'Mal prospecto'
       when 'Consolidado' then 'Prospecto consolidado' else 'Prospecto indefinido' end as decision_preliminar,
-    round_even(ratio_raw, 2) as ratio_endeudamiento_actual,
+    {python_round_sql("ratio_raw", 2)} as ratio_endeudamiento_actual,
     concat(cast(pct as varchar), '%') as prediccion_xgboost,
     case when pct >= 40 then 'RECHAZADO' else 'APROBADO' end as resultado_final,
     cast(pct as double) as pct_riesgo, pct < 40 as is_aprobado

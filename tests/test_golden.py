@@ -85,3 +85,14 @@ def test_null_flag_counts_differ_between_a1_and_a2(spark):
     assert (a1.total_solicitudes, a1.fraudes_detectados) == (2, 1)    # count(flag): non-null only
     assert (a2.total_balde, a2.fraudes_balde) == (3, 1)               # rows
     assert a2.pct_fraude == (1 / 3) * 100                            # (frauds / total) * 100
+
+
+def test_pct_text_rounds_like_python(spark):
+    import random
+    rnd = random.Random(1)
+    vals = [42.693661971830984, 0.125, 2.675, 12.345, 99.995, 0.0, 0.005, 1.005, 0.015, 100.0, 33.333333333333336]
+    vals += [rnd.randint(0, 10000) / 100 + 0.005 for _ in range(3000)] + [rnd.uniform(0, 100) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "p double")
+    got = [r.t for r in df.select(lsh.pct_text(F.col("p")).alias("t")).collect()]
+    assert got[0] == "42.69%"
+    assert got == [f"{v:.2f}%" for v in vals]
