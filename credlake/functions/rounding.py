@@ -46,8 +46,10 @@ def python_fixed(x: Column, digits: int = 2) -> Column:
     frac = F.lpad((m % scale).cast("string"), digits, "0") if digits else F.lit("")
     body = F.concat((m / scale).cast("long").cast("string"), F.lit("." if digits else ""), frac)
     a = x.cast("double")
+    # Python keeps the sign of the input, also when it rounds to zero ("-0.00").
+    negative = (a < 0) | a.cast("string").startswith("-")
     return F.when(a.isNull() | F.isnan(a), F.lit(None)).otherwise(
-        F.concat(F.when(n < 0, F.lit("-")).otherwise(F.lit("")), body))
+        F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), body))
 
 
 def python_round_sql(x: str, digits: int = 2) -> str:
