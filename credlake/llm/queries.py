@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from credlake.llm import op6_sharding, op8_simhash
+from credlake.llm import op10_pii, op2_quality, op6_sharding, op7_decontaminate, op8_simhash
 
 QUERIES = {
+    "op2_quality_rules": op2_quality.op2_quality_rules,
     "op6_rendezvous_shards": op6_sharding.op6_rendezvous_shards,
+    "op7_winnowing": op7_decontaminate.op7_winnowing,
     "op8_simhash_components": op8_simhash.op8_simhash_components,
+    "op10_pii_surrogates": op10_pii.op10_pii_surrogates,
 }
 ORACLES = {
     "op6_rendezvous_shards": op6_sharding.ORACLE,
+    "op7_winnowing": op7_decontaminate.ORACLE,
 }
