@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from credlake.llm import op10_pii, op2_quality, op6_sharding, op7_decontaminate, op8_simhash
+from credlake.llm import op1_bpe, op10_pii, op2_quality, op6_sharding, op7_decontaminate, op8_simhash
 
 QUERIES = {
+    "op1_byte_bpe": op1_bpe.op1_byte_bpe,
     "op2_quality_rules": op2_quality.op2_quality_rules,
     "op6_rendezvous_shards": op6_sharding.op6_rendezvous_shards,
     "op7_winnowing": op7_decontaminate.op7_winnowing,
