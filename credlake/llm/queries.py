@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from credlake.llm import op1_bpe, op10_pii, op2_quality, op6_sharding, op7_decontaminate, op8_simhash
+from credlake.llm import op1_bpe, op10_pii, op2_quality, op6_sharding, op7_decontaminate, op8_simhash, op9_token_counts
 
 QUERIES = {
     "op1_byte_bpe": op1_bpe.op1_byte_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_rendezvous_shards": op6_sharding.op6_rendezvous_shards,
     "op7_winnowing": op7_decontaminate.op7_winnowing,
     "op8_simhash_components": op8_simhash.op8_simhash_components,
+    "op9_token_counts": op9_token_counts.op9_token_counts,
     "op10_pii_surrogates": op10_pii.op10_pii_surrogates,
 }
 ORACLES = {
