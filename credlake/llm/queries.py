@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from credlake.llm import op1_bpe, op10_pii, op2_quality, op3_quality_classifier, op4_warc, op6_sharding, op7_decontaminate, op8_simhash, op9_token_counts
+from credlake.llm import op1_bpe, op10_pii, op2_quality, op3_quality_classifier, op4_warc, op5_suffix_dedup, op6_sharding, op7_decontaminate, op8_simhash, op9_token_counts
 
 QUERIES = {
     "op1_byte_bpe": op1_bpe.op1_byte_bpe,
     "op2_quality_rules": op2_quality.op2_quality_rules,
     "op3_pu_classifier": op3_quality_classifier.op3_pu_classifier,
     "op4_warc_round_trip": op4_warc.op4_warc_round_trip,
+    "op5_suffix_dedup": op5_suffix_dedup.op5_suffix_dedup,
     "op6_rendezvous_shards": op6_sharding.op6_rendezvous_shards,
     "op7_winnowing": op7_decontaminate.op7_winnowing,
     "op8_simhash_components": op8_simhash.op8_simhash_components,
