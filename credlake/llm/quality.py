@@ -7,9 +7,9 @@ documents is above the limit.  Such lines are removed, and a document that
 keeps less than ``min_kept`` of its words is depleted.
 
 Copies must not make a text look like boilerplate, so two documents count as
-distinct for a line only if the rest of their lines tells them apart: by the
-smallest hash of their other lines (a min-wise sketch, equal for copies and,
-mostly, for near copies).
+distinct for a line only if the rest of their lines tells them apart: by a
+min-wise sketch of their other lines, weighted by words, which is equal for
+copies and, mostly, for near copies.
 
 Words are runs of other characters than ASCII white space.  Defined results:
 null and empty texts have no words (base rule failed); a null host is a host
@@ -20,6 +20,8 @@ column of its name.  Very long texts are measured whole in one task's memory.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -73,8 +75,14 @@ def line_hash(line: bytes) -> int | None:
     return xxh3_64_intdigest(b" ".join(words)) - (1 << 63) if words else None
 
 
+def race(line: tuple[int, int]) -> tuple[float, int]:
+    """A place in the order of a document's lines: pseudo-random, earlier with more words (exponential races)."""
+    h, words = line
+    return -math.log((h + (1 << 63) + 1) / (1 << 64)) / words, h
+
+
 def measure(text: bytes) -> tuple[list[int], list[tuple[int, int]]]:
-    """The five measures, and (hash, words) of every distinct normalised line, smallest hash first."""
+    """The five measures, and (hash, words) of every distinct normalised line in the order of ``race``."""
     words = text.split()
     lines: dict[int, int] = {}
     seen, dup = set(), 0
@@ -87,7 +95,7 @@ def measure(text: bytes) -> tuple[list[int], list[tuple[int, int]]]:
         lines[h] = lines.get(h, 0) + len(line.split())
     found = [len(words), len(text.translate(None, NOT_STARTS)), len(text) - len(text.translate(None, SYMBOLS)), dup,
              repeated_words(words)]
-    return found, sorted(lines.items())
+    return found, sorted(lines.items(), key=race)
 
 
 LINES = pa.list_(pa.struct([("hash", pa.int64()), ("words", pa.int64())]))
