@@ -48,7 +48,7 @@ TITLE = "(?:" + "|".join(MALE + FEMALE) + r")\.?"
 NAME = r"\p{Lu}[\p{L}'’-]++"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
-    "secret": rf"{EDGE}(?:[0-9A-Fa-f]{{32,}}+|AKIA[0-9A-Z]{{16}}|gh[pousr]_[0-9A-Za-z]{{36,}}+|sk[-_][0-9A-Za-z_-]{{20,}}+){END}",
+    "secret": rf"{EDGE}(?:(?=[A-Fa-f]*+\d)[0-9A-Fa-f]{{32,}}+|AKIA[0-9A-Z]{{16}}|gh[pousr]_[0-9A-Za-z]{{36,}}+|sk[-_][0-9A-Za-z_-]{{20,}}+){END}",
     "iban": rf"{EDGE}[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{END}",
     "ip6": rf"(?<![\p{{L}}\p{{N}}:])(?:[0-9A-Fa-f]{{1,4}}:){{3,7}}(?::?[0-9A-Fa-f]{{1,4}}){END}",
     "ip": r"(?<![\p{L}\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?![\p{L}\p{N}]|\.\d)",
