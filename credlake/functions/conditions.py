@@ -6,8 +6,9 @@ titular.calculated_metrics.income.avg_6m > 0``); that small subset is turned
 into the same Column expressions with Python's own ``ast`` module:
 ``and``/``or``/``not`` on truthiness, comparisons, attribute access into the
 request columns, literals, ``len(x)`` and ``x in [...]``.  Anything outside
-the subset is read as SQL.  NULL (Python's None) is falsy; a comparison with
-NULL is false.
+the subset is read as SQL.  NULL (Python's None) is falsy; it equals only
+itself, so ``!=`` and ``not in`` hold for it, and an order comparison with it
+is false.
 """
 
 from __future__ import annotations
@@ -66,12 +67,13 @@ def _translate(node: ast.AST, schema: dict[str, T.DataType]) -> tuple[Column, T.
         for op, comp in zip(node.ops, node.comparators):
             if isinstance(op, (ast.In, ast.NotIn)) and isinstance(comp, (ast.List, ast.Tuple)):
                 vals = [_literal(e) for e in comp.elts]
-                cond = left.isin(vals)
+                cond = F.coalesce(left.isin([v for v in vals if v is not None]), F.lit(False))
+                cond = (cond | left.isNull()) if None in vals else cond
                 cond = ~cond if isinstance(op, ast.NotIn) else cond
             else:
                 right, _ = _translate(comp, schema)
                 ops = {ast.Gt: left > right, ast.GtE: left >= right, ast.Lt: left < right,
-                       ast.LtE: left <= right, ast.Eq: left == right, ast.NotEq: left != right}
+                       ast.LtE: left <= right, ast.Eq: left.eqNullSafe(right), ast.NotEq: ~left.eqNullSafe(right)}
                 if type(op) in (ast.Is, ast.IsNot) and isinstance(comp, ast.Constant) and comp.value is None:
                     cond = left.isNull() if isinstance(op, ast.Is) else left.isNotNull()
                 elif type(op) in ops:
@@ -87,7 +89,8 @@ def _translate(node: ast.AST, schema: dict[str, T.DataType]) -> tuple[Column, T.
         return F.size(c), T.IntegerType()
     if isinstance(node, ast.Constant):
         v = node.value
-        return F.lit(v), (T.BooleanType() if isinstance(v, bool) else None)
+        kinds = {bool: T.BooleanType(), int: T.LongType(), float: T.DoubleType(), str: T.StringType()}
+        return F.lit(v), kinds.get(type(v))
     path = _attribute_path(node)
     if path is not None:
         if path[0] == "motor":

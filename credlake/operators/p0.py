@@ -84,7 +84,7 @@ def flatten_scored(docs: DataFrame) -> DataFrame:
         return F.when(F.col("documento").isNotNull(), inner).otherwise(bare)
 
     def num(path: str) -> Column:
-        return F.coalesce(field(path).cast("double"), F.lit(0.0))
+        return F.coalesce(field(path).cast("string").try_cast("double"), F.lit(0.0))
 
     def label(path: str) -> Column:
         return F.coalesce(field(path), F.lit(NO_DATA))
@@ -100,19 +100,22 @@ def flatten_scored(docs: DataFrame) -> DataFrame:
     return docs.select(*out)
 
 
-def latest(df: DataFrame, n: int = 10000, key: str = "id", small_n: int = 1000) -> DataFrame:
-    """Newest documents first (key descending), at most ``n``.
+def latest(df: DataFrame, n: int = 10000, key: str = "id") -> DataFrame:
+    """Newest documents first (key descending, NULL keys last), at most ``n``.
 
     A plain ``orderBy().limit(n)`` is a TakeOrderedAndProject whose final
     merge receives ``n`` rows from every partition in one task (``n`` x
-    partitions).  For a large ``n`` the n-th largest key is found first by
-    exact rank selection (distributed histogram passes), the rows at or
-    above it are kept by a filter, and only those are sorted."""
-    if n <= small_n:
-        return df.orderBy(F.desc(key)).limit(n)
+    partitions).  The n-th largest key is found first by exact rank selection
+    (distributed histogram passes); rows below it, and NULL keys where there
+    are ``n`` others, are left out before the sort."""
     from credlake.operators.stats import value_at_rank
     total = df.where(F.col(key).isNotNull()).count()
-    if total <= n:
-        return df.orderBy(F.desc(key))
-    cut = value_at_rank(df, key, total - n)
-    return df.where(F.col(key) >= F.lit(cut)).orderBy(F.desc(key)).limit(n)
+    if total > n:
+        df = df.where(F.col(key) >= F.lit(value_at_rank(df, key, total - n)))
+    return df.orderBy(F.col(key).desc_nulls_last()).limit(n)
+
+
+def latest_with_count(df: DataFrame, n: int = 10000, key: str = "id") -> tuple[DataFrame, int]:
+    """T2 as the listing returns it: the rows and how many they are."""
+    rows = latest(df, n, key)
+    return rows, rows.count()

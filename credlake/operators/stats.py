@@ -6,71 +6,78 @@ Exact quantiles without one-task aggregation
 final merge happens in a single task, which does not survive 100 TB.  Here
 the value at rank k is found by histogram refinement instead: each pass is
 one distributed aggregate over the current value brackets that returns at
-most ``BUCKETS`` rows per bracket (count, min, max per equal-width bucket);
-the bucket holding rank k becomes the next bracket.  All wanted ranks are
-refined in the same passes.  When a bracket holds at most
-``COLLECT_LIMIT`` values they are fetched sorted and indexed.  A bracket
-whose min equals its max (a hot value) ends the search at once, so a
-value repeated in a third of all rows costs one pass.
+most ``BUCKETS`` rows per bracket (count, min, max per bucket); the bucket
+holding rank k becomes the next bracket.  All wanted ranks are refined in the
+same passes.  The ends of a bracket lie in its first and last bucket, so
+every pass shrinks it, and a bracket whose min equals its max (a hot value)
+ends the search at once.
+
+NaN is a missing value, as in pandas: it is left out of counts, means and
+ranks alike.  Infinities are values.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
-COLLECT_LIMIT = 50_000
+BEYOND = 1000.0  # above log1p of every finite double
+
+
+def present(c: Column, dtype: str) -> Column:
+    """The value, NULL for NaN."""
+    return F.when(~F.isnan(c), c) if dtype in ("double", "float") else c
+
+
+def _squeezed(v: Column) -> Column:
+    """A monotone image of a double with finite differences: signed log1p, infinities beyond the rest."""
+    size = F.when(F.abs(v) == F.lit(math.inf), F.lit(BEYOND)).otherwise(F.log1p(F.abs(v)))
+    return F.when(v < 0, -size).otherwise(size)
+
+
+def _squeeze(x: float) -> float:
+    return math.copysign(BEYOND if math.isinf(x) else math.log1p(abs(x)), x)
 
 
 def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
     """Exact values of the 0-based ranks ``ks`` among the non-null values of
     ``col``; all ranks are refined together, one job per pass.  Values keep
     their type (64-bit keys stay exact); only the bucket index is computed in
-    floating point, which is monotone and so never reorders values."""
+    floating point, which is monotone and so never reorders values.  Where a
+    bracket of doubles is too wide for a finite difference, its buckets are
+    equal steps of the logarithm."""
     dtype = dict(df.dtypes)[col]
-    base = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
-    if dtype in ("double", "float"):
-        base = base.where(~F.isnan("v"))
+    real = dtype in ("double", "float")
+    base = df.select(present(F.col(col), dtype).alias("v")).where(F.col("v").isNotNull())
     st = base.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).first()
     n = st["n"]
-    want = sorted({k for k in ks if 0 <= k < n})
-    # bracket per rank: (lo, hi, rows below lo, rows inside)
-    br = {k: (st["mn"], st["mx"], 0, n) for k in want}
+    # bracket per rank: (lo, hi, rows below lo)
+    br = {k: (st["mn"], st["mx"], 0) for k in sorted({k for k in ks if 0 <= k < n})}
     out: dict[int, float] = {}
-    for _ in range(64):
+    while True:
+        out |= {k: lo for k, (lo, hi, _) in br.items() if lo == hi}
         todo = {k: b for k, b in br.items() if k not in out}
-        for k, (lo, hi, _, _) in list(todo.items()):
-            if lo == hi:  # a single (possibly hot) value
-                out[k] = lo
-                del todo[k]
         if not todo:
-            break
-        uniq = sorted({(lo, hi, below, cnt) for lo, hi, below, cnt in todo.values()})
-        if sum(c for *_, c in uniq) <= COLLECT_LIMIT:
-            cond = None
-            for lo, hi, _, _ in uniq:
-                c = F.col("v").between(lo, hi)
-                cond = c if cond is None else (cond | c)
-            vals = sorted(r[0] for r in base.where(cond).collect())
-            for k, (lo, hi, below, _) in todo.items():
-                inside = [x for x in vals if lo <= x <= hi]
-                out[k] = inside[k - below]
-            break
-        los = F.array(*[F.lit(u[0]) for u in uniq])
-        his = F.array(*[F.lit(u[1]) for u in uniq])
-        # Widths and offsets from exact differences: adjacent 64-bit keys can
+            return out
+        uniq = sorted(set(todo.values()))
+        wide = [real and not math.isfinite(float(hi) - float(lo)) for lo, hi, _ in uniq]
+        los, his, far = (F.array(*[F.lit(x) for x in xs]) for xs in ([u[0] for u in uniq], [u[1] for u in uniq], wide))
+        # Spans and offsets from exact differences: adjacent 64-bit keys can
         # share one double, their difference cannot.
-        widths = F.array(*[F.lit(float(u[1] - u[0]) / BUCKETS) for u in uniq])
+        spans = F.array(*[F.lit(_squeeze(hi) - _squeeze(lo) if w else float(hi - lo)) for (lo, hi, _), w in zip(uniq, wide)])
         ids = F.filter(F.array(*[F.lit(i) for i in range(len(uniq))]),
                        lambda i: (F.col("v") >= F.get(los, i)) & (F.col("v") <= F.get(his, i)))
         x = base.select("v", F.explode(ids).alias("bid"))
-        if dtype in ("double", "float"):
-            offset = F.col("v") - F.get(los, F.col("bid"))
+        lo = F.get(los, F.col("bid"))
+        if real:
+            offset = F.when(F.get(far, F.col("bid")), _squeezed(F.col("v")) - _squeezed(lo)).otherwise(F.col("v") - lo)
         else:
-            offset = (F.col("v").cast("decimal(38,0)") - F.get(los, F.col("bid")).cast("decimal(38,0)")).cast("double")
-        bucket = F.least(F.floor(offset / F.get(widths, F.col("bid"))), F.lit(BUCKETS - 1)).cast("int")
+            offset = (F.col("v").cast("decimal(38,0)") - lo.cast("decimal(38,0)")).cast("double")
+        bucket = F.floor(offset / F.get(spans, F.col("bid")) * F.lit(BUCKETS - 1.0)).cast("int")
         hist = (x.groupBy("bid", bucket.alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect())
         by_bid: dict[int, list] = {}
@@ -80,10 +87,9 @@ def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
             below = b[2]
             for r in by_bid[uniq.index(b)]:
                 if k - below < r["n"]:
-                    br[k] = (r["mn"], r["mx"], below, r["n"])
+                    br[k] = (r["mn"], r["mx"], below)
                     break
                 below += r["n"]
-    return out
 
 
 def value_at_rank(df: DataFrame, col: str, k: int):
@@ -95,7 +101,7 @@ def exact_quantiles(df: DataFrame, col: str, ps: list[float], n: int | None = No
     """Linear interpolation between the two closest ranks (pandas / DuckDB
     ``quantile_cont``), every probability in the same refinement passes."""
     if n is None:
-        n = df.where(F.col(col).isNotNull()).count()
+        n = df.where(present(F.col(col), dict(df.dtypes)[col]).isNotNull()).count()
     if n == 0:
         return [None for _ in ps]
     pos = [p * (n - 1) for p in ps]
@@ -105,7 +111,8 @@ def exact_quantiles(df: DataFrame, col: str, ps: list[float], n: int | None = No
     for x in pos:
         k, frac = int(x), x - int(x)
         lo = float(vals[k])
-        res.append(lo if frac == 0 or k + 1 >= n else lo + (float(vals[k + 1]) - lo) * frac)
+        hi = lo if frac == 0 or k + 1 >= n else float(vals[k + 1])
+        res.append(lo if lo == hi else lo + (hi - lo) * frac)
     return res
 
 
@@ -125,7 +132,7 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     spark = df.sparkSession
     rows = []
     for c in cols:
-        v = F.col(c).cast("double")
+        v = present(F.col(c).cast("double"), "double")
         st = df.agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
                     F.min(v).alias("mn"), F.max(v).alias("mx")).first()
         q = exact_quantiles(df, c, [0.25, 0.5, 0.75], st["n"])
@@ -136,69 +143,58 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def classes_of(df: DataFrame, *cols: str) -> list:
-    """Distinct class labels (bounded by the number of classes)."""
-    vals = set()
-    for c in cols:
-        vals |= {r[0] for r in df.select(c).distinct().collect() if r[0] is not None}
-    return sorted(vals)
+def class_counts(df: DataFrame, y: str, yhat: str) -> DataFrame:
+    """Rows per (y, yhat) pair: the one pass over the data (combined before the shuffle) that A13 and A14 need."""
+    return df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(F.count(F.lit(1)).alias("n"))
 
 
-# Up to this many classes the matrix is one aggregate of conditional counts.
-FEW_CLASSES = 32
+def _classes(counts: DataFrame, classes: list | None) -> DataFrame:
+    """One row with the sorted classes, from the pair counts (or as given); NULL is no class."""
+    if classes is not None:
+        return counts.sparkSession.range(1).select(F.lit(list(classes)).alias("classes"))
+    both = counts.select(F.explode(F.array("y", "yhat")).alias("c"))
+    return both.agg(F.array_sort(F.collect_set("c")).alias("classes"))
 
 
 def confusion_matrix(df: DataFrame, y: str = "y", yhat: str = "yhat", classes: list | None = None) -> DataFrame:
-    """One row per (true, predicted) class pair, zero-filled.
-
-    Few classes: one scan with a conditional count per cell.  Many classes:
-    a ``groupBy(y, yhat)`` count, and the zero-filled grid is generated
-    from ``range(K * K)`` and joined to the class list by index (equi-joins
-    on a table with one row per class; no cross join)."""
-    classes = classes if classes is not None else classes_of(df, y, yhat)
-    if len(classes) <= FEW_CLASSES:
-        cells = [F.struct(F.lit(a).alias("y"), F.lit(b).alias("yhat"),
-                          F.count_if((F.col(y) == a) & (F.col(yhat) == b)).alias("n"))
-                 for a in classes for b in classes]
-        return df.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
-    spark = df.sparkSession
-    k = len(classes)
-    names = spark.createDataFrame([(i, c) for i, c in enumerate(classes)], ["_i", "_c"])
-    grid = spark.range(k * k).select((F.col("id") / k).cast("long").alias("_iy"), (F.col("id") % k).alias("_ix"))
-    grid = (grid.join(F.broadcast(names.toDF("_iy", "y")), "_iy")
-            .join(F.broadcast(names.toDF("_ix", "yhat")), "_ix").select("y", "yhat"))
-    counts = df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(F.count(F.lit(1)).alias("n"))
+    """One row per (true, predicted) class pair, zero-filled: the grid of
+    the classes (its size is the result's) with the pair counts joined on."""
+    counts = class_counts(df, y, yhat)
+    grid = (_classes(counts, classes).select(F.explode("classes").alias("y"), "classes")
+            .select("y", F.explode("classes").alias("yhat")))
     return grid.join(counts, ["y", "yhat"], "left").select("y", "yhat", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def classification_report(df: DataFrame, y: str = "y", yhat: str = "yhat", classes: list | None = None) -> DataFrame:
     """Precision, recall, f1, support per class; accuracy; macro and
-    weighted averages.  A zero denominator gives 0 (scikit-learn's default)."""
-    classes = classes if classes is not None else classes_of(df, y, yhat)
-    if len(classes) > FEW_CLASSES:
-        return _report_grouped(df, y, yhat, classes)
-    aggs = [F.count(F.lit(1)).alias("total"), F.count_if(F.col(y) == F.col(yhat)).alias("correct")]
-    for i, c in enumerate(classes):
-        aggs += [F.count_if((F.col(y) == c) & (F.col(yhat) == c)).alias(f"tp{i}"),
-                 F.count_if(F.col(yhat) == c).alias(f"pp{i}"),
-                 F.count_if(F.col(y) == c).alias(f"sp{i}")]
-    counts = df.agg(*aggs)
+    weighted averages.  A zero denominator gives 0 (scikit-learn's default).
+    Rows with a NULL label or prediction count in the total only."""
+    counts = class_counts(df, y, yhat)
+    zero = F.lit(0).cast("long")
+    hit = F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(zero)
+    part = lambda c, tp, pp, sp, t: F.struct(F.col(c).alias("c"), tp.alias("tp"), pp.alias("pp"), sp.alias("sp"), t.alias("t"))
+    parts = counts.select(F.inline(F.array(part("y", hit, zero, F.col("n"), F.col("n")), part("yhat", zero, F.col("n"), zero, zero))))
+    if classes is not None:
+        listed = _classes(counts, classes).select(F.explode("classes").alias("c"))
+        parts = parts.withColumn("c", F.when(F.col("c").isin(list(classes)), F.col("c")))
+        parts = parts.unionByName(listed.select("c", *[zero.alias(x) for x in ("tp", "pp", "sp", "t")]))
+    sums = parts.groupBy("c").agg(*[F.sum(x).alias(x) for x in ("tp", "pp", "sp", "t")])
 
     def div(a, b):
         return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
-    per = []
-    for i, c in enumerate(classes):
-        p = div(F.col(f"tp{i}"), F.col(f"pp{i}"))
-        r = div(F.col(f"tp{i}"), F.col(f"sp{i}"))
-        f1 = div(2 * p * r, p + r)
-        per.append(F.struct(F.lit(str(c)).alias("label"), p.alias("precision"), r.alias("recall"),
-                            f1.alias("f1"), F.col(f"sp{i}").alias("support")))
-    x = counts.select("total", "correct", F.array(*per).alias("per"))
-    k = F.lit(float(len(classes)))
+    p, r = div(F.col("tp"), F.col("pp")), div(F.col("tp"), F.col("sp"))
+    per = F.struct(F.col("c").alias("key"), F.col("c").cast("string").alias("label"), p.alias("precision"), r.alias("recall"),
+                   div(2 * p * r, p + r).alias("f1"), F.col("sp").alias("support"))
+    x = sums.agg(F.sum("t").alias("total"), F.sum("tp").alias("correct"),
+                 F.array_sort(F.collect_list(F.when(F.col("c").isNotNull(), per))).alias("per"))
+    x = x.withColumns({"total": F.coalesce("total", zero), "correct": F.coalesce("correct", zero),
+                       "per": F.transform("per", lambda s: F.struct(s["label"].alias("label"), s["precision"].alias("precision"),
+                                                                    s["recall"].alias("recall"), s["f1"].alias("f1"), s["support"].alias("support")))})
+    k = F.size("per").cast("double")
 
     def mean_of(field):
-        return F.aggregate(F.col("per"), F.lit(0.0), lambda acc, s: acc + s[field]) / k
+        return div(F.aggregate(F.col("per"), F.lit(0.0), lambda acc, s: acc + s[field]), k)
 
     def weighted(field):
         return div(F.aggregate(F.col("per"), F.lit(0.0), lambda acc, s: acc + s[field] * s.support), F.col("total"))
@@ -213,41 +209,3 @@ def classification_report(df: DataFrame, y: str = "y", yhat: str = "yhat", class
                  weighted("recall").alias("recall"), weighted("f1").alias("f1"), F.col("total").alias("support")),
     )
     return x.select(F.inline(F.concat(F.col("per"), extra)))
-
-
-def _report_grouped(df: DataFrame, y: str, yhat: str, classes: list) -> DataFrame:
-    """A14 for many classes: per-class counts from grouped counts (no
-    per-class aggregate expressions), then the same formulas."""
-    spark = df.sparkSession
-    names = spark.createDataFrame([(c,) for c in classes], ["label_value"])
-    tp = df.where(F.col(y) == F.col(yhat)).groupBy(F.col(y).alias("label_value")).agg(F.count(F.lit(1)).alias("tp"))
-    pp = df.groupBy(F.col(yhat).alias("label_value")).agg(F.count(F.lit(1)).alias("pp"))
-    sp = df.groupBy(F.col(y).alias("label_value")).agg(F.count(F.lit(1)).alias("sp"))
-    per = (names.join(tp, "label_value", "left").join(pp, "label_value", "left").join(sp, "label_value", "left")
-           .fillna(0, ["tp", "pp", "sp"]))
-
-    def div(a, b):
-        return F.when(b > 0, a / b).otherwise(F.lit(0.0))
-
-    p_ = div(F.col("tp"), F.col("pp"))
-    r_ = div(F.col("tp"), F.col("sp"))
-    per = per.select(F.col("label_value").cast("string").alias("label"), p_.alias("precision"), r_.alias("recall"),
-                     div(2 * p_ * r_, p_ + r_).alias("f1"), F.col("sp").alias("support"))
-    tot = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(y) == F.col(yhat)).alias("correct"))
-    avg = per.agg(F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-                  F.sum(F.col("precision") * F.col("support")).alias("wp"),
-                  F.sum(F.col("recall") * F.col("support")).alias("wr"),
-                  F.sum(F.col("f1") * F.col("support")).alias("wf"))
-    # Two one-row aggregates side by side (equi-join on a constant key).
-    rows = tot.select(F.lit(1).alias("_k"), "total", "correct").join(
-        avg.select(F.lit(1).alias("_k"), "*"), "_k")
-    extra = rows.select(F.inline(F.array(
-        F.struct(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                 F.lit(None).cast("double").alias("recall"), div(F.col("correct"), F.col("total")).alias("f1"),
-                 F.col("total").alias("support")),
-        F.struct(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                 F.col("mf").alias("f1"), F.col("total").alias("support")),
-        F.struct(F.lit("weighted avg").alias("label"), div(F.col("wp"), F.col("total")).alias("precision"),
-                 div(F.col("wr"), F.col("total")).alias("recall"), div(F.col("wf"), F.col("total")).alias("f1"),
-                 F.col("total").alias("support")))))
-    return per.unionByName(extra)

@@ -3,6 +3,8 @@ batch queries', so they carry the batch queries' oracle SQL."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,10 @@ def stream_lsh_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     apps = views.applications(spark, sf_dir)
     _, history = extract_sample(apps, lsh_queries.HOLDOUT_FRACTION)
     model = lsh.fit_lsh(history, views.FEATURES)
-    stats = lsh.bucket_history(model.transform(history))
+    # The history is aggregated once and stored; every micro-batch joins the stored table.
+    gold = os.path.join(scoring.stream_dir(spark, "lsh-history"), "gold")
+    lsh.bucket_history(model.transform(history)).write.parquet(gold)
+    stats = spark.read.parquet(gold)
     new = scoring.holdout_filter(scoring.application_stream(spark, sf_dir), lsh_queries.HOLDOUT_FRACTION)
     return scoring.stream_lsh_scores(spark, new, model, stats, scoring.stream_dir(spark, "lsh"))
 

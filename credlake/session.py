@@ -61,19 +61,16 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting is given by the cluster (a shared file
-    system).  Only when it is unset, as in local tests, a scratch folder is
-    created and registered.
+    On a cluster the setting is given by the cluster (a shared file system);
+    without it this raises, since a folder of one machine would split results
+    over the executors' disks.  A ``local`` session, whose tasks all run on
+    this machine, gets a scratch folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="credlake-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # some sessions refuse runtime changes of core settings
-            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path

@@ -5,7 +5,7 @@ expressions as the batch path.  Sinks are idempotent: X1 appends through
 Spark's file sink (exactly-once via its commit log), X2 writes each batch
 into its own ``batch=<id>`` folder with overwrite, so a replayed batch
 replaces its own output.  Checkpoints and outputs live under the shared
-``spark.checkpoint.dir``, never on a machine-local folder.
+``spark.checkpoint.dir``; only a local session may do without that setting.
 """
 
 from __future__ import annotations
@@ -28,13 +28,28 @@ def stream_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex}")
 
 
-def application_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """A table's Parquet files as a stream.
+
+    A table is a folder of part files, which the stream watches, or a single
+    file, for which the stream watches the folder above with a filter on the
+    file's name.  ``max_files`` bounds the files of a micro-batch; without it
+    a trigger takes all that is there.
+    """
+    path = table_path(sf_dir, name)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", os.path.basename(path)).parquet(sf_dir)
+
+
+def application_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """Orders arriving as Parquet files, joined to the (static) customers."""
-    schema = spark.read.parquet(table_path(sf_dir, "orders")).schema
-    orders = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_acctbal")
-    return views.applications_from(orders, customer)
+    return views.applications_from(table_stream(spark, sf_dir, "orders", max_files), customer)
 
 
 def stream_lsh_scores(spark: SparkSession, stream: DataFrame, model: LshModel, history_stats: DataFrame,
@@ -58,10 +73,15 @@ def stream_p0_scores(spark: SparkSession, stream: DataFrame, out_dir: str,
     scored_dir, invalid_dir = os.path.join(out_dir, "scored"), os.path.join(out_dir, "invalid")
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        scored, invalid = p0.bulk_score(batch, probability)
-        scored.write.mode("overwrite").parquet(os.path.join(scored_dir, f"batch={batch_id}"))
-        invalid.withColumn("motivos", F.array_join("motivos", "; ")).write.mode("overwrite") \
-            .parquet(os.path.join(invalid_dir, f"batch={batch_id}"))
+        # Both sinks read the batch: compute its join once (recomputed from the source if an executor is lost).
+        batch = batch.persist()
+        try:
+            scored, invalid = p0.bulk_score(batch, probability)
+            scored.write.mode("overwrite").parquet(os.path.join(scored_dir, f"batch={batch_id}"))
+            invalid.withColumn("motivos", F.array_join("motivos", "; ")).write.mode("overwrite") \
+                .parquet(os.path.join(invalid_dir, f"batch={batch_id}"))
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(each_batch)
          .option("checkpointLocation", os.path.join(out_dir, "checkpoint"))

@@ -53,10 +53,9 @@ def test_scored_append_insights_and_delete(spark, tmp_path):
     assert writers.save_record(flat, ["id", "resultado_final"], str(tmp_path / "rec")) == n   # K6
 
 
-def test_exact_quantiles_match_numpy(spark, monkeypatch):
+def test_exact_quantiles_match_numpy(spark):
     df = spark.read.parquet(f"{SF_CHECK}/orders.parquet").select("o_totalprice")
     vals = np.array([r[0] for r in df.collect()])
-    monkeypatch.setattr(stats, "COLLECT_LIMIT", 500)   # force histogram refinement passes
     for p in (0.0, 0.25, 0.5, 0.75, 1.0):
         assert stats.exact_quantile(df, "o_totalprice", p) == pytest.approx(np.quantile(vals, p), rel=1e-12)
 
@@ -112,10 +111,9 @@ def test_cluster_conf_sizes_partitions():
     assert cluster_conf(1 << 30, 10, 4)["spark.sql.shuffle.partitions"] == "80"
 
 
-def test_rank_selection_is_exact_for_64bit_keys(spark, monkeypatch):
+def test_rank_selection_is_exact_for_64bit_keys(spark):
     big = 2 ** 62
     df = spark.range(5000).select((F.lit(big) + F.col("id") * 3).alias("k"))
-    monkeypatch.setattr(stats, "COLLECT_LIMIT", 100)
     got = stats.values_at_ranks(df, "k", [0, 1234, 4999])
     assert got == {0: big, 1234: big + 1234 * 3, 4999: big + 4999 * 3}
 
@@ -146,23 +144,55 @@ def test_lsh_evaluation_job_round_trip(spark, tmp_path):
     assert set(r.decision for r in reports.collect()) <= {"APROBADA", "REVISION_EXHAUSTIVA", "RECHAZADA"}
 
 
-def test_confusion_matrix_paths_agree(spark, monkeypatch):
+def test_confusion_matrix_of_any_number_of_classes(spark):
     df = spark.range(3000).select((F.col("id") % 7).alias("y"), ((F.col("id") * 3) % 5).alias("yhat"))
-    few = {(r.y, r.yhat): r.n for r in stats.confusion_matrix(df).collect()}
-    monkeypatch.setattr(stats, "FEW_CLASSES", 2)
-    many = {(r.y, r.yhat): r.n for r in stats.confusion_matrix(df).collect()}
-    assert few == many and len(few) == 49 and sum(few.values()) == 3000
-
-
-def test_classification_report_paths_agree(spark, monkeypatch):
-    df = spark.range(3000).select((F.col("id") % 4).alias("y"), ((F.col("id") * 3 + F.col("id") % 7) % 4).alias("yhat"))
-    few = {r.label: tuple(r) for r in stats.classification_report(df).collect()}
-    monkeypatch.setattr(stats, "FEW_CLASSES", 2)
-    many = {r.label: tuple(r) for r in stats.classification_report(df).collect()}
-    assert few.keys() == many.keys()
-    for k in few:
-        for a, b in zip(few[k], many[k]):
-            assert a == b or (isinstance(a, float) and abs(a - b) < 1e-12), (k, few[k], many[k])
+    got = {(r.y, r.yhat): r.n for r in stats.confusion_matrix(df).collect()}
+    rows = [(i % 7, i * 3 % 5) for i in range(3000)]
+    assert got == {(a, b): rows.count((a, b)) for a in range(7) for b in range(7)}
+    many = spark.range(5000).select((F.col("id") % 90).alias("y"), (F.col("id") % 45).alias("yhat"))
+    assert stats.confusion_matrix(many).count() == 8100
+    listed = stats.confusion_matrix(df, classes=[1, 99]).collect()
+    assert {(r.y, r.yhat): r.n for r in listed} == {(1, 1): rows.count((1, 1)), (1, 99): 0, (99, 1): 0, (99, 99): 0}
+
+
+def test_classification_report_against_plain_counts(spark):
+    pairs = [(i % 40 if i % 11 else None, (i * 3 + i % 7) % 40) for i in range(3000)]
+    df = spark.createDataFrame(pairs, "y long, yhat long")
+    got = {r.label: r for r in stats.classification_report(df).collect()}
+    for c in range(40):
+        tp = sum(a == b == c for a, b in pairs)
+        said, are = sum(b == c for _, b in pairs), sum(a == c for a, _ in pairs)
+        assert got[str(c)].support == are
+        assert got[str(c)].precision == pytest.approx(tp / said if said else 0) and got[str(c)].recall == pytest.approx(tp / are if are else 0)
+    assert got["accuracy"].support == 3000 and got["accuracy"].f1 == pytest.approx(sum(a == b for a, b in pairs) / 3000)
+    assert got["macro avg"].recall == pytest.approx(np.mean([got[str(c)].recall for c in range(40)]))
+    empty = stats.classification_report(df.limit(0)).collect()
+    assert [r.label for r in empty] == ["accuracy", "macro avg", "weighted avg"]
+
+
+@pytest.mark.parametrize("odd", [[float("inf")], [1.7e308, -1.7e308], [float("-inf"), float("inf"), 5e-324]])
+def test_quantiles_with_extreme_values_over_many_rows(spark, odd):
+    plain = [float(i % 977) for i in range(60_000)]
+    df = spark.range(60_000).select((F.col("id") % 977).cast("double").alias("v")).unionByName(spark.createDataFrame([(x,) for x in odd], "v double"))
+    ranked = sorted(plain + odd)
+    ks = [0, 1, 2, 30_000, len(ranked) - 3, len(ranked) - 1]
+    assert stats.values_at_ranks(df, "v", ks) == {k: ranked[k] for k in ks}
+
+
+def test_describe_leaves_nan_out(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(float("nan"),), (None,)], "v double")
+    r = stats.describe(df, ["v"]).first()
+    assert (r["count"], r["mean"], r.p50, r["max"]) == (10, 4.5, 4.5, 9.0)
+
+
+def test_latest_has_one_rule_for_null_keys(spark):
+    from credlake.operators import p0
+    keys = [(i,) for i in range(5)] + [(None,)] * 10
+    df = spark.createDataFrame(keys, "id long")
+    for n in (3, 5, 8, 2000):
+        want = ([4, 3, 2, 1, 0] + [None] * 10)[:n]
+        rows, count = p0.latest_with_count(df, n)
+        assert [r.id for r in rows.collect()] == want and count == len(want)
 
 
 def test_command_line_runs_a_query(spark, tmp_path, capsys):

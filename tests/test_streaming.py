@@ -43,3 +43,18 @@ def test_stream_lsh_equals_batch(spark, tmp_path):
         "id", "firma_lsh", "total_balde", "fraudes_balde",
         F.when(F.col("encontrado"), F.col("pct_fraude")).alias("pct_fraude"), "decision")
     assert _same(got.select(batch.columns), batch)
+
+
+def test_streams_read_tables_of_many_part_files(spark, tmp_path):
+    root = str(tmp_path / "sf")
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").repartition(3).write.parquet(f"{root}/orders.parquet")
+    spark.read.parquet(f"{SF_SMALL}/customer.parquet").write.parquet(f"{root}/customer.parquet")
+    risk = F.col("ingreso_mensual"), F.col("deuda_actual"), F.col("score_crediticio")
+    stream = scoring.application_stream(spark, root, max_files=1).withColumn("p_riesgo", views.closed_form_risk(*risk))
+    scored, invalid = scoring.stream_p0_scores(spark, stream, str(tmp_path / "out"))
+    b_scored, b_invalid = p0.bulk_score(views.risk_input(spark, SF_SMALL))
+    assert len(os.listdir(str(tmp_path / "out" / "scored"))) == 3          # a micro-batch per part file
+    assert _same(scored.select(b_scored.columns), b_scored) and invalid.count() == b_invalid.count()
+
+    from credlake.plans.stream_queries import stream_lsh_scoring
+    assert _same(stream_lsh_scoring(spark, root), stream_lsh_scoring(spark, SF_SMALL))
