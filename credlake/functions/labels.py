@@ -100,13 +100,17 @@ def risk_pct_text(p: Column) -> Column:
     return F.concat(risk_pct(p).cast("string"), F.lit("%"))
 
 
+# What Python's strip() takes off.
+BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]+"
+
+
 def approval(pct_text: Column) -> Column:
     """strip ``%``, trim, parse an integer; >= 40 rejected, else approved.
 
     Text that is not an integer gives ``ERROR_EVALUACION: <message>`` with
     the message the reference's parser prints.
     """
-    stripped = F.trim(F.regexp_replace(pct_text, "%", ""))
+    stripped = F.regexp_replace(F.regexp_replace(pct_text, "%", ""), f"^{BLANKS}|{BLANKS}$", "")
     is_int = stripped.rlike(r"^[+-]?[0-9]+$")
     n = F.when(is_int, (stripped).try_cast("bigint"))
     err = F.when(pct_text.isNull(), F.lit("'NoneType' object has no attribute 'replace'")).otherwise(

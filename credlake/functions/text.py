@@ -22,6 +22,19 @@ def fill(template: str, **values: Column) -> Column:
     return F.concat(*parts) if parts else F.lit("")
 
 
+def python_float(x: Column) -> Column:
+    """Text of a double as Python prints it: plain from 1e-4 to below 1e16, else with an exponent of two digits or more."""
+    text = x.cast("double").cast("string")
+    power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int")
+    plain = F.regexp_replace(F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", ""), r"\.$", ".0")
+    mantissa = F.regexp_replace(F.regexp_extract(text, "^(-?[0-9.]+)E", 1), r"\.0$", "")
+    exponent = F.concat(mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    exponent = F.when(F.abs(power) > 99, F.concat(mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                                                  F.abs(power).cast("string"))).otherwise(exponent)
+    return (F.when(F.isnan(x.cast("double")), F.lit("nan")).when(text == "Infinity", F.lit("inf")).when(text == "-Infinity", F.lit("-inf"))
+            .when(power.isNull(), text).when(power.between(-4, 15), plain).otherwise(exponent))
+
+
 def fixed2(x: Column) -> Column:
     """Text of ``x`` with two decimals exactly as Python's ``f"{x:.2f}"``."""
     from credlake.functions.rounding import python_fixed

@@ -109,17 +109,14 @@ def recommend_products(df: DataFrame, code_col: str = "resultado_final") -> Data
 def check_permissions(requests: DataFrame, user_roles: DataFrame, role_permissions: DataFrame) -> DataFrame:
     """Adds ``allowed`` = some role of the user holds ``resource:action``.
 
-    Equi-joins only: request x user roles (left, so users without a role
-    stay), then role permissions (distinct, so no duplicates), then one
-    aggregate per request folds several roles into one flag.  The requests
-    are read once."""
-    perms = (role_permissions.select(F.col("role").alias("_r"), F.col("permission").alias("_p"))
-             .distinct().withColumn("_hit", F.lit(True)))
+    Equi-joins only: what each user holds (distinct user and permission,
+    through the roles) is joined to the requests as a flag, so every request
+    gives one row, repeated requests included."""
+    held = (user_roles.select(F.col("user_id").alias("_user"), "role").join(role_permissions.select("role", F.col("permission").alias("_held")), "role")
+            .select("_user", "_held").distinct())
     needed = requests.withColumn("_perm", F.concat(F.col("resource"), F.lit(":"), F.col("action")))
-    with_roles = needed.join(user_roles.select("user_id", F.col("role").alias("_role")), "user_id", "left")
-    hit = with_roles.join(perms, (F.col("_role") == F.col("_r")) & (F.col("_perm") == F.col("_p")), "left")
-    keys = [c for c in requests.columns]
-    return hit.groupBy(*keys).agg(F.coalesce(F.max("_hit"), F.lit(False)).alias("allowed"))
+    flagged = needed.join(held, (F.col("user_id") == F.col("_user")) & (F.col("_perm") == F.col("_held")), "left")
+    return flagged.select(*requests.columns, F.col("_held").isNotNull().alias("allowed"))
 
 
 # ------------------------------------------------------------------ K7
@@ -138,12 +135,15 @@ def value_counts(df: DataFrame, label: str, names: bool = True) -> DataFrame:
 
 def aggregate_data(df: DataFrame, operations: dict[str, str]) -> DataFrame:
     """``{field: sum|avg|count}``; an absent value counts as 0 in sum
-    and avg; count is all rows; avg of no rows is NULL."""
+    and avg; count is all rows; avg of no rows is NULL.  Sums are exact in
+    steps of 1e-6, to which every value is rounded first; a NaN among the
+    values makes the sum NULL, since a DECIMAL has no NaN, and the avg NaN."""
     aggs: list[Column] = []
     for field, op in operations.items():
         v = F.coalesce(F.col(field).cast("double"), F.lit(0.0)) if field in df.columns else F.lit(0.0)
         if op == "sum":
-            aggs.append(F.sum(v.cast("decimal(38,6)")).alias(field))
+            total = F.sum(F.when(~F.isnan(v), v).cast("decimal(38,6)"))
+            aggs.append(F.when(~F.coalesce(F.bool_or(F.isnan(v)), F.lit(False)), total).alias(field))
         elif op == "avg":
             aggs.append(F.avg(v).alias(field))
         elif op == "count":

@@ -48,8 +48,12 @@ MONEY = "decimal(38,6)"
 
 def exact_sum(c: Column) -> Column:
     """Order-independent sum of a double column: DECIMAL(38,6) accumulation
-    and result, so no engine-specific double rounding enters the total."""
-    return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0).cast(MONEY))
+    and result, so no engine-specific double rounding enters the total.
+    Values are rounded to 6 decimals; a NaN makes the sum NULL (a DECIMAL
+    has none), it is never left out."""
+    value = c.cast("double")
+    total = F.coalesce(F.sum(F.when(~F.isnan(value), c).cast(MONEY)), F.lit(0).cast(MONEY))
+    return F.when(~F.coalesce(F.bool_or(F.isnan(value)), F.lit(False)), total)
 
 
 def _count_if(cond: Column) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from credlake.functions.text import fill
+from credlake.functions.text import fill, python_float
 from credlake.operators.requests import OBSERVATION, titular_index
 
 State = dict[str, Column]
@@ -38,12 +38,13 @@ REASON_NO_INCOME = "No se detectaron ingresos válidos."
 
 
 def json_text(s: Column) -> Column:
-    """A string as a JSON string literal."""
-    return F.concat(F.lit('"'), F.regexp_replace(s, r'(["\\])', r"\\$1"), F.lit('"'))
+    """A string as a JSON string literal, every control character escaped."""
+    listed = F.to_json(F.array(s))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
 def json_number(x: Column) -> Column:
-    return x.cast("string")
+    return python_float(x)
 
 
 def observation(fn_name: Column | str, message: Column, value: Column) -> Column:
@@ -121,7 +122,7 @@ def rl_renta_minima(state: State) -> State:
     rent = state["context"].monthly_rent
     none = idx < 0
     low = ~none & (renta < rent * F.lit(RENT_FACTOR))
-    reason = fill(REASON_LOW_INCOME, renta=renta, factor=F.lit(str(RENT_FACTOR)), arriendo=rent)
+    reason = fill(REASON_LOW_INCOME, renta=python_float(renta), factor=F.lit(str(RENT_FACTOR)), arriendo=python_float(rent))
     s = reject_if(state, none, CODE_NO_TITULAR, F.lit(REASON_NO_TITULAR))
     s = reject_if(s, F.coalesce(low, F.lit(False)), CODE_LOW_INCOME, reason)
     ok = ~none & F.coalesce(~low, F.lit(False))

@@ -64,7 +64,7 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
     ``n_class / 1 000 003`` rows; ``stats.value_at_rank``, never a collect of
     an unbounded group).
     The split itself is then one narrow filter: no window, no shuffle of the
-    data, nothing per class in a single task.
+    data, nothing per class in a single task.  NULL is a class of its own.
     """
     h = split_hash(F.col(key), seed)
     keyed = df.withColumn("_h", h)
@@ -77,7 +77,7 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
     def locate(rows, rank_of):
         """rows: (class, bucket, n) -> {class: (bucket, rows before it)} holding rank_of[class]."""
         acc: dict = {}
-        for c, b, n in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        for c, b, n in sorted(rows, key=lambda r: r[1]):  # buckets in order within each class
             if c not in rank_of or c in acc and acc[c][0] is not None:
                 continue
             below = acc.get(c, (None, 0))[1]
@@ -88,22 +88,22 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
         return acc
 
     block = F.floor(F.col("_h") / 1024).cast("long")
-    coarse = keyed.where(F.col(label).isin(list(want))).groupBy(label, block.alias("b")).agg(F.count(F.lit(1)))
+    coarse = keyed.groupBy(label, block.alias("b")).agg(F.count(F.lit(1)))
     rank = {c: t - 1 for c, t in want.items()}
     lvl1 = locate([tuple(r) for r in coarse.collect()], rank)
     in_block = None
     for c, (b, _) in lvl1.items():
-        cond = (F.col(label) == F.lit(c)) & (block == F.lit(b))
+        cond = F.col(label).eqNullSafe(F.lit(c)) & (block == F.lit(b))
         in_block = cond if in_block is None else (in_block | cond)
     fine = keyed.where(in_block).groupBy(label, "_h").agg(F.count(F.lit(1)))
     lvl2 = locate([tuple(r) for r in fine.collect()], {c: rank[c] - lvl1[c][1] for c in lvl1})
     cuts = {}
     for c, (hstar, below) in lvl2.items():
         take = rank[c] - lvl1[c][1] - below  # 0-based rank among keys sharing h*
-        tie = keyed.where((F.col(label) == F.lit(c)) & (F.col("_h") == F.lit(hstar))).select(key)
+        tie = keyed.where(F.col(label).eqNullSafe(F.lit(c)) & (F.col("_h") == F.lit(hstar))).select(key)
         cuts[c] = (hstar, value_at_rank(tie, key, take))
     test = F.lit(False)
     for c, (hstar, kstar) in cuts.items():
-        test = test | ((F.col(label) == F.lit(c)) & ((F.col("_h") < F.lit(hstar)) |
+        test = test | (F.col(label).eqNullSafe(F.lit(c)) & ((F.col("_h") < F.lit(hstar)) |
                                                       ((F.col("_h") == F.lit(hstar)) & (F.col(key) <= F.lit(kstar)))))
     return keyed.withColumn("is_test", test).drop("_h")

@@ -32,14 +32,17 @@ def _reasons(checks: list[tuple[Column, str]]) -> Column:
 def application_checks() -> list[tuple[Column, str]]:
     inc, score = F.col("ingreso_mensual"), F.col("score_crediticio")
     amt, months, debt = F.col("monto_solicitado"), F.col("antiguedad_laboral_meses"), F.col("deuda_actual")
-    # A NULL comparison is NULL, so every check is wrapped to count NULL as bad.
+
+    def fails(ok: Column, value: Column) -> Column:
+        # NULL makes a comparison NULL, and Spark puts NaN above all numbers; both are bad values.
+        return F.coalesce(~ok | F.isnan(value.cast("double")), F.lit(True))
     return [
-        (F.coalesce(~(inc > 0), F.lit(True)), "ingreso_mensual must be > 0"),
-        (F.coalesce(~((score >= SCORE_MIN) & (score <= SCORE_MAX)), F.lit(True)), "score_crediticio must be in [300, 850]"),
-        (F.coalesce(~(amt > 0), F.lit(True)), "monto_solicitado must be > 0"),
-        (F.coalesce(~((months >= 0) & (months.cast("double") == F.floor(months.cast("double")))), F.lit(True)),
+        (fails(inc > 0, inc), "ingreso_mensual must be > 0"),
+        (fails((score >= SCORE_MIN) & (score <= SCORE_MAX), score), "score_crediticio must be in [300, 850]"),
+        (fails(amt > 0, amt), "monto_solicitado must be > 0"),
+        (fails((months >= 0) & (months.cast("double") == F.floor(months.cast("double"))), months),
          "antiguedad_laboral_meses must be an integer >= 0"),
-        (F.coalesce(~(debt >= 0), F.lit(True)), "deuda_actual must be >= 0"),
+        (fails(debt >= 0, debt), "deuda_actual must be >= 0"),
     ]
 
 

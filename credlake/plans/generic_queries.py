@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from credlake.functions.scoring import decrypt_column, encrypt_column
 from credlake.operators import generic, p0, stats
 from credlake.operators.sampling import in_sample, sample_cut, stratified_split
+from credlake.session import cut_lineage
 from credlake.plans.registry import query
 from credlake.plans.sql_views import with_views
 from credlake.sources import views
@@ -219,14 +220,23 @@ def stratified_split_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 TEST_KEY = "credlake-test-key-0123456789abcd"
 
 
-@query("encrypt_roundtrip", "select c_custkey as id, true as ok from customer")
+@query("encrypt_roundtrip", """
+select c_custkey as id, c_name as text, octet_length(encode(c_name)) + 28 as sealed_bytes, false as shows_text, false as opens_with_other_key,
+  cast(1 as bigint) as rows_with_this_token from customer""")
 def encrypt_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AES-256-GCM of customer names decrypts back to the same text."""
+    """AES-256-GCM of customer names: the text it decrypts to, the sealed
+    size (12 bytes IV, 16 bytes tag), and three things that must not hold: the
+    text shows in the token, another key opens it, two rows share a token."""
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
-    key = F.lit(TEST_KEY.encode("utf-8")[:32])
-    enc = c.select("c_custkey", "c_name", encrypt_column(F.col("c_name"), key).alias("token"))
-    return enc.select(F.col("c_custkey").alias("id"),
-                      (decrypt_column(F.col("token"), key) == F.col("c_name")).alias("ok"))
+    key, other = (F.lit(k.encode("utf-8")[:32]) for k in (TEST_KEY, TEST_KEY[::-1]))
+    # Written once: a random IV drawn anew by each use of the column would prove nothing.
+    enc = cut_lineage(c.select("c_custkey", "c_name", encrypt_column(F.col("c_name"), key).alias("token")))
+    same = enc.groupBy("token").agg(F.count("*").alias("rows_with_this_token"))
+    sealed = F.unbase64("token")
+    opened = F.try_aes_decrypt(sealed, other, F.lit("GCM"))
+    return enc.join(same, "token").select(
+        F.col("c_custkey").alias("id"), decrypt_column(F.col("token"), key).alias("text"), F.octet_length(sealed).cast("bigint").alias("sealed_bytes"),
+        F.contains(sealed, F.col("c_name").cast("binary")).alias("shows_text"), opened.isNotNull().alias("opens_with_other_key"), "rows_with_this_token")
 
 
 P13_SQL = ("select o_orderpriority, count(*) as n, min(o_totalprice) as min_price, max(o_totalprice) as max_price "

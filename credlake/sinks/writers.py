@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +33,17 @@ def append_scored(df: DataFrame, path: str, key: str | None = None) -> int:
     """K2: append scored documents; returns the rows inserted.
 
     With ``key``, rows whose key is already stored are skipped (anti join
-    against the stored keys), so a replayed batch inserts nothing twice."""
+    against the stored keys) and of the batch's own rows of one key one is
+    kept, so a replayed batch inserts nothing twice.  A store that is not
+    there yet is empty; any other read error is raised."""
     spark = df.sparkSession
     if key is not None:
+        df = df.dropDuplicates([key])
         try:
-            stored = spark.read.parquet(path).select(key)
-            df = df.join(stored, key, "left_anti")
-        except Exception:  # nothing stored yet
-            pass
+            df = df.join(spark.read.parquet(path).select(key), key, "left_anti")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     return _count_while_writing(df, lambda d: d.write.mode("append").parquet(path))
 
 
