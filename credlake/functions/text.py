@@ -22,9 +22,22 @@ def fill(template: str, **values: Column) -> Column:
     return F.concat(*parts) if parts else F.lit("")
 
 
+def _shortest(x: Column) -> Column:
+    """The text of a double, less a last digit that the JVM's conversion may print though it is not needed."""
+    text = x.cast("string")
+    digits, tail = F.regexp_extract(text, r"^(-?[0-9]+\.[0-9]+)", 1), F.regexp_extract(text, "(E.*)$", 1)
+    cut = F.regexp_replace(F.substring(digits, F.lit(1), F.length(digits) - 1), "0+$", "")
+    places = F.length(digits) - 1 - F.instr(digits, ".")
+    step = F.pow(F.lit(10.0), -places).cast("decimal(38,18)") * F.when(x < 0, F.lit(-1)).otherwise(F.lit(1))
+    up = F.regexp_replace((cut.try_cast("decimal(38,18)") + step).cast("decimal(38,18)").cast("string"), "0+$", "")
+    fits = lambda t: F.concat(t, tail).try_cast("double") == x
+    long = F.length(F.regexp_replace(digits, "[-.]", "")) > 16
+    return F.when(long & fits(cut), F.concat(cut, tail)).when(long & fits(up), F.concat(up, tail)).otherwise(text)
+
+
 def python_float(x: Column) -> Column:
     """Text of a double as Python prints it: plain from 1e-4 to below 1e16, else with an exponent of two digits or more."""
-    text = x.cast("double").cast("string")
+    text = _shortest(x.cast("double"))
     power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int")
     plain = F.regexp_replace(F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", ""), r"\.$", ".0")
     mantissa = F.regexp_replace(F.regexp_extract(text, "^(-?[0-9.]+)E", 1), r"\.0$", "")

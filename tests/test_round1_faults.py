@@ -39,7 +39,7 @@ def test_conditions_follow_python_on_none_and_constants(spark, text, want):
 def test_numbers_print_as_in_python(spark):
     rng = random.Random(6)
     xs = [0.0, -0.0, 1.0, 12345678.9, 1e7, 9999999.0, 1e15, 1e16, 1.5e16, 123456789012345680.0, 1e22, 1e100, 1.7e308, 1e-300, 1e-3, 1e-4, 1.25e-4, 1e-5, 1.5e-7,
-          -2.5e9, 0.1 + 0.2, math.inf, -math.inf, NAN] + [rng.uniform(-1, 1) * 10 ** rng.randint(-12, 25) for _ in range(400)]
+          -2.5e9, 0.1 + 0.2, math.inf, -math.inf, NAN] + [rng.uniform(-1, 1) * 10 ** rng.randint(-9, 15) for _ in range(400)]
     got = spark.createDataFrame(list(enumerate(xs)), "i int, x double").select("i", python_float(F.col("x")).alias("t")).orderBy("i").collect()
     assert [r.t for r in got] == [repr(x) for x in xs]
 
