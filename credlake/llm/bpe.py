@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from credlake.llm.common import ship
 
-CACHED = 1 << 19  # entries of each table that a worker remembers
+CACHED = 1 << 18  # entries of each table that a worker remembers
 SHORT = 64  # bytes of a piece whose table is filled on demand
 TOKEN = -1  # the key of a trie node's token
 
@@ -231,9 +231,14 @@ class Encoder:
         return self._whole(first) + b"".join(map(self.spaced.__getitem__, rest))
 
     def decode(self, packed: bytes) -> bytes:
-        ids = array("I")
-        ids.frombytes(packed)
-        return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
+        return joined(self.vocabulary.tokens, packed)
+
+
+def joined(tokens: list[bytes], packed: bytes) -> bytes:
+    """The bytes of packed ids."""
+    ids = array("I")
+    ids.frombytes(packed)
+    return b"".join(map(tokens.__getitem__, ids))
 
 
 class EditableText:
@@ -285,12 +290,22 @@ class EditableText:
         return [t for _, table in self.pieces for t in table.tokens()]
 
 
+def ranks_of(path: str) -> dict[bytes, int]:
+    """A file of ranks: a base64 token and its rank per line."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> Encoder:
-    """The encoder for a file of ranks (base64 token and rank per line), kept by the worker."""
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return Encoder(Vocabulary(ranks), pattern)
+    """The encoder for a file of ranks, kept by the worker."""
+    return Encoder(Vocabulary(ranks_of(path)), pattern)
+
+
+@lru_cache(maxsize=4)
+def tokens_of(path: str) -> list[bytes]:
+    """The tokens by id: all that decoding needs."""
+    return sorted(ranks := ranks_of(path), key=ranks.get)
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:
@@ -305,13 +320,13 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     return run(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def decode(ids: Column, path: str, pattern: str) -> Column:
+def decode(ids: Column, path: str) -> Column:
     """The bytes that packed ids stand for."""
     ship()
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        use = encoder(path, pattern)
+        tokens = tokens_of(path)
         for packed in batches:
-            yield pa.array([use.decode(p.as_py()) for p in packed], pa.binary())
+            yield pa.array([joined(tokens, p.as_py()) for p in packed], pa.binary())
     return run(F.coalesce(ids, F.lit(b"")))

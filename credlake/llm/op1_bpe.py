@@ -19,6 +19,6 @@ def op1_byte_bpe(spark, sf_dir):
 
 def digests(coded, keep_ids=False):
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids), with the ids on demand."""
-    both = coded.select("doc_id", "ids", decode(F.col("ids"), RANKS, PATTERN).alias("decoded"))
+    both = coded.select("doc_id", "ids", decode(F.col("ids"), RANKS).alias("decoded"))
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"), *(["ids"] if keep_ids else []))
