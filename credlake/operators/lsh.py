@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from credlake.functions.lsh import DEFAULT_BITS, DEFAULT_SEED, LshModel, projection_matrix
 from credlake.functions.text import fill, fixed2
 
-# Broadcast the bucket table only below this many rows (proven bound).
-MAX_BROADCAST_BUCKETS = 2_000_000
+# Hint a broadcast of the bucket table only where the most buckets there can be, at
+# about 128 bytes each in memory, stay within 16 MB; else Spark picks the join.
+MAX_BROADCAST_BUCKETS = (16 << 20) // 128
 
 # Fixed values of the reference decision rule.
 RATE_REJECT = 50.0

@@ -182,6 +182,24 @@ def lsh_evaluation_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.evaluation_documents(scored, FEATURES)
 
 
+def _filled(template: str) -> str:
+    """A reason template as an SQL ``printf`` of the percentage."""
+    return "printf('" + template.replace("%", "%%").replace("{pct}", "%.2f") + "', pct_fraude)"
+
+
+@query("lsh_evaluation_texts", f"""
+select id, firma_lsh, total_balde, fraudes_balde, case when total_balde is not null then printf('%.2f%%', pct_fraude) end as probabilidad_historial,
+  case when total_balde is null then '{lsh.PCT_UNKNOWN}' end as probabilidad_fraude, decision,
+  case when total_balde is null then '{lsh.REASON_MISS}' when pct_fraude >= {lsh.RATE_REJECT}e0 then {_filled(lsh.REASON_REJECT)}
+       when pct_fraude >= {lsh.RATE_REVIEW}e0 then {_filled(lsh.REASON_REVIEW)} else {_filled(lsh.REASON_APPROVE)} end as razon
+from ({_HOLDOUT_SQL}) scored""")
+def lsh_evaluation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F12's texts: the evaluation reports without their random ids and times."""
+    return lsh_evaluation_reports(spark, sf_dir).select(
+        "id", "firma_lsh", "historial.total_balde", "historial.fraudes_balde", F.col("historial.probabilidad_fraude").alias("probabilidad_historial"),
+        "probabilidad_fraude", "decision", "razon")
+
+
 @query("lsh_embedding_top_buckets", f"""
 with signed as (
   select vec_id, {_emb_signature_sql()} as firma_lsh, case when label = {EMB_TARGET} then 1 else 0 end as target
