@@ -145,6 +145,36 @@ from requests r left join (select request_id, min(pos) as tpos from applicants w
   on r.id = t.request_id""")
 
 
+@query("flow_p0_observations", _flow_sql("""
+select cast(id as varchar) as id, fn_name, message, number, value from said""", f"""
+said as (
+  select request_id as id, '{rules.AVG_OBS_NAME}' as fn_name,
+    'Promedio calculado App ' || cast(request_id as varchar) || '-' || cast(pos as varchar) as message,
+    round(avg6, 6) as number, cast(null as varchar) as value
+  from app where has_obs
+  union all
+  select k.id, 'SYSTEM', 'Rechazo Automático: RL_DICOM_HARD', null,
+    '"Aplicante ' || cast(k.id as varchar) || '-' || cast(a.pos as varchar) || ' tiene antecedentes comerciales bloqueantes."'
+  from k join app a on a.request_id = k.id where branch and a.is_hard_debt
+  union all
+  select id, 'SYSTEM', 'Rechazo Automático: RL_RENTA_INSUFICIENTE', round(tavg, 6),
+    '"Renta (#) inferior a 3.0x el arriendo (' || cast(monthly_rent as varchar) || ')"'
+  from k where low
+  union all
+  select id, 'SYSTEM', 'Rechazo Automático: ' || case when tpos is null then 'RL_NO_TITULAR' else 'RL_SIN_INGRESOS' end, null,
+    case when tpos is null then '"No existe titular"' else '"No se detectaron ingresos válidos."' end
+  from k where not branch
+)"""))
+def flow_p0_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2-R5's and A10's observation texts.  The mean income is compared as a
+    number (its last bit depends on the order of a sum), with ``#`` in the text."""
+    x = flows._barrier(run_flow(spark, sf_dir, "p0").select("id", "observations")).select("id", F.inline("observations"))
+    x = flows._barrier(x)
+    income = F.coalesce(F.col("value").try_cast("double"), F.regexp_extract("value", r"Renta \(([^)]*)\)", 1).try_cast("double"))
+    text = F.when(F.col("fn_name") != rules.AVG_OBS_NAME, F.regexp_replace("value", r"Renta \([^)]*\)", "Renta (#)"))
+    return x.select("id", "fn_name", "message", F.round(income, 6).alias("number"), text.alias("value"))
+
+
 @query("flow_titular", _TITULAR_SQL)
 def flow_titular(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first TITULAR of each request, in applicant order."""
