@@ -6,8 +6,9 @@
   ``GBTClassifier`` per class (one-vs-rest) and the three P(class) are
   normalised to sum to 1.  (``OneVsRest`` exposes no probabilities.)
 * Hyper-parameters follow the reference notebook: depth 4, step 0.1, row
-  and column sample 0.8, seed 42; rounds default to 200 and are lowered in
-  the registered queries to keep the checks fast.
+  and column sample 0.8, seed 42, 200 rounds.
+* Models are fitted once, saved, and loaded by whatever scores with them
+  (``fitted``, ``jobs.score_to_documents``, ``streaming.scoring``).
 
 Training is distributed by Spark ML (histogram split finding per
 partition, tree aggregation); scoring is a narrow projection.
@@ -15,6 +16,8 @@ partition, tree aggregation); scoring is a narrow projection.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -85,16 +88,49 @@ class MultiClassModel:
         return spark.createDataFrame(rows, "feature string, importance double").orderBy("importance", "feature")
 
 
+    def save(self, path: str) -> None:
+        """The class models below ``path``, then what names them (so a listed model is a whole one)."""
+        for k, m in zip(self.classes, self.models):
+            m.write().overwrite().save(f"{path}/class-{k}")
+        spark = SparkSession.active()
+        spark.createDataFrame([(json.dumps({"classes": self.classes, "features": self.features}),)], "v string").coalesce(1) \
+            .write.mode("overwrite").text(f"{path}/about")
+
+    @classmethod
+    def load(cls, path: str) -> MultiClassModel:
+        about = json.loads(SparkSession.active().read.text(f"{path}/about").first()[0])
+        return cls(about["classes"], [PipelineModel.load(f"{path}/class-{k}") for k in about["classes"]], about["features"])
+
+
+def save_risk_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_risk_model(path: str) -> PipelineModel:
+    """The stored risk model that L2 and X2 score with."""
+    return PipelineModel.load(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def fitted(spark: SparkSession, path: str, fit: Callable, save: Callable, load: Callable, done: str):
+    """The model stored at ``path``; fitted and saved first where ``done``, written last, is not there."""
+    if not exists(spark, f"{path}/{done}"):
+        save(fit(), path)
+    return load(path)
+
+
 def fit_multiclass(df: DataFrame, features: list[str], label: str, classes: list[int],
                    rounds: int = ROUNDS) -> MultiClassModel:
-    """M2: one-vs-rest boosted trees, one binary model per class."""
-    base = df.cache()
+    """M2: one-vs-rest boosted trees, one binary model per class (``df`` is read by every round: persist it)."""
     models = []
     for k in classes:
         bin_label = f"_is{k}"
-        models.append(fit_risk_model(base.withColumn(bin_label, (F.col(label) == k).cast("double")),
+        models.append(fit_risk_model(df.withColumn(bin_label, (F.col(label) == k).cast("double")),
                                      features, bin_label, rounds))
-    base.unpersist()
     return MultiClassModel(list(classes), models, list(features))
 
 

@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from credlake.operators import flows, insights, lsh, p0
+from credlake.operators import flows, insights, lsh, ml, p0
 from credlake.operators.requests import to_document
 from credlake.sinks import writers
 from credlake.sources import files
@@ -55,8 +55,13 @@ def insights_report(spark: SparkSession, scored_path: str) -> dict[str, DataFram
 
 
 def score_to_documents(spark: SparkSession, apps: DataFrame, scored_path: str,
-                       invalid_path: str | None = None) -> int:
-    """L2 + K2: score a table of applications and append the documents."""
+                       invalid_path: str | None = None, model_path: str | None = None) -> int:
+    """L2 + K2: score a table of applications and append the documents.
+
+    With ``model_path`` the probability comes from the stored risk model,
+    else from the applications' ``p_riesgo`` column."""
+    if model_path:
+        apps = ml.score_risk(ml.load_risk_model(model_path), apps, "p_riesgo")
     scored, invalid = p0.bulk_score(apps)
     n = writers.append_scored(p0.to_documents(scored), scored_path, key="_id")
     if invalid_path:

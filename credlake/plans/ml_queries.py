@@ -4,6 +4,8 @@ driver records a row-count check; tests check invariants instead
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,15 +13,19 @@ from credlake.functions import labels as L
 from credlake.operators import ml, p0, stats
 from credlake.operators.sampling import stratified_split
 from credlake.plans.registry import query
+from credlake.session import ensure_checkpoint_dir
 from credlake.sources import views
 
 FEATURES = views.FEATURES
-# Rounds used by the registered queries (the library default is the notebook's 200).
-BINARY_ROUNDS = 15
-CLASS_ROUNDS = 8
 CLASSES = [0, 1, 2]
 
 
+def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where this application keeps the model of a data folder."""
+    about = hashlib.sha256(f"{spark.sparkContext.applicationId} {sf_dir}".encode()).hexdigest()[:20]
+    return f"{ensure_checkpoint_dir(spark)}/models/{about}/{name}"
+
+
 def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid applications with ``es_fraude`` and a 3-class label
     (0 consolidated, 1 undefined, 2 bad prospect) and an 80/20 split."""
@@ -31,11 +37,21 @@ def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_split(t, "label", 0.2, 42, key="id")
 
 
+def _on_cached(table: DataFrame, fit):
+    """Fit on the training side, cached while the rounds read it."""
+    train = table.where(~F.col("is_test")).persist()
+    try:
+        return fit(train)
+    finally:
+        train.unpersist()
+
+
 @query("ml_fraud_risk")
 def ml_fraud_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3 + F8 + F9: boosted-tree fraud probability for held-out applications."""
-    t = training_table(spark, sf_dir).cache()
-    model = ml.fit_risk_model(t.where(~F.col("is_test")), FEATURES, "es_fraude", BINARY_ROUNDS)
+    t = training_table(spark, sf_dir)
+    model = ml.fitted(spark, _path(spark, sf_dir, "risk"), lambda: _on_cached(t, lambda c: ml.fit_risk_model(c, FEATURES, "es_fraude")),
+                      ml.save_risk_model, ml.load_risk_model, "metadata/_SUCCESS")
     scored = ml.score_risk(model, t.where("is_test"), "p_fraude")
     return scored.select("id", F.round("p_fraude", 4).alias("p_fraude"),
                          L.risk_pct_text(F.col("p_fraude")).alias("prediccion_xgboost"),
@@ -43,8 +59,9 @@ def ml_fraud_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _multiclass(spark: SparkSession, sf_dir: str):
-    t = training_table(spark, sf_dir).cache()
-    model = ml.fit_multiclass(t.where(~F.col("is_test")), FEATURES, "label", CLASSES, CLASS_ROUNDS)
+    t = training_table(spark, sf_dir)
+    model = ml.fitted(spark, _path(spark, sf_dir, "classes"), lambda: _on_cached(t, lambda c: ml.fit_multiclass(c, FEATURES, "label", CLASSES)),
+                      ml.MultiClassModel.save, ml.MultiClassModel.load, "about/_SUCCESS")
     return t, model
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credlake.functions.lsh import LshModel
-from credlake.operators import lsh, p0
+from credlake.operators import lsh, ml, p0
 from credlake.operators.sampling import split_hash, sample_cut
 from credlake.session import ensure_checkpoint_dir, table_path
 from credlake.sources import views
@@ -67,14 +67,16 @@ def stream_lsh_scores(spark: SparkSession, stream: DataFrame, model: LshModel, h
 
 
 def stream_p0_scores(spark: SparkSession, stream: DataFrame, out_dir: str,
-                     probability: str = "p_riesgo") -> tuple[DataFrame, DataFrame]:
+                     probability: str = "p_riesgo", model_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Validate -> labels -> risk -> decision per micro-batch; valid rows
-    to ``scored``, invalid rows (with reasons) to ``invalid``."""
+    to ``scored``, invalid rows (with reasons) to ``invalid``.  With
+    ``model_path`` the stored risk model, loaded once, gives the probability."""
+    model = ml.load_risk_model(model_path) if model_path else None
     scored_dir, invalid_dir = os.path.join(out_dir, "scored"), os.path.join(out_dir, "invalid")
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         # Both sinks read the batch: compute its join once (recomputed from the source if an executor is lost).
-        batch = batch.persist()
+        batch = (ml.score_risk(model, batch, probability) if model else batch).persist()
         try:
             scored, invalid = p0.bulk_score(batch, probability)
             scored.write.mode("overwrite").parquet(os.path.join(scored_dir, f"batch={batch_id}"))
