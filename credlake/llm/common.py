@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -23,7 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="llm-shared-")
         spark.sparkContext.setCheckpointDir(path)
@@ -70,18 +72,25 @@ def filesystem(path: str):
 def ship() -> None:
     """Send this package's modules to the executors once per Spark application, as ``--py-files`` would.
 
-    Functions that run in Python workers import them there.
+    Functions that run in Python workers import them there.  The archive lies
+    in the shared folder, from which Spark hands it out.
     """
-    context = SparkSession.active().sparkContext
+    spark = SparkSession.active()
+    context = spark.sparkContext
     if getattr(context, "_llm_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="llm-py-"), "credlake_modules.zip")  # the driver's own copy, to send
-    with zipfile.ZipFile(target, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for folder, _, names in os.walk(package):
             for name in names:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    target = f"{scratch(spark, 'modules')}/credlake_modules.zip"
+    path = context._jvm.org.apache.hadoop.fs.Path(target)  # any file system that Spark itself can write to
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
     context.addPyFile(target)
     context._llm_shipped = True
