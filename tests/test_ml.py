@@ -7,7 +7,9 @@ from tests.conftest import SF_CHECK
 
 
 def test_three_class_probabilities_sum_to_one(spark):
-    t, model = ml_queries._multiclass(spark, SF_CHECK)
+    from credlake.operators import ml
+    t = ml_queries.training_table(spark, SF_CHECK).cache()
+    model = ml.fit_multiclass(t.where(~F.col("is_test")), ml_queries.FEATURES, "label", ml_queries.CLASSES, 8)
     pred = model.predict(t.where("is_test"))
     bad = pred.where(F.abs(F.col("p_0") + F.col("p_1") + F.col("p_2") - 1.0) > 1e-9).count()
     assert bad == 0
