@@ -230,7 +230,8 @@ def lookup(spark: SparkSession, folder: str, wanted: DataFrame, with_payload: bo
     exact = "page_id" in wanted.columns
     ids = F.coalesce(F.col("page_id").cast("long"), F.lit(NO_ID)) if exact else F.lit(None).cast("long")
     asked = wanted.select(keyed(F.col("url")).alias("key"), ids.alias("id")).distinct()
-    asked = asked.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
+    # As many ranges as the archive has files, since the keys are small next to the records that they stand for.
+    asked = asked.repartitionByRange(max(1, len(parts)), "key", "id").sortWithinPartitions("key", "id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held, part = [], -1, None
