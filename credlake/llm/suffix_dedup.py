@@ -25,9 +25,10 @@ document order, so the first block that sent a name holds its first
 occurrence and positions need not be sent at all.  Whole copies of an earlier
 document are found by digest first and sit out both sorts.
 
-What a block gets back (its tied ranks, its marked names, its copies) is
-written as one file per block in the shared folder, read by the task that
-works on the block; texts are shuffled once, to put them in order.
+What a block gets back (a bit for each rank and each name that it sent, and
+its copies) is written as one file per block in the shared folder, read by
+the task that works on the block; texts are shuffled once, to put them in
+order.
 
 Defined results: null texts are empty, empty and short texts lose nothing;
 null keys come first; rows that repeat a key are separate documents ordered
@@ -39,6 +40,7 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,10 +128,10 @@ class Block:
         h = names(1, SAMPLE).at(self.data, places)
         return places, ((h >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
 
-    def tied(self, ties: np.ndarray, buckets: int) -> np.ndarray:
+    def tied(self, answer: dict[int, bytes], buckets: int) -> np.ndarray:
         """The places of suffixes with a tied sample in their first ``PERIOD`` bytes and ``LENGTH`` bytes left."""
         places, ranks = self.ranks(buckets)
-        found = places[contained(ranks, ties)]
+        found = places[contained(ranks, chosen(rank_parts(np.unique(ranks)), answer))]
         edge = np.zeros(len(self.data) + 1, np.int32)
         np.add.at(edge, np.maximum(found - PERIOD + 1, 0), 1)
         np.add.at(edge, found + 1, -1)
@@ -138,9 +140,9 @@ class Block:
             open_[s + n - LENGTH + 1 if live else s:s + n] = False
         return np.flatnonzero(open_)
 
-    def suffixes(self, ties: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and names of the tied suffixes."""
-        places = self.tied(ties, buckets)
+    def suffixes(self, answer: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and names of the suffixes that the answer about the sample leaves tied."""
+        places = self.tied(answer, buckets)
         return places, names(2, LENGTH).at(self.data, places)
 
 
@@ -152,6 +154,22 @@ def contained(values: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[at] == values
 
 
+def chosen(parts: list[tuple[int, np.ndarray]], answer: dict[int, bytes]) -> np.ndarray:
+    """The values of (bucket, values) parts that an answer (bucket -> packed bits) has a 1 for, sorted."""
+    out = [v[np.unpackbits(np.frombuffer(answer[k], np.uint8), count=len(v)).astype(bool)] for k, v in parts if k in answer]
+    return np.sort(np.concatenate(out)) if out else np.empty(0, np.uint64)
+
+
+def rank_parts(ranks: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(bucket, ranks) of distinct sorted ranks."""
+    return list(by_bucket(ranks, (ranks >> np.uint64(32)).astype(np.int64)))
+
+
+def suffix_parts(found: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    """(bucket, names) of distinct sorted names."""
+    return list(by_bucket(found, (mixed(found ^ np.uint64(SAMPLE)) % np.uint64(buckets)).astype(np.int64)))
+
+
 def by_bucket(names_: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -161,7 +179,7 @@ def by_bucket(names_: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.
 
 
 def deliver(rows: DataFrame, folder: str) -> None:
-    """Write (block, data: binary) as one sorted file of 64-bit values per block."""
+    """Write (block, bucket, data: binary) as one file per block: bucket, length and data of each row."""
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         attempt = TaskContext.get().taskAttemptId()
@@ -172,28 +190,34 @@ def deliver(rows: DataFrame, folder: str) -> None:
         def put():
             if held:
                 with fs.open_output_stream(f"{root}/{block}.{attempt}") as f:
-                    f.write(np.sort(np.concatenate(held)).tobytes())
+                    f.write(b"".join(held))
                 fs.move(f"{root}/{block}.{attempt}", f"{root}/{block}")
                 done.append(block)
         for batch in batches:
-            for b, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for b, bucket, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if b != block:
                     put()
                     block, held = b, []
-                held.append(np.frombuffer(data.as_py(), np.uint64))
+                held.append(struct.pack("<qq", bucket, len(data)) + data)
         put()
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["block"])
-    rows.repartition("block").sortWithinPartitions("block").mapInArrow(save, "block long").write.parquet(f"{folder}-list")
+    rows.select("block", "bucket", "data").repartition("block").sortWithinPartitions("block", "bucket") \
+        .mapInArrow(save, "block long").write.parquet(f"{folder}-list")
 
 
-def delivered(folder: str, block: int) -> np.ndarray:
+def delivered(folder: str, block: int) -> dict[int, bytes]:
     from pyarrow.fs import FileType
     fs, root = filesystem(folder)
-    path = f"{root}/{block}"
+    path, out, at = f"{root}/{block}", {}, 0
     if fs.get_file_info(path).type == FileType.NotFound:
-        return np.empty(0, np.uint64)
+        return out
     with fs.open_input_stream(path) as f:
-        return np.frombuffer(f.read(), np.uint64)
+        raw = f.read()
+    while at < len(raw):
+        bucket, size = struct.unpack_from("<qq", raw, at)
+        out[bucket] = raw[at + 16:at + 16 + size]
+        at += 16 + size
+    return out
 
 
 def packed(df: DataFrame, key: str, text: str, block: int, path: str) -> DataFrame:
@@ -229,14 +253,12 @@ def packed(df: DataFrame, key: str, text: str, block: int, path: str) -> DataFra
 
 
 def copies(blocks: DataFrame) -> DataFrame:
-    """(block, data) with the places in its list of the documents that equal an earlier one."""
+    """(block, bucket, data): the documents that equal an earlier one, the bucket being their place in the block's list."""
     docs = blocks.select("block", F.posexplode("digests").alias("at", "digest")).select(
         "digest", (F.col("block") * F.lit(1).cast("long")).alias("block"), F.col("at").cast("long").alias("at"))
     first = docs.groupBy("digest").agg(F.min(F.struct("block", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     later = docs.join(first, "digest").where(F.struct("block", "at") != F.col("first"))
-    # A place as the 8 bytes, lowest first, that the delivered files hold.
-    place = F.unhex(F.reverse(F.regexp_replace(F.lpad(F.hex("at"), 16, "0"), "(.)(.)", "$2$1")))
-    return later.select("block", place.alias("data"))
+    return later.select("block", F.col("at").alias("bucket"), F.lit(b"").alias("data"))
 
 
 def _rows(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple[int, pa.RecordBatch, int, Block]]:
@@ -245,7 +267,7 @@ def _rows(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple[int,
         numbers, sizes, bodies = (batch.column(batch.schema.get_field_index(c)) for c in ("block", "sizes", "body"))
         for i in range(batch.num_rows):
             number = numbers[i].as_py()
-            places = delivered(f"{folder}/copies", number).astype(np.int64)
+            places = np.array(sorted(delivered(f"{folder}/copies", number)), np.int64)
             yield number, batch, i, Block(bodies[i].as_py(), np.array(sizes[i].as_py(), np.int64), places)
 
 
@@ -262,54 +284,49 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = B
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, _, b in _rows(batches, folder):
             values, counts = np.unique(b.ranks(sample_buckets)[1], return_counts=True)
-            once, often = ({k: v for k, v in by_bucket(part.astype(np.uint32), (part >> np.uint64(32)).astype(np.int64))}
-                           for part in (values[counts == 1], values[counts > 1]))
-            found = sorted({*once, *often})
-            empty = np.empty(0, np.uint32)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([number] * len(found), pa.int64()),
-                                              pa.array([once.get(k, empty).tobytes() for k in found], pa.binary()),
-                                              pa.array([often.get(k, empty).tobytes() for k in found], pa.binary())], ["bucket", "block", "once", "often"])
+            often = values[counts > 1]
+            parts = rank_parts(values)
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int64()), pa.array([number] * len(parts), pa.int64()),
+                                              pa.array([v.astype(np.uint32).tobytes() for _, v in parts], pa.binary()),
+                                              pa.array([np.packbits(contained(v, often)).tobytes() for _, v in parts], pa.binary())],
+                                             ["bucket", "block", "ranks", "often"])
 
     def rank(table: pa.Table) -> pa.Table:
-        """One bucket of the sample: the ranks that two places share, for each block that has them."""
-        once = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("once")]
-        often = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("often")]
-        every = np.sort(np.concatenate([*once, *often, *often]))
+        """One bucket of the sample: for each block, which of its ranks two places share."""
+        parts = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("ranks")]
+        often = [v[np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(v)).astype(bool)] for v, x in zip(parts, table.column("often"))]
+        every = np.sort(np.concatenate([*parts, *often]))
         ties = np.unique(every[1:][every[1:] == every[:-1]])
-        upper = np.uint64(table.column("bucket")[0].as_py() << 32)
-        out = [(n, np.concatenate((a[contained(a, ties)], b)).astype(np.uint64) | upper)
-               for n, a, b in zip(table.column("block").to_pylist(), once, often)]
-        return _addressed([(n, v) for n, v in out if len(v)])
+        return _answers(table, [contained(v, ties) for v in parts])
 
-    sampled = blocks.select("block", "sizes", "body").mapInArrow(sample, "bucket long, block long, once binary, often binary")
-    deliver(sampled.groupBy("bucket").applyInArrow(rank, "block long, data binary"), f"{folder}/ties")
+    sampled = blocks.select("block", "sizes", "body").mapInArrow(sample, "bucket long, block long, ranks binary, often binary")
+    deliver(sampled.groupBy("bucket").applyInArrow(rank, ANSWER), f"{folder}/ties")
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, _, b in _rows(batches, folder):
             found = np.unique(b.suffixes(delivered(f"{folder}/ties", number), sample_buckets)[1])
-            parts = list(by_bucket(found, (mixed(found ^ np.uint64(SAMPLE)) % np.uint64(suffix_buckets)).astype(np.int64)))
+            parts = suffix_parts(found, suffix_buckets)
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int64()), pa.array([number] * len(parts), pa.int64()),
                                               pa.array([v.tobytes() for _, v in parts], pa.binary())], ["bucket", "block", "names"])
 
     def mark(table: pa.Table) -> pa.Table:
-        """One bucket of suffixes: the names that an earlier block also has, for each block."""
+        """One bucket of suffixes: for each block, which of its names an earlier block also has."""
         table = table.sort_by("block")
         parts = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("names")]
         every = np.concatenate(parts)
         order = np.argsort(every, kind="stable")
         later = np.zeros(len(every), bool)
         later[order[1:]] = every[order[1:]] == every[order[:-1]]
-        cuts = np.cumsum([len(p) for p in parts])[:-1]
-        return _addressed([(n, p[m]) for n, p, m in zip(table.column("block").to_pylist(), parts, np.split(later, cuts)) if m.any()])
+        return _answers(table, np.split(later, np.cumsum([len(p) for p in parts])[:-1]))
 
     tied = blocks.select("block", "sizes", "body").mapInArrow(suffixes, "bucket long, block long, names binary")
-    deliver(tied.groupBy("bucket").applyInArrow(mark, "block long, data binary"), f"{folder}/marks")
+    deliver(tied.groupBy("bucket").applyInArrow(mark, ANSWER), f"{folder}/marks")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch, i, b in _rows(batches, folder):
             places, found = b.suffixes(delivered(f"{folder}/ties", number), sample_buckets)
             order = np.argsort(found, kind="stable")
-            again = contained(found, delivered(f"{folder}/marks", number))
+            again = contained(found, chosen(suffix_parts(np.unique(found), suffix_buckets), delivered(f"{folder}/marks", number)))
             again[order[1:]] |= found[order[1:]] == found[order[:-1]]
             edge = np.zeros(len(b.data) + 1, np.int32)
             np.add.at(edge, places[again], 1)
@@ -336,5 +353,11 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = B
     return out.withColumnRenamed("id", key)
 
 
-def _addressed(rows: list[tuple[int, np.ndarray]]) -> pa.Table:
-    return pa.table({"block": pa.array([n for n, _ in rows], pa.int64()), "data": pa.array([v.tobytes() for _, v in rows], pa.binary())})
+ANSWER = "block long, bucket long, data binary"
+
+
+def _answers(table: pa.Table, bits: list[np.ndarray]) -> pa.Table:
+    """A row for every block that has a 1 among its bits."""
+    rows = [(n, k, np.packbits(b).tobytes()) for n, k, b in zip(table.column("block").to_pylist(), table.column("bucket").to_pylist(), bits) if b.any()]
+    return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([r[1] for r in rows], pa.int64()),
+                     "data": pa.array([r[2] for r in rows], pa.binary())})
