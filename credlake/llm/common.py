@@ -11,6 +11,9 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# What is handed to a Python worker at a time.
+BATCH_ROWS, BATCH_BYTES = "1000", str(16 << 20)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -76,6 +79,9 @@ def ship() -> None:
     in the shared folder, from which Spark hands it out.
     """
     spark = SparkSession.active()
+    # Texts are long rows: small batches keep a worker's memory to a few of them.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if getattr(context, "_llm_shipped", False):
         return
