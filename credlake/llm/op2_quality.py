@@ -11,5 +11,4 @@ def op2_quality_rules(spark, sf_dir):
     return found.select("doc_id", *MEASURES, "base_failed", "kept", "removed_words")
 
 
-# A line's documents are told apart by the smallest XXH3 hash of their other lines, which SQL lacks: the whole text less
-# the line stands in for it here only in tests on fixtures without near copies, so no oracle is registered.
+# A line's documents are counted by SimHash components over XXH64 hashes, which SQL lacks, so no oracle is registered.

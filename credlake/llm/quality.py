@@ -6,10 +6,12 @@ line in at least ``min_docs`` documents and in ``max_share`` of the host's
 documents is above the limit.  Such lines are removed, and a document that
 keeps less than ``min_kept`` of its words is depleted.
 
-Copies must not make a text look like boilerplate, so two documents count as
-distinct for a line only if the rest of their lines tells them apart: by a
-min-wise sketch of their other lines, weighted by words, which is equal for
-copies and, mostly, for near copies.
+Copies must not make a text look like boilerplate, so what is counted, for a
+line as for its host, are classes of near-duplicates: the SimHash components
+of ``simhash`` (3-word shingles, at most 3 differing bits) over all documents.
+Copies and the near copies that near-dedup would thin out to one are one
+document; pages that it would leave side by side are counted one by one,
+however much boilerplate they share.
 
 Words are runs of other characters than ASCII white space.  Defined results:
 null and empty texts have no words (base rule failed); a null host is a host
@@ -20,14 +22,13 @@ column of its name.  Very long texts are measured whole in one task's memory.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credlake.llm.common import fresh, ship, stored, utf8
+from credlake.llm.simhash import fingerprint_of, print_classes
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -35,7 +36,6 @@ NOT_STARTS = bytes(range(0x80, 0xC0)) + SPACE
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 WINDOW = 8
 MIX = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(WINDOW)], np.uint64)
-NONE = (1 << 63) - 1  # the sketch of a document without other lines
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -75,14 +75,8 @@ def line_hash(line: bytes) -> int | None:
     return xxh3_64_intdigest(b" ".join(words)) - (1 << 63) if words else None
 
 
-def race(line: tuple[int, int]) -> tuple[float, int]:
-    """A place in the order of a document's lines: pseudo-random, earlier with more words (exponential races)."""
-    h, words = line
-    return -math.log((h + (1 << 63) + 1) / (1 << 64)) / words, h
-
-
 def measure(text: bytes) -> tuple[list[int], list[tuple[int, int]]]:
-    """The five measures, and (hash, words) of every distinct normalised line in the order of ``race``."""
+    """The five measures, and (hash, words) of every distinct normalised line."""
     words = text.split()
     lines: dict[int, int] = {}
     seen, dup = set(), 0
@@ -95,43 +89,46 @@ def measure(text: bytes) -> tuple[list[int], list[tuple[int, int]]]:
         lines[h] = lines.get(h, 0) + len(line.split())
     found = [len(words), len(text.translate(None, NOT_STARTS)), len(text) - len(text.translate(None, SYMBOLS)), dup,
              repeated_words(words)]
-    return found, sorted(lines.items(), key=race)
+    return found, list(lines.items())
 
 
 LINES = pa.list_(pa.struct([("hash", pa.int64()), ("words", pa.int64())]))
 
 
 def measures(text: Column) -> Column:
-    """Struct of the measures and ``lines``, an array of (hash, words)."""
+    """Struct of the measures, ``fp`` (the SimHash fingerprint) and ``lines``, an array of (hash, words)."""
     ship()
     kind = ", ".join(f"{m}: bigint" for m in MEASURES)
 
-    @F.arrow_udf(f"struct<{kind}, lines: array<struct<hash: bigint, words: bigint>>>")
+    @F.arrow_udf(f"struct<{kind}, fp: bigint, lines: array<struct<hash: bigint, words: bigint>>>")
     def run(texts: pa.Array) -> pa.Array:
-        rows, ends, hashes, sizes = [], [0], [], []
+        rows, prints, ends, hashes, sizes = [], [], [0], [], []
         for t in texts:
             found, lines = measure(t.as_py())
             rows.append(found)
+            prints.append(fingerprint_of(t.as_py()))
             hashes += [h for h, _ in lines]
             sizes += [n for _, n in lines]
             ends.append(len(hashes))
         grid = np.array(rows, np.int64).reshape(-1, len(MEASURES))
         pairs = pa.StructArray.from_arrays([pa.array(hashes, pa.int64()), pa.array(sizes, pa.int64())], ["hash", "words"])
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
-        return pa.StructArray.from_arrays([*(pa.array(grid[:, i]) for i in range(len(MEASURES))), lists], [*MEASURES, "lines"])
+        fp = pa.array(np.array(prints, np.uint64).view(np.int64))
+        return pa.StructArray.from_arrays([*(pa.array(grid[:, i]) for i in range(len(MEASURES))), fp, lists], [*MEASURES, "fp", "lines"])
     return run(utf8(text))
 
 
 def frequent_lines(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """(host, hash, docs) of the lines above the limit, from (host, lines) per document."""
-    least = F.col("lines")[0]["hash"]
-    other = F.get("lines", F.lit(1))["hash"]
-    lines = (rows.select("host", least.alias("least"), other.alias("other"), F.explode("lines").alias("line"))
-             .select("host", F.col("line.hash").alias("hash"),
-                     F.coalesce(F.when(F.col("line.hash") == F.col("least"), F.col("other")).otherwise(F.col("least")),
-                                F.lit(NONE)).alias("rest")))
-    counts = lines.distinct().groupBy("host", "hash").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    hosts = rows.where(F.size("lines") > 0).select("host", least.alias("least")).distinct().groupBy("host").agg(F.count("*").alias("of"))
+    """(host, hash, docs) of the lines above the limit, from (host, fp, lines) per document.
+
+    Copies shrink to one row per line before their class is looked up.
+    """
+    full = rows.where(F.size("lines") > 0)
+    classes = stored(print_classes(full.select("fp").distinct()), "print-classes")
+    lines = full.select("host", "fp", F.explode("lines.hash").alias("hash")).distinct()
+    counts = (lines.join(classes, "fp").select("host", "hash", "class").distinct()
+              .groupBy("host", "hash").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
+    hosts = full.select("host", "fp").distinct().join(classes, "fp").select("host", "class").distinct().groupBy("host").agg(F.count("*").alias("of"))
     return counts.join(hosts, "host").where(F.col("docs") >= F.lit(max_share) * F.col("of")).select("host", "hash", "docs")
 
 
@@ -141,13 +138,14 @@ def judge(df: DataFrame, host: str = "source", text: str = "text", carry: list[s
     ``base_failed`` and ``kept`` for every row.
 
     Measured rows are written to the shared folder once; what is shuffled
-    after that is a hash per line, then the lines above the limit only.
+    after that are the fingerprints' postings and a hash per line, then the
+    lines above the limit only.
     """
     carry = [c for c in (df.columns if carry is None else carry) if c not in (*MEASURES, "removed_words", "removed_lines", "base_failed", "kept")]
     row, at, found = fresh(df, "row"), fresh(df, "host_key"), fresh(df, "found")
     rows = stored(df.select(*carry, F.coalesce(F.col(host).cast("string"), F.lit("")).alias(at), measures(F.col(text)).alias(found))
                   .withColumn(row, F.monotonically_increasing_id()), "measured")
-    narrow = rows.select(row, F.col(at).alias("host"), F.col(f"{found}.lines").alias("lines"))
+    narrow = rows.select(row, F.col(at).alias("host"), F.col(f"{found}.fp").alias("fp"), F.col(f"{found}.lines").alias("lines"))
     limits = frequent_lines(narrow, min_docs, max_share)
     hits = (narrow.select(row, "host", F.inline("lines")).join(limits, ["host", "hash"])
             .groupBy(row).agg(F.sum("words").alias("removed_words"), F.collect_list("hash").alias("removed_lines")))

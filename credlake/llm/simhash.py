@@ -181,6 +181,12 @@ def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     return dealt.mapInArrow(search, "u long, v long").distinct()
 
 
+def print_classes(prints: DataFrame, max_bits: int = 3) -> DataFrame:
+    """(fp, class) of distinct fingerprints (column ``fp``): the smallest fingerprint that links reach."""
+    found = components(links(prints, max_bits)).withColumnRenamed("node", "fp")
+    return prints.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("class"))
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, max_bits: int = 3) -> DataFrame:
     """(key, fp, component_id) per row; the component id is the smallest key of all that links reach."""
     rows = stored(df.select(F.col(key), fingerprint(F.col(text), k).alias("fp")), "prints")

@@ -1,7 +1,10 @@
 import collections
 import math
+import random
 import re
 
+from fixtures import words
+from test_simhash import plain_components, plain_print
 from xxhash import xxh3_64_intdigest
 
 from credlake.llm import quality
@@ -100,3 +103,39 @@ def test_empty_table_and_clashing_columns(docs, empty):
     out = quality.judge(clash)
     assert dict(out.dtypes)["kept"] == "boolean" and out.count() == docs.count()
     assert quality.clean(clash).columns == clash.columns
+
+
+def plain_counts(rows, min_docs, max_share, min_kept):
+    """The line rule with documents counted as near-duplicate classes, pair by pair: (removed words, kept) per (host, text)."""
+    prints = [(i, plain_print(t)) for i, (_, t) in enumerate(rows)]
+    classes = plain_components(prints)
+    lines = [[norm(x) for x in (t or "").split("\n") if norm(x)] for _, t in rows]
+    count, hosts = collections.defaultdict(set), collections.defaultdict(set)
+    for (host, _), found, c in zip(rows, lines, classes):
+        if found:
+            hosts[host or ""].add(c)
+        for x in found:
+            count[host or "", x].add(c)
+    out = []
+    for (host, text), found in zip(rows, lines):
+        limit = max(min_docs, max_share * len(hosts[host or ""]))
+        gone = sum(len(x.split(" ")) for x in found if len(count[host or "", x]) >= limit)
+        n, *_, failed = base(text)
+        out.append((gone, not failed and n - gone >= min_kept * n))
+    return out
+
+
+def mostly_boilerplate(rng):
+    """30 pages of three shared lines (48 words) and 12 own words, amid 100 other documents of the host."""
+    shared = "\n".join(words(rng, 16) for _ in range(3))
+    rows = [(i, "\n".join((shared, words(rng, 12, 10 ** 6))), "h") for i in range(30)]
+    return rows + [(100 + i, words(rng, 50, 10 ** 6) + "\n" + words(rng, 30, 10 ** 6), "h") for i in range(100)]
+
+
+def test_pages_that_are_mostly_boilerplate_are_depleted(spark):
+    """Whatever the hashes of the shared lines are, and counted without any sketch."""
+    rows = [(1000 * k + i, t, f"{h}{k}") for k in range(8) for i, t, h in mostly_boilerplate(random.Random(k))]
+    got = {r.doc_id: (r.removed_words, r.kept) for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    want = plain_counts([(h, t) for _, t, h in rows], 10, 0.02, 0.5)
+    assert [got[i] for i, _, _ in rows] == want
+    assert all(got[i] == ((48, False) if i % 1000 < 100 else (0, True)) for i, _, _ in rows)
