@@ -11,7 +11,8 @@ Within a list the shared positional bytes of a pair are tallied, pairs with
 fewer than 5 go, and the rest are verified on their bits.
 
 A list of m fingerprints yields at most m - 1 links (a spanning forest of its
-links, found by breadth-first search), never its pairs.  Only distinct
+links, found by breadth-first search), or that of each of 4 splits where it is
+wide, never its pairs.  Only distinct
 fingerprints are indexed, so copies of a text cost one entry.
 
 Defined results: null and empty texts have no shingles and fingerprint 0,
@@ -37,7 +38,7 @@ from credlake.llm.components import components
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SEED = 42
 VOTES = 1 << 14  # hashes unpacked at a time
-WIDE = 4096  # a longer posting list is searched through a fifth byte
+WIDE = 4096  # a longer posting list is searched through parts of the bits that vary in it
 
 
 def position_sets() -> list[tuple[int, ...]]:
@@ -122,15 +123,21 @@ def forest(points: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
 
 
 def list_links(points: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """The links of one posting list; a wide one is split by each byte position once more, which the same guarantee allows."""
+    """The links of one posting list.
+
+    A wide one deals the bits that vary in it over ``max_bits`` + 1 parts: a
+    link's differing bits leave one part untouched, so its ends meet among the
+    points that are equal in that part, whichever bytes the list has in common.
+    """
     if len(points) <= WIDE:
         return forest(points, max_bits)
-    cells = points.astype(">u8").view(np.uint8).reshape(-1, 8)
-    fixed = (cells == cells[0]).all(axis=0)
+    varying = int(np.bitwise_or.reduce(points ^ points[0]))
+    bits = [1 << b for b in range(64) if varying >> b & 1]
     out = []
-    for p in np.flatnonzero(~fixed):
-        order = np.argsort(cells[:, p], kind="stable")
-        cuts = np.flatnonzero(np.diff(cells[order, p])) + 1
+    for part in range(max_bits + 1):
+        cells = points & np.uint64(sum(bits[part::max_bits + 1]))
+        order = np.argsort(cells, kind="stable")
+        cuts = np.flatnonzero(np.diff(cells[order])) + 1
         for group in np.split(order, cuts):
             out += forest(points[group], max_bits)
     return out

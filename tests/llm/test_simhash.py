@@ -101,6 +101,31 @@ def test_wide_lists_are_searched_exactly(monkeypatch):
     assert len(whole) < len(points)
 
 
+def test_wide_lists_with_further_constant_bytes_are_searched_exactly(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(simhash, "WIDE", 10)
+    rng = random.Random(10)
+    base = rng.getrandbits(64)
+    for free in (24, 16, 8, 2):  # a fifth, sixth, ... byte is constant
+        points = set()
+        while len(points) < min(200, 1 << free):
+            p = base ^ rng.getrandbits(free)
+            # one bit in each of the last three bytes, so the pair shares five bytes only
+            points |= {p, p ^ sum(1 << 8 * byte + rng.randrange(8) for byte in range(3) if 8 * byte + 8 <= free)}
+        rows = [(i, p) for i, p in enumerate(sorted(points))]
+        root = {p: p for p in points}
+
+        def find(p):
+            while root[p] != p:
+                p = root[p]
+            return p
+        for a, b in simhash.list_links(np.array(sorted(points), np.uint64), 3):
+            assert bin(a ^ b).count("1") <= 3
+            root[find(a)] = find(b)
+        want = plain_components(rows)
+        assert [find(p) == find(q) for (_, p), (_, q) in itertools.combinations(rows, 2)] == [a == b for a, b in itertools.combinations(want, 2)]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (500, 400), (400, 300), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
