@@ -1,17 +1,20 @@
 """Every stage of the pipeline, held against a plain version on its own input; and the registry."""
 
 import hashlib
+import random
 import subprocess
 import sys
 
 import corpus_pipeline
 import tiktoken
+from fixtures import words
 from test_decontaminate import plain as plain_hits
 from test_quality import norm, verdicts
 from test_simhash import plain_components, plain_print
 from xxhash import xxh3_64_intdigest
 
 from credlake.llm import bpe, queries
+from credlake.llm.common import stored
 from credlake.llm.op1_bpe import PATTERN, RANKS
 
 REPO = corpus_pipeline.__file__.rpartition("/")[0]
@@ -65,6 +68,25 @@ def test_frequent_lines_leave_the_text(spark, sf):
     assert xxh3_64_intdigest(norm(footer).encode())  # the plain norm is the operator's
 
 
+def test_a_group_of_near_copies_leaves_one(spark, sf):
+    """300 copies of 20 lines, one word of each changed, amid 30 other documents of the host."""
+    rng = random.Random(2)
+    lines = [words(rng, 12, 10 ** 6).split() for _ in range(20)]
+    rows = []
+    for i in range(300):
+        copy = [list(line) for line in lines]
+        copy[rng.randrange(20)][rng.randrange(12)] = f"edit{i}"
+        rows.append((i, "\n".join(map(" ".join, copy)), "en", "h", 0))
+    rows += [(1000 + i, words(rng, 60, 10 ** 6) + "\n" + words(rng, 30, 10 ** 6), "en", "h", 0) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    cleaned = stored(corpus_pipeline.quality_stage(spark, df, sf), "cleaned")
+    assert cleaned.count() == 330
+    texts = {i: t for i, t, *_ in rows}
+    left = corpus_pipeline.near_duplicate_stage(spark, cleaned, sf).collect()
+    assert all(r.text == texts[r.doc_id] for r in left)
+    assert 1 <= sum(r.doc_id < 1000 for r in left) < 10 and sum(r.doc_id >= 1000 for r in left) == 30
+
+
 def test_registry():
     numbers = sorted(int(n[2:n.index("_")]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11))
