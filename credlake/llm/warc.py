@@ -92,7 +92,11 @@ def record(page_id, url: str | None, payload: bytes, refers_to, revisit: bool, d
 
 
 def parsed(raw: bytes) -> dict:
-    """A record's page id, type, target, digest, the page it refers to, the payload's length and, in a response, the payload."""
+    """A record's page id, type, target, digest, the page it refers to, the payload's length and, in a response, the payload.
+
+    A response's length and digest are those of the payload itself, which must
+    be what the header states; only a revisit's are the header's.
+    """
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:] if ": " in line)
     block = rest[:int(fields["Content-Length"])]
@@ -102,9 +106,13 @@ def parsed(raw: bytes) -> dict:
     def page(urn: str | None):
         text = urn.split(":")[2] if urn else "None"
         return None if text == "None" else int(text)
-    kind = fields["WARC-Type"]
+    kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"][5:]
+    if kind == "response":
+        stated, size, digest = (size, digest), len(payload), base32_sha1(payload)
+        if (size, digest) != stated:
+            raise ValueError(f"{fields['WARC-Record-ID']}: payload of {size} bytes and SHA-1 {digest}, stated {stated[0]} and {stated[1]}")
     return {"page_id": page(fields["WARC-Record-ID"]), "record_type": kind, "url": fields.get("WARC-Target-URI", ""),
-            "payload_digest": fields["WARC-Payload-Digest"][5:], "refers_to": page(fields.get("WARC-Refers-To")), "payload_bytes": size,
+            "payload_digest": digest, "refers_to": page(fields.get("WARC-Refers-To")), "payload_bytes": size,
             "payload": payload if kind == "response" else None}
 
 

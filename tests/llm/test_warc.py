@@ -4,6 +4,7 @@ import hashlib
 import os
 
 import duckdb
+import pytest
 
 from credlake.llm import warc
 from credlake.llm.op4_warc import ORACLE, op4_warc_round_trip
@@ -15,6 +16,18 @@ def test_url_keys():
     assert [warc.url_key(u) for u in (None, "", "nonsense", "http://[bad")] == ["", "", "nonsense", "http://[bad"]
 
 
+def test_payloads_are_measured_not_believed():
+    raw = warc.record(7, "http://a.example.com/", b"payload", None, False)
+    found = warc.parsed(raw)
+    assert (found["payload_bytes"], found["payload_digest"], found["payload"]) == (7, warc.base32_sha1(b"payload"), b"payload")
+    for damaged in (raw.replace(b"payload\r\n\r\n", b"paYload\r\n\r\n"), raw[:-len(b"payload\r\n\r\n")]):
+        assert damaged != raw
+        with pytest.raises(ValueError, match="urn:page:7"):
+            warc.parsed(damaged)
+    again = warc.parsed(warc.record(8, "http://b.example.com/", b"payload", 7, True))
+    assert (again["payload_bytes"], again["payload_digest"], again["payload"]) == (7, warc.base32_sha1(b"payload"), None)
+
+
 def test_query_equals_sql(spark, sf):
     got = sorted(tuple(r) for r in op4_warc_round_trip(spark, sf).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").fillna(-1).collect())
