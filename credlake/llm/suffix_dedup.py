@@ -16,10 +16,10 @@ are ordered by key and packed into blocks of about ``BLOCK`` bytes.
    and every suffix that is not the first of its equals is marked.
 3. The marked strings' bytes are cut out of every document.
 
-Suffixes are compared by the 64-bit names of their first bytes (two
-independent polynomials modulo 2^64 over random byte values, one for the name
-and one for the bucket), not in letter order, as only equality to a depth is
-asked for.  A block sends every name once, whatever its count, so the most
+Suffixes are compared by the 64-bit names of their first bytes (the bucket of
+a suffix to ``LENGTH`` bytes follows from its name and adds nothing), not in
+letter order, as only equality to a depth is asked for.  Different strings of
+equal names are taken for equal.  A block sends every name once, whatever its count, so the most
 frequent passage costs a bucket one entry per block; and blocks are in
 document order, so the first block that sent a name holds its first
 occurrence and positions need not be sent at all.  Whole copies of an earlier
