@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from credlake.llm import op1_bpe, op10_pii, op2_quality, op3_quality_classifier, op4_warc, op5_suffix_dedup, op6_sharding, op7_decontaminate, op8_simhash, op9_token_counts
+from credlake.llm import (
+    op1_bpe,
+    op2_quality,
+    op3_quality_classifier,
+    op4_warc,
+    op5_suffix_dedup,
+    op6_sharding,
+    op7_decontaminate,
+    op8_simhash,
+    op9_token_counts,
+    op10_pii,
+    op11_centroids,
+)
 
 QUERIES = {
     "op1_byte_bpe": op1_bpe.op1_byte_bpe,
@@ -15,9 +27,11 @@ QUERIES = {
     "op8_simhash_components": op8_simhash.op8_simhash_components,
     "op9_token_counts": op9_token_counts.op9_token_counts,
     "op10_pii_surrogates": op10_pii.op10_pii_surrogates,
+    "op11_centroid_clusters": op11_centroids.op11_centroid_clusters,
 }
 ORACLES = {
     "op4_warc_round_trip": op4_warc.ORACLE,
     "op6_rendezvous_shards": op6_sharding.ORACLE,
     "op7_winnowing": op7_decontaminate.ORACLE,
+    "op11_centroid_clusters": op11_centroids.ORACLE,
 }
