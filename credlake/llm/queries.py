@@ -14,6 +14,7 @@ from credlake.llm import (
     op9_token_counts,
     op10_pii,
     op11_centroids,
+    op12_merkle,
 )
 
 QUERIES = {
@@ -28,10 +29,12 @@ QUERIES = {
     "op9_token_counts": op9_token_counts.op9_token_counts,
     "op10_pii_surrogates": op10_pii.op10_pii_surrogates,
     "op11_centroid_clusters": op11_centroids.op11_centroid_clusters,
+    "op12_merkle_manifest": op12_merkle.op12_merkle_manifest,
 }
 ORACLES = {
     "op4_warc_round_trip": op4_warc.ORACLE,
     "op6_rendezvous_shards": op6_sharding.ORACLE,
     "op7_winnowing": op7_decontaminate.ORACLE,
     "op11_centroid_clusters": op11_centroids.ORACLE,
+    "op12_merkle_manifest": op12_merkle.ORACLE,
 }
