@@ -84,15 +84,20 @@ def _nest(rows: DataFrame, payload: list[str], fanout: int, depth: int) -> DataF
 
 def _walk(node: Column, path: Column, payload: list[str], depth: int) -> Column:
     """The leaves below a node as structs of hash, payload and path."""
-    if not depth:
-        return F.array(F.struct(node["hash"].alias("hash"), *[node[c].alias(c) for c in payload], path.alias("path")))
-    hashes = node["kids"]["hash"]
-
-    def kid(below: Column, i: Column) -> Column:
-        step = F.struct(F.array_join(F.slice(hashes, F.lit(1), i), "").alias("left"),
-                        F.array_join(F.slice(hashes, i + 2, F.size(hashes)), "").alias("right"))
-        return _walk(below, F.when(node["alone"], path).otherwise(F.concat(F.array(step), path)), payload, depth - 1)
-    return F.flatten(F.transform(node["kids"], kid))
+    def kids(at: Column) -> Column:
+        hashes = at["node"]["kids"]["hash"]
+
+        def kid(node: Column, i: Column) -> Column:
+            step = F.struct(F.array_join(F.slice(hashes, F.lit(1), i), "").alias("left"),
+                            F.array_join(F.slice(hashes, i + 2, F.size(hashes)), "").alias("right"))
+            own = F.when(at["node"]["alone"], F.array().cast(STEP)).otherwise(F.array(step))
+            return F.struct(node.alias("node"), F.concat(own, at["path"]).alias("path"))
+        return F.transform(at["node"]["kids"], kid)
+    # Level by level, so that a node's path is made once for all below it.
+    level = F.array(F.struct(node.alias("node"), path.alias("path")))
+    for _ in range(depth):
+        level = F.flatten(F.transform(level, kids))
+    return F.transform(level, lambda at: F.struct(at["node"]["hash"].alias("hash"), *[at["node"][c].alias(c) for c in payload], at["path"].alias("path")))
 
 
 def _tiers(leaves: DataFrame, payload: list[str], fanout: int, depth: int) -> list[DataFrame]:
