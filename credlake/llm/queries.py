@@ -15,6 +15,7 @@ from credlake.llm import (
     op10_pii,
     op11_centroids,
     op12_merkle,
+    op13_windows,
 )
 
 QUERIES = {
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_pii_surrogates": op10_pii.op10_pii_surrogates,
     "op11_centroid_clusters": op11_centroids.op11_centroid_clusters,
     "op12_merkle_manifest": op12_merkle.op12_merkle_manifest,
+    "op13_window_dedup": op13_windows.op13_window_dedup,
 }
 ORACLES = {
     "op4_warc_round_trip": op4_warc.ORACLE,
@@ -37,4 +39,5 @@ ORACLES = {
     "op7_winnowing": op7_decontaminate.ORACLE,
     "op11_centroid_clusters": op11_centroids.ORACLE,
     "op12_merkle_manifest": op12_merkle.ORACLE,
+    "op13_window_dedup": op13_windows.ORACLE,
 }
