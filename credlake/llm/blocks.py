@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from credlake.llm.common import filesystem, utf8
 
 BLOCK = 8 << 20
-BUCKET = 24 << 20  # bytes of names that a bucket is planned for
+BUCKET = 8 << 20  # bytes that a bucket is planned for
 STEP = 1 << 18  # values hashed at a time
 
 

@@ -2,33 +2,32 @@ r"""Exact-substring deduplication by blockwise suffix sorting with a difference
 
 Every byte is removed that a ``LENGTH``-byte string covers which also starts
 earlier: in a document before this one, or earlier in this one.  Documents
-are ordered by key and packed into blocks of about ``BLOCK`` bytes.
+are ordered by key and packed into blocks (see ``blocks``).
 
-1. Cover sample.  Positions whose residue modulo ``PERIOD`` is in ``COVER``
+1. Whole copies of an earlier document are found by SHA-256; they go, and sit
+   out what follows.
+2. Cover sample.  Positions whose residue modulo ``PERIOD`` is in ``COVER``
    are sampled.  Every difference of two residues is one of two members of
    ``COVER``, so two equal strings of ``LENGTH`` bytes, wherever they start,
    have an offset below ``PERIOD`` at which both are sampled, and there
-   ``SAMPLE`` equal bytes begin.  The sample suffixes are ranked to that
-   depth, one bucket at a time: the ranks that occur twice are the ties.
-2. Suffixes.  A suffix without a tied sample in its first ``PERIOD`` bytes is
-   unique to the depth that matters; the ranks settle it and it is never
-   sorted.  The others are sorted to ``LENGTH`` bytes, one bucket at a time,
-   and every suffix that is not the first of its equals is marked.
-3. The marked strings' bytes are cut out of every document.
-
-Suffixes are compared by the 64-bit names of their first bytes (the bucket of
-a suffix to ``LENGTH`` bytes follows from its name and adds nothing), not in
-letter order, as only equality to a depth is asked for.  Different strings of
-equal names are taken for equal.  A block sends every name once, whatever its count, so the most
-frequent passage costs a bucket one entry per block; and blocks are in
-document order, so the first block that sent a name holds its first
-occurrence and positions need not be sent at all.  Whole copies of an earlier
-document are found by digest first and sit out both sorts.
-
-What a block gets back (a bit for each rank and each name that it sent, and
-its copies) is written as one file per block in the shared folder, read by
-the task that works on the block; texts are shuffled once, to put them in
-order.
+   ``SAMPLE`` equal bytes begin.  The sample suffixes are ranked to that depth,
+   one bucket at a time, and the ranks that occur twice are the ties.
+3. Suffixes.  A suffix without a tied sample in its first ``PERIOD`` bytes is
+   unique to the depth that matters: the ranks settle it.  The others are dealt
+   to buckets by the least hash of the ``SAMPLE``-byte strings in them, which
+   neighbours share, so they travel as stretches of text (some thirty suffixes
+   in little more than ``LENGTH`` bytes) and a bucket holds their bytes.  It
+   sorts its suffixes by a 64-bit name, compares the bytes of neighbours of one
+   name, and marks every suffix that is not the first of its equals; suffixes
+   of one name and other bytes are told apart by their bytes.
+4. The marked strings' bytes are cut out of every document.
+
+A block sends equal stretches once, at their first place, whatever their count;
+the buckets see blocks and places in document order, so the first of equals is
+the first in the corpus.  What a bucket holds is planned from the text's size.
+
+Suffixes are not put in letter order, as only equality to a depth is asked for:
+the ranks say which suffixes have to be sorted at all, and the bytes decide.
 
 Defined results: null texts are empty, empty and short texts lose nothing;
 null keys come first; rows that repeat a key are separate documents ordered
@@ -39,7 +38,6 @@ ignored.
 
 from __future__ import annotations
 
-import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -48,72 +46,52 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credlake.llm.common import filesystem, scratch, ship, utf8
+from credlake.llm import blocks as bl
+from credlake.llm.common import scratch, ship
 
 LENGTH = 100
 # A perfect difference set modulo 57 (every other residue is one difference of two members).
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 SAMPLE = LENGTH - PERIOD + 1
-BLOCK = 8 << 20
-BUCKET = 24 << 20  # bytes of names that a bucket is planned for
-STEP = 1 << 18  # bytes hashed at a time
-MASK = (1 << 64) - 1
+STRETCH = 256  # suffixes that travel together at most
+PAIRS = 1 << 16  # neighbours compared at a time
 
 
-def _randoms(seed: int, count: int) -> np.ndarray:
-    """Fixed pseudo-random 64-bit values."""
-    raw = hashlib.shake_256(f"names {seed}".encode()).digest(8 * count)
-    return np.frombuffer(raw, np.uint64).copy()
-
-
-class Names:
-    """Names of the strings of one depth at chosen positions of a buffer."""
+class Depth:
+    """Names of the strings of one depth."""
 
     def __init__(self, seed: int, depth: int):
-        self.depth, self.values = depth, _randoms(seed, 256)
-        base = int(_randoms(seed + 1000, 1)[0]) | 1
-        back = pow(base, -1, 1 << 64)
-        self.powers, self.inverse = (np.cumprod(np.array([1] + [b] * (STEP + depth), np.uint64), dtype=np.uint64) for b in (base, back))
+        self.depth, self.values, self.names = depth, bl.randoms(seed, 256), bl.names(seed, depth)
 
     def at(self, data: np.ndarray, places: np.ndarray) -> np.ndarray:
         """A name (uint64) for each place (ascending), at which ``depth`` bytes must remain."""
-        out = np.empty(len(places), np.uint64)
-        lows = np.searchsorted(places, np.arange(0, len(data) + STEP, STEP))
-        for i in range(len(lows) - 1):
-            here = places[lows[i]:lows[i + 1]] - i * STEP
-            if not len(here):
-                continue
-            part = data[i * STEP:(i + 1) * STEP + self.depth]
-            sums = np.empty(len(part) + 1, np.uint64)
-            sums[0] = 0
-            np.cumsum(self.values[part] * self.powers[:len(part)], out=sums[1:])
-            out[lows[i]:lows[i + 1]] = (sums[here + self.depth] - sums[here]) * self.inverse[here]
-        return mixed(out)
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return h ^ (h >> np.uint64(33))
+        return self.names.at(lambda i, j: self.values[data[i:j]], len(data), places, places + self.depth)
 
 
 _KEPT: dict = {}
 
 
-def names(seed: int, depth: int) -> Names:
+def names(seed: int, depth: int) -> Depth:
     if (seed, depth) not in _KEPT:
-        _KEPT[seed, depth] = Names(seed, depth)
+        _KEPT[seed, depth] = Depth(seed, depth)
     return _KEPT[seed, depth]
 
 
+def reached(places: np.ndarray, before: int, after: int, size: int) -> np.ndarray:
+    """Which of ``size`` positions lie from ``before`` ahead of one of the (distinct) places to ``after`` behind it."""
+    edge = np.zeros(size + before + after + 1, np.int32)
+    edge[places] += 1
+    edge[places + before + after + 1] -= 1
+    return np.cumsum(edge)[before:before + size] > 0
+
+
 class Block:
     """The documents of a block, less those that copy an earlier one."""
 
-    def __init__(self, body: bytes, sizes: np.ndarray, copies: np.ndarray):
-        self.data, self.sizes = np.frombuffer(body, np.uint8), sizes
+    def __init__(self, sizes: np.ndarray, body: bytes, later: np.ndarray):
+        self.body, self.data, self.sizes = body, np.frombuffer(body, np.uint8), sizes
         self.starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        self.live = sizes >= LENGTH
-        self.live[copies] = False
+        self.live = (sizes >= LENGTH) & ~later
 
     def sampled(self) -> np.ndarray:
         """The sample's places, those with ``SAMPLE`` bytes left in their document."""
@@ -122,242 +100,167 @@ class Block:
         out = [p[p <= s + n - SAMPLE] for p, s, n in zip(out, self.starts[self.live], self.sizes[self.live])]
         return np.concatenate(out) if out else np.empty(0, np.int64)
 
-    def ranks(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the sample and their ranks: bucket in the upper half, 32 bits of name in the lower."""
-        places = self.sampled()
-        h = names(1, SAMPLE).at(self.data, places)
-        return places, ((h >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
+    def ranks(self, places: np.ndarray, buckets: int) -> np.ndarray:
+        return bl.narrow(names(1, SAMPLE).at(self.data, places), buckets)
 
     def tied(self, answer: dict[int, bytes], buckets: int) -> np.ndarray:
         """The places of suffixes with a tied sample in their first ``PERIOD`` bytes and ``LENGTH`` bytes left."""
-        places, ranks = self.ranks(buckets)
-        found = places[contained(ranks, chosen(rank_parts(np.unique(ranks)), answer))]
-        edge = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(edge, np.maximum(found - PERIOD + 1, 0), 1)
-        np.add.at(edge, found + 1, -1)
-        open_ = np.cumsum(edge[:-1]) > 0
+        places = self.sampled()
+        open_ = reached(places[bl.narrow_chosen(self.ranks(places, buckets), answer)], PERIOD - 1, 0, len(self.data))
         for s, n, live in zip(self.starts, self.sizes, self.live):
             open_[s + n - LENGTH + 1 if live else s:s + n] = False
         return np.flatnonzero(open_)
 
-    def suffixes(self, answer: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and names of the suffixes that the answer about the sample leaves tied."""
-        places = self.tied(answer, buckets)
-        return places, names(2, LENGTH).at(self.data, places)
-
-
-def contained(values: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Which values are in ``of`` (sorted)."""
-    if not len(of):
-        return np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(of, values), len(of) - 1)
-    return of[at] == values
-
-
-def chosen(parts: list[tuple[int, np.ndarray]], answer: dict[int, bytes]) -> np.ndarray:
-    """The values of (bucket, values) parts that an answer (bucket -> packed bits) has a 1 for, sorted."""
-    out = [v[np.unpackbits(np.frombuffer(answer[k], np.uint8), count=len(v)).astype(bool)] for k, v in parts if k in answer]
-    return np.sort(np.concatenate(out)) if out else np.empty(0, np.uint64)
-
-
-def rank_parts(ranks: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(bucket, ranks) of distinct sorted ranks."""
-    return list(by_bucket(ranks, (ranks >> np.uint64(32)).astype(np.int64)))
-
-
-def suffix_parts(found: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
-    """(bucket, names) of distinct sorted names."""
-    return list(by_bucket(found, (mixed(found ^ np.uint64(SAMPLE)) % np.uint64(buckets)).astype(np.int64)))
-
-
-def by_bucket(names_: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def least(self, places: np.ndarray) -> np.ndarray:
+        """For each place the least name of the ``SAMPLE``-byte strings within its ``LENGTH`` bytes."""
+        near = reached(places, 0, PERIOD - 1, len(self.data))
+        low = names(3, SAMPLE).at(self.data, np.flatnonzero(near))
+        at = np.cumsum(near)[places] - 1
+        wide = 1
+        while 2 * wide <= PERIOD:
+            low = np.minimum(low[:-wide], low[wide:])
+            wide *= 2
+        return np.minimum(low[at], low[at + PERIOD - wide])
+
+    def stretches(self, places: np.ndarray, buckets: int):
+        """(first place, suffixes, number among the different ones) of every stretch; bucket and bytes of each different one."""
+        low = self.least(places) if len(places) else np.empty(0, np.uint64)
+        index = np.arange(len(places))
+        new = np.ones(len(places), bool)
+        new[1:] = (np.diff(places) != 1) | (low[1:] != low[:-1])
+        new |= (index - np.maximum.accumulate(np.where(new, index, 0))) % STRETCH == 0
+        first = np.flatnonzero(new)
+        counts = np.diff(np.append(first, len(places)))
+        known: dict[bytes, int] = {}
+        number = [known.setdefault(self.body[p:p + c + LENGTH - 1], len(known)) for p, c in zip(places[first].tolist(), counts.tolist())]
+        number = np.array(number, np.int64)
+        origin = np.unique(number, return_index=True)[1]
+        return places[first], counts, number, bl.mixed(low[first][origin]) % np.uint64(buckets), list(known)
+
+
+def suffix_parts(bucket: np.ndarray, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    """(bucket, data) of a block's different stretches, those of a bucket in order of their first places."""
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for part in np.split(order, cuts):
-        if len(part):
-            yield int(bucket[part[0]]), names_[part]
-
-
-def deliver(rows: DataFrame, folder: str) -> None:
-    """Write (block, bucket, data: binary) as one file per block: bucket, length and data of each row."""
-    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        attempt = TaskContext.get().taskAttemptId()
-        fs, root = filesystem(folder)
-        fs.create_dir(root, recursive=True)
-        block, held, done = None, [], []
-
-        def put():
-            if held:
-                with fs.open_output_stream(f"{root}/{block}.{attempt}") as f:
-                    f.write(b"".join(held))
-                fs.move(f"{root}/{block}.{attempt}", f"{root}/{block}")
-                done.append(block)
-        for batch in batches:
-            for b, bucket, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if b != block:
-                    put()
-                    block, held = b, []
-                held.append(struct.pack("<qq", bucket, len(data)) + data)
-        put()
-        yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["block"])
-    rows.select("block", "bucket", "data").repartition("block").sortWithinPartitions("block", "bucket") \
-        .mapInArrow(save, "block long").write.parquet(f"{folder}-list")
-
-
-def delivered(folder: str, block: int) -> dict[int, bytes]:
-    from pyarrow.fs import FileType
-    fs, root = filesystem(folder)
-    path, out, at = f"{root}/{block}", {}, 0
-    if fs.get_file_info(path).type == FileType.NotFound:
-        return out
-    with fs.open_input_stream(path) as f:
-        raw = f.read()
-    while at < len(raw):
-        bucket, size = struct.unpack_from("<qq", raw, at)
-        out[bucket] = raw[at + 16:at + 16 + size]
-        at += 16 + size
-    return out
-
-
-def packed(df: DataFrame, key: str, text: str, block: int, path: str) -> DataFrame:
-    """The documents in order as rows (block, ids, sizes, digests, body), written to the shared folder."""
-    body = df.select(F.col(key).alias("id"), utf8(F.col(text)).alias("body")).withColumn("tie", F.xxhash64("body"))
-    kind = df.schema[key].dataType.simpleString()
-    ordered = body.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "body")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        number, ids, bodies, size = TaskContext.get().partitionId() << 33, [], [], 0
-
-        def row():
-            sizes = [len(b) for b in bodies]
-            digests = [hashlib.sha256(b).digest() for b in bodies]
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids]), pa.array([sizes], pa.list_(pa.int64())),
-                                               pa.array([digests], pa.list_(pa.binary())), pa.array([b"".join(bodies)], pa.binary())],
-                                              ["block", "ids", "sizes", "digests", "body"])
-        for batch in batches:
-            for i, b in zip(batch.column(0), batch.column(1)):
-                b = b.as_py()
-                if bodies and size + len(b) > block:
-                    yield row()
-                    number, ids, bodies, size = number + 1, [], [], 0
-                ids.append(i.as_py())
-                bodies.append(b)
-                size += len(b)
-        if bodies:
-            yield row()
-    schema = f"block long, ids array<{kind}>, sizes array<bigint>, digests array<binary>, body binary"
-    ordered.mapInArrow(pack, schema).write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
-
-
-def copies(blocks: DataFrame) -> DataFrame:
-    """(block, bucket, data): the documents that equal an earlier one, the bucket being their place in the block's list."""
-    docs = blocks.select("block", F.posexplode("digests").alias("at", "digest")).select(
-        "digest", (F.col("block") * F.lit(1).cast("long")).alias("block"), F.col("at").cast("long").alias("at"))
-    first = docs.groupBy("digest").agg(F.min(F.struct("block", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    later = docs.join(first, "digest").where(F.struct("block", "at") != F.col("first"))
-    return later.select("block", F.col("at").alias("bucket"), F.lit(b"").alias("data"))
-
-
-def _rows(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple[int, pa.RecordBatch, int, Block]]:
-    """(block number, batch, row, Block) of batches with the columns block, sizes and body."""
-    for batch in batches:
-        numbers, sizes, bodies = (batch.column(batch.schema.get_field_index(c)) for c in ("block", "sizes", "body"))
-        for i in range(batch.num_rows):
-            number = numbers[i].as_py()
-            places = np.array(sorted(delivered(f"{folder}/copies", number)), np.int64)
-            yield number, batch, i, Block(bodies[i].as_py(), np.array(sizes[i].as_py(), np.int64), places)
-
-
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
+    for k, at in bl.runs(bucket[order]):
+        mine = [texts[i] for i in order[at]]
+        yield k, struct.pack(f"<q{len(mine)}q", len(mine), *map(len, mine)) + b"".join(mine)
+
+
+def repeated(names_: np.ndarray, text: bytes, places: np.ndarray) -> np.ndarray:
+    """Which of the ``LENGTH``-byte strings at the places equals one at an earlier place of the list; names only bring equals together."""
+    words = np.ndarray(max(0, len(text) - 7), "<u8", text, strides=(1,))  # the eight bytes from every place on
+    offsets = [*range(0, LENGTH - 8, 8), LENGTH - 8]
+    order = np.argsort(names_, kind="stable")
+    same = names_[order[1:]] == names_[order[:-1]]
+    pairs = np.stack((order[:-1][same], order[1:][same]))
+    again, unlike = np.zeros(len(places), bool), []
+    for i in range(0, pairs.shape[1], PAIRS):
+        one, two = (places[p] for p in pairs[:, i:i + PAIRS])
+        equal = np.ones(len(one), bool)
+        for o in offsets:
+            equal &= words[one + o] == words[two + o]
+        again[pairs[1, i:i + PAIRS]] = equal
+        unlike.append(names_[pairs[0, i:i + PAIRS][~equal]])
+    unlike = np.unique(np.concatenate(unlike)) if unlike else names_[:0]
+    seen: set[bytes] = set()
+    for i in np.flatnonzero(bl.contained(names_, unlike)):
+        string = text[places[i]:places[i] + LENGTH]
+        again[i] = string in seen
+        seen.add(string)
+    return again
+
+
+def first_places(sent: list[tuple[int, bytes]]) -> list[bytes | None]:
+    """One bucket: for each block, bits of its suffixes that an earlier block or place has."""
+    texts, ends, counts = [], [], []
+    for _, raw in sent:
+        (n,) = struct.unpack_from("<q", raw)
+        sizes = np.frombuffer(raw, np.int64, n, 8)
+        texts.append(raw[8 + 8 * n:])
+        ends.append(sizes)
+        counts.append(int((sizes - LENGTH + 1).sum()))
+    text, sizes = b"".join(texts), np.concatenate(ends)
+    inner = reached(np.cumsum(sizes) - LENGTH + 1, 0, LENGTH - 2, len(text))  # fewer than LENGTH bytes left in the stretch
+    places = np.flatnonzero(~inner)
+    again = repeated(names(2, LENGTH).at(np.frombuffer(text, np.uint8), places), text, places)
+    return [np.packbits(b).tobytes() if b.any() else None for b in np.split(again, np.cumsum(counts)[:-1])]
+
+
+def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = bl.BLOCK, bucket: int = bl.BUCKET) -> DataFrame:
     """(key, n_bytes, spans, kept) per document: the removed runs [start, stop) in bytes and the remaining bytes."""
     ship()
     spark, folder = df.sparkSession, scratch(df.sparkSession, "suffixes")
-    blocks = packed(df, key, text, block, f"{folder}/blocks")
-    deliver(copies(blocks), f"{folder}/copies")
-    total = blocks.select(F.sum(F.expr("aggregate(sizes, 0L, (a, b) -> a + b)"))).first()[0] or 0
+    rows = bl.packed(df, key, text, block, f"{folder}/blocks", True)
+    total = rows.select(F.sum(F.octet_length("body"))).first()[0] or 0
+    whole_buckets = max(1, -(-total // (16 * bucket)))
     sample_buckets = max(1, -(-total * 4 * len(COVER) // PERIOD // bucket))
-    suffix_buckets = max(1, -(-total * 2 // bucket))  # planned for a quarter of all suffixes
-
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, _, b in _rows(batches, folder):
-            values, counts = np.unique(b.ranks(sample_buckets)[1], return_counts=True)
-            often = values[counts > 1]
-            parts = rank_parts(values)
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int64()), pa.array([number] * len(parts), pa.int64()),
-                                              pa.array([v.astype(np.uint32).tobytes() for _, v in parts], pa.binary()),
-                                              pa.array([np.packbits(contained(v, often)).tobytes() for _, v in parts], pa.binary())],
-                                             ["bucket", "block", "ranks", "often"])
-
-    def rank(table: pa.Table) -> pa.Table:
-        """One bucket of the sample: for each block, which of its ranks two places share."""
-        parts = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("ranks")]
-        often = [v[np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(v)).astype(bool)] for v, x in zip(parts, table.column("often"))]
-        every = np.sort(np.concatenate([*parts, *often]))
-        ties = np.unique(every[1:][every[1:] == every[:-1]])
-        return _answers(table, [contained(v, ties) for v in parts])
-
-    sampled = blocks.select("block", "sizes", "body").mapInArrow(sample, "bucket long, block long, ranks binary, often binary")
-    deliver(sampled.groupBy("bucket").applyInArrow(rank, ANSWER), f"{folder}/ties")
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, _, b in _rows(batches, folder):
-            found = np.unique(b.suffixes(delivered(f"{folder}/ties", number), sample_buckets)[1])
-            parts = suffix_parts(found, suffix_buckets)
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int64()), pa.array([number] * len(parts), pa.int64()),
-                                              pa.array([v.tobytes() for _, v in parts], pa.binary())], ["bucket", "block", "names"])
-
-    def mark(table: pa.Table) -> pa.Table:
-        """One bucket of suffixes: for each block, which of its names an earlier block also has."""
-        table = table.sort_by("block")
-        parts = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("names")]
-        every = np.concatenate(parts)
-        order = np.argsort(every, kind="stable")
-        later = np.zeros(len(every), bool)
-        later[order[1:]] = every[order[1:]] == every[order[:-1]]
-        return _answers(table, np.split(later, np.cumsum([len(p) for p in parts])[:-1]))
-
-    tied = blocks.select("block", "sizes", "body").mapInArrow(suffixes, "bucket long, block long, names binary")
-    deliver(tied.groupBy("bucket").applyInArrow(mark, ANSWER), f"{folder}/marks")
+    suffix_buckets = max(1, -(-total // bucket))  # planned for a quarter of all suffixes, at four bytes each
+
+    def bodies(sizes: np.ndarray, body: bytes) -> list[bytes]:
+        stops = np.cumsum(sizes)
+        return [body[e - n:e] for e, n in zip(stops.tolist(), sizes.tolist())]
+
+    def sample(number, ids, sizes, body):
+        later = bl.copies(bodies(sizes, body), bl.answers(f"{folder}/copies", number))[1]
+        bl.save(f"{folder}/later", str(number), np.packbits(later).tobytes())
+        b = Block(sizes, body, later)
+        yield from bl.narrow_parts(b.ranks(b.sampled(), sample_buckets))
+
+    def later_of(number: int, sizes: np.ndarray) -> np.ndarray:
+        return bl.bits(bl.load(f"{folder}/later", str(number)), len(sizes)) & (sizes >= LENGTH)
+
+    def suffixes(number, ids, sizes, body):
+        b = Block(sizes, body, later_of(number, sizes))
+        first, counts, which, home, texts = b.stretches(b.tied(bl.answers(f"{folder}/ties", number), sample_buckets), suffix_buckets)
+        kept = b"".join(a.astype(np.uint32).tobytes() for a in (first, counts, which, home))
+        bl.save(f"{folder}/tied", str(number), struct.pack("<qq", len(first), len(home)) + kept)
+        yield from suffix_parts(home, texts)
+
+    bl.ask(rows, lambda number, ids, sizes, body: bl.whole_parts([b for b in bodies(sizes, body) if len(b) >= LENGTH], whole_buckets),
+           bl.whole_copies, whole_buckets, f"{folder}/copies")
+    bl.ask(rows, sample, bl.narrow_ties, sample_buckets, f"{folder}/ties")
+    bl.ask(rows, suffixes, first_places, suffix_buckets, f"{folder}/marks")
+
+    def marked(number: int) -> np.ndarray:
+        """Places of the block's suffixes that also start earlier."""
+        raw = bl.load(f"{folder}/tied", str(number))
+        n, m = struct.unpack_from("<qq", raw)
+        values = np.frombuffer(raw, np.uint32, offset=16).astype(np.int64)
+        first, counts, which, home = np.split(values, np.cumsum([n, n, n]))
+        origin = np.unique(which, return_index=True)[1]  # the stretch that each different one is first found as
+        sizes = counts[origin]
+        begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        again = np.zeros(int(sizes.sum()), bool)
+        order, answer = np.argsort(home, kind="stable"), bl.answers(f"{folder}/marks", number)
+        for k, at in bl.runs(home[order]):
+            if k in answer:
+                mine = order[at]
+                total_ = int(sizes[mine].sum())
+                inside = np.arange(total_) - np.repeat(np.cumsum(sizes[mine]) - sizes[mine], sizes[mine])
+                again[np.repeat(begin[mine], sizes[mine]) + inside] = bl.bits(answer[k], total_)
+        inside = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        is_first = np.zeros(n, bool)
+        is_first[origin] = True
+        gone = ~np.repeat(is_first, counts) | again[np.repeat(begin[which], counts) + inside]
+        return (np.repeat(first, counts) + inside)[gone]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch, i, b in _rows(batches, folder):
-            places, found = b.suffixes(delivered(f"{folder}/ties", number), sample_buckets)
-            order = np.argsort(found, kind="stable")
-            again = contained(found, chosen(suffix_parts(np.unique(found), suffix_buckets), delivered(f"{folder}/marks", number)))
-            again[order[1:]] |= found[order[1:]] == found[order[:-1]]
-            edge = np.zeros(len(b.data) + 1, np.int32)
-            np.add.at(edge, places[again], 1)
-            np.add.at(edge, places[again] + LENGTH, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            for s, n, live in zip(b.starts, b.sizes, b.live):
-                if n >= LENGTH and not live:  # a copy
-                    gone[s:s + n] = True
-            ids = batch.column(batch.schema.get_field_index("ids"))[i].values
+        for number, ids, sizes, body in bl.rows_of(batches):
+            later = later_of(number, sizes)
+            b = Block(sizes, body, later)
+            gone = reached(marked(number), 0, LENGTH - 1, len(b.data))
             spans, kept, ends = [], [], [0]
-            for s, n in zip(b.starts, b.sizes):
-                turn = np.flatnonzero(np.diff(np.concatenate(([False], gone[s:s + n], [False]))))
+            for s, n, copy in zip(b.starts, b.sizes, later):
+                mine = gone[s:s + n] | copy
+                turn = np.flatnonzero(np.diff(np.concatenate(([False], mine, [False]))))
                 spans.append(turn.reshape(-1, 2))
-                kept.append(b.data[s:s + n][~gone[s:s + n]].tobytes())
+                kept.append(b.data[s:s + n][~mine].tobytes())
                 ends.append(ends[-1] + len(spans[-1]))
             flat = np.concatenate(spans)
-            runs = pa.StructArray.from_arrays([pa.array(flat[:, 0], pa.int64()), pa.array(flat[:, 1], pa.int64())], ["start", "stop"])
-            yield pa.RecordBatch.from_arrays([ids, pa.array(b.sizes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs),
+            listed = pa.StructArray.from_arrays([pa.array(flat[:, 0], pa.int64()), pa.array(flat[:, 1], pa.int64())], ["start", "stop"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(b.sizes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed),
                                               pa.array(kept, pa.binary())], ["id", "n_bytes", "spans", "kept"])
 
     kind = df.schema[key].dataType.simpleString()
-    out = blocks.select("block", "ids", "sizes", "body").mapInArrow(
-        cut, f"id {kind}, n_bytes bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary")
+    out = rows.mapInArrow(cut, f"id {kind}, n_bytes bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary")
     return out.withColumnRenamed("id", key)
-
-
-ANSWER = "block long, bucket long, data binary"
-
-
-def _answers(table: pa.Table, bits: list[np.ndarray]) -> pa.Table:
-    """A row for every block that has a 1 among its bits."""
-    rows = [(n, k, np.packbits(b).tobytes()) for n, k, b in zip(table.column("block").to_pylist(), table.column("bucket").to_pylist(), bits) if b.any()]
-    return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([r[1] for r in rows], pa.int64()),
-                     "data": pa.array([r[2] for r in rows], pa.binary())})
