@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from credlake.operators import flat_rules, flows, rules
+from credlake.operators import flat_flow, flat_rules, flows, rules
 from credlake.operators.requests import build_requests, titular
 from credlake.plans.registry import query
 from credlake.plans.sql_views import with_views
@@ -238,32 +238,60 @@ def flow_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.decision_summary(decided)
 
 
-_AUDIT_PATHS_SQL = _flow_sql("""
-select cast(id as varchar) as id, step, execution_id, fn_name, path, 'object' as value_type from paths""", """
-paths as (
+# The trail's values as JSON texts: an applicant's metrics (the mean income, whose last bit depends on the order of a sum, as ``#``),
+# a rejecting decision, the titular's results.
+_METRICS = ('{"income":{"avg_6m":#,"avg_12m":0,"min_month":0,"variability_index":0},'
+            '"financial_load":{"debt_to_income_ratio":0.0,"available_income_after_debt":0}}')
+
+
+def _decision(codes: str) -> str:
+    return "'{\"final_decision_code\":\"REJECTED\",\"blocking_rule_codes\":[' || " + codes + " || '],\"required_action_codes\":[]}'"
+
+
+_APPROVED = '\'{"income":{"evaluation_code":"APPROVED","triggered_rule_codes":[]}}\''
+_LISTED = "select cast(id as varchar) as id, step, execution_id, fn_name, path, 'object' as value_type, value, number from paths"
+_DICOM_LIST = "repeat('\"RL_DICOM_HARD\",', cast(nhard as int))"
+_AVERAGES = f"""
   select a.request_id as id, 0 as step, 'exec-1' as execution_id, 'fn_calcular_promedio_renta' as fn_name,
-    'applicants[' || cast(a.idx as varchar) || '].calculated_metrics' as path
-  from app a where a.has_obs and a.avg6 <> 0
+    'applicants[' || cast(a.idx as varchar) || '].calculated_metrics' as path, '{_METRICS}' as value, round(a.avg6, 6) as number
+  from app a where a.has_obs and a.avg6 <> 0"""
+
+_AUDIT_PATHS_SQL = _flow_sql(_LISTED, f"""
+paths as ({_AVERAGES}
   union all
-  select id, 1, 'exec-2', case when branch then 'rl_check_dicom' else 'rl_sin_ingresos' end, 'decision'
+  select id, 1, 'exec-2', case when branch then 'rl_check_dicom' else 'rl_sin_ingresos' end, 'decision',
+    case when branch then {_decision(f"rtrim({_DICOM_LIST}, ',')")} when tpos is null then {_decision("'\"RL_NO_TITULAR\"'")}
+         else {_decision("'\"RL_SIN_INGRESOS\"'")} end, null
   from k where not branch or nhard > 0
   union all
   select id, 2, 'exec-3', 'rl_renta_minima',
-    case when low then 'decision' else 'applicants[' || cast(tidx as varchar) || '].evaluation_results' end
+    case when low then 'decision' else 'applicants[' || cast(tidx as varchar) || '].evaluation_results' end,
+    case when low then {_decision(f"{_DICOM_LIST} || '\"RL_RENTA_INSUFICIENTE\"'")} else {_APPROVED} end, null
   from k where branch
 )""")
 
 
+def comparable(paths: DataFrame) -> DataFrame:
+    """Audit rows with the mean income taken out of the metrics as a number."""
+    metrics = F.col("path").endswith(".calculated_metrics")
+    return paths.withColumn("number", F.when(metrics, F.round(F.get_json_object("value", "$.income.avg_6m").cast("double"), 6))).withColumn(
+        "value", F.when(metrics, F.regexp_replace("value", r'"avg_6m":[^,]*', '"avg_6m":#')).otherwise(F.col("value")))
+
+
 @query("flow_p0_audit_paths", _AUDIT_PATHS_SQL)
 def flow_p0_audit_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R12 exploded: one audit row per changed part (value JSON kept, not compared)."""
-    return flows.audit_paths(run_flow(spark, sf_dir, "p0")).drop("value")
+    """R12 exploded: one audit row per changed part, with its value."""
+    return comparable(flows.audit_paths(run_flow(spark, sf_dir, "p0")))
 
 
 @query("flow_p0_audit_paths_flat", _AUDIT_PATHS_SQL)
 def flow_p0_audit_paths_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R12 exploded on flat tables: the same audit rows without building documents."""
-    return flat_rules.p0_audit_paths(views.requests(spark, sf_dir), views.applicant_income(spark, sf_dir))
+    return _flat_audit(spark, sf_dir, "p0")
+
+
+def _flat_audit(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return comparable(flat_flow.audit(views.requests(spark, sf_dir), views.applicant_income(spark, sf_dir), flows.load_flows()[name]))
 
 
 @query("flow_titular_flat", _TITULAR_SQL)
@@ -290,16 +318,13 @@ def flow_income_avg_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("has_obs").alias("has_observation"))
 
 
-_FLOW6_AUDIT_SQL = _flow_sql("""
-select cast(id as varchar) as id, step, execution_id, fn_name, path, 'object' as value_type from paths""", """
-paths as (
-  select a.request_id as id, 0 as step, 'exec-1' as execution_id, 'fn_calcular_promedio_renta' as fn_name,
-    'applicants[' || cast(a.idx as varchar) || '].calculated_metrics' as path
-  from app a where a.has_obs and a.avg6 <> 0
+_FLOW6_AUDIT_SQL = _flow_sql(_LISTED, f"""
+paths as ({_AVERAGES}
   union all
   select id, 1, 'exec-2', 'rl_renta_minima',
     case when tpos is null or low6 then 'decision'
-         else 'applicants[' || cast(tidx as varchar) || '].evaluation_results' end
+         else 'applicants[' || cast(tidx as varchar) || '].evaluation_results' end,
+    case when tpos is null then {_decision("'\"RL_NO_TITULAR\"'")} when low6 then {_decision("'\"RL_RENTA_INSUFICIENTE\"'")} else {_APPROVED} end, null
   from k
 )""")
 
@@ -307,13 +332,13 @@ paths as (
 @query("flow6_audit_paths", _FLOW6_AUDIT_SQL)
 def flow6_audit_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R8 + R12: the flow-6 trail exploded, through the nested runner."""
-    return flows.audit_paths(run_flow(spark, sf_dir, "flow-6")).drop("value")
+    return comparable(flows.audit_paths(run_flow(spark, sf_dir, "flow-6")))
 
 
 @query("flow6_audit_paths_flat", _FLOW6_AUDIT_SQL)
 def flow6_audit_paths_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R8 + R12 on flat tables."""
-    return flat_rules.p0_audit_paths(views.requests(spark, sf_dir), views.applicant_income(spark, sf_dir), "flow-6")
+    return _flat_audit(spark, sf_dir, "flow-6")
 
 
 @query("flow_p0_outcomes_flat", _flow_sql("""
