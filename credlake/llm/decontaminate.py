@@ -166,28 +166,32 @@ def blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> list
     return [context.broadcast([(r["item"], bytes(r["words"]).split()) for r in numbered.where(F.col("block") == b).collect()]) for b in range(n)]
 
 
+RESULT = ("n_words", "spans", "items", "n_hit", "contaminated")
+
+
 def find(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``df`` with ``n_words``, ``spans`` (hit word spans), ``items`` (ids that occur), ``n_hit`` and ``contaminated``."""
     index = blocks(benchmark, item, item_text, block_bytes)
-    taken = [c for c in df.columns if c not in ("n_words", "spans", "items", "n_hit", "contaminated")]
+    taken = [c for c in df.columns if c.lower() not in RESULT]
     found = fresh(df, "found")
     if len(index) < 2:
         one = finder(index[0] if index else df.sparkSession.sparkContext.broadcast([]))
         out = df.withColumn(found, one(utf8(F.col(text))))
     else:
-        row = fresh(df, "row")
-        rows = stored(df.withColumn(row, F.monotonically_increasing_id()), "rows")
-        parts = [stored(rows.select(row, finder(b)(utf8(F.col(text))).alias("f")).where(F.size("f.items") > 0), "hits") for b in index]
+        # Columns that the result replaces go before the join, under names that no other column has.
+        row, body, words, spans, items = (fresh(df, c) for c in ("row", "body", "words", "hit_spans", "hit_items"))
+        rows = stored(df.select(*taken, utf8(F.col(text)).alias(body)).withColumn(row, F.monotonically_increasing_id()), "rows")
+        parts = [stored(rows.select(row, finder(b)(F.col(body)).alias("f")).where(F.size("f.items") > 0), "hits") for b in index]
         every = parts[0]
         for p in parts[1:]:
             every = every.unionAll(p)
-        hits = every.groupBy(row).agg(F.flatten(F.collect_list("f.spans")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("f.items")))).alias("items"))
+        hits = every.groupBy(row).agg(F.flatten(F.collect_list("f.spans")).alias(spans), F.sort_array(F.array_distinct(F.flatten(F.collect_list("f.items")))).alias(items))
         union = merger()
         none = df.sparkSession.sparkContext.broadcast([])
-        out = (rows.withColumn("_n", finder(none)(utf8(F.col(text)))["n_words"]).join(hits, row, "left")
-               .withColumn(found, F.struct(F.col("_n").alias("n_words"), union(F.coalesce("spans", F.from_json(F.lit("[]"), "array<struct<start:int,stop:int>>"))).alias("spans"),
-                                           F.coalesce("items", F.array().cast("array<string>")).alias("items"))))
+        out = (rows.withColumn(words, finder(none)(F.col(body))["n_words"]).join(hits, row, "left")
+               .withColumn(found, F.struct(F.col(words).alias("n_words"), union(F.coalesce(spans, F.from_json(F.lit("[]"), "array<struct<start:int,stop:int>>"))).alias("spans"),
+                                           F.coalesce(items, F.array().cast("array<string>")).alias("items"))))
     f = F.col(found)
     out = out.select(*taken, f["n_words"].alias("n_words"), f["spans"].alias("spans"), f["items"].alias("items"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["stop"] - s["start"]).cast("long"))
@@ -204,5 +208,6 @@ def merger() -> Callable:
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", **names) -> DataFrame:
     """The rows of ``df`` that are not contaminated, same columns."""
-    mark = find(df.withColumn(fresh(df, "text_in"), F.col(text)), benchmark, text, **names)
-    return mark.where(~F.col("contaminated")).select(df.columns)
+    held = {c: fresh(df, f"own_{c}") for c in df.columns if c.lower() in RESULT}
+    mark = find(df.withColumnsRenamed(held), benchmark, held.get(text, text), **names)
+    return mark.where(~F.col("contaminated")).select([F.col(held.get(c, c)).alias(c) for c in df.columns])

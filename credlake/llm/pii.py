@@ -13,8 +13,10 @@ SHA-256(key, kind, value, attempt):
   keeps a shared one) and drawn anew with the next attempt, until all differ;
 * format: an occurrence keeps its separators, its letter case (all upper or
   not), lengths of numbers and secrets, country prefixes, the leading digit
-  and the Luhn validity of cards, IBAN countries; addresses move to reserved
+  and the Luhn digit of cards, IBAN countries; addresses move to reserved
   space (240.0.0.0/4, fd00::/8, example.org, area numbers from 900);
+* a number without a card's check digit is no card and stays; surrogates of
+  cards and IBANs have right check digits; secrets differ by letter case;
 * names: the title stays; a given name gets a name of the title's gender, all
   names one of the same script (Latin, Cyrillic or Greek) and capitalisation.
 
@@ -53,7 +55,7 @@ PATTERNS = {
     "ip6": rf"(?<![\p{{L}}\p{{N}}:])(?=[A-Fa-f:]*+\d)(?:[0-9A-Fa-f]{{1,4}}:){{3,7}}(?::?[0-9A-Fa-f]{{1,4}}){END}",
     "ip": r"(?<![\p{L}\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?![\p{L}\p{N}]|\.\d)",
     "ssn": rf"(?<![\p{{L}}\p{{N}}-])\d{{3}}-\d{{2}}-\d{{4}}(?![\p{{L}}\p{{N}}-])",
-    "card": r"(?<![\p{L}\p{N}+.-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}+.-])(?:\d{13,19}+|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
              r"|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\p{L}\p{N}])",
     "name": rf"{EDGE}{TITLE} {NAME}(?: {NAME}){{0,2}}",
@@ -78,23 +80,36 @@ def kind_of(found: Column) -> Column:
 
 
 def normal(kind: Column, token: Column) -> Column:
-    """What equal entities share: digits, or lower-case letters and digits."""
+    """What equal entities share: digits, or lower-case letters and digits; a secret is its own value, unless it is a hexadecimal number."""
     digits = F.regexp_replace(token, r"\D", "")
     phone = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits)
     return (F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits)
-            .when(kind == "iban", F.upper(F.regexp_replace(token, " ", ""))).when(kind == "ip", token).otherwise(F.lower(token)))
+            .when(kind == "iban", F.upper(F.regexp_replace(token, " ", ""))).when((kind == "ip") | ((kind == "secret") & ~token.rlike("^[0-9A-Fa-f]+$")), token).otherwise(F.lower(token)))
+
+
+def real(kind: Column, token: Column) -> Column:
+    """Whether a number that looks like a card has a card's check digit; True for other kinds (a mistyped IBAN is still one)."""
+    return F.when(kind == "card", F.pmod(_luhn_sum(normal(kind, token), 0), F.lit(10)) == 0).otherwise(True)
+
+
+def _mod97(text: Column) -> Column:
+    """The remainder of ISO 13616: digits as they are, letters as 10 to 35."""
+    def step(rest: Column, c: Column) -> Column:
+        return F.pmod(F.when(c.rlike("[0-9]"), rest * 10 + c.try_cast("int")).otherwise(rest * 100 + F.ascii(c) - 55), F.lit(97))
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
 
 
 def occurrences(rows: DataFrame, text: str, key: str) -> DataFrame:
     """(key, at, part, kind, token, value) per entity part of every distinct text; names have a part per word, titles no kind."""
     found = rows.select(F.col(key).alias("key"), F.posexplode(matches(F.col(text))).alias("at", "found")).distinct()
     typed = found.withColumn("kind", kind_of(F.col("found")))
+    typed = typed.withColumn("kind", F.when(real(F.col("kind"), F.col("found")), F.col("kind")).otherwise(F.lit("none")))
     words = F.split("found", " ")
     parts = typed.select("key", "at", "kind", "found", F.size(words).alias("n"),
                          F.posexplode(F.when(F.col("kind") == "name", words).otherwise(F.array("found"))).alias("part", "token"))
     woman = F.col("found").rlike("^(?:" + "|".join(FEMALE) + r")\.? ")
     given = (F.col("n") > 2) & (F.col("part") < F.col("n") - 1)
-    kind = (F.when(F.col("kind") != "name", F.col("kind")).when(F.col("part") == 0, F.lit(None))
+    kind = (F.when(F.col("kind") == "none", F.lit(None)).when(F.col("kind") != "name", F.col("kind")).when(F.col("part") == 0, F.lit(None))
             .when(given, F.when(woman, F.lit("name_f")).otherwise(F.lit("name_m"))).otherwise(F.lit("surname")))
     return parts.withColumn("kind", kind).select("key", "at", "part", "kind", "token", normal(F.col("kind"), F.col("token")).alias("value"))
 
@@ -138,7 +153,7 @@ def candidate(kind: Column, value: Column, key: str, attempt: int) -> Column:
     digits, n = _digits(hexes), F.length(value)
     body = F.concat(F.substring(value, 1, 1), F.substr(digits, F.lit(1), n - 2))
     check = F.pmod(10 - F.pmod(_luhn_sum(body, 1), F.lit(10)), F.lit(10)).cast("string")
-    card = F.concat(body, F.when(F.pmod(_luhn_sum(value, 0), F.lit(10)) == 0, check).otherwise(F.substring(digits, 40, 1)))
+    card = F.concat(body, check)
     octet = lambda i: F.conv(F.substring(hexes, 1 + 2 * i, 2), 16, 10).cast("int")
     ip = F.concat_ws(".", (240 + F.pmod(octet(0), F.lit(16))).cast("string"), *(octet(i).cast("string") for i in (1, 2, 3)))
     ip6 = F.concat_ws(":", F.lit("fd00"), *(F.substring(hexes, 1 + 4 * i, 4) for i in range(7)))
@@ -146,9 +161,10 @@ def candidate(kind: Column, value: Column, key: str, attempt: int) -> Column:
                      F.when(value.rlike(r"^[^@]*\d"), F.substring(digits, 1, 2)).otherwise(F.lit("")))
     email = F.concat(local, F.lit("@mail"), F.substring(digits, 20, 4), F.lit(".example.org"))
     # A secret keeps its key prefix; the rest is hexadecimal, which every format allows.
-    head = F.regexp_extract(value, r"^(akia|gh[pousr]_|sk[-_])", 1)
+    head = F.regexp_extract(value, r"^(AKIA|gh[pousr]_|sk[-_])", 1)
     secret = F.concat(head, F.substr(F.repeat(long, 1 + F.floor(n / 128).cast("int")), F.lit(1), n - F.length(head)))
-    iban = F.concat(F.substring(value, 1, 2), F.substr(digits, F.lit(1), n - 2))
+    country, account = F.substring(value, 1, 2), F.substr(digits, F.lit(1), n - 4)
+    iban = F.concat(country, F.lpad((98 - _mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account)
     count = F.lit(3 + min(attempt, 12))
     name = F.when(value.rlike(r"\p{IsCyrillic}"), _name(hexes, "cyrillic", kind, count)) \
         .when(value.rlike(r"\p{IsGreek}"), _name(hexes, "greek", kind, count)).otherwise(_name(hexes, "latin", kind, count))
@@ -202,20 +218,20 @@ def replace(df: DataFrame, text: str = "text", key: str = "", count: str | None
     """The rows of ``df`` with the entities of ``text`` replaced; ``count`` names a column for the number of entities."""
     if not key:
         raise ValueError("a secret key is needed")
-    mark, made, body = fresh(df, "mark"), fresh(df, "made"), F.col(text)
+    mark, made, many, body = fresh(df, "mark"), fresh(df, "made"), fresh(df, "many"), F.col(text)
     names = [c for c in df.columns if c != count]
     hashed = df.withColumn(mark, F.sha2(body.cast("binary"), 256))
     held = F.when(body.rlike(GATE), F.size(matches(body)) > 0).otherwise(False)
     parts = stored(occurrences(hashed.where(held), text, mark), "occurrences")
     known = surrogates(parts.where("kind is not null"), key)
     shown = (parts.join(known, ["kind", "value"], "left")
-             .select("key", "at", "part", rendered(F.col("kind"), F.col("token"), F.col("surrogate")).alias("shown")))
-    whole = shown.groupBy("key", "at").agg(F.array_join(F.array_sort(F.collect_list(F.struct("part", "shown")))["shown"], " ").alias("shown"))
-    lists = whole.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "shown")))["shown"].alias(made)).withColumnRenamed("key", mark)
+             .select(F.col("kind").isNotNull().alias("named"), "key", "at", "part", rendered(F.col("kind"), F.col("token"), F.col("surrogate")).alias("shown")))
+    whole = shown.groupBy("key", "at").agg(F.array_join(F.array_sort(F.collect_list(F.struct("part", "shown")))["shown"], " ").alias("shown"), F.max("named").alias("named"))
+    lists = whole.groupBy("key").agg(F.count_if("named").alias(many), F.array_sort(F.collect_list(F.struct("at", "shown")))["shown"].alias(made)).withColumnRenamed("key", mark)
     pieces = F.zip_with(F.split(body, ANY, -1), F.concat(F.col(made), F.array(F.lit(""))), lambda a, b: F.concat(a, b))
     changed = hashed.where(held).join(lists, mark)
     numbered = lambda rows, n: rows.withColumn(count, n.cast("long")) if count else rows
-    changed = numbered(changed, F.size(made)).withColumn(text, F.array_join(pieces, ""))
+    changed = numbered(changed, F.col(many)).withColumn(text, F.array_join(pieces, ""))
     same = numbered(df.where(~held | body.isNull()), F.lit(0))
     out = [*names, count] if count else names
     return same.select(out).unionAll(changed.select(out))

@@ -194,30 +194,41 @@ def print_classes(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     return prints.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("class"))
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, max_bits: int = 3) -> DataFrame:
-    """(key, fp, component_id) per row; the component id is the smallest key of all that links reach."""
+def _classes(df: DataFrame, key: str, text: str, k: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(key, fp) per row, and (fp, root, component_id) per fingerprint."""
     rows = stored(df.select(F.col(key), fingerprint(F.col(text), k).alias("fp")), "prints")
     groups = rows.groupBy("fp").agg(F.min(key).alias("least"))
     found = components(links(rows.select("fp").distinct(), max_bits))
     rooted = groups.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id"), "classes")
-    return rows.join(named, "fp").select(key, "fp", "component_id")
+    return rows, stored(rooted.select("fp", "root").join(ids, "root").select("fp", "root", "component_id"), "classes")
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, max_bits: int = 3) -> DataFrame:
+    """(key, fp, component_id) per row; the component id is the smallest key of all that links reach."""
+    rows, named = _classes(df, key, text, k, max_bits)
+    return rows.join(named.drop("root"), "fp").select(key, "fp", "component_id")
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of ``df`` without near-duplicates: of each component the row with the smallest key.
 
-    Rows that repeat that key are one document; one of them stays.  A
-    component without any non-null key keeps one row with a null key.
+    Rows that repeat a key, or have none, are documents of their own: each
+    component keeps one row, also where two components' rows share the key.
+    Of a component's rows of that key the one with the least hash of all its
+    columns stays, so a repeated run keeps the same.
     """
-    classes = near_duplicates(df, key, text, k, max_bits)
-    best = classes.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    kept = df.join(best, key, "left_semi").dropDuplicates([key])
-    nameless = df.where(F.col(key).isNull())
-    if nameless.limit(1).isEmpty():
+    rows, named = _classes(df, key, text, k, max_bits)
+    best = rows.join(named, "fp").where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("best"), "fp", "root")
+    often = stored(rows.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).select(F.col(key).alias("best")), "repeated")
+    once = best.where("best is not null").join(often, "best", "left_anti").select(F.col("best").alias(key))
+    kept = df.join(once, key, "left_semi")
+    if often.isEmpty():
         return kept
-    alone = classes.where("component_id is null").groupBy("fp").count().select("fp")
-    fp = fresh(df, "fp")
-    extra = nameless.withColumn(fp, fingerprint(F.col(text), k)).join(alone.withColumnRenamed("fp", fp), fp, "left_semi")
-    return kept.unionByName(extra.dropDuplicates([fp]).drop(fp))
+    fp, tie, root, named_key = (fresh(df, c) for c in ("fp", "tie", "root", "best"))
+    again = often.withColumnRenamed("best", named_key)
+    shared = df.join(again, F.col(key).eqNullSafe(F.col(named_key)), "left_semi").withColumn(fp, fingerprint(F.col(text), k)).withColumn(tie, F.xxhash64(*df.columns))
+    won = best.distinct().select(F.col("best").alias(named_key), F.col("fp").alias(f"{fp}_"), F.col("root").alias(root))
+    met = shared.join(won, F.col(key).eqNullSafe(F.col(named_key)) & (F.col(fp) == F.col(f"{fp}_"))).drop(named_key, f"{fp}_")
+    least = met.groupBy(root).agg(F.min(tie).alias(tie))
+    return kept.unionByName(met.join(least, [root, tie]).dropDuplicates([root]).select(df.columns))

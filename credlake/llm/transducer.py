@@ -221,7 +221,7 @@ def token_counts(df: DataFrame, path: str, text: str = "text", out: str = "n_tok
     body, keep = F.col(text), [c for c in df.columns if c != out]
     size = F.length(F.coalesce(body.cast("string"), F.lit("")))
     short = df.where(size <= chunk).withColumn(out, count(body, path)).select(*keep, out)
-    row, at, part = fresh(df, "row"), fresh(df, "at"), fresh(df, "part")
+    row, at, part, counted = (fresh(df, c) for c in ("row", "at", "part", "counted"))
     long = stored(df.where(size > chunk).withColumn(row, F.monotonically_increasing_id()), "long_texts")
 
     @F.arrow_udf(MAP)
@@ -240,6 +240,6 @@ def token_counts(df: DataFrame, path: str, text: str = "text", out: str = "n_tok
               .select(row, at, F.substr(F.col(part), F.col(at) * chunk + 1, F.lit(chunk)).alias(part)).repartition(row, at))
     maps = chunks.select(row, at, mapped(F.col(part)).alias("m"))
     lists = maps.groupBy(row).agg(F.array_sort(F.collect_list(F.struct(at, "m")))["m"].alias("maps"))
-    counts = lists.select(row, composed(F.col("maps")).alias("counted"))
-    found = long.select(*keep, row).join(counts, row).withColumn(out, F.col("counted"))
+    counts = lists.select(row, composed(F.col("maps")).alias(counted))
+    found = long.select(*keep, row).join(counts, row).withColumn(out, F.col(counted))
     return short.unionAll(found.select(*keep, out))

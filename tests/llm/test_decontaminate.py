@@ -82,3 +82,16 @@ def test_stage_drops_contaminated_only(spark, sf, docs):
         want += not (hit and 20 * len(hit) >= n)
     out = decontaminate.decontaminate(docs, bench)
     assert out.count() == want and out.columns == docs.columns
+
+
+def test_clashing_columns_with_one_block_and_with_many(spark):
+    rng = __import__("random").Random(4)
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(words, k=30))) for i in range(20)]
+    docs = [(i, "x " * (i % 5) + items[i % 20][1] + " y" if i % 2 else " ".join(rng.choices(words, k=40)), "s", "t", "n", 1, "r") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, spans string, items string, _n string, words int, `row` string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = [sorted(map(str, decontaminate.find(df, bench, block_bytes=b).collect())) for b in (1 << 22, 300)]
+    assert found[0] == found[1] and sum("contaminated=True" in r for r in found[0]) == 30
+    kept = [decontaminate.decontaminate(df, bench, block_bytes=b) for b in (1 << 22, 300)]
+    assert all(k.columns == df.columns and {tuple(r)[2:] for r in k.collect()} == {("s", "t", "n", 1, "r")} and k.count() == 30 for k in kept)

@@ -142,3 +142,13 @@ def test_keep_one(spark, docs, empty):
     kept = simhash.keep_one(spark.createDataFrame(nameless, "doc_id long, text string").selectExpr("doc_id", "text", "1 as fp", "2 as component_id"))
     assert kept.columns == ["doc_id", "text", "fp", "component_id"] and kept.count() == 2
     assert simhash.keep_one(empty).count() == 0
+
+
+def test_rows_that_share_a_key_are_documents_of_their_own(spark):
+    from credlake.llm.simhash import keep_one
+    texts = ["alpha beta gamma delta epsilon zeta", "one two three four five six seven", "ten green bottles standing on the wall"]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (3, texts[0]), (None, texts[1]), (None, "lone words without any key here"), (1, texts[0])]
+    df = spark.createDataFrame([(*r, "a", 4, 5) for r in rows], "doc_id long, text string, best string, root int, fp int")
+    for parts in (1, 3):
+        got = sorted(((str(r.doc_id), r.text) for r in keep_one(df.repartition(parts)).collect()))
+        assert got == sorted([("1", texts[0]), ("1", texts[1]), ("2", texts[2]), ("None", "lone words without any key here")])

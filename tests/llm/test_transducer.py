@@ -69,3 +69,11 @@ def test_long_texts_are_cut_and_composed(docs, empty, library):
     assert len(got) == docs.count()
     assert all(r.lang == plain(library, r.text or "") for r in got)
     assert transducer.token_counts(empty, TOKENIZER).count() == 0
+
+
+def test_clashing_columns(spark, library):
+    rows = [(1, "some words here " * 9, "c", 1, 2, 3), (2, None, "c", 1, 2, 3), (3, "short", "c", 1, 2, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, counted string, `row` int, at int, part int")
+    for chunk in (10, 10_000):
+        got = transducer.token_counts(df, TOKENIZER, chunk=chunk).collect()
+        assert sorted((r.doc_id, r.counted, r.row, r.at, r.part, r.n_tokens) for r in got) == [(i, *rest, plain(library, t or "")) for i, t, *rest in rows]
