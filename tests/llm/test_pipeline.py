@@ -89,7 +89,7 @@ def test_a_group_of_near_copies_leaves_one(spark, sf):
 
 def test_registry():
     numbers = sorted(int(n[2:n.index("_")]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     code = "import __spark_entry__ as e; assert {'pipeline', 'op1_byte_bpe'} <= set(e.queries()); assert set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=REPO, check=True)
