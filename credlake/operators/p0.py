@@ -6,6 +6,8 @@ no Python; it runs identically in batch and inside ``foreachBatch``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,37 +63,40 @@ def flatten_scored(docs: DataFrame) -> DataFrame:
     """Nested document (bare, or wrapped as ``documento``) -> flat row.
 
     Numbers default to 0, labels to ``"Sin dato"``; the id is the inner
-    ``_id``, else the outer ``_id``, else a random uuid; a row is approved
-    iff ``upper(resultado_final) = 'APROBADO'`` (errors count as rejected).
+    ``_id``, else the outer ``_id``, else one made from the document itself
+    (``content_id``); a row is approved iff ``upper(resultado_final) =
+    'APROBADO'`` (errors count as rejected).  A number is read by the type that
+    the schema gives it at either depth; only texts are parsed.
     """
     names = set(docs.columns)
     wrapped = "documento" in names
 
-    def has(schema: T.StructType, path: str) -> bool:
-        t: T.DataType = schema
+    def kind(path: str) -> T.DataType | None:
+        t: T.DataType = docs.schema
         for part in path.split("."):
             if not isinstance(t, T.StructType) or part not in t.fieldNames():
-                return False
+                return None
             t = t[part].dataType
-        return True
+        return t
+
+    def field(path: str, read: Callable[[Column, T.DataType], Column] = lambda c, t: c) -> Column:
+        # Stored documents drift: any field may be missing, or of another type, at any depth.
+        at = lambda p: read(F.col(p), kind(p)) if kind(p) else F.lit(None)
+        bare = at(path)
+        return F.when(F.col("documento").isNotNull(), at(f"documento.{path}")).otherwise(bare) if wrapped else bare
 
-    def field(path: str) -> Column:
-        # Stored documents drift: any field may be missing at any depth.
-        bare = F.col(path) if has(docs.schema, path) else F.lit(None)
-        if not wrapped:
-            return bare
-        inner = F.col(f"documento.{path}") if has(docs.schema, f"documento.{path}") else F.lit(None)
-        return F.when(F.col("documento").isNotNull(), inner).otherwise(bare)
+    def number(c: Column, t: T.DataType) -> Column:
+        return c.cast("double") if isinstance(t, T.NumericType) else c.cast("string").try_cast("double")
 
     def num(path: str) -> Column:
-        return F.coalesce(field(path).cast("string").try_cast("double"), F.lit(0.0))
+        return F.coalesce(field(path, number), F.lit(0.0))
 
     def label(path: str) -> Column:
         return F.coalesce(field(path), F.lit(NO_DATA))
 
     outer_id = F.col("_id") if "_id" in names else F.lit(None)
     pred = field("etiquetas.prediccion_xgboost")
-    out = [F.coalesce(field("_id"), outer_id, F.expr("uuid()")).alias("id")]
+    out = [F.coalesce(field("_id"), outer_id, content_id(F.to_json(F.struct(*docs.columns)))).alias("id")]
     out += [num(f"solicitud.{c}").alias(c) for c in FEATURES]
     out.append(num("etiquetas.ratio_endeudamiento_actual").alias("ratio_endeudamiento_actual"))
     out += [label(f"etiquetas.{c}").alias(c) for c in LABELS[1:]]
@@ -100,6 +105,52 @@ def flatten_scored(docs: DataFrame) -> DataFrame:
     return docs.select(*out)
 
 
+def content_id(text: Column) -> Column:
+    """an id in a uuid's form from the SHA-256 of a text, so a recomputed task makes the same one."""
+    h = F.sha2(text.cast("binary"), 256)
+    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
+def flatten_json(docs: DataFrame, column: str = "value") -> DataFrame:
+    """P3 over documents as JSON texts whose fields differ in type from row to row.
+
+    Each text is parsed once into a VARIANT, whose fields carry their own types:
+    a number may be a number in one document and a text in the next, the risk a
+    percentage text (F10) or a number, the whole wrapped as ``documento`` or
+    bare.  Texts that are no JSON object are left out; ``unreadable_json`` lists
+    them.  Without an ``_id`` the id is ``content_id`` of the text.
+    """
+    # A Generate node: a filter on the parsed text is not pushed below it, where the parsing (and whatever made the text) would be repeated.
+    once = F.inline(F.array(F.struct(F.col(column).alias("text"), F.try_parse_json(column).alias("raw"))))
+    parsed = docs.select(once).where(_is_object("raw"))
+    inner = F.try_variant_get("raw", "$.documento", "variant")
+    wrapped = inner.isNotNull() & ~F.is_variant_null(inner)
+    doc = parsed.select("text", "raw", F.when(wrapped, inner).otherwise(F.col("raw")).alias("doc"))
+
+    def num(path: str) -> Column:
+        return F.coalesce(F.try_variant_get("doc", path, "double"), F.lit(0.0)).alias(path.rsplit(".", 1)[1])
+
+    def label(name: str) -> Column:
+        return F.coalesce(F.try_variant_get("doc", f"$.etiquetas.{name}", "string"), F.lit(NO_DATA)).alias(name)
+
+    risk = F.try_variant_get("doc", "$.etiquetas.prediccion_xgboost", "variant")
+    text = F.try_variant_get("doc", "$.etiquetas.prediccion_xgboost", "string")
+    pct = F.when(F.schema_of_variant(risk) == "STRING", parse_pct(text)).otherwise(F.coalesce(text.try_cast("double"), F.lit(0.0)))
+    made = F.coalesce(F.try_variant_get("doc", "$._id", "string"), F.try_variant_get("raw", "$._id", "string"), content_id(F.col("text")))
+    result = F.upper(F.coalesce(F.try_variant_get("doc", "$.resultado_final", "string"), F.lit("")))
+    return doc.select(made.alias("id"), *[num(f"$.solicitud.{c}") for c in FEATURES], num("$.etiquetas.ratio_endeudamiento_actual"),
+                      *[label(c) for c in LABELS[1:]], pct.alias("pct_riesgo"), (result == "APROBADO").alias("is_aprobado"))
+
+
+def _is_object(column: str) -> Column:
+    return F.coalesce(F.schema_of_variant(F.col(column)).startswith("OBJECT"), F.lit(False))
+
+
+def unreadable_json(docs: DataFrame, column: str = "value") -> DataFrame:
+    """The rows of ``docs`` whose text is no JSON object."""
+    return docs.where(~F.coalesce(F.schema_of_variant(F.try_parse_json(column)).startswith("OBJECT"), F.lit(False)))
+
+
 def latest(df: DataFrame, n: int = 10000, key: str = "id") -> DataFrame:
     """Newest documents first (key descending, NULL keys last), at most ``n``.
 

@@ -7,14 +7,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credlake.operators import lsh, p0
-from credlake.plans import jobs, lsh_queries, p0_queries  # noqa: F401  (their oracles are reused below)
+from credlake.operators.requests import to_document
+from credlake.plans import flow_queries, jobs, lsh_queries, p0_queries  # noqa: F401  (their oracles are reused below)
 from credlake.plans.registry import ORACLES, query
 from credlake.session import ensure_checkpoint_dir
-from credlake.sinks import writers
+from credlake.sinks import versioned, writers
 from credlake.sources import files, views
 from credlake.sources.tables import read_table
 
@@ -70,3 +72,49 @@ def io_delete_and_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise AssertionError(f"delete reported {removed}")
     writers.save_record(rows.where(F.col("id") % 7 == 3), ["id", "saldo"], out)
     return spark.read.parquet(out).select("id", "saldo")
+
+
+@query("io_versioned_records", ORACLES["io_delete_and_records"])
+def io_versioned_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 and K7 on a table that changes in one step: a delete that fails midway leaves it as it was."""
+    out = folder(spark, "versions")
+    rows = read_table(spark, sf_dir, "customer", "c_custkey", "c_acctbal").toDF("id", "saldo")
+    versioned.append(rows, out)
+    before = versioned.parts(spark, out)
+    broken = rows.where(F.col("id") % 7 == 0).select(F.when(F.col("id") >= 0, F.raise_error(F.lit("lost"))).cast("long").alias("id"))
+    try:
+        versioned.delete(spark, out, broken)
+        raise AssertionError("the delete should have failed")
+    except PySparkException:
+        if versioned.parts(spark, out) != before:
+            raise AssertionError("a failed delete changed the table") from None
+    gone = rows.where(F.col("id") % 7 == 0).select("id")
+    removed = [versioned.delete(spark, out, gone), versioned.delete(spark, out, gone)]
+    if removed != [gone.count(), 0]:
+        raise AssertionError(f"delete reported {removed}")
+    versioned.append(rows.where(F.col("id") % 7 == 3), out)
+    return versioned.read(spark, out).select("id", "saldo")
+
+
+@query("io_request_batch", flow_queries._flow_sql("""
+select cast(id as varchar) as id, case when branch and nhard = 0 and not low then 'APPROVED' else 'REJECTED' end as decision,
+  cast(null as varchar) as error from k where id % 16 not in (3, 5)
+union all select null, 'ERROR', 'broken' from k where id % 16 = 3
+union all select null, 'ERROR', 'missing required field' from k where id % 16 = 5"""))
+def io_request_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 -> L4 (P4, P5, P6, R7, R13) -> K4: requests written as JSON lines, wrapped,
+    bare, cut short and without a rent; decisions from the result documents, errors from the error file."""
+    out = folder(spark, "requests")
+    docs = to_document(flow_queries.nested_requests(spark, sf_dir))
+    k, t = F.col("id").cast("long"), F.col("document")
+    for cond, changed in ((k % 16 == 5, F.regexp_replace(t, '"monthly_rent":[-0-9.E]+,', "")), (k % 3 == 0, F.concat(F.lit('{"solicitud":'), t, F.lit("}"))),
+                          (k % 16 == 3, F.substring(t, 1, 60))):
+        docs = docs.withColumn("document", F.when(cond, changed).otherwise(t))
+    docs.select(t.alias("value")).write.text(f"{out}/plain")
+    jobs.request_batch_job(spark, f"{out}/plain", f"{out}/results", "p0", errors_dir=f"{out}/errors", lines=True)
+    done = spark.read.schema("id string, document string").json(f"{out}/results").select(
+        "id", F.get_json_object("document", "$.decision.final_decision_code").alias("decision"), F.lit(None).cast("string").alias("error"))
+    error = F.when(F.col("error").startswith("missing"), F.col("error")).otherwise(F.lit("broken"))
+    bad = spark.read.schema("file string, error string").json(f"{out}/errors").select(
+        F.lit(None).cast("string").alias("id"), F.lit("ERROR").alias("decision"), error.alias("error"))
+    return done.unionByName(bad)

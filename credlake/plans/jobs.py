@@ -70,13 +70,13 @@ def score_to_documents(spark: SparkSession, apps: DataFrame, scored_path: str,
 
 
 def request_batch_job(spark: SparkSession, in_dir: str, out_dir: str, flow_name: str = "p0",
-                      flow_code: str | None = None, errors_dir: str | None = None) -> DataFrame:
+                      flow_code: str | None = None, errors_dir: str | None = None, lines: bool = False) -> DataFrame:
     """L4: S2 -> P4, P5 -> flow (R7..R12) -> K4 and the R13 summary.
 
-    A flow code, when given, overrides the flow name (R9)."""
+    ``lines``: a request per line instead of one per file.  A flow code, when given, overrides the flow name (R9)."""
     name = flows.flow_name_for(flow_code) if flow_code else flow_name
     spec = flows.load_flow(name)
-    requests, bad, raw = files.read_requests(spark, in_dir, return_raw=True)
+    requests, bad, _ = files.read_requests(spark, in_dir, return_raw=True, lines=lines)
     decided = flows.apply_flow(requests, spec).persist(StorageLevel.MEMORY_AND_DISK)
     docs = to_document(decided, keep=("_file",)).select(
         F.concat(F.lit("result_"), F.col("_file")).alias("result_name"), "id", "document")
@@ -88,5 +88,4 @@ def request_batch_job(spark: SparkSession, in_dir: str, out_dir: str, flow_name:
     summary = flows.batch_summary(decided, bad)
     rows = summary.collect()          # one row per decision code: bounded
     decided.unpersist()
-    raw.unpersist()
     return spark.createDataFrame(rows, summary.schema)

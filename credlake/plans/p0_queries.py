@@ -349,6 +349,44 @@ def insights_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p0.flatten_scored(_drifted_docs(spark, sf_dir))
 
 
+@query("insights_flatten_json", _p0_sql("""
+select cast(id as varchar) as id, ingreso_mensual, score_crediticio,
+  case when id % 17 = 4 then 0e0 else monto_solicitado end as monto_solicitado,
+  cast(antiguedad_laboral_meses as double) as antiguedad_laboral_meses, deuda_actual, ratio_endeudamiento_actual,
+  capacidad_pago, case when id % 19 = 5 then 'Sin dato' else estabilidad_laboral end as estabilidad_laboral,
+  score_estabilidad_financiera, decision_preliminar,
+  case when id % 13 = 0 then null when id % 13 = 1 then 0e0 else pct_riesgo end as pct_riesgo,
+  case when id % 11 = 0 then false else is_aprobado end as is_aprobado
+from scored where id % 23 <> 7"""))
+def insights_flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 over JSON texts of all stored shapes: wrapped or bare, numbers as
+    numbers or texts, the risk as a percentage, a label, a number or under
+    another key, results and labels missing, texts cut short."""
+    return p0.flatten_json(_json_docs(spark, sf_dir), "value")
+
+
+def _json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _ = p0.bulk_score(views.risk_input(spark, sf_dir))
+    k = F.col("id")
+    none = F.lit(None).cast("string")
+    drifted = scored.withColumn("resultado_final", F.when(k % 11 == 0, none).otherwise(F.col("resultado_final")))
+    drifted = drifted.withColumn("estabilidad_laboral", F.when(k % 19 == 5, none).otherwise(F.col("estabilidad_laboral")))
+    drifted = drifted.withColumn("prediccion_xgboost", F.when(k % 13 == 0, F.lit("Alto_Potencial (Prob: 1.0)")).otherwise(F.col("prediccion_xgboost")))
+    text = F.to_json(F.struct(*[F.col(c) for c in p0.to_documents(drifted).columns]))
+    docs = p0.to_documents(drifted).select(F.col("_id").cast("long").alias("k"), text.alias("t"))
+    k, t = F.col("k"), F.col("t")
+    shapes = [
+        (k % 13 == 1, F.regexp_replace(t, '"prediccion_xgboost":', '"prediccion_xgboost%riesgo":')),
+        (k % 13 == 2, F.regexp_replace(t, '"prediccion_xgboost":"([0-9]+)%"', '"prediccion_xgboost":$1')),
+        (k % 5 == 3, F.regexp_replace(t, '"(deuda_actual|ingreso_mensual|ratio_endeudamiento_actual)":([-0-9.E]+)', '"$1":"$2"')),
+        (k % 17 == 4, F.regexp_replace(t, '"monto_solicitado":[-0-9.E]+', '"monto_solicitado":null')),
+        (k % 7 == 0, F.concat(F.lit('{"documento":'), t, F.lit("}"))),
+        (k % 23 == 7, F.substring(t, 1, 40))]
+    for cond, changed in shapes:
+        docs = docs.withColumn("t", F.when(cond, changed).otherwise(t))
+    return docs.select(t.alias("value"))
+
+
 # F13 on closed-form class probabilities (binomial split of the stand-in
 # risk): p0 = (1-p)^2, p1 = 2p(1-p), p2 = p^2, so they sum to 1 and the
 # threshold labels are checkable by SQL.

@@ -39,3 +39,17 @@ def stream_p0_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, _ = scoring.stream_p0_scores(spark, stream, scoring.stream_dir(spark, "p0"))
     from credlake.operators import p0
     return scored.select("id", *p0.LABELS, "pct_riesgo", "prediccion_xgboost", "resultado_final", "flujo_estado")
+
+
+@query("stream_p0_keyed", ORACLES["p0_bulk_scoring"])
+def stream_p0_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 + K2: the stream read twice into one store, the second time without
+    the first one's checkpoint; every application is stored once."""
+    out = scoring.stream_dir(spark, "p0-keyed")
+    for run in ("first", "second"):
+        stream = scoring.application_stream(spark, sf_dir)
+        stream = stream.withColumn("p_riesgo", views.closed_form_risk(
+            F.col("ingreso_mensual"), F.col("deuda_actual"), F.col("score_crediticio")))
+        scored, _ = scoring.stream_p0_scores(spark, stream, out, key="id", checkpoint=f"checkpoint-{run}")
+    from credlake.operators import p0
+    return scored.select("id", *p0.LABELS, "pct_riesgo", "prediccion_xgboost", "resultado_final", "flujo_estado")

@@ -29,22 +29,45 @@ def write_gold(df: DataFrame, path: str, drop: tuple[str, ...] = ("features_vec"
     return _count_while_writing(out, lambda d: d.write.mode("overwrite").parquet(path))
 
 
-def append_scored(df: DataFrame, path: str, key: str | None = None) -> int:
+BUCKET = "_bucket"
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """Of the rows of a key the one with the least hash of all its columns: the same one whenever it is computed.
+    Null keys are no keys: all their rows stay."""
+    cols = [F.col(c) for c in df.columns]
+    keyed = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias("_row"))
+    return keyed.select("_row.*").unionByName(df.where(F.col(key).isNull()))
+
+
+def append_scored(df: DataFrame, path: str, key: str | None = None, buckets: int = 0) -> int:
     """K2: append scored documents; returns the rows inserted.
 
     With ``key``, rows whose key is already stored are skipped (anti join
     against the stored keys) and of the batch's own rows of one key one is
-    kept, so a replayed batch inserts nothing twice.  A store that is not
+    kept (``one_per_key``), so a replayed batch inserts nothing twice.  With
+    ``buckets`` the store is partitioned by a hash of the key, and only the
+    buckets that the batch meets are read for their keys.  A store that is not
     there yet is empty; any other read error is raised."""
     spark = df.sparkSession
     if key is not None:
-        df = df.dropDuplicates([key])
+        df = one_per_key(df, key)
+        if buckets:
+            df = df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
         try:
-            df = df.join(spark.read.parquet(path).select(key), key, "left_anti")
+            stored = spark.read.parquet(path)
+            if buckets:
+                met = [r[0] for r in df.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+                stored = stored.where(F.col(BUCKET).isin(met))
+            df = df.join(stored.select(key), key, "left_anti")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-    return _count_while_writing(df, lambda d: d.write.mode("append").parquet(path))
+
+    def write(d: DataFrame) -> None:
+        out = d.write.mode("append")
+        (out.partitionBy(BUCKET) if key is not None and buckets else out).parquet(path)
+    return _count_while_writing(df, write)
 
 
 def save_model(spark: SparkSession, model: LshModel, path: str) -> None:

@@ -32,22 +32,23 @@ def read_applications(spark: SparkSession, path: str, schema: T.StructType = APP
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def read_requests(spark: SparkSession, path: str, return_raw: bool = False):
+def read_requests(spark: SparkSession, path: str, return_raw: bool = False, lines: bool = False):
     """Every ``*.json`` file under ``path`` (one multi-line object per
-    file) -> (requests with defaults filled, unreadable files).
+    file, or with ``lines`` one object per line) -> (requests with defaults
+    filled, unreadable files or lines).
 
-    A bad file does not stop the batch: it lands in the second frame with
-    its file name.  Spark only lets the corrupt-record column be queried
-    from a cached read, so the raw read is cached; with ``return_raw`` it is
-    returned third, for the caller to ``unpersist`` when done."""
+    A bad document does not stop the batch: it lands in the second frame with
+    its file name.  The texts are read as they are and parsed by ``from_json``
+    with a corrupt-record column, so nothing has to be cached; with
+    ``return_raw`` the parsed documents are returned third."""
     schema = T.StructType(list(REQUEST_FILE.fields) + [T.StructField("_corrupt", T.StringType())])
-    raw = (spark.read.schema(schema)
-           .option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt")
-           .option("pathGlobFilter", "*.json").json(path)
-           .withColumn("_file", F.col("_metadata.file_name")))
-    # Caching is required by Spark before filtering on the corrupt-record column alone.
-    raw = raw.cache()
+    texts = spark.read.option("pathGlobFilter", "*" if lines else "*.json").text(path, wholetext=not lines)
+    if lines:
+        texts = texts.where(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    raw = (texts.select("value", F.from_json("value", schema, options).alias("r"), F.col("_metadata.file_name").alias("_file"))
+           .select("r.*", "_file", (F.col("r").isNull() | F.col("r._corrupt").isNotNull()).alias("_bad"), "value")
+           .withColumn("_corrupt", F.when(F.col("_bad"), F.col("value"))).drop("_bad", "value"))
     bad = raw.where(F.col("_corrupt").isNotNull()).select("_file", "_corrupt")
     good = unwrap(raw.where(F.col("_corrupt").isNull()).drop("_corrupt"))
     # Required fields of the request model (a missing one makes the document fail).

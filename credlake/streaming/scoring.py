@@ -20,6 +20,7 @@ from credlake.functions.lsh import LshModel
 from credlake.operators import lsh, ml, p0
 from credlake.operators.sampling import split_hash, sample_cut
 from credlake.session import ensure_checkpoint_dir, table_path
+from credlake.sinks import writers
 from credlake.sources import views
 from credlake.sources.tables import read_table
 
@@ -67,10 +68,18 @@ def stream_lsh_scores(spark: SparkSession, stream: DataFrame, model: LshModel, h
 
 
 def stream_p0_scores(spark: SparkSession, stream: DataFrame, out_dir: str,
-                     probability: str = "p_riesgo", model_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+                     probability: str = "p_riesgo", model_path: str | None = None, key: str | None = None,
+                     buckets: int = 64, checkpoint: str = "checkpoint") -> tuple[DataFrame, DataFrame]:
     """Validate -> labels -> risk -> decision per micro-batch; valid rows
     to ``scored``, invalid rows (with reasons) to ``invalid``.  With
-    ``model_path`` the stored risk model, loaded once, gives the probability."""
+    ``model_path`` the stored risk model, loaded once, gives the probability.
+
+    With ``key`` a key is stored once (K2): every micro-batch appends only the
+    keys that no earlier one stored, whatever batches the rows are cut into, so
+    an application that arrives in two files, or again after a restart from an
+    older checkpoint or none, adds no row; what a batch had stored before it
+    failed is skipped when it is replayed.  Nothing stored is ever overwritten.
+    Without ``key`` a batch replaces its own folder."""
     model = ml.load_risk_model(model_path) if model_path else None
     scored_dir, invalid_dir = os.path.join(out_dir, "scored"), os.path.join(out_dir, "invalid")
 
@@ -79,17 +88,21 @@ def stream_p0_scores(spark: SparkSession, stream: DataFrame, out_dir: str,
         batch = (ml.score_risk(model, batch, probability) if model else batch).persist()
         try:
             scored, invalid = p0.bulk_score(batch, probability)
+            reasons = invalid.withColumn("motivos", F.array_join("motivos", "; "))
+            if key:
+                writers.append_scored(scored, scored_dir, key, buckets)
+                writers.append_scored(reasons, invalid_dir, key, buckets)
+                return
             scored.write.mode("overwrite").parquet(os.path.join(scored_dir, f"batch={batch_id}"))
-            invalid.withColumn("motivos", F.array_join("motivos", "; ")).write.mode("overwrite") \
-                .parquet(os.path.join(invalid_dir, f"batch={batch_id}"))
+            reasons.write.mode("overwrite").parquet(os.path.join(invalid_dir, f"batch={batch_id}"))
         finally:
             batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(each_batch)
-         .option("checkpointLocation", os.path.join(out_dir, "checkpoint"))
+         .option("checkpointLocation", os.path.join(out_dir, checkpoint))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    read = lambda d: spark.read.parquet(d).drop("batch")
+    read = lambda d: spark.read.parquet(d).drop("batch", writers.BUCKET)
     return read(scored_dir), read(invalid_dir)
 
 
