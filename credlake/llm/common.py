@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # What is handed to a Python worker at a time.
-BATCH_ROWS, BATCH_BYTES = "1000", str(16 << 20)
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,9 +79,11 @@ def ship() -> None:
     in the shared folder, from which Spark hands it out.
     """
     spark = SparkSession.active()
-    # Texts are long rows: small batches keep a worker's memory to a few of them.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    # Texts are long rows: small batches keep a worker's memory to a few of them.  Spark reads these
+    # settings when a plan runs, so they cannot be restored here; what the caller has set stays.
+    for name, value in BATCHES.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
     context = spark.sparkContext
     if getattr(context, "_llm_shipped", False):
         return
