@@ -41,6 +41,7 @@ from credlake.llm.common import scratch, ship
 FIRST = 12  # the first level has at most so many words
 LONG = 1024  # bytes of a word that its polynomial name covers; longer ones get a digest
 WIDTH = 16
+BLOCK = 4 << 20  # a word's arrays take some ten times its bytes
 
 
 def levels(length: int) -> list[int]:
@@ -139,7 +140,7 @@ def exact_ties(sent: list[tuple[int, bytes]]) -> list[bytes | None]:
     return [np.packbits(b).tobytes() if b.any() else None for b in np.split(tie, np.cumsum([len(p) for p in parts])[:-1])]
 
 
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 35, block: int = bl.BLOCK, bucket: int = bl.BUCKET) -> DataFrame:
+def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 35, block: int = BLOCK, bucket: int = bl.BUCKET) -> DataFrame:
     """(key, n_words, spans, kept) per document: the removed runs [start, stop) of words, and the other words joined by one space (UTF-8)."""
     ship()
     folder, steps = scratch(df.sparkSession, "windows"), levels(length)
