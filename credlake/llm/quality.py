@@ -6,12 +6,14 @@ line in at least ``min_docs`` documents and in ``max_share`` of the host's
 documents is above the limit.  Such lines are removed, and a document that
 keeps less than ``min_kept`` of its words is depleted.
 
-Copies must not make a text look like boilerplate, so what is counted, for a
-line as for its host, are classes of near-duplicates: the SimHash components
-of ``simhash`` (3-word shingles, at most 3 differing bits) over all documents.
-Copies and the near copies that near-dedup would thin out to one are one
-document; pages that it would leave side by side are counted one by one,
-however much boilerplate they share.
+What counts as one document is ``unit``.  ``"texts"``: distinct whole texts,
+so exact copies do not make a text look like boilerplate, while pages that
+share most of their lines and differ in a word do.  ``"classes"``: classes of
+near-duplicates, the SimHash components of ``simhash`` (3-word shingles, at
+most 3 differing bits) over all documents, for a filter that runs before
+near-dedup: copies and the near copies that near-dedup would thin out to one
+are one document; pages that it would leave side by side are counted one by
+one, however much boilerplate they share.
 
 Words are runs of other characters than ASCII white space.  Defined results:
 null and empty texts have no words (base rule failed); a null host is a host
@@ -95,8 +97,12 @@ def measure(text: bytes) -> tuple[list[int], list[tuple[int, int]]]:
 LINES = pa.list_(pa.struct([("hash", pa.int64()), ("words", pa.int64())]))
 
 
-def measures(text: Column) -> Column:
-    """Struct of the measures, ``fp`` (the SimHash fingerprint) and ``lines``, an array of (hash, words)."""
+def measures(text: Column, unit: str = "classes") -> Column:
+    """Struct of the measures, ``fp`` (what copies share: the SimHash fingerprint, or a hash of the text) and ``lines``, an array of (hash, words)."""
+    from xxhash import xxh3_64_intdigest
+    if unit not in ("texts", "classes"):
+        raise ValueError(f"unknown unit {unit!r}")
+    mark = fingerprint_of if unit == "classes" else xxh3_64_intdigest
     ship()
     kind = ", ".join(f"{m}: bigint" for m in MEASURES)
 
@@ -106,7 +112,7 @@ def measures(text: Column) -> Column:
         for t in texts:
             found, lines = measure(t.as_py())
             rows.append(found)
-            prints.append(fingerprint_of(t.as_py()))
+            prints.append(mark(t.as_py()))
             hashes += [h for h, _ in lines]
             sizes += [n for _, n in lines]
             ends.append(len(hashes))
@@ -118,22 +124,26 @@ def measures(text: Column) -> Column:
     return run(utf8(text))
 
 
-def frequent_lines(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def frequent_lines(rows: DataFrame, min_docs: int, max_share: float, unit: str = "classes") -> DataFrame:
     """(host, hash, docs) of the lines above the limit, from (host, fp, lines) per document.
 
     Copies shrink to one row per line before their class is looked up.
     """
     full = rows.where(F.size("lines") > 0)
-    classes = stored(print_classes(full.select("fp").distinct()), "print-classes")
     lines = full.select("host", "fp", F.explode("lines.hash").alias("hash")).distinct()
-    counts = (lines.join(classes, "fp").select("host", "hash", "class").distinct()
-              .groupBy("host", "hash").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
-    hosts = full.select("host", "fp").distinct().join(classes, "fp").select("host", "class").distinct().groupBy("host").agg(F.count("*").alias("of"))
+    pages = full.select("host", "fp").distinct()
+    if unit == "classes":
+        classes = stored(print_classes(full.select("fp").distinct()), "print-classes")
+        lines = lines.join(classes, "fp").select("host", "hash", "class").distinct()
+        pages = pages.join(classes, "fp").select("host", "class").distinct()
+    counts = lines.groupBy("host", "hash").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    hosts = pages.groupBy("host").agg(F.count("*").alias("of"))
     return counts.join(hosts, "host").where(F.col("docs") >= F.lit(max_share) * F.col("of")).select("host", "hash", "docs")
 
 
 def judge(df: DataFrame, host: str = "source", text: str = "text", carry: list[str] | None = None, min_docs: int = 10,
-          max_share: float = 0.02, min_kept: float = 0.5, min_words: int = 20, max_repeat_pct: int = 30) -> DataFrame:
+          max_share: float = 0.02, min_kept: float = 0.5, min_words: int = 20, max_repeat_pct: int = 30,
+          unit: str = "classes") -> DataFrame:
     """The ``carry`` columns (all by default), the measures, ``removed_words``, ``removed_lines`` (hashes, null if none),
     ``base_failed`` and ``kept`` for every row.
 
@@ -143,10 +153,10 @@ def judge(df: DataFrame, host: str = "source", text: str = "text", carry: list[s
     """
     carry = [c for c in (df.columns if carry is None else carry) if c not in (*MEASURES, "removed_words", "removed_lines", "base_failed", "kept")]
     row, at, found = fresh(df, "row"), fresh(df, "host_key"), fresh(df, "found")
-    rows = stored(df.select(*carry, F.coalesce(F.col(host).cast("string"), F.lit("")).alias(at), measures(F.col(text)).alias(found))
+    rows = stored(df.select(*carry, F.coalesce(F.col(host).cast("string"), F.lit("")).alias(at), measures(F.col(text), unit).alias(found))
                   .withColumn(row, F.monotonically_increasing_id()), "measured")
     narrow = rows.select(row, F.col(at).alias("host"), F.col(f"{found}.fp").alias("fp"), F.col(f"{found}.lines").alias("lines"))
-    limits = frequent_lines(narrow, min_docs, max_share)
+    limits = frequent_lines(narrow, min_docs, max_share, unit)
     hits = (narrow.select(row, "host", F.inline("lines")).join(limits, ["host", "hash"])
             .groupBy(row).agg(F.sum("words").alias("removed_words"), F.collect_list("hash").alias("removed_lines")))
     hits = stored(hits, "removed")

@@ -34,6 +34,7 @@ QUERIES = {
     "op13_window_dedup": op13_windows.op13_window_dedup,
 }
 ORACLES = {
+    "op2_quality_rules": op2_quality.ORACLE,
     "op4_warc_round_trip": op4_warc.ORACLE,
     "op6_rendezvous_shards": op6_sharding.ORACLE,
     "op7_winnowing": op7_decontaminate.ORACLE,
