@@ -41,6 +41,12 @@ def decrypt_column(token: Column, key: Column) -> Column:
     return F.aes_decrypt(F.unbase64(token), key, F.lit("GCM")).cast("string")
 
 
-def request_id() -> Column:
-    """a random id per row (excluded from value checks)."""
-    return F.expr("uuid()")
+def content_id(text: Column) -> Column:
+    """an id in a uuid's form from the SHA-256 of a text, so a recomputed task makes the same one."""
+    h = F.sha2(text.cast("binary"), 256)
+    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
+def request_id(run: str, key: Column) -> Column:
+    """the id of a row in a run; another run gives another id, a retried task or a second read the same one."""
+    return content_id(F.concat(F.lit(f"{run}|"), F.coalesce(key.cast("string"), F.lit(""))))

@@ -16,12 +16,15 @@ Scale notes
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
 from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credlake.functions.lsh import DEFAULT_BITS, DEFAULT_SEED, LshModel, projection_matrix
+from credlake.functions.scoring import request_id
 from credlake.functions.text import fill, fixed2
 
 # Hint a broadcast of the bucket table only where the most buckets there can be, at
@@ -155,19 +158,22 @@ def score_against_history(apps: DataFrame, model: LshModel, history_stats: DataF
     })
 
 
-def evaluation_documents(scored: DataFrame, features: list[str]) -> DataFrame:
+def evaluation_documents(scored: DataFrame, features: list[str], run: str | None = None, at: Column | None = None) -> DataFrame:
     """Evaluation report rows (schema in FIXTURES.md 1.4).
 
     ``historial`` is NULL on a bucket miss; ``probabilidad_fraude`` is only
-    set on a miss.  Id and time come from ``uuid()``/``current_timestamp()``.
+    set on a miss.  The report's id follows from ``run`` (a new one
+    per call by default) and the application's id, and the time is ``at`` (by
+    default when this is called), so a retried task or a second read of the
+    result gives the same reports.
     """
     found = F.col("encontrado")
     hist = F.when(found, F.struct(
         F.col("total_balde"), F.col("fraudes_balde"), pct_text(F.col("pct_fraude")).alias("probabilidad_fraude")))
     return scored.select(
         F.col("id"),
-        F.expr("uuid()").alias("id_solicitud"),
-        F.current_timestamp().alias("fecha"),
+        request_id(run or uuid.uuid4().hex, F.col("id")).alias("id_solicitud"),
+        (F.lit(datetime.now(timezone.utc)) if at is None else at).alias("fecha"),
         F.struct(*[F.col(c) for c in features]).alias("datos_cliente"),
         F.col("firma_lsh"),
         hist.alias("historial"),

@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -26,11 +27,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from credlake.functions import labels as L
 
 # The notebook's boosting parameters.
 DEPTH, STEP, SUBSAMPLE, COLSAMPLE, SEED, ROUNDS = 4, 0.1, 0.8, "0.8", 42, 200
+MAX_PARALLEL = 4
 
 
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
@@ -125,12 +128,17 @@ def fitted(spark: SparkSession, path: str, fit: Callable, save: Callable, load:
 
 def fit_multiclass(df: DataFrame, features: list[str], label: str, classes: list[int],
                    rounds: int = ROUNDS) -> MultiClassModel:
-    """M2: one-vs-rest boosted trees, one binary model per class (``df`` is read by every round: persist it)."""
-    models = []
-    for k in classes:
+    """M2: one-vs-rest boosted trees, one binary model per class (``df`` is read by every round: persist it).
+
+    The rounds of a model follow each other in small jobs that leave most of a
+    cluster idle, so the models are fitted side by side.
+    """
+    def fit(k):
         bin_label = f"_is{k}"
-        models.append(fit_risk_model(df.withColumn(bin_label, (F.col(label) == k).cast("double")),
-                                     features, bin_label, rounds))
+        return fit_risk_model(df.withColumn(bin_label, (F.col(label) == k).cast("double")), features, bin_label, rounds)
+
+    with ThreadPool(max(1, min(len(classes), MAX_PARALLEL))) as pool:
+        models = pool.map(inheritable_thread_target(df.sparkSession)(fit), classes)
     return MultiClassModel(list(classes), models, list(features))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from credlake.functions import labels as L
 from credlake.functions.parsing import parse_pct
+from credlake.functions.scoring import content_id
 from credlake.operators.validate import split_valid
 
 FEATURES = ["ingreso_mensual", "score_crediticio", "monto_solicitado", "antiguedad_laboral_meses", "deuda_actual"]
@@ -105,12 +106,6 @@ def flatten_scored(docs: DataFrame) -> DataFrame:
     return docs.select(*out)
 
 
-def content_id(text: Column) -> Column:
-    """an id in a uuid's form from the SHA-256 of a text, so a recomputed task makes the same one."""
-    h = F.sha2(text.cast("binary"), 256)
-    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-
-
 def flatten_json(docs: DataFrame, column: str = "value") -> DataFrame:
     """P3 over documents as JSON texts whose fields differ in type from row to row.
 

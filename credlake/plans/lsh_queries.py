@@ -170,16 +170,15 @@ def lsh_embedding_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.bucket_stats(signed, label="target")
 
 
-@query("lsh_evaluation_reports")
-def lsh_evaluation_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F12 + F21 (+ K4 shape): one evaluation report per held-out application,
-    with request id, time, reason text and the history struct (NULL on a
-    miss).  Ids and times are random, so the check is on rows only."""
+RUN, RUN_AT = "holdout", "2024-01-01 00:00:00"  # what the registered run is called, and when it takes place
+
+
+def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     apps = views.applications(spark, sf_dir)
     new, history = extract_sample(apps, HOLDOUT_FRACTION)
     model = lsh.fit_lsh(history, FEATURES)
     scored = lsh.score_against_history(new, model, lsh.bucket_history(model.transform(history)))
-    return lsh.evaluation_documents(scored, FEATURES)
+    return lsh.evaluation_documents(scored, FEATURES, RUN, F.to_timestamp(F.lit(RUN_AT)))
 
 
 def _filled(template: str) -> str:
@@ -187,17 +186,32 @@ def _filled(template: str) -> str:
     return "printf('" + template.replace("%", "%%").replace("{pct}", "%.2f") + "', pct_fraude)"
 
 
-@query("lsh_evaluation_texts", f"""
-select id, firma_lsh, total_balde, fraudes_balde, case when total_balde is not null then printf('%.2f%%', pct_fraude) end as probabilidad_historial,
+_HEX = f"sha256('{RUN}|' || id)"
+_TEXTS_SQL = f"""firma_lsh, total_balde, fraudes_balde, case when total_balde is not null then printf('%.2f%%', pct_fraude) end as probabilidad_historial,
   case when total_balde is null then '{lsh.PCT_UNKNOWN}' end as probabilidad_fraude, decision,
   case when total_balde is null then '{lsh.REASON_MISS}' when pct_fraude >= {lsh.RATE_REJECT}e0 then {_filled(lsh.REASON_REJECT)}
-       when pct_fraude >= {lsh.RATE_REVIEW}e0 then {_filled(lsh.REASON_REVIEW)} else {_filled(lsh.REASON_APPROVE)} end as razon
-from ({_HOLDOUT_SQL}) scored""")
+       when pct_fraude >= {lsh.RATE_REVIEW}e0 then {_filled(lsh.REASON_REVIEW)} else {_filled(lsh.REASON_APPROVE)} end as razon"""
+
+
+def _texts() -> list:
+    return ["firma_lsh", "historial.total_balde", "historial.fraudes_balde", F.col("historial.probabilidad_fraude").alias("probabilidad_historial"),
+            "probabilidad_fraude", "decision", "razon"]
+
+
+@query("lsh_evaluation_reports", with_views(["applications"], f"""
+select id, substr({_HEX}, 1, 8) || '-' || substr({_HEX}, 9, 4) || '-' || substr({_HEX}, 13, 4) || '-' || substr({_HEX}, 17, 4) || '-' || substr({_HEX}, 21, 12) as id_solicitud,
+  '{RUN_AT}' as fecha, {", ".join(FEATURES)}, {_TEXTS_SQL}
+from ({_HOLDOUT_SQL}) scored join (select id, {", ".join(FEATURES)} from applications) asked using (id)"""))
+def lsh_evaluation_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F12 + F21 (+ K4 shape): one evaluation report per held-out application, with
+    request id, time, reason text and the history (NULL on a miss), its structs spread out."""
+    return _reports(spark, sf_dir).select("id", "id_solicitud", F.col("fecha").cast("string").alias("fecha"), "datos_cliente.*", *_texts())
+
+
+@query("lsh_evaluation_texts", f"select id, {_TEXTS_SQL} from ({_HOLDOUT_SQL}) scored")
 def lsh_evaluation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F12's texts: the evaluation reports without their random ids and times."""
-    return lsh_evaluation_reports(spark, sf_dir).select(
-        "id", "firma_lsh", "historial.total_balde", "historial.fraudes_balde", F.col("historial.probabilidad_fraude").alias("probabilidad_historial"),
-        "probabilidad_fraude", "decision", "razon")
+    """F12's texts: the evaluation reports without their ids and times."""
+    return _reports(spark, sf_dir).select("id", *_texts())
 
 
 @query("lsh_embedding_top_buckets", f"""

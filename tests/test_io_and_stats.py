@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from credlake.operators import generic, stats
+from credlake.operators import generic, lsh, stats
 from credlake.operators.sampling import extract_sample, stratified_split
 from credlake.plans import jobs
 from credlake.sinks import writers
@@ -214,3 +214,13 @@ def test_write_split_one_pass(spark, tmp_path):
     s, r = extract_sample(apps, 0.1)
     assert parts == {"sample": s.count(), "rest": r.count()}
     assert back.select("id").distinct().count() == apps.count()
+
+
+def test_report_ids_are_the_same_on_every_read(spark):
+    scored = spark.range(50).selectExpr("id", "'01' as firma_lsh", "cast(4 as bigint) as total_balde", "cast(1 as bigint) as fraudes_balde",
+                                        "25.0 as pct_fraude", "'APROBADA' as decision", "true as encontrado", "1.0 as a")
+    reports = lsh.evaluation_documents(scored.withColumn("pct_fraude", F.col("pct_fraude").cast("double")), ["a"])
+    one, two = (sorted((r.id, r.id_solicitud, r.fecha) for r in reports.repartition(n).collect()) for n in (1, 5))
+    assert one == two and len({r[1] for r in one}) == 50
+    other = lsh.evaluation_documents(scored.withColumn("pct_fraude", F.col("pct_fraude").cast("double")), ["a"]).collect()
+    assert not {r.id_solicitud for r in other} & {r[1] for r in one}

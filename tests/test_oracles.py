@@ -22,9 +22,9 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle_or_is_a_model():
-    # Rows-only by design: models (no SQL equivalent) and reports with random ids/times.
+    # Rows-only by design: models (no SQL equivalent).
     missing = set(QUERIES) - set(ORACLES)
-    assert all(n.startswith("ml_") or n == "lsh_evaluation_reports" for n in missing), missing
+    assert all(n.startswith("ml_") for n in missing), missing
 
 
 def test_entry_runs(spark):
