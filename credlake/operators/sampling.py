@@ -11,16 +11,15 @@ The key hash is integer arithmetic that DuckDB computes identically:
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from credlake.operators.stats import value_at_rank
+from credlake.session import cut_lineage
 
 # Fixed values of the split hash (shared with the oracle SQL).
 HASH_MOD = 1_000_003
 HASH_MULT = 2_654_435_761
+MAX_BROADCAST_CLASSES = 100_000
 
 
 def split_hash(key: Column, seed: int = 42) -> Column:
@@ -51,59 +50,53 @@ def extract_sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "i
     return df.where(h < cut), df.where(h >= cut)
 
 
+def _ranked(hist: DataFrame, bucket: str) -> DataFrame:
+    """Per class, the histogram row that holds rank ``need`` (1-based), and the rank that is left inside it.
+
+    A class has at most about a thousand rows in a histogram here (keys of one
+    hash: a millionth of the class), and a window spills."""
+    below = F.coalesce(F.sum("n").over(Window.partitionBy("c").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (hist.withColumn("_below", below).where((F.col("_below") < F.col("need")) & (F.col("need") <= F.col("_below") + F.col("n")))
+            .withColumn("need", F.col("need") - F.col("_below")).drop("n", "_below"))
+
+
 def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed: int = 42,
                      key: str = "id") -> DataFrame:
     """Adds ``is_test``; per class exactly ``round(test_fraction * n_class)``
     rows (half up) go to the test side: the rows with the smallest
-    ``(split_hash(key), key)``.
-
-    The per-class cut ``(h*, key*)`` is found with two small histogram
-    passes over the hash (coarse blocks of 1 024 values, then single values
-    inside the chosen block; each returns at most ~1 000 rows per class) and
-    an exact rank selection among the keys sharing ``h*`` (about
-    ``n_class / 1 000 003`` rows; ``stats.value_at_rank``, never a collect of
-    an unbounded group).
-    The split itself is then one narrow filter: no window, no shuffle of the
-    data, nothing per class in a single task.  NULL is a class of its own.
+    ``(split_hash(key), key)``; rows that share a key stay together.  NULL is a
+    class of its own.
+
+    All classes are cut together by three histograms of the source, each
+    combined before its shuffle and ranked per class: of blocks of 1,024 hash
+    values, of the values of each class's chosen block, and of the keys that
+    share the chosen value (a millionth of the class).  No result of a class
+    comes to the driver and no job or condition is made per class.  The cuts,
+    a row per class, are stored; they are broadcast while there are at most
+    ``MAX_BROADCAST_CLASSES`` and otherwise left to a shuffled join.
     """
     h = split_hash(F.col(key), seed)
-    keyed = df.withColumn("_h", h)
-    sizes = {r[0]: r[1] for r in keyed.groupBy(label).agg(F.count(F.lit(1))).collect()}
-    target = {c: int(math.floor(n * test_fraction + 0.5)) for c, n in sizes.items()}
-    want = {c: t for c, t in target.items() if t > 0}
-    if not want:
-        return keyed.drop("_h").withColumn("is_test", F.lit(False))
-
-    def locate(rows, rank_of):
-        """rows: (class, bucket, n) -> {class: (bucket, rows before it)} holding rank_of[class]."""
-        acc: dict = {}
-        for c, b, n in sorted(rows, key=lambda r: r[1]):  # buckets in order within each class
-            if c not in rank_of or c in acc and acc[c][0] is not None:
-                continue
-            below = acc.get(c, (None, 0))[1]
-            if rank_of[c] < below + n:
-                acc[c] = (b, below)
-            else:
-                acc[c] = (None, below + n)
-        return acc
-
-    block = F.floor(F.col("_h") / 1024).cast("long")
-    coarse = keyed.groupBy(label, block.alias("b")).agg(F.count(F.lit(1)))
-    rank = {c: t - 1 for c, t in want.items()}
-    lvl1 = locate([tuple(r) for r in coarse.collect()], rank)
-    in_block = None
-    for c, (b, _) in lvl1.items():
-        cond = F.col(label).eqNullSafe(F.lit(c)) & (block == F.lit(b))
-        in_block = cond if in_block is None else (in_block | cond)
-    fine = keyed.where(in_block).groupBy(label, "_h").agg(F.count(F.lit(1)))
-    lvl2 = locate([tuple(r) for r in fine.collect()], {c: rank[c] - lvl1[c][1] for c in lvl1})
-    cuts = {}
-    for c, (hstar, below) in lvl2.items():
-        take = rank[c] - lvl1[c][1] - below  # 0-based rank among keys sharing h*
-        tie = keyed.where(F.col(label).eqNullSafe(F.lit(c)) & (F.col("_h") == F.lit(hstar))).select(key)
-        cuts[c] = (hstar, value_at_rank(tie, key, take))
-    test = F.lit(False)
-    for c, (hstar, kstar) in cuts.items():
-        test = test | (F.col(label).eqNullSafe(F.lit(c)) & ((F.col("_h") < F.lit(hstar)) |
-                                                      ((F.col("_h") == F.lit(hstar)) & (F.col(key) <= F.lit(kstar)))))
-    return keyed.withColumn("is_test", test).drop("_h")
+    rows = df.select(F.col(label).alias("c"), h.alias("h"), F.col(key).alias("k"))
+    block = F.floor(F.col("h") / 1024).cast("long")
+    coarse = rows.groupBy("c", block.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    need = F.floor(F.sum("n").over(Window.partitionBy("c")) * F.lit(test_fraction) + F.lit(0.5)).cast("long")
+    blocks = cut_lineage(_ranked(coarse.withColumn("need", need), "b"))
+    classes = blocks.count()
+
+    def held(cuts: DataFrame) -> DataFrame:
+        return F.broadcast(cuts) if classes <= MAX_BROADCAST_CLASSES else cuts
+
+    def narrowed(cuts: DataFrame, mine: Column, cut: str, out: str) -> DataFrame:
+        """The histogram of ``out`` over the rows whose ``mine`` is their class's ``cut``."""
+        at = cuts.withColumnsRenamed({"c": "_c"})
+        near = rows.join(held(at), F.col("c").eqNullSafe(F.col("_c")) & (mine == F.col(cut)))
+        group = list(dict.fromkeys(["c", "h", out, "need"]))
+        return near.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+
+    values = _ranked(narrowed(blocks, block, "b", "h"), "h").select("c", F.col("h").alias("_h"), "need")
+    keys = _ranked(narrowed(values, F.col("h"), "_h", "k"), "k")
+    cuts = cut_lineage(keys.select(F.col("c").alias("_split_c"), F.col("h").alias("_split_h"), F.col("k").alias("_split_k")))
+    test = (h < F.col("_split_h")) | ((h == F.col("_split_h")) & (F.col(key) <= F.col("_split_k")))
+    kept = [c for c in df.columns if c != "is_test"]
+    return (df.join(held(cuts), F.col(label).eqNullSafe(F.col("_split_c")), "left")
+            .select(*kept, F.coalesce(test, F.lit(False)).alias("is_test")))

@@ -7,8 +7,8 @@ final merge happens in a single task, which does not survive 100 TB.  Here
 the value at rank k is found by histogram refinement instead: each pass is
 one distributed aggregate over the current value brackets that returns at
 most ``BUCKETS`` rows per bracket (count, min, max per bucket); the bucket
-holding rank k becomes the next bracket.  All wanted ranks are refined in the
-same passes.  The ends of a bracket lie in its first and last bucket, so
+holding rank k becomes the next bracket.  All wanted ranks, of all columns,
+are refined in the same passes.  The ends of a bracket lie in its first and last bucket, so
 every pass shrinks it, and a bracket whose min equals its max (a hot value)
 ends the search at once.
 
@@ -43,53 +43,82 @@ def _squeeze(x: float) -> float:
     return math.copysign(BEYOND if math.isinf(x) else math.log1p(abs(x)), x)
 
 
-def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
-    """Exact values of the 0-based ranks ``ks`` among the non-null values of
-    ``col``; all ranks are refined together, one job per pass.  Values keep
-    their type (64-bit keys stay exact); only the bucket index is computed in
+class Ranks:
+    """Exact values of 0-based ranks of many columns, refined in the same passes.
+
+    Every pass is one job over the source, whatever the number of columns: a
+    row yields an entry per bracket that holds one of its values, and the
+    entries are counted by (bracket, bucket), at most ``BUCKETS`` of them per
+    bracket, with the smallest and the greatest value of each.  Values travel
+    in a field of their own type, one field per type among the columns, so
+    64-bit keys and decimals stay exact; only the bucket index is computed in
     floating point, which is monotone and so never reorders values.  Where a
     bracket of doubles is too wide for a finite difference, its buckets are
     equal steps of the logarithm."""
-    dtype = dict(df.dtypes)[col]
-    real = dtype in ("double", "float")
-    base = df.select(present(F.col(col), dtype).alias("v")).where(F.col("v").isNotNull())
-    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).first()
-    n = st["n"]
-    # bracket per rank: (lo, hi, rows below lo)
-    br = {k: (st["mn"], st["mx"], 0) for k in sorted({k for k in ks if 0 <= k < n})}
-    out: dict[int, float] = {}
-    while True:
-        out |= {k: lo for k, (lo, hi, _) in br.items() if lo == hi}
-        todo = {k: b for k, b in br.items() if k not in out}
-        if not todo:
-            return out
-        uniq = sorted(set(todo.values()))
-        wide = [real and not math.isfinite(float(hi) - float(lo)) for lo, hi, _ in uniq]
-        los, his, far = (F.array(*[F.lit(x) for x in xs]) for xs in ([u[0] for u in uniq], [u[1] for u in uniq], wide))
-        # Spans and offsets from exact differences: adjacent 64-bit keys can
-        # share one double, their difference cannot.
-        spans = F.array(*[F.lit(_squeeze(hi) - _squeeze(lo) if w else float(hi - lo)) for (lo, hi, _), w in zip(uniq, wide)])
-        ids = F.filter(F.array(*[F.lit(i) for i in range(len(uniq))]),
-                       lambda i: (F.col("v") >= F.get(los, i)) & (F.col("v") <= F.get(his, i)))
-        x = base.select("v", F.explode(ids).alias("bid"))
-        lo = F.get(los, F.col("bid"))
-        if real:
-            offset = F.when(F.get(far, F.col("bid")), _squeezed(F.col("v")) - _squeezed(lo)).otherwise(F.col("v") - lo)
+
+    def __init__(self, df: DataFrame, cols: list[str]):
+        dtypes = dict(df.dtypes)
+        self.kinds = [dtypes[c] for c in cols]
+        self.slots = sorted(set(self.kinds))
+        self.base = df.select(*[present(F.col(c), t).alias(f"v{i}") for i, (c, t) in enumerate(zip(cols, self.kinds))])
+
+    def sizes(self) -> list[tuple]:
+        """(values present, least, greatest) per column, in one job."""
+        if not self.kinds:
+            return []
+        aggs = [f(f"v{i}").alias(f"{n}{i}") for i in range(len(self.kinds)) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+        r = self.base.agg(*aggs).first()
+        return [(r[f"n{i}"], r[f"lo{i}"], r[f"hi{i}"]) for i in range(len(self.kinds))]
+
+    def _entry(self, i: int, lo, hi, bracket: int) -> Column:
+        """The entry of column ``i``'s value for the bracket [lo, hi]; NULL where the value is not in it."""
+        v, kind = F.col(f"v{i}"), self.kinds[i]
+        low = F.lit(lo).cast(kind)
+        if kind in ("double", "float"):
+            wide = not math.isfinite(float(hi) - float(lo))
+            span = _squeeze(hi) - _squeeze(lo) if wide else float(hi) - float(lo)
+            offset = _squeezed(v.cast("double")) - F.lit(_squeeze(lo)) if wide else v.cast("double") - F.lit(float(lo))
         else:
-            offset = (F.col("v").cast("decimal(38,0)") - lo.cast("decimal(38,0)")).cast("double")
-        bucket = F.floor(offset / F.get(spans, F.col("bid")) * F.lit(BUCKETS - 1.0)).cast("int")
-        hist = (x.groupBy("bid", bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect())
-        by_bid: dict[int, list] = {}
-        for r in sorted(hist, key=lambda r: (r["bid"], r["b"])):
-            by_bid.setdefault(r["bid"], []).append(r)
-        for k, b in todo.items():
-            below = b[2]
-            for r in by_bid[uniq.index(b)]:
-                if k - below < r["n"]:
-                    br[k] = (r["mn"], r["mx"], below)
-                    break
-                below += r["n"]
+            # Spans and offsets from exact differences: adjacent 64-bit keys can share one double, their difference cannot.
+            exact = "decimal(38,0)" if not kind.startswith("decimal") else kind
+            span, offset = float(hi - lo), (v.cast(exact) - low.cast(exact)).cast("double")
+        bucket = F.floor(offset / F.lit(span) * F.lit(BUCKETS - 1.0)).cast("int")
+        values = [(v if t == kind else F.lit(None).cast(t)).alias(f"s{j}") for j, t in enumerate(self.slots)]
+        return F.when((v >= low) & (v <= F.lit(hi).cast(kind)), F.struct(F.lit(bracket).alias("bid"), bucket.alias("b"), *values))
+
+    def at(self, wanted: list[list[int]], sizes: list[tuple] | None = None) -> list[dict[int, object]]:
+        """Per column, rank -> value; ranks that a column does not have are left out."""
+        sizes = self.sizes() if sizes is None else sizes
+        brackets = {(i, k): (lo, hi, 0) for i, (n, lo, hi) in enumerate(sizes) for k in set(wanted[i]) if 0 <= k < n}
+        out: list[dict[int, object]] = [{} for _ in sizes]
+        while True:
+            for (i, k), (lo, hi, _) in brackets.items():
+                if lo == hi:
+                    out[i][k] = lo
+            brackets = {at: b for at, b in brackets.items() if b[0] != b[1]}
+            if not brackets:
+                return out
+            uniq = sorted({(i, *b) for (i, _), b in brackets.items()}, key=lambda u: (u[0], u[3]))
+            entries = F.array(*[self._entry(i, lo, hi, n) for n, (i, lo, hi, _) in enumerate(uniq)])
+            ends = [f(f"s{j}").alias(f"{n}{j}") for j in range(len(self.slots)) for n, f in (("lo", F.min), ("hi", F.max))]
+            hist = (self.base.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+                    .groupBy("bid", "b").agg(F.count(F.lit(1)).alias("n"), *ends).collect())
+            by_bracket: dict[int, list] = {}
+            for r in sorted(hist, key=lambda r: (r["bid"], r["b"])):
+                by_bracket.setdefault(r["bid"], []).append(r)
+            place = {u: n for n, u in enumerate(uniq)}
+            for (i, k), b in brackets.items():
+                below, slot = b[2], self.slots.index(self.kinds[i])
+                for r in by_bracket[place[(i, *b)]]:
+                    if k - below < r["n"]:
+                        brackets[i, k] = (r[f"lo{slot}"], r[f"hi{slot}"], below)
+                        break
+                    below += r["n"]
+
+
+def values_at_ranks(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
+    """Exact values of the 0-based ranks ``ks`` among the non-null values of ``col``, all refined in the same passes."""
+    return Ranks(df, [col]).at([ks])[0]
 
 
 def value_at_rank(df: DataFrame, col: str, k: int):
@@ -97,27 +126,32 @@ def value_at_rank(df: DataFrame, col: str, k: int):
     return values_at_ranks(df, col, [k]).get(k)
 
 
-def exact_quantiles(df: DataFrame, col: str, ps: list[float], n: int | None = None) -> list[float | None]:
-    """Linear interpolation between the two closest ranks (pandas / DuckDB
-    ``quantile_cont``), every probability in the same refinement passes."""
-    if n is None:
-        n = df.where(present(F.col(col), dict(df.dtypes)[col]).isNotNull()).count()
-    if n == 0:
-        return [None for _ in ps]
-    pos = [p * (n - 1) for p in ps]
-    ranks = sorted({int(x) for x in pos} | {min(int(x) + 1, n - 1) for x in pos})
-    vals = values_at_ranks(df, col, ranks)
-    res = []
-    for x in pos:
+def quantiles(df: DataFrame, cols: list[str], ps: list[float]) -> list[list[float | None]]:
+    """Per column, linear interpolation between the two closest ranks (pandas / DuckDB ``quantile_cont``)."""
+    ranks = Ranks(df, cols)
+    sizes = ranks.sizes()
+    wanted = [sorted({k for p in ps for k in (int(p * (n - 1)), min(int(p * (n - 1)) + 1, n - 1))}) if n else [] for n, _, _ in sizes]
+    found = ranks.at(wanted, sizes)
+
+    def between(i: int, p: float) -> float | None:
+        n = sizes[i][0]
+        if n == 0:
+            return None
+        x = p * (n - 1)
         k, frac = int(x), x - int(x)
-        lo = float(vals[k])
-        hi = lo if frac == 0 or k + 1 >= n else float(vals[k + 1])
-        res.append(lo if lo == hi else lo + (hi - lo) * frac)
-    return res
+        lo = float(found[i][k])
+        hi = lo if frac == 0 or k + 1 >= n else float(found[i][k + 1])
+        return lo if lo == hi else lo + (hi - lo) * frac
+    return [[between(i, p) for p in ps] for i in range(len(cols))]
+
 
+def exact_quantiles(df: DataFrame, col: str, ps: list[float]) -> list[float | None]:
+    """``quantiles`` of one column."""
+    return quantiles(df, [col], ps)[0]
 
-def exact_quantile(df: DataFrame, col: str, p: float, n: int | None = None) -> float | None:
-    return exact_quantiles(df, col, [p], n)[0]
+
+def exact_quantile(df: DataFrame, col: str, p: float) -> float | None:
+    return exact_quantiles(df, col, [p])[0]
 
 
 def _r2(x):
@@ -128,18 +162,20 @@ def _r2(x):
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 % (linear), max, rounded to 2."""
+    """Count, mean, sample std, min, 25/50/75 % (linear), max, rounded to 2.
+
+    All columns share the source's scans: one for the moments, one for the
+    ends and one per refinement pass of all quartiles."""
     spark = df.sparkSession
-    rows = []
-    for c in cols:
-        v = present(F.col(c).cast("double"), "double")
-        st = df.agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-                    F.min(v).alias("mn"), F.max(v).alias("mx")).first()
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75], st["n"])
-        rows.append((c, int(st["n"]), _r2(st["mean"]), _r2(st["std"]), _r2(st["mn"]),
-                     _r2(q[0]), _r2(q[1]), _r2(q[2]), _r2(st["mx"])))
     schema = ("column string, count bigint, mean double, std double, min double, "
               "p25 double, p50 double, p75 double, max double")
+    if not cols:
+        return spark.createDataFrame([], schema)
+    v = [present(F.col(c).cast("double"), "double") for c in cols]
+    r = df.agg(*[f(x).alias(f"{n}{i}") for i, x in enumerate(v) for n, f in (
+        ("n", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("lo", F.min), ("hi", F.max))]).first()
+    rows = [(c, int(r[f"n{i}"]), _r2(r[f"mean{i}"]), _r2(r[f"std{i}"]), _r2(r[f"lo{i}"]), *map(_r2, q), _r2(r[f"hi{i}"]))
+            for i, (c, q) in enumerate(zip(cols, quantiles(df, cols, [0.25, 0.5, 0.75])))]
     return spark.createDataFrame(rows, schema)
 
 
