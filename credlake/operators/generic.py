@@ -32,10 +32,15 @@ def keyed_lookup(df: DataFrame, key: str, value) -> DataFrame:
     return df.where(F.col(key) == F.lit(value))
 
 
-def catalog_sort(df: DataFrame, field: str, order: str = "asc", text: bool = False) -> DataFrame:
-    """Sort by a field; ``text`` compares lower-cased, close to a locale compare."""
+def sort_key(field: str, order: str = "asc", text: bool = False) -> Column:
+    """T3's order; ``text`` compares lower-cased, close to a locale compare."""
     key = F.lower(F.col(field)) if text else F.col(field)
-    return df.orderBy(key.desc() if order == "desc" else key.asc())
+    return key.desc() if order == "desc" else key.asc()
+
+
+def catalog_sort(df: DataFrame, field: str, order: str = "asc", text: bool = False) -> DataFrame:
+    """Sort by a field (``ranking.with_rank`` gives each row its place instead)."""
+    return df.orderBy(sort_key(field, order, text))
 
 
 def query_database(spark: SparkSession, sql: str, params: list | None = None) -> DataFrame:
