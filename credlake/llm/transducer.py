@@ -13,12 +13,19 @@ the number of tokens of what was read, which the one valid last token
 determines (see ``bpe``).  States are compiled when first reached and kept in
 a bounded table, which is emptied when full; that changes no count.
 
-Long texts are cut into chunks of ``CHUNK`` characters anywhere.  A space or
-line feed brings the transducer back to its start, so a chunk's map from
-entry to exit is what it does up to its first such place, a count that no
-entry changes, and what runs on after the last one.  Maps compose
-associatively, so they are combined by a scan in pairs.  A chunk without such
-a place is a map that only holds its text.
+Long texts are cut into chunks.  A border may lie inside a piece: before a
+space, a line feed or a digit a piece has ended, and between plain letters or
+plain punctuation one goes on, so the chunks can be normalised and cut into
+pieces on their own.  A chunk's map gives, for states that its first piece may
+be entered in, the state it is left in and the tokens emitted.  The entries are
+those states that the characters before the border lead to, read from each of
+``ALIGN`` places; as a rule they meet in one or two.  Neighbours' maps are
+composed in pairs, then pairs of pairs, in one Spark aggregation a round.  Where
+a chunk is left in a state for which the next has no entry, the composed map
+names the chunk and the state; the chunk is read once more from it and the maps
+are composed again, so guesses only save rounds and decide no count.  Each such
+turn settles at least one more chunk of a text.  A stretch without any border (scripts
+without spaces beyond ``LETTERS``) stays in one chunk.
 
 Defined results: null and empty texts have no bytes and no tokens; repeated
 rows give repeated results; a column that clashes with an output column is
@@ -33,6 +40,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +48,33 @@ from pyspark.sql import functions as F
 from credlake.llm.bpe import TOKEN, Merges
 from credlake.llm.common import fresh, ship, stored
 
-CHUNK = 1 << 20
+CHUNK = 1 << 16  # characters
+CHUNKS = 256  # chunks of one text: those of a very long one are longer
+WARM = 64  # characters before a border that entries are guessed from
+ALIGN = 16  # places among them to start reading at
 STATES = 1 << 18
 WORDS = 1 << 19
 
 
+# Where a piece has ended, and characters between which it goes on.  Letters that never combine with the one
+# before and that lower-case to letters: ASCII, Cyrillic, kana, ideographs, Hangul syllables.
+ENDS = " \n0123456789"
+LETTERS = "A-Za-z\u0410-\u044f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+PUNCTUATION = r"!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~"
+
+
+def border(specials: list[str]) -> str:
+    """A pattern that matches, empty, where a text may be cut.
+
+    Before four letters no contraction can end, so the piece of the letter
+    before goes on; an apostrophe may start one and is no plain punctuation.
+    A special string is never cut.
+    """
+    inside = "|".join(rf"(?<=\Q{s[:i]}\E)\Q{s[i:]}\E" for s in specials for i in range(1, len(s)))
+    places = rf"(?=[{ENDS}])|(?<=[{LETTERS}]{{4}})(?=[{LETTERS}])|(?<=[{PUNCTUATION}])(?=[{PUNCTUATION}])"
+    return rf"(?:{places})" + (rf"(?!{inside})" if inside else "")
+
+
 def byte_letters() -> list[str]:
     """The character that stands for each byte in the vocabulary: itself if printable, else the next from U+0100."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -52,6 +82,9 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(0x100 + others.index(b)) for b in range(256)]
 
 
+START = ((0, -1, 0),)  # the state between pieces
+
+
 class CountTransducer:
     def __init__(self, merges: Merges, spellings: list[tuple[int, ...]]):
         """``spellings``: the symbols of every token number; symbols are the numbers below ``merges.base``."""
@@ -68,9 +101,8 @@ class CountTransducer:
         self.reset()
 
     def reset(self) -> None:
-        start = ((0, -1, 0),)
-        self.states: dict[tuple, int] = {start: 0}
-        self.live: list[tuple] = [start]
+        self.states: dict[tuple, int] = {START: 0}
+        self.live: list[tuple] = [START]
         self.moves: list[dict[int, tuple[int, int]]] = [{}]
 
     def compile(self, state: int, symbol: int) -> tuple[int, int]:
@@ -94,11 +126,14 @@ class CountTransducer:
         move = self.moves[state][symbol] = (number, emitted)
         return move
 
-    def count(self, symbols) -> int:
-        """Tokens of one piece of symbols."""
+    def run(self, live: tuple, symbols) -> tuple[tuple, int]:
+        """The state after ``symbols`` and the tokens emitted, from the state ``live``."""
         if len(self.live) > STATES:
             self.reset()
-        state = total = 0
+        state, total = self.states.setdefault(live, len(self.live)), 0
+        if state == len(self.live):
+            self.live.append(live)
+            self.moves.append({})
         moves = self.moves
         for s in symbols:
             move = moves[state].get(s)
@@ -106,7 +141,19 @@ class CountTransducer:
                 move = self.compile(state, s)
             state, emitted = move
             total += emitted
-        return total
+        return self.live[state], total
+
+    def count(self, symbols) -> int:
+        """Tokens of one piece of symbols."""
+        return self.run(START, symbols)[1]
+
+
+def packed(live: tuple) -> bytes:
+    return np.array(live, "<i4").tobytes()
+
+
+def unpacked(state: bytes) -> tuple:
+    return tuple(map(tuple, np.frombuffer(state, "<i4").reshape(-1, 3).tolist()))
 
 
 class Counter(dict):
@@ -130,23 +177,32 @@ class Counter(dict):
             merges.add(a, b)
             spelling.append(spelling[a] + spelling[b])
         self.transducer = CountTransducer(merges, spelling)
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"] if t["special"]) or r"(?!)")
+        self.specials = specials_of(spec)
+        self.special = re.compile("|".join(map(re.escape, self.specials)) or r"(?!)")
         pattern = steps[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
         self.pattern = regex.compile(pattern)
 
-    def piece(self, piece: str) -> int:
+    def symbols(self, piece: str, ends: bool = True) -> list[int]:
         code = piece.encode()
-        plain = self.plain
-        return self.transducer.count([*(plain[b] for b in code[:-1]), self.final[code[-1]]])
+        plain = [self.plain[b] for b in (code[:-1] if ends else code)]
+        return [*plain, self.final[code[-1]]] if ends else plain
 
-    def word(self, word: str) -> int:
-        total = 0
-        if "<|" in word:
-            total = len(self.special.findall(word))
-            return total + sum(self[part] for part in self.special.split(word) if part) if total else self.normal(word)
-        return self.normal(word)
+    def piece(self, piece: str) -> int:
+        return self.transducer.count(self.symbols(piece))
 
-    def normal(self, word: str) -> int:
+    def word(self, word: str) -> int:
+        return sum(1 if p is None else self.piece(p) for p in self.pieces(word))
+
+    def pieces(self, word: str) -> list[str | None]:
+        """The pieces of a word, None for a special string."""
+        if "<|" not in word:
+            return self.normal(word)
+        out: list[str | None] = []
+        for i, part in enumerate(self.special.split(word)):
+            out += ([None] if i else []) + self.normal(part)
+        return out
+
+    def normal(self, word: str) -> list[str]:
         if not word.isascii():
             word = unicodedata.normalize("NFC", word)
         if "Σ" in word:  # the library lower-cases every character by itself
@@ -154,8 +210,8 @@ class Counter(dict):
         else:
             word = word.lower()
         if word.isalpha():
-            return self.piece(word)
-        return sum(map(self.piece, self.pattern.findall(word)))
+            return [word]
+        return self.pattern.findall(word)
 
     def __missing__(self, word: str) -> int:
         if len(self) >= WORDS:
@@ -166,28 +222,38 @@ class Counter(dict):
     def text(self, text: str) -> int:
         return sum(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
-    def chunk(self, text: str) -> tuple[str, int | None, str]:
-        """The map of a chunk: (text up to the first reset, count after it, text after the last); count None: no reset."""
-        first = min((i for i in (text.find(" "), text.find("\n")) if i >= 0), default=-1)
-        if first < 0:
-            return text, None, ""
-        last = max(text.rfind(" "), text.rfind("\n"))
-        return text[:first], self.text(text[first:last + 1]), text[last + 1:]
-
-    def then(self, a: tuple, b: tuple) -> tuple:
-        """The map of two neighbouring chunks."""
-        if a[1] is None:
-            return a[0] + b[0], b[1], b[2]
-        if b[1] is None:
-            return a[0], a[1], a[2] + b[0]
-        return a[0], a[1] + self[a[2] + b[0]] + b[1], b[2]
-
-    def scan(self, maps: list[tuple]) -> int:
-        """The count of a text from the maps of its chunks, combined in pairs."""
-        while len(maps) > 1:
-            maps = [self.then(*maps[i:i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        head, count, tail = maps[0]
-        return self.word(head) + (0 if count is None else count + self.word(tail))
+    def entries(self, before: str) -> list[bytes]:
+        """States that the characters before a border inside a piece may lead to."""
+        pieces = self.pieces(re.split("[ \n]", before)[-1])
+        symbols = self.symbols(pieces[-1], ends=False) if pieces and pieces[-1] else []
+        return list(dict.fromkeys(packed(self.transducer.run(START, symbols[i:])[0]) for i in range(min(ALIGN, len(symbols) + 1))))
+
+    def chunk(self, text: str, entries: list[bytes], begun: bool, goes_on: bool) -> list[tuple[bytes, bytes, int]]:
+        """The map of a chunk: (entry state, exit state, tokens emitted).
+
+        ``begun``: its first piece began before it; ``goes_on``: its last piece
+        goes on after it.
+        """
+        run, start = self.transducer.run, packed(START)
+        words = text.replace("\n", " ").split(" ")
+        ends = [self.pieces(words[0])] + ([self.pieces(words[-1])] if len(words) > 1 else [])
+        total = sum(map(self.__getitem__, words[1:-1]))
+        first = ends[0].pop(0) if begun else None
+        if begun and goes_on and len(words) == 1 and not ends[0]:
+            found = [(e, run(unpacked(e), self.symbols(first, ends=False))) for e in entries]
+            return [(e, packed(live), n) for e, (live, n) in found]
+        leave = start
+        if goes_on:
+            live, n = run(START, self.symbols(ends[-1].pop(), ends=False))
+            leave, total = packed(live), total + n
+        total += sum(1 if p is None else self.piece(p) for pieces in ends for p in pieces)
+        if not begun:
+            return [(e, leave, total) for e in entries]
+        return [(e, leave, total + run(unpacked(e), self.symbols(first))[1]) for e in entries]
+
+
+def specials_of(spec: dict) -> list[str]:
+    return [t["content"] for t in spec["added_tokens"] if t["special"]]
 
 
 @lru_cache(maxsize=2)
@@ -208,38 +274,108 @@ def count(text: Column, path: str) -> Column:
     return run(F.coalesce(text.cast("string"), F.lit("")))
 
 
-MAP = "struct<head: string, count: bigint, tail: string>"
+MAP = "array<struct<entry: binary, exit: binary, count: bigint, lost: bigint>>"
+ENTRIES = pa.list_(pa.struct([("entry", pa.binary()), ("exit", pa.binary()), ("count", pa.int64()), ("lost", pa.int64())]))
+
+
+def mapper(path: str):
+    """A column function: a chunk's map from its text, the characters before and after it, and an entry to read it from
+    (null: those that the characters before suggest)."""
+    ship()
+
+    @F.arrow_udf(MAP)
+    def run(parts: pa.Array, befores: pa.Array, nexts: pa.Array, asked: pa.Array) -> pa.Array:
+        use, rows = counter(path), []
+        for part, before, after, entry in zip(*(x.to_pylist() for x in (parts, befores, nexts, asked))):
+            begun, goes_on = bool(before) and part[0] not in ENDS, bool(after) and after not in ENDS
+            entries = [entry] if entry is not None else use.entries(before) if begun else [packed(START)]
+            rows.append([{"entry": e, "exit": x, "count": n, "lost": None} for e, x, n in use.chunk(part, entries, begun, goes_on)])
+        return pa.array(rows, ENTRIES)
+    return run
+
+
+def chunks(long: DataFrame, body: Column, row: str, path: str, chunk: int) -> DataFrame:
+    """The chunks of the texts: row, at, text, characters before, character after."""
+    with open(path, encoding="utf-8") as f:
+        specials = specials_of(json.load(f))
+    look = max([WARM, *map(len, specials)])
+    cut_at = rf"(?s)^(.{{{look}}}.*?){border(specials)}"
+    size = F.length(body)
+    step = F.greatest(F.lit(chunk), F.ceil(size / CHUNKS).cast("int"))
+
+    def cut(k):
+        """The first border at or after the k-th step, NULL if the next step comes first."""
+        before = F.lpad(F.substr(body, F.greatest(F.lit(1), k * step - look + 1), F.least(F.lit(look), k * step)), look, " ")
+        window = F.concat(before, F.substr(body, k * step + 1, step + look))
+        off = F.length(F.regexp_extract(window, cut_at, 1)) - look
+        return F.when((off >= 0) & (off < step) & (k * step + off < size), k * step + off)
+
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(size / step).cast("int") - 1))
+    cuts = F.filter(F.transform(steps, cut), lambda c: c.isNotNull())
+    bounds = F.concat(F.array(F.lit(0)), cuts, F.array(size))
+    spans = F.transform(F.sequence(F.lit(0), F.size("_bounds") - 2), lambda i: F.struct(
+        i.cast("long").alias("at"), F.get("_bounds", i).alias("a"), F.get("_bounds", i + 1).alias("b")))
+    # Generate nodes: the borders are looked for once per text, the texts of the chunks made one by one.
+    bounded = long.select(F.col(row).alias("row"), body.alias("_body"), F.explode(F.array(bounds)).alias("_bounds"))
+    spread = bounded.select("row", "_body", F.explode(spans).alias("s")).select("row", "_body", "s.*")
+    a, b, whole = F.col("a"), F.col("b"), F.col("_body")
+    return spread.select("row", "at", F.substr(whole, a + 1, b - a).alias("part"),
+                         F.substr(whole, F.greatest(F.lit(1), a - WARM + 1), F.least(F.lit(WARM), a)).alias("before"),
+                         F.substr(whole, b + 1, F.lit(1)).alias("after")).repartition("row", "at")
+
+
+def composed(maps: DataFrame, rounds: int) -> DataFrame:
+    """One map per row, from those of its chunks: neighbours' maps are composed, an aggregation a round.
+
+    An entry that leaves a chunk in a state unknown to the next keeps that state
+    as its exit and the next chunk's place in ``lost``.
+    """
+    out = maps.select("row", "at", F.col("at").alias("start"), "m")
+    for _ in range(rounds):
+        side = lambda c, right: F.first(F.when(F.col("at") % 2 == right, F.col(c)), ignorenulls=True)
+        pairs = out.groupBy("row", F.shiftright("at", 1).alias("up")).agg(
+            side("m", 0).alias("left"), side("m", 1).alias("right"), side("start", 0).alias("start"), side("start", 1).alias("next"))
+
+        def through(e):
+            hit = F.get(F.filter("right", lambda r: r["entry"] == e["exit"]), 0)
+            both = F.struct(e["entry"].alias("entry"), hit["exit"].alias("exit"), (e["count"] + hit["count"]).alias("count"), hit["lost"].alias("lost"))
+            stray = F.struct(e["entry"].alias("entry"), e["exit"].alias("exit"), e["count"].alias("count"), F.col("next").alias("lost"))
+            return F.when(e["lost"].isNotNull(), e).when(hit.isNull(), stray).otherwise(both)
+
+        m = F.when(F.col("right").isNull(), F.col("left")).otherwise(F.transform("left", through))
+        out = pairs.select("row", F.col("up").alias("at"), "start", m.alias("m"))
+    return out.select("row", F.filter("m", lambda e: e["entry"] == F.lit(packed(START)))[0].alias("m")).select("row", "m.*")
+
+
+def long_counts(long: DataFrame, body: Column, row: str, path: str, chunk: int) -> DataFrame:
+    """``row`` and ``n`` of the stored texts ``long``, by composing the maps of their chunks."""
+    read = mapper(path)
+    pieces = chunks(long, body, row, path, chunk)
+    maps = stored(pieces.select("row", "at", read("part", "before", "after", F.lit(None).cast("binary")).alias("m")), "chunk_maps")
+    rounds = int(maps.agg(F.max("at")).first()[0] or 0).bit_length()
+    while True:
+        whole = stored(composed(maps, rounds), "text_maps")
+        lost = whole.where(F.col("lost").isNotNull()).select("row", F.col("lost").alias("at"), F.col("exit").alias("asked"))
+        if lost.isEmpty():
+            return whole.select(F.col("row").alias(row), F.col("count").alias("n"))
+        again = pieces.join(lost, ["row", "at"]).select("row", "at", read("part", "before", "after", "asked").alias("more"))
+        maps = stored(maps.join(again, ["row", "at"], "left").select("row", "at", F.concat("m", F.coalesce("more", F.array().cast(MAP))).alias("m")), "chunk_maps")
 
 
 def token_counts(df: DataFrame, path: str, text: str = "text", out: str = "n_tokens", chunk: int = CHUNK) -> DataFrame:
     """``df`` with the token counts of ``text`` in the column ``out``.
 
     Texts of more than ``chunk`` characters are cut, their chunks dealt over
-    the cluster, and the chunks' maps composed per text.
+    the cluster, and the chunks' maps composed.
     """
     ship()
-    body, keep = F.col(text), [c for c in df.columns if c != out]
-    size = F.length(F.coalesce(body.cast("string"), F.lit("")))
+    body, keep = F.col(text).cast("string"), [c for c in df.columns if c != out]
+    size = F.length(F.coalesce(body, F.lit("")))
     short = df.where(size <= chunk).withColumn(out, count(body, path)).select(*keep, out)
-    row, at, part, counted = (fresh(df, c) for c in ("row", "at", "part", "counted"))
+    row, counted = (fresh(df, c) for c in ("row", "counted"))
     long = stored(df.where(size > chunk).withColumn(row, F.monotonically_increasing_id()), "long_texts")
-
-    @F.arrow_udf(MAP)
-    def mapped(parts: pa.Array) -> pa.Array:
-        use = counter(path)
-        heads, counts, tails = zip(*[use.chunk(p.as_py()) for p in parts]) if len(parts) else ((), (), ())
-        return pa.StructArray.from_arrays([pa.array(heads, pa.string()), pa.array(counts, pa.int64()), pa.array(tails, pa.string())],
-                                          ["head", "count", "tail"])
-
-    @F.arrow_udf("long")
-    def composed(lists: pa.Array) -> pa.Array:
-        use = counter(path)
-        return pa.array([use.scan([(m["head"], m["count"], m["tail"]) for m in maps]) for maps in lists.to_pylist()], pa.int64())
-
-    chunks = (long.select(row, body.alias(part), F.explode(F.sequence(F.lit(0), F.floor((size - 1) / chunk).cast("int"))).alias(at))
-              .select(row, at, F.substr(F.col(part), F.col(at) * chunk + 1, F.lit(chunk)).alias(part)).repartition(row, at))
-    maps = chunks.select(row, at, mapped(F.col(part)).alias("m"))
-    lists = maps.groupBy(row).agg(F.array_sort(F.collect_list(F.struct(at, "m")))["m"].alias("maps"))
-    counts = lists.select(row, composed(F.col("maps")).alias(counted))
+    if long.isEmpty():
+        return short
+    counts = long_counts(long, body, row, path, chunk).withColumnRenamed("n", counted)
     found = long.select(*keep, row).join(counts, row).withColumn(out, F.col(counted))
     return short.unionAll(found.select(*keep, out))
