@@ -8,12 +8,14 @@ document's fingerprints are joined with the benchmark's; where they meet, the
 the words they cover.  An item of fewer than 13 words is one window of its
 own length, with the hash of the whole as its fingerprint.
 
-The benchmark is the stated query set: its fingerprints and windows are held
-by the tasks in blocks of at most ``BLOCK_BYTES`` of text, counted before
-they are collected.  One block (the usual case) takes one pass over the
-documents without any shuffle; more blocks take a pass each, and their hits
-meet per row.  Long items are cut into overlapping pieces first, so a block's
-bound holds for any item.
+The benchmark is the stated query set.  While its texts, counted first, are at
+most ``BLOCK_BYTES``, the tasks hold its fingerprints and windows, and the
+documents take one pass without any shuffle.  A larger one is joined by
+shuffles: the documents' distinct fingerprints with the benchmark's, then the
+windows at those that met, as their words, with the benchmark's windows.  The
+documents are read twice whatever the benchmark's size, a fingerprint or window
+goes once per document, and Spark splits the skewed ones.  Long items are cut
+into overlapping pieces first.
 
 Defined results: null and empty texts have no words and are not contaminated;
 items without words never occur; items of one id are one item, and a null id
@@ -29,6 +31,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -148,8 +151,8 @@ def finder(index) -> Callable:
     return run
 
 
-def blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> list:
-    """The benchmark's pieces as broadcast blocks of about ``block_bytes`` of text each."""
+def pieces_table(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+    """The benchmark as stored pieces: item id, words."""
     ship()
     body = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("null")).alias("item"), utf8(F.col(text)).alias("body")).distinct()
 
@@ -158,12 +161,70 @@ def blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> list
             found = [(i, b" ".join(w)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for i, w in pieces_of(i, t)]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.string()), pa.array([w for _, w in found], pa.binary())], ["item", "words"])
 
-    pieces = stored(body.mapInArrow(cut, "item string, words binary"), "pieces")
-    size = pieces.agg(F.sum(F.octet_length("words") + 1)).first()[0] or 0
-    n = -(-size // block_bytes)
-    numbered = pieces.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(max(1, n))))
-    context = benchmark.sparkSession.sparkContext
-    return [context.broadcast([(r["item"], bytes(r["words"]).split()) for r in numbered.where(F.col("block") == b).collect()]) for b in range(n)]
+    return stored(body.mapInArrow(cut, "item string, words binary"), "pieces")
+
+
+def word_ids(words: list[bytes]) -> np.ndarray:
+    """Ids that every task gives alike: 64-bit hashes, never 0."""
+    return np.fromiter((xxhash.xxh64_intdigest(w) or 1 for w in words), np.uint64, len(words))
+
+
+def prints_of(ids: np.ndarray, size: int) -> np.ndarray:
+    """The fingerprint of every window of ``size`` words."""
+    return winnow(ids) if size == SPAN else grams(ids, size)
+
+
+def windows_of(pieces: DataFrame) -> DataFrame:
+    """The benchmark's distinct windows: size, mark, window (its words), items."""
+    def cut(batches):
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = text.split()
+                size = min(SPAN, len(words))
+                marks = prints_of(word_ids(words), size).view(np.int64).tolist()
+                rows += [{"item": item, "size": size, "mark": m, "window": b" ".join(words[i:i + size])} for i, m in enumerate(marks)]
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("item", pa.string()), ("size", pa.int32()), ("mark", pa.int64()), ("window", pa.binary())]))
+
+    found = pieces.mapInArrow(cut, "item string, size int, mark bigint, window binary")
+    return stored(found.groupBy("size", "mark", "window").agg(F.collect_set("item").alias("items")), "windows")
+
+
+def joined_hits(rows: DataFrame, row: str, body: str, pieces: DataFrame) -> DataFrame:
+    """Spans and item lists per row of the texts ``body``, by joins with the benchmark's fingerprints and windows."""
+    windows = windows_of(pieces)
+    sizes = [r[0] for r in windows.select("size").distinct().collect()]  # at most SPAN
+
+    def marks(batches):
+        for batch in batches:
+            for at, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = word_ids(words_of(text))
+                for size in sizes:
+                    found = np.unique(prints_of(ids, size)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), at), pa.int64()), pa.array(np.full(len(found), size), pa.int32()),
+                                                      pa.array(found)], ["row", "size", "mark"])
+
+    def spans(batches):
+        for batch in batches:
+            for at, text, met in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words = words_of(text)
+                ids = word_ids(words)
+                places: dict[bytes, list[int]] = {}
+                for size in {m["size"] for m in met}:
+                    hit = np.isin(prints_of(ids, size).view(np.int64), [m["mark"] for m in met if m["size"] == size])
+                    for i in np.flatnonzero(hit).tolist():
+                        places.setdefault(b" ".join(words[i:i + size]), []).append(i)
+                size_of = [w.count(b" ") + 1 for w in places]
+                found = [[{"start": i, "stop": i + n} for i in at_] for n, at_ in zip(size_of, places.values())]
+                yield pa.RecordBatch.from_arrays([pa.array([at] * len(found), pa.int64()), pa.array(list(places), pa.binary()), pa.array(found, SPANS)],
+                                                 ["row", "window", "spans"])
+
+    texts = rows.select(F.col(row).alias("row"), F.col(body).alias("body"))
+    known = windows.select("size", "mark").distinct()
+    met = texts.mapInArrow(marks, "row bigint, size int, mark bigint").join(known, ["size", "mark"], "left_semi")
+    held = met.groupBy("row").agg(F.collect_list(F.struct("size", "mark")).alias("met"))
+    near = texts.join(held, "row").mapInArrow(spans, "row bigint, window binary, spans array<struct<start: int, stop: int>>")
+    return stored(near.join(windows.select("window", "items"), "window").select(F.col("row").alias(row), "spans", "items"), "hits")
 
 
 RESULT = ("n_words", "spans", "items", "n_hit", "contaminated")
@@ -172,23 +233,22 @@ RESULT = ("n_words", "spans", "items", "n_hit", "contaminated")
 def find(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``df`` with ``n_words``, ``spans`` (hit word spans), ``items`` (ids that occur), ``n_hit`` and ``contaminated``."""
-    index = blocks(benchmark, item, item_text, block_bytes)
+    pieces = pieces_table(benchmark, item, item_text)
+    size = pieces.agg(F.sum(F.octet_length("words") + 1)).first()[0] or 0
+    context = df.sparkSession.sparkContext
     taken = [c for c in df.columns if c.lower() not in RESULT]
     found = fresh(df, "found")
-    if len(index) < 2:
-        one = finder(index[0] if index else df.sparkSession.sparkContext.broadcast([]))
-        out = df.withColumn(found, one(utf8(F.col(text))))
+    if size <= block_bytes:
+        held = context.broadcast([(r["item"], bytes(r["words"]).split()) for r in pieces.collect()])
+        out = df.withColumn(found, finder(held)(utf8(F.col(text))))
     else:
         # Columns that the result replaces go before the join, under names that no other column has.
         row, body, words, spans, items = (fresh(df, c) for c in ("row", "body", "words", "hit_spans", "hit_items"))
         rows = stored(df.select(*taken, utf8(F.col(text)).alias(body)).withColumn(row, F.monotonically_increasing_id()), "rows")
-        parts = [stored(rows.select(row, finder(b)(F.col(body)).alias("f")).where(F.size("f.items") > 0), "hits") for b in index]
-        every = parts[0]
-        for p in parts[1:]:
-            every = every.unionAll(p)
-        hits = every.groupBy(row).agg(F.flatten(F.collect_list("f.spans")).alias(spans), F.sort_array(F.array_distinct(F.flatten(F.collect_list("f.items")))).alias(items))
+        hits = joined_hits(rows, row, body, pieces).groupBy(row).agg(
+            F.flatten(F.collect_list("spans")).alias(spans), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias(items))
         union = merger()
-        none = df.sparkSession.sparkContext.broadcast([])
+        none = context.broadcast([])
         out = (rows.withColumn(words, finder(none)(F.col(body))["n_words"]).join(hits, row, "left")
                .withColumn(found, F.struct(F.col(words).alias("n_words"), union(F.coalesce(spans, F.from_json(F.lit("[]"), "array<struct<start:int,stop:int>>"))).alias("spans"),
                                            F.coalesce(items, F.array().cast("array<string>")).alias("items"))))
