@@ -110,8 +110,8 @@ def io_request_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     for cond, changed in ((k % 16 == 5, F.regexp_replace(t, '"monthly_rent":[-0-9.E]+,', "")), (k % 3 == 0, F.concat(F.lit('{"solicitud":'), t, F.lit("}"))),
                           (k % 16 == 3, F.substring(t, 1, 60))):
         docs = docs.withColumn("document", F.when(cond, changed).otherwise(t))
-    docs.select(t.alias("value")).write.text(f"{out}/plain")
-    jobs.request_batch_job(spark, f"{out}/plain", f"{out}/results", "p0", errors_dir=f"{out}/errors", lines=True)
+    docs.select(t.alias("value")).write.option("compression", "gzip").text(f"{out}/plain")
+    jobs.request_batch_job(spark, f"{out}/plain", f"{out}/results", "p0", errors_dir=f"{out}/errors", lines=True, compression="gzip")
     done = spark.read.schema("id string, document string").json(f"{out}/results").select(
         "id", F.get_json_object("document", "$.decision.final_decision_code").alias("decision"), F.lit(None).cast("string").alias("error"))
     error = F.when(F.col("error").startswith("missing"), F.col("error")).otherwise(F.lit("broken"))

@@ -40,27 +40,30 @@ def read_requests(spark: SparkSession, path: str, return_raw: bool = False, line
     A bad document does not stop the batch: it lands in the second frame with
     its file name.  The texts are read as they are and parsed by ``from_json``
     with a corrupt-record column, so nothing has to be cached; with
-    ``return_raw`` the parsed documents are returned third."""
+    ``return_raw`` the parsed documents are returned third.  A text is parsed
+    once per read: a one-element ``inline`` keeps Catalyst from copying the
+    parse into every condition and field that mentions the document."""
     schema = T.StructType(list(REQUEST_FILE.fields) + [T.StructField("_corrupt", T.StringType())])
     texts = spark.read.option("pathGlobFilter", "*" if lines else "*.json").text(path, wholetext=not lines)
     if lines:
         texts = texts.where(F.trim("value") != "")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    raw = (texts.select("value", F.from_json("value", schema, options).alias("r"), F.col("_metadata.file_name").alias("_file"))
+    once = F.struct(F.from_json("value", schema, options).alias("r"), F.col("_metadata.file_name").alias("_file"), "value")
+    raw = (texts.select(F.inline(F.array(once)))
            .select("r.*", "_file", (F.col("r").isNull() | F.col("r._corrupt").isNotNull()).alias("_bad"), "value")
            .withColumn("_corrupt", F.when(F.col("_bad"), F.col("value"))).drop("_bad", "value"))
-    bad = raw.where(F.col("_corrupt").isNotNull()).select("_file", "_corrupt")
-    good = unwrap(raw.where(F.col("_corrupt").isNull()).drop("_corrupt"))
     # Required fields of the request model (a missing one makes the document fail).
     ctx = F.col("context")
     bad_applicant = F.exists(F.col("applicants"), lambda a: a.id.isNull() | a.role.isNull()
                              | a.income_source.isNull() | a.income_source.type.isNull())
     missing = (F.col("id").isNull() | ctx.isNull() | ctx.property_id.isNull() | ctx.monthly_rent.isNull()
                | ctx.currency.isNull() | F.col("applicants").isNull() | F.coalesce(bad_applicant, F.lit(False)))
-    invalid = good.where(missing).select("_file", F.lit("missing required field").alias("_corrupt"))
+    reason = F.coalesce("_corrupt", F.when(missing, F.lit("missing required field")))
+    checked = unwrap(raw).withColumn("_corrupt", reason)
+    good, bad = checked.where(F.col("_corrupt").isNull()).drop("_corrupt"), checked.where(F.col("_corrupt").isNotNull()).select("_file", "_corrupt")
     if return_raw:
-        return project_request(good.where(~missing)), bad.unionByName(invalid), raw
-    return project_request(good.where(~missing)), bad.unionByName(invalid)
+        return project_request(good), bad, raw
+    return project_request(good), bad
 
 
 def read_scored(spark: SparkSession, path: str) -> DataFrame:
