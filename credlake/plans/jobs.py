@@ -73,7 +73,7 @@ def score_to_documents(spark: SparkSession, apps: DataFrame, scored_path: str,
 
 def request_batch_job(spark: SparkSession, in_dir: str, out_dir: str, flow_name: str = "p0",
                       flow_code: str | None = None, errors_dir: str | None = None, lines: bool = False,
-                      compression: str = "none") -> DataFrame:
+                      compression: str | None = None) -> DataFrame:
     """L4: S2 -> P4, P5 -> flow (R7..R12) -> K4 and the R13 summary.
 
     ``lines``: a request per line instead of one per file.  A flow code, when given, overrides the flow name (R9).

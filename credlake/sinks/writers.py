@@ -76,9 +76,9 @@ def save_model(spark: SparkSession, model: LshModel, path: str) -> None:
         .write.mode("overwrite").text(path)
 
 
-def write_evaluations(df: DataFrame, path: str, compression: str = "none") -> int:
+def write_evaluations(df: DataFrame, path: str, compression: str | None = None) -> int:
     """K4: JSON lines, one report per row (the source name stays a column)."""
-    return _count_while_writing(df, lambda d: d.write.mode("overwrite").option("compression", compression).json(path))
+    return _count_while_writing(df, lambda d: d.write.mode("overwrite").json(path, compression=compression))
 
 
 def write_csv(df: DataFrame, path: str) -> int:
