@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import io
 import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from credlake.session import send_package
+
 # What is handed to a Python worker at a time.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
@@ -73,32 +73,11 @@ def filesystem(path: str):
 
 
 def ship() -> None:
-    """Send this package's modules to the executors once per Spark application, as ``--py-files`` would.
-
-    Functions that run in Python workers import them there.  The archive lies
-    in the shared folder, from which Spark hands it out.
-    """
+    """Send this package's modules to the executors once per Spark application (``session.send_package``)."""
     spark = SparkSession.active()
     # Texts are long rows: small batches keep a worker's memory to a few of them.  Spark reads these
     # settings when a plan runs, so they cannot be restored here; what the caller has set stays.
     for name, value in BATCHES.items():
         if spark.conf.get(name, None) is None:
             spark.conf.set(name, value)
-    context = spark.sparkContext
-    if getattr(context, "_llm_shipped", False):
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    packed = io.BytesIO()
-    with zipfile.ZipFile(packed, "w") as z:
-        for folder, _, names in os.walk(package):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    target = f"{scratch(spark, 'modules')}/credlake_modules.zip"
-    path = context._jvm.org.apache.hadoop.fs.Path(target)  # any file system that Spark itself can write to
-    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(packed.getvalue()))
-    out.close()
-    context.addPyFile(target)
-    context._llm_shipped = True
+    send_package(spark, scratch(spark, "modules"))

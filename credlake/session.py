@@ -6,8 +6,10 @@ The library never creates a cluster session on its own: callers pass a
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,6 +78,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def send_package(spark: SparkSession, folder: str) -> None:
+    """Send this package's modules to the executors once per Spark application, as ``--py-files`` would.
+
+    Functions that run in Python workers import them there.  The archive is
+    written to ``folder``, below the shared one, from which Spark hands it out.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_credlake_sent", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for at, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(at, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    target = f"{folder}/credlake_modules.zip"
+    path = context._jvm.org.apache.hadoop.fs.Path(target)  # any file system that Spark itself can write to
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(target)
+    context._credlake_sent = True
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
